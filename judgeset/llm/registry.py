@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from judgeset.llm.chat import OP6_SQL, op6_chat_formatting
 from judgeset.llm.line_dedup import OP2_SQL, op2_line_dedup
+from judgeset.llm.packing import op4_best_fit_packing
+from judgeset.llm.quality_classifier import op10_quality_classifier
 from judgeset.llm.quality_rules import op1_quality_rules
+from judgeset.llm.toxicity import op8_toxicity
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_line_dedup": op2_line_dedup,
+    "op4_best_fit_packing": op4_best_fit_packing,
     "op6_chat_formatting": op6_chat_formatting,
+    "op8_toxicity": op8_toxicity,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 ORACLES = {
     "op2_line_dedup": OP2_SQL,
