@@ -12,7 +12,7 @@ from judgeset.llm._tables import Scratch, table
 SPACE = "[\\x20\\x09-\\x0D]+"
 SYMBOLS = "#*$%&|<>"
 #: Measurement floors of the five transformed statistics: a group whose values all agree still has this much spread.
-FLOORS = (0.5, 0.08, 1.0, 0.08, 0.3)
+FLOORS = (0.5, 0.08, 0.6, 0.15, 0.8)
 P = len(FLOORS)
 #: Median of the chi-square distribution with five degrees of freedom.
 CHI2_MEDIAN = 4.3515
@@ -97,7 +97,7 @@ def mcd_outliers(
     support: float = 0.75,
     steps: int = 4,
     min_group: int = 200,
-    cutoff: float = 60.0,
+    cutoff: float = 100.0,
 ) -> DataFrame:
     """Statistics of every row, base_failed, its squared robust distance, and kept.
 

@@ -39,17 +39,23 @@ def _features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["y", "features", "sizes"])
 
 
-def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = 2500, rounds: int = 120, penalty: float = 2e-3) -> np.ndarray:
+def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = 2500) -> np.ndarray:
     """Weights of the hashed words, with the bias last.
 
     A sentence is toxic with probability sigmoid(bias + sum of its words' weights), a document with noisy-or over its
-    sentences. Fitted by Adam on all of a bounded sample (per_class documents of each label, weighted back to the
-    labels' true shares). Without labels of both kinds all weights are 0 and the bias gives every sentence 1e-4.
+    sentences. Fitted on all of a bounded sample (per_class documents of each label, weighted back to the labels' true
+    shares). Without labels of both kinds all weights are 0 and the bias gives every sentence 1e-4.
     """
     sample, sizes = training_sample(documents, labels, F.col(label), per_class)
+    got = sample.mapInPandas(_features, "y int, features array<int>, sizes array<int>").toPandas() if sizes else pd.DataFrame()
+    return train(got, sizes)
+
+
+def train(got: pd.DataFrame, sizes: dict[int, int], rounds: int = 150, evidence: float = 4.0, decay: float = 1e-3, rate: float = 0.2) -> np.ndarray:
+    """Adam with weight decay on the labels' likelihood, over the words whose share of positive documents exceeds the
+    sample's by evidence standard errors or more; all other words weigh 0."""
     flat = np.zeros((1 << BITS) + 1)
     flat[-1] = -9.2
-    got = sample.mapInPandas(_features, "y int, features array<int>, sizes array<int>").toPandas() if sizes else pd.DataFrame()
     if len(got) == 0 or got["y"].nunique() < 2:
         return flat
     y = got["y"].to_numpy() == 1
@@ -58,12 +64,15 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", per_class
     per_doc = np.array([len(x) for x in got["sizes"]])
     doc_of = np.repeat(np.arange(len(got)), per_doc)
     sentence_of = np.repeat(np.arange(len(words_in)), words_in)
-    seen = np.bincount(np.unique(doc_of[sentence_of] * (1 << BITS) + features) % (1 << BITS), minlength=1 << BITS)
-    useful = seen[features] >= 3
+    once = np.unique(doc_of[sentence_of] * (1 << BITS) + features)
+    seen = np.bincount(once % (1 << BITS), minlength=1 << BITS)
+    bad = np.bincount(once[y[once >> BITS]] % (1 << BITS), minlength=1 << BITS)
+    prior = float(np.bincount(y[once >> BITS])[1] / len(once))  # share of word occurrences, so that long documents count as such
+    useful = ((bad - seen * prior) >= evidence * np.sqrt(seen * prior * (1 - prior) + 0.5))[features]
     features, sentence_of = features[useful], sentence_of[useful]
     used, features = np.unique(features, return_inverse=True)
     share = {k: sizes[k] / max(1, int((y == bool(k)).sum())) for k in (0, 1)}
-    weight = np.where(y, share.get(1, 1.0), share.get(0, 1.0))
+    weight = np.where(y, share[1], share[0])
     weight = weight / weight.sum()
     w, b = np.zeros(len(used)), -6.0
     m = v = np.zeros(len(used) + 1)
@@ -73,10 +82,10 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", per_class
         total = np.bincount(doc_of, np.logaddexp(0, z), len(got))
         pull = weight * np.where(y, -1 / np.expm1(np.clip(total, 1e-6, 50)), 1.0)
         dz = pull[doc_of] * p
-        grad = np.append(np.bincount(features, dz[sentence_of], len(used)) + penalty * w / len(used) ** 0.5, dz.sum())
+        grad = np.append(np.bincount(features, dz[sentence_of], len(used)), dz.sum())
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
-        step = 0.25 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-7)
-        w, b = w - step[:-1], b - step[-1]
+        step = rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-7)
+        w, b = w * (1 - rate * decay) - step[:-1], b - step[-1]
     flat[used], flat[-1] = w, b
     return flat
 
