@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from judgeset.llm.chat import OP6_SQL, op6_chat_formatting
+from judgeset.llm.jaccard_join import op9_jaccard_join
 from judgeset.llm.line_dedup import OP2_SQL, op2_line_dedup
 from judgeset.llm.packing import op4_best_fit_packing
 from judgeset.llm.quality_classifier import op10_quality_classifier
@@ -15,6 +16,7 @@ QUERIES = {
     "op4_best_fit_packing": op4_best_fit_packing,
     "op6_chat_formatting": op6_chat_formatting,
     "op8_toxicity": op8_toxicity,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_quality_classifier": op10_quality_classifier,
 }
 ORACLES = {
