@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from judgeset.llm.chat import OP6_SQL, op6_chat_formatting
+from judgeset.llm.embedding_join import op3_embedding_join
 from judgeset.llm.jaccard_join import op9_jaccard_join
 from judgeset.llm.line_dedup import OP2_SQL, op2_line_dedup
+from judgeset.llm.mixing import OP7_SQL, op7_mixing
 from judgeset.llm.packing import op4_best_fit_packing
 from judgeset.llm.quality_classifier import op10_quality_classifier
 from judgeset.llm.quality_rules import op1_quality_rules
@@ -13,8 +15,10 @@ from judgeset.llm.toxicity import op8_toxicity
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_line_dedup": op2_line_dedup,
+    "op3_embedding_join": op3_embedding_join,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op6_chat_formatting": op6_chat_formatting,
+    "op7_mixing": op7_mixing,
     "op8_toxicity": op8_toxicity,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_quality_classifier": op10_quality_classifier,
@@ -22,4 +26,5 @@ QUERIES = {
 ORACLES = {
     "op2_line_dedup": OP2_SQL,
     "op6_chat_formatting": OP6_SQL,
+    "op7_mixing": OP7_SQL,
 }
