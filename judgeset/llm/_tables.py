@@ -33,10 +33,10 @@ class Scratch:
         self.root = f"{shared_folder(spark)}/{operator}-{uuid.uuid4().hex}"
         self.n = 0
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
+    def keep(self, df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
         self.n += 1
         path = f"{self.root}/{self.n:02d}-{name}"
-        df.write.parquet(path)
+        df.write.option("compression", compression).parquet(path)
         kept = self.spark.read.schema(df.schema).parquet(path)
         kept._scratch_path = path
         return kept

@@ -10,6 +10,7 @@ from judgeset.llm.mixing import OP7_SQL, op7_mixing
 from judgeset.llm.packing import op4_best_fit_packing
 from judgeset.llm.quality_classifier import op10_quality_classifier
 from judgeset.llm.quality_rules import op1_quality_rules
+from judgeset.llm.suffix_dedup import op5_suffix_dedup
 from judgeset.llm.toxicity import op8_toxicity
 
 QUERIES = {
@@ -17,6 +18,7 @@ QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op3_embedding_join": op3_embedding_join,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_chat_formatting": op6_chat_formatting,
     "op7_mixing": op7_mixing,
     "op8_toxicity": op8_toxicity,
