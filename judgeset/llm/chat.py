@@ -96,7 +96,7 @@ def format_reply_trees(
     leaves = all_done.join(inner, "key", "left_anti").select(F.col("key.c").alias("c"), F.col("key").alias("leaf"), "depth", (F.col("total") / F.col("depth")).alias("path_score"))
     ranked = leaves.withColumn("path_rank", F.row_number().over(W.partitionBy("c").orderBy(F.desc("path_score"), F.col("leaf"))))
     path = ranked.filter(F.col("path_rank") <= top_k).select("leaf", "path_rank", "path_score", "depth", F.col("leaf").alias("key"), F.lit(0).cast("long").alias("back"))
-    for k, jump in enumerate(jumps):  # each join doubles the reach of every chosen path
+    for k, jump in reversed(list(enumerate(jumps))):  # every distance from the leaf is one sum of falling powers of two
         both = F.array(F.struct("key", "back"), F.when(F.col("ptr").isNotNull(), F.struct(F.col("ptr").alias("key"), (F.col("back") + 2**k).alias("back"))))
         path = path.join(jump, "key", "left").select("leaf", "path_rank", "path_score", "depth", F.explode(F.filter(both, lambda x: x.isNotNull())).alias("x")).select("leaf", "path_rank", "path_score", "depth", "x.key", "x.back")
 
