@@ -6,6 +6,7 @@ from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from judgeset.config import ModelSpec, models_table, total_weight
 
@@ -33,7 +34,7 @@ def assign_models(df: DataFrame, models: list[ModelSpec], ordinal: str | None =
         slot = F.pmod(F.col(ordinal).cast("bigint"), F.lit(total))
     else:
         indexed = df.rdd.zipWithIndex().map(lambda x: (*x[0], x[1]))  # global ordinals without one sorted task
-        df = df.sparkSession.createDataFrame(indexed, df.schema.add("__slot", "bigint"))
+        df = df.sparkSession.createDataFrame(indexed, T.StructType([*df.schema.fields, T.StructField("__slot", T.LongType())]))
         return _with_slot(df, F.pmod("__slot", F.lit(total)), models, out)
     return _with_slot(df, slot, models, out)
 
