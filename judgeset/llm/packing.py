@@ -157,7 +157,7 @@ def configuration_lp(histogram: dict[int, int], capacity: int, rounds: int = 60,
                 continue
             taken = [size, *_taken(last, capacity - size)]
             made, number = np.unique(taken, return_counts=True)
-            if capacity - sum(taken) > 0.02 * capacity and need.sum() > 50:
+            if capacity - sum(taken) > 0.02 * capacity:
                 continue  # nothing fits well beside it now; the last step takes it
             times = int(np.floor((need[made] / number).min()))
             if times < 1:
