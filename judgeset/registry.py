@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from judgeset import fixtures as X
-from judgeset.config import EnsembleConfig, ModelSpec, models_table
+from judgeset.config import EnsembleConfig, ModelSpec
 from judgeset.functions import text as TX
 from judgeset.operators import curate, dpo, exports, judging, ledger, models, ratelimit, requests, sft, stats
 from judgeset.sources import commit, jsonl
@@ -166,12 +166,6 @@ def weighted_models(spark: SparkSession, d: str) -> DataFrame:
     return models.assign_models(spark.read.parquet(f"{d}/orders.parquet").select("o_orderkey"), GENERATORS, ordinal="o_orderkey")
 
 
-@query("SELECT 'model-0' AS id, 2.0::DOUBLE AS price WHERE (SELECT count(*) FROM nation) >= 0")
-def cheapest_model(spark: SparkSession, d: str) -> DataFrame:
-    best = models.cheapest_model(GENERATORS)
-    return models_table(spark, GENERATORS).filter(F.col("id") == best.id).select("id", (F.col("input_price_per_1m") + F.col("output_price_per_1m")).alias("price"))
-
-
 _COST = "(tokens_in / 1e6::DOUBLE) * CASE model WHEN 'model-0' THEN 0.5::DOUBLE ELSE 0.25::DOUBLE END + (tokens_out / 1e6::DOUBLE) * CASE model WHEN 'model-0' THEN 1.5::DOUBLE ELSE 2.0::DOUBLE END"
 
 
@@ -180,6 +174,13 @@ def token_cost(spark: SparkSession, d: str) -> DataFrame:
     return models.with_cost(X.frame(spark, d, X.JUDGED), GENERATORS).select("sample_id", F.round("cost_usd", 12).alias("cost_usd"))
 
 
+@query(f"SELECT sample_id, 'model-0' AS model, round((tokens_in / 1e6::DOUBLE) * 0.5::DOUBLE + (tokens_out / 1e6::DOUBLE) * 1.5::DOUBLE, 12) AS cost_usd FROM ({X.JUDGED}) s")
+def cheapest_model(spark: SparkSession, d: str) -> DataFrame:
+    """What every sample would cost with the cheapest model."""
+    samples = X.frame(spark, d, X.JUDGED).withColumn("model", F.lit(models.cheapest_model(GENERATORS).id))
+    return models.with_cost(samples, GENERATORS).select("sample_id", "model", F.round("cost_usd", 12).alias("cost_usd"))
+
+
 @query(f"SELECT endpoint, count(*) AS requests, CAST(sum(tokens_in) AS BIGINT) AS tokens_in, CAST(sum(tokens_out) AS BIGINT) AS tokens_out, round(sum({_COST}), 9) AS cost_usd, CAST(sum(CAST(floor(({_COST}) * 1e6::DOUBLE) AS BIGINT)) AS BIGINT) AS cost_micros FROM ({X.JUDGED}) s GROUP BY endpoint")
 def usage_by_endpoint(spark: SparkSession, d: str) -> DataFrame:
     return stats.usage_by_endpoint(models.with_cost(X.frame(spark, d, X.JUDGED), GENERATORS)).withColumn("cost_usd", F.round("cost_usd", 9))
