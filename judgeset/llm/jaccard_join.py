@@ -17,6 +17,8 @@ WIDTH, PERCENT = 5, 75
 #: Sizes from RATIO^i up to RATIO^(i+1) form band i.
 RATIO = 8
 SKETCH_WORDS = 16
+#: Larger sets have a second sketch whose size follows theirs; the first would be full.
+WIDE_FROM = 512
 #: A shingle is common if this share of a batch's documents has it. At most (mean set size) * 2 / COMMON are.
 COMMON, COMMON_LEAST = 0.002, 8
 #: Runs of more documents with one signature are linked in a star first; see near_duplicate_groups.
@@ -51,6 +53,12 @@ def _sketches(value: np.ndarray, begins: np.ndarray) -> np.ndarray:
     return np.packbits(odd, axis=1)
 
 
+def _wide_sketch(value: np.ndarray) -> bytes:
+    """The sketch of one large set, in at least two bits per shingle."""
+    bits = 1 << (2 * len(value) - 1).bit_length()
+    return np.packbits((np.bincount((value & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
 def _describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows of documents (size, class, sketch), and rows of common shingles (shingle, docs)."""
     for batch in batches:
@@ -58,15 +66,16 @@ def _describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             part = batch.iloc[at : at + 2000]
             value, begins = shingles(_texts(part), WIDTH)
             sketches = _sketches(value, begins)
-            yield pd.DataFrame({"doc_id": part["doc_id"].astype("Int64").to_numpy(), "n": np.diff(begins), "class": _classes(value, begins), "sketch": [bytes(x) for x in sketches], "shingle": pd.array([None] * len(part), "Int64"), "docs": 0})
+            wide = [_wide_sketch(value[i:j]) if j - i > WIDE_FROM else None for i, j in zip(begins[:-1], begins[1:], strict=True)]
+            yield pd.DataFrame({"doc_id": part["doc_id"].astype("Int64").to_numpy(), "n": np.diff(begins), "class": _classes(value, begins), "sketch": [bytes(x) for x in sketches], "wide": wide, "shingle": pd.array([None] * len(part), "Int64"), "docs": 0})
             number, docs = np.unique(value, return_counts=True)
             common = docs >= max(COMMON_LEAST, COMMON * len(part))
             if common.any():
                 k = int(common.sum())
-                yield pd.DataFrame({"doc_id": pd.array([None] * k, "Int64"), "n": -1, "class": 0, "sketch": None, "shingle": number[common].view(np.int64), "docs": docs[common]})
+                yield pd.DataFrame({"doc_id": pd.array([None] * k, "Int64"), "n": -1, "class": 0, "sketch": None, "wide": None, "shingle": number[common].view(np.int64), "docs": docs[common]})
 
 
-DESCRIBED = "doc_id long, n long, class long, sketch binary, shingle long, docs long"
+DESCRIBED = "doc_id long, n long, class long, sketch binary, wide binary, shingle long, docs long"
 
 
 def band_parts(band: int) -> int:
@@ -198,7 +207,7 @@ def near_duplicate_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "te
     scratch = Scratch(spark, "jaccard")
     texts = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     described = scratch.keep(texts.mapInPandas(_describe, DESCRIBED), "described")
-    documents = described.filter("n >= 0").select("doc_id", "n", "class", "sketch")
+    documents = described.filter("n >= 0").select("doc_id", "n", "class", "sketch", "wide")
     total = documents.count()
     frequent = described.filter("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("docs").alias("docs")).filter(F.col("docs") >= max(COMMON_LEAST, COMMON * total / 2)).select("shingle")
     common = spark.sparkContext.broadcast(np.sort(frequent.toPandas()["shingle"].to_numpy(np.int64).view(np.uint64)))  # bounded, see COMMON
@@ -221,7 +230,7 @@ def near_duplicate_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "te
     runs = signed.repartition("key").sortWithinPartitions("key", "class").mapInPandas(_runs, "a long, b long, key long")
     runs = scratch.keep(runs, "runs")
 
-    classes = scratch.keep(documents.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("sketch").alias("sketch")), "classes")
+    classes = scratch.keep(documents.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("sketch").alias("sketch"), F.min("wide").alias("wide")), "classes")
     first = _verified(texts, classes, runs.filter("key IS NULL").select("a", "b").distinct(), scratch)
     found = components(first, scratch)
     many = runs.filter("key IS NOT NULL").select("key", F.col("a").alias("class")).distinct()
@@ -249,12 +258,31 @@ def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield out[_classes(value, begins) == out["class"].to_numpy()]  # an id may stand for several texts
 
 
+def _folded(sketch: bytes, size: int) -> np.ndarray:
+    x = np.frombuffer(sketch, np.uint8)
+    return np.bitwise_xor.reduce(x.reshape(-1, size), axis=0)
+
+
+def _within(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Pairs whose wide sketches differ in no more bits than similar sets may; a larger sketch is folded to the smaller."""
+    for batch in batches:
+        differ = []
+        for x, y in zip(batch["wa"], batch["wb"], strict=True):
+            size = min(len(x), len(y))
+            differ.append(int(np.bitwise_count(_folded(x, size) ^ _folded(y, size)).sum()))
+        yield batch[7 * np.array(differ, np.int64) <= batch["na"] + batch["nb"]].drop(columns=["wa", "wb"])
+
+
 def _verified(texts: DataFrame, classes: DataFrame, pairs: DataFrame, scratch: Scratch) -> DataFrame:
     """Links (a, b as document ids) among pairs of classes. Sketches rule most others out before any text is read."""
     left = classes.select(F.col("class").alias("a"), F.col("rep").alias("ra"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
     right = classes.select(F.col("class").alias("b"), F.col("rep").alias("rb"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
     near = pairs.join(left, "a").join(right, "b").filter((4 * F.least("na", "nb") >= 3 * F.greatest("na", "nb")) & (7 * _hamming("sa", "sb") <= F.col("na") + F.col("nb")))
-    near = scratch.keep(near.select("a", "b", "ra", "rb", "na", "nb"), "near")
+    near = scratch.keep(near.select("a", "b", "ra", "rb", "na", "nb"), "narrow")
+    large = F.least("na", "nb") > WIDE_FROM
+    wide_a, wide_b = classes.select(F.col("class").alias("a"), F.col("wide").alias("wa")), classes.select(F.col("class").alias("b"), F.col("wide").alias("wb"))
+    wide = near.filter(large).join(wide_a, "a").join(wide_b, "b").mapInPandas(_within, "a long, b long, ra long, rb long, na long, nb long")
+    near = scratch.keep(near.filter(~large).unionByName(wide), "near")
     needed = near.select(F.explode(F.array(F.struct(F.col("ra").alias("doc_id"), F.col("a").alias("class"), F.col("na").alias("size")), F.struct(F.col("rb").alias("doc_id"), F.col("b").alias("class"), F.col("nb").alias("size")))).alias("x")).select("x.*").distinct()
     sets = texts.join(needed, "doc_id").select("class", "text").mapInPandas(_sets, "class long, members array<long>")
     sets = scratch.keep(sets.dropDuplicates(["class"]), "sets")
