@@ -229,11 +229,12 @@ def pack(pieces: DataFrame, capacity: int = 4096, rows_per_task: int = 250_000)
     plan = plan_bins(histogram, capacity)
     bins = spark.createDataFrame(plan, "length long, lo long, hi long, times long, base long, place long")
     split = spark.createDataFrame([(s, ceil(n / rows_per_task)) for s, n in histogram.items()], "length long, salts long")
-    salted = pieces.join(split, "length").withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.col("salts"))).drop("salts")
+    salted = pieces.join(F.broadcast(split), "length").withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.col("salts"))).drop("salts")
     before = salted.groupBy("length", "salt").count().select("length", "salt", (F.sum("count").over(W.partitionBy("length").orderBy("salt")) - F.col("count")).alias("before"))
     order = W.partitionBy("length", "salt").orderBy("doc_id", "piece", "start", "ids_crc32")
     ranked = salted.withColumn("r", F.row_number().over(order) - 1).join(before, ["length", "salt"]).withColumn("r", F.col("r") + F.col("before"))
-    placed = ranked.join(bins, (ranked["length"] == bins["length"]) & (F.col("r") >= F.col("lo")) & (F.col("r") < F.col("hi")))
+    # at most (rounds * columns) configurations and a few bins per length, whatever the number of pieces
+    placed = ranked.join(F.broadcast(bins), (ranked["length"] == bins["length"]) & (F.col("r") >= F.col("lo")) & (F.col("r") < F.col("hi")))
     step = F.col("r") - F.col("lo")
     return placed.select(
         "doc_id", "piece", "start", ranked["length"], "ids_crc32",
