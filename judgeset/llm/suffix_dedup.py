@@ -94,14 +94,22 @@ def _strings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Hash of every string of the phrases whose strings were asked for."""
     for batch in batches:
         once = batch.drop_duplicates("h")
+        held: list[tuple] = []
+        count = 0
         for h, size, text, asked in zip(once["h"], once["size"], _encoded(once["text"]), once["asked"], strict=True):
-            for r in asked:
-                if r["kind"] == WHOLE:
-                    continue
-                data = np.frombuffer(text[r["lo"] : r["hi"] + LENGTH], np.uint8)
-                p = np.arange(len(data) - LENGTH + 1)
-                w = mix(span_hashes(prefix_sums(data), p, p + LENGTH) + mix(np.full(1, r["trigger"]).view(np.uint64)))
-                yield pd.DataFrame({"w": w.view(np.int64), "h": h, "size": size, "p": (p + r["lo"]).astype(np.int32), "known": r["kind"] == BOTH})
+            asked = [r for r in asked if r["kind"] != WHOLE]
+            lo = np.array([r["lo"] for r in asked], np.int64)
+            n = np.array([r["hi"] for r in asked], np.int64) - lo + 1
+            p = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            trigger = mix(np.array([r["trigger"] for r in asked], np.int64).view(np.uint64))
+            w = mix(span_hashes(prefix_sums(np.frombuffer(text, np.uint8)), p, p + LENGTH) + np.repeat(trigger, n))
+            held.append((w.view(np.int64), np.full(len(p), h), np.full(len(p), size, np.int32), p.astype(np.int32), np.repeat([r["kind"] == BOTH for r in asked], n)))
+            count += len(p)
+            if count > 100_000:
+                yield pd.DataFrame(dict(zip(("w", "h", "size", "p", "known"), map(np.concatenate, zip(*held, strict=True)), strict=True)))
+                held, count = [], 0
+        if held:
+            yield pd.DataFrame(dict(zip(("w", "h", "size", "p", "known"), map(np.concatenate, zip(*held, strict=True)), strict=True)))
 
 
 def _repeated(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -132,10 +140,9 @@ def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         spans, kept = [], []
         for text, asked, places in zip(_encoded(batch["text"]), batch["asked"], batch["places"], strict=True):
             edges = np.zeros(len(text) + 1, np.int32)
-            for r in asked:
-                if r["kind"] != STRINGS:
-                    edges[r["lo"]] += 1
-                    edges[r["hi"] + LENGTH] -= 1
+            whole = np.array([(r["lo"], r["hi"]) for r in asked if r["kind"] != STRINGS], np.int64).reshape(-1, 2)
+            np.add.at(edges, whole[:, 0], 1)
+            np.add.at(edges, whole[:, 1] + LENGTH, -1)
             if places is not None and len(places):
                 np.add.at(edges, places, 1)
                 np.add.at(edges, places + LENGTH, -1)
