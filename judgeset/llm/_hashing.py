@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -47,6 +49,18 @@ def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b" ".join(texts) + b" ", np.uint8) if texts else np.zeros(0, np.uint8), np.concatenate([[0], ends]).astype(np.int64)
 
 
+def slices(texts: list[bytes], limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Ranges of texts that hold about limit bytes each; a longer text stands alone. Bounds the arrays in work at once."""
+    start = size = 0
+    for i, t in enumerate(texts):
+        if i > start and size + len(t) > limit:
+            yield start, i
+            start, size = i, 0
+        size += len(t)
+    if start < len(texts):
+        yield start, len(texts)
+
+
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOW = np.arange(256, dtype=np.uint8)

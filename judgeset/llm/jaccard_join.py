@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from judgeset.llm._components import components
-from judgeset.llm._hashing import mix, shingles
+from judgeset.llm._hashing import mix, shingles, slices
 from judgeset.llm._tables import Scratch, table
 
 WIDTH, PERCENT = 5, 75
@@ -19,8 +19,10 @@ RATIO = 8
 SKETCH_WORDS = 16
 #: Larger sets have a second sketch whose size follows theirs; the first would be full.
 WIDE_FROM = 512
-#: A shingle is common if this share of a batch's documents has it. At most (mean set size) * 2 / COMMON are.
-COMMON, COMMON_LEAST = 0.002, 8
+#: Shingles that COMMON different sets of one batch, or several batches together, have are marked in a bitmap of
+#: 2^MARKS bits, whose size never changes. Marks only order the parts of a set; a wrong one costs nothing but time.
+COMMON, MARKS = 4, 26
+HELD = 3_000_000
 #: Runs of more documents with one signature are linked in a star first; see near_duplicate_groups.
 RUN = 16
 
@@ -59,20 +61,40 @@ def _wide_sketch(value: np.ndarray) -> bytes:
     return np.packbits((np.bincount((value & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)).tobytes()
 
 
+def _shared(held: list[np.ndarray]) -> Iterator[pd.DataFrame]:
+    """Shingles that are there twice or more, as rows of DESCRIBED. Empties held."""
+    value = np.concatenate(held) if held else np.zeros(0, np.uint64)
+    held.clear()
+    value.sort()
+    first = np.flatnonzero(np.append(True, value[1:] != value[:-1])) if len(value) else np.zeros(0, np.int64)
+    docs = np.diff(np.append(first, len(value)))
+    number, docs = value[first][docs > 1], docs[docs > 1]
+    for at in range(0, len(number), 50_000):
+        k = len(number[at : at + 50_000])
+        yield pd.DataFrame({"doc_id": pd.array([None] * k, "Int64"), "n": -1, "class": 0, "sketch": None, "wide": None, "shingle": number[at : at + k].view(np.int64), "docs": docs[at : at + k]})
+
+
 def _describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows of documents (size, class, sketch), and rows of common shingles (shingle, docs)."""
+    """Rows of documents (size, class, sketches), and of shingles that two different sets have (shingle, docs), counted
+    in portions of about HELD shingles."""
+    seen, held = np.zeros(0, np.int64), []
     for batch in batches:
-        for at in range(0, len(batch), 2000):
-            part = batch.iloc[at : at + 2000]
-            value, begins = shingles(_texts(part), WIDTH)
-            sketches = _sketches(value, begins)
-            wide = [_wide_sketch(value[i:j]) if j - i > WIDE_FROM else None for i, j in zip(begins[:-1], begins[1:], strict=True)]
-            yield pd.DataFrame({"doc_id": part["doc_id"].astype("Int64").to_numpy(), "n": np.diff(begins), "class": _classes(value, begins), "sketch": [bytes(x) for x in sketches], "wide": wide, "shingle": pd.array([None] * len(part), "Int64"), "docs": 0})
-            number, docs = np.unique(value, return_counts=True)
-            common = docs >= max(COMMON_LEAST, COMMON * len(part))
-            if common.any():
-                k = int(common.sum())
-                yield pd.DataFrame({"doc_id": pd.array([None] * k, "Int64"), "n": -1, "class": 0, "sketch": None, "wide": None, "shingle": number[common].view(np.int64), "docs": docs[common]})
+        texts = _texts(batch)
+        for i, j in slices(texts):
+            part = batch.iloc[i:j]
+            value, begins = shingles(texts[i:j], WIDTH)
+            sketches, kinds = _sketches(value, begins), _classes(value, begins)
+            wide = [_wide_sketch(value[x:y]) if y - x > WIDE_FROM else None for x, y in zip(begins[:-1], begins[1:], strict=True)]
+            yield pd.DataFrame({"doc_id": part["doc_id"].astype("Int64").to_numpy(), "n": np.diff(begins), "class": kinds, "sketch": [bytes(x) for x in sketches], "wide": wide, "shingle": pd.array([None] * len(part), "Int64"), "docs": 0})
+            once = np.zeros(len(kinds), bool)
+            once[np.unique(kinds, return_index=True)[1]] = True
+            once &= ~np.isin(kinds, seen)
+            seen = np.union1d(seen, kinds)
+            held.append(value[once[_of(begins)]])
+            if sum(map(len, held)) > HELD:
+                yield from _shared(held)
+                seen = np.zeros(0, np.int64)
+    yield from _shared(held)
 
 
 DESCRIBED = "doc_id long, n long, class long, sketch binary, wide binary, shingle long, docs long"
@@ -83,22 +105,20 @@ def band_parts(band: int) -> int:
     return max(1024, 2 * RATIO ** (band + 1) // 3) + 1
 
 
-def signatures(value: np.ndarray, begins: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def signatures(value: np.ndarray, begins: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(document, key) pairs, such that two sets with Jaccard similarity of PERCENT or more share a key.
 
     Sets of n and m shingles that are similar enough differ in at most (n + m) / 7, at most n / 3, of them. Dealt into
     the same parts by hash, at most so many parts differ, so of any n / 3 + 1 filled parts, taken in one global order,
-    one is equal: its key is the xor of its shingles. Parts of common shingles only come last in that order. A set
+    one is equal: its key is the xor of its shingles. Parts of marked shingles only come last in that order. A set
     whose larger partners reach into the next band is dealt out for that band as well.
     """
     of, n = _of(begins), np.diff(begins)
     band = np.zeros(len(n), np.int64)
     for i in range(1, 20):
         band += n >= RATIO**i
-    rare = np.ones(len(value), bool)
-    if len(common):
-        at = np.minimum(np.searchsorted(common, value), len(common) - 1)
-        rare = common[at] != value
+    at = value & np.uint64((1 << MARKS) - 1)
+    rare = (marks[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 0
     docs_out, keys_out = [], []
     for up in (0, 1):
         joins = (n > 0) if up == 0 else (n > 0) & (4 * n // 3 >= RATIO ** (band + 1))
@@ -208,20 +228,23 @@ def near_duplicate_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "te
     texts = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     described = scratch.keep(texts.mapInPandas(_describe, DESCRIBED), "described")
     documents = described.filter("n >= 0").select("doc_id", "n", "class", "sketch", "wide")
-    total = documents.count()
-    frequent = described.filter("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("docs").alias("docs")).filter(F.col("docs") >= max(COMMON_LEAST, COMMON * total / 2)).select("shingle")
-    common = spark.sparkContext.broadcast(np.sort(frequent.toPandas()["shingle"].to_numpy(np.int64).view(np.uint64)))  # bounded, see COMMON
+    common = described.filter("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("docs").alias("docs")).filter(F.col("docs") >= COMMON).select(F.expr(f"shingle & {(1 << MARKS) - 1}").alias("bit"))
+    words = common.groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")).toPandas()
+    marks = np.zeros(1 << (MARKS - 6), np.uint64)  # all that the driver holds, whatever the input
+    marks[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).view(np.uint64)
+    common = spark.sparkContext.broadcast(marks)
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for at in range(0, len(batch), 1000):
-                value, begins = shingles(_texts(batch.iloc[at : at + 1000]), WIDTH)
+            texts, seen = _texts(batch), np.zeros(0, np.int64)
+            for i, j in slices(texts):
+                value, begins = shingles(texts[i:j], WIDTH)
                 of, key = signatures(value, begins, common.value)
                 kinds = _classes(value, begins)
-                # a class's own rows in this batch are one
-                _, once = np.unique(kinds, return_index=True)
-                stays = np.zeros(len(kinds), bool)
-                stays[once] = True
+                stays = np.zeros(len(kinds), bool)  # rows of one class in this batch sign once
+                stays[np.unique(kinds, return_index=True)[1]] = True
+                stays &= ~np.isin(kinds, seen)
+                seen = np.union1d(seen, kinds)
                 chosen = stays[of]
                 of, key = of[chosen], key[chosen]
                 yield pd.DataFrame({"key": key.view(np.int64), "class": kinds[of], "n": np.diff(begins)[of].astype(np.int32)})
@@ -251,10 +274,11 @@ def near_duplicate_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "te
 
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        for at in range(0, len(batch), 500):
-            part = batch.iloc[at : at + 500]
-            value, begins = shingles(_texts(part), WIDTH)
-            out = pd.DataFrame({"class": part["class"].to_numpy(), "members": [value[i:j].view(np.int64) for i, j in zip(begins[:-1], begins[1:], strict=True)]})
+        texts = _texts(batch)
+        for i, j in slices(texts):
+            part = batch.iloc[i:j]
+            value, begins = shingles(texts[i:j], WIDTH)
+            out = pd.DataFrame({"class": part["class"].to_numpy(), "members": [value[x:y].view(np.int64) for x, y in zip(begins[:-1], begins[1:], strict=True)]})
             yield out[_classes(value, begins) == out["class"].to_numpy()]  # an id may stand for several texts
 
 
