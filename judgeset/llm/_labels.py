@@ -34,7 +34,7 @@ def training_sample(documents: DataFrame, labels: DataFrame, label: Column, per_
 class WordWeights(dict):
     """word -> number, filled as words are seen up to a bound; compute() gives the number of a new word."""
 
-    def __init__(self, compute, most: int = 400_000):
+    def __init__(self, compute, most: int = 200_000):
         self.compute, self.most = compute, most
 
     def __missing__(self, word: str):

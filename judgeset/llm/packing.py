@@ -22,7 +22,7 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _CONTROL = re.compile("[\x1c-\x1f]")
 _OTHER_SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 #: Words whose ids a Python worker remembers; others are encoded anew.
-_REMEMBERED = 800_000
+_REMEMBERED = 250_000
 #: Code points from here on may change under normalisation together with others; such words go through the whole tokenizer.
 _PLAIN = re.compile("[^\u0300-\U0010ffff]*")
 #: The tokenizer's own rule for parts of words (a fixed value).
