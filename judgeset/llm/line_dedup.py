@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from judgeset.llm._tables import table
 
-WORD = "[^\\x20\\x09-\\x0D]"
+BLANKS = " \t\n\x0b\x0c\r"
 BLOCKS = "address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figure|footer|form|h1|h2|h3|h4|h5|h6|head|header|hr|html|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul"
 HIDDEN_HTML = "(?is)<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>|<!--.*?-->"
 BREAKS_HTML = f"(?i)</?(?:{BLOCKS})(?:\\s[^>]*)?/?>"
@@ -44,7 +44,7 @@ def drop_boilerplate_lines(df: DataFrame, host: str = "host", text: str = "text"
     boilerplate lines whatever its size, so that list is one bounded row per host, joined to the pages on the host.
     """
     lines = F.split(F.coalesce(F.col(text), F.lit("")), "\n")
-    trimmed = lambda x: F.regexp_replace(x, "^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$", "")
+    trimmed = lambda x: F.btrim(x, F.lit(BLANKS))
     named = F.filter(F.transform(lines, trimmed), lambda x: x != "")
     pages = df.filter(F.col(host).isNotNull()).select(F.col(host).cast("string").alias("__site"), F.array_distinct(F.transform(named, _key)).alias("__keys"))
     totals = pages.groupBy("__site").agg(F.count(F.lit(1)).alias("__pages"))
