@@ -17,8 +17,9 @@ from judgeset.llm.mixing import Target, mix_sources
 from judgeset.llm.packing import default_tokenizer, pack_documents
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: A line on more than this share of a source's documents is boilerplate.
-LINE_RATIO = 0.2
+#: A line on more than this share of a source's documents is boilerplate: a template line stands on a tenth of them or
+#: so, some more and some less, while a phrase that merely recurs stays under a twentieth. The cut lies between the two.
+LINE_RATIO = 1 / 15
 #: No source is repeated more often than this to get nearer to equal weights.
 MAX_REPEATS = 1.5
 

@@ -25,6 +25,18 @@ def test_stages_keep_their_promises(spark, small):
     assert {r["doc_id"] for r in pieces} == set(rows)
 
 
+def test_a_line_on_a_tenth_of_a_source_goes(spark):
+    def text(i, of):
+        planted = ["Subscribe to our newsletter"] * (i % 10 == 0) + ["A rarer line"] * (i % 25 == 0)
+        return "\n".join([f"opening {of} {i}", *planted, f"ending {of} {i}"])
+
+    rows = [(1000 * of + i, text(i, of), "en", f"s{of}", len(text(i, of))) for of in range(2) for i in range(200)]
+    rows += [(2000 + i, "Subscribe to our newsletter" if i % 50 == 0 else f"other {i}", "en", "elsewhere", 9) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(5)
+    got = {r["doc_id"]: r["text"] for r in P.remove_boilerplate(spark, docs, "").collect()}
+    assert got == {i: t if s == "elsewhere" else "\n".join(x for x in t.split("\n") if not x.startswith("Subscribe")) for i, t, _, s, _ in rows}
+
+
 def test_whole_run(spark, small):
     out = P.run(spark, small)
     assert out.count() > 0
