@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from judgeset.llm import toxicity
 from judgeset.llm._tables import Scratch, table
-from judgeset.llm.jaccard_join import near_duplicate_groups
+from judgeset.llm.jaccard_join import first_of_near_duplicates
 from judgeset.llm.line_dedup import drop_boilerplate_lines
 from judgeset.llm.mixing import Target, mix_sources
 from judgeset.llm.packing import default_tokenizer, pack_documents
@@ -37,9 +37,8 @@ def remove_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near duplicates."""
-    gone = near_duplicate_groups(docs).filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    """Keeps one row of each group of near duplicates, that with the smallest id; rows without id and repeated ids too."""
+    return first_of_near_duplicates(docs.select(*COLUMNS))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

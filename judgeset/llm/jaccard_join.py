@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from judgeset.llm._components import components
@@ -71,7 +71,7 @@ def _shared(held: list[np.ndarray]) -> Iterator[pd.DataFrame]:
     number, docs = value[first][docs > 1], docs[docs > 1]
     for at in range(0, len(number), 50_000):
         k = len(number[at : at + 50_000])
-        yield pd.DataFrame({"doc_id": pd.array([None] * k, "Int64"), "n": -1, "class": 0, "sketch": None, "wide": None, "shingle": number[at : at + k].view(np.int64), "docs": docs[at : at + k]})
+        yield pd.DataFrame({"doc_id": pd.array([None] * k, "Int64"), "ta": 0, "tb": 0, "n": -1, "class": 0, "sketch": None, "wide": None, "shingle": number[at : at + k].view(np.int64), "docs": docs[at : at + k]})
 
 
 def _describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -85,7 +85,7 @@ def _describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             value, begins = shingles(texts[i:j], WIDTH)
             sketches, kinds = _sketches(value, begins), _classes(value, begins)
             wide = [_wide_sketch(value[x:y]) if y - x > WIDE_FROM else None for x, y in zip(begins[:-1], begins[1:], strict=True)]
-            yield pd.DataFrame({"doc_id": part["doc_id"].astype("Int64").to_numpy(), "n": np.diff(begins), "class": kinds, "sketch": [bytes(x) for x in sketches], "wide": wide, "shingle": pd.array([None] * len(part), "Int64"), "docs": 0})
+            yield pd.DataFrame({"doc_id": part["doc_id"].astype("Int64").to_numpy(), "ta": part["ta"].to_numpy(), "tb": part["tb"].to_numpy(), "n": np.diff(begins), "class": kinds, "sketch": [bytes(x) for x in sketches], "wide": wide, "shingle": pd.array([None] * len(part), "Int64"), "docs": 0})
             once = np.zeros(len(kinds), bool)
             once[np.unique(kinds, return_index=True)[1]] = True
             once &= ~np.isin(kinds, seen)
@@ -97,7 +97,7 @@ def _describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield from _shared(held)
 
 
-DESCRIBED = "doc_id long, n long, class long, sketch binary, wide binary, shingle long, docs long"
+DESCRIBED = "doc_id long, ta long, tb long, n long, class long, sketch binary, wide binary, shingle long, docs long"
 
 
 def band_parts(band: int) -> int:
@@ -211,13 +211,54 @@ def _hamming(a: str, b: str):
     return sum(words[1:], words[0])
 
 
+def _row(doc_id: str, text: str) -> list[Column]:
+    """What tells rows apart: the id, and the text by two hashes with different seeds."""
+    return [F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("ta"), F.xxhash64(F.lit(7), F.col(text)).alias("tb")]
+
+
+def _as_key() -> Column:
+    """A row's place in the order in which the first row of a group is chosen: by id, rows without one last."""
+    return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "ta", "tb")
+
+
+def _same_row(x: str, y: str) -> Column:
+    return F.col(f"{x}doc_id").eqNullSafe(F.col(f"{y}doc_id")) & (F.col(f"{x}ta") == F.col(f"{y}ta")) & (F.col(f"{x}tb") == F.col(f"{y}tb"))
+
+
 def near_duplicate_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles and component_id (smallest id reachable by links) of every row.
 
     Two documents link if their sets of distinct five-word shingles (A-Z in lower case) have a Jaccard similarity of
     0.75 or more. Null and empty texts have no shingle and link with nothing. Rows with the same set, repeated rows
-    among them, are one class from the start. Rows without id get their class's component, or none if no row of it has
-    an id. Other columns are not read. An empty table gives no rows.
+    among them, are one class from the start. Links go between classes, so that rows without id link like others and an
+    id that stands for several texts does not join their groups. A group none of whose rows has an id has none either.
+    Other columns are not read. An empty table gives no rows.
+    """
+    return _grouped(df, doc_id, text).select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("best.doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def first_of_near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """df with one row of each group of near_duplicate_groups, and every row without a shingle.
+
+    The row with the smallest id stays, among several texts of one id that with the smallest hash, among repeated rows
+    of one id and text the smallest by the columns in their order. Rows without id stay only where no row of the group
+    has one. Any other columns are passed on; they must have an order.
+    """
+    scratch = Scratch(df.sparkSession, "first")
+    rows = _grouped(df, doc_id, text).filter("n > 0").groupBy("doc_id", "ta", "tb").agg(F.max(_as_key() == F.col("best")).alias("stays"), F.count(F.lit(1)).alias("rows"))
+    named = [F.col(c).alias(f"__{c}") for c in ("doc_id", "ta", "tb")]
+    leave = scratch.keep(rows.filter("NOT stays OR rows > 1").select(*named, "stays"), "leave")
+    marked = df.select(F.struct(*df.columns).alias("x"), *_row(doc_id, text))
+    out = marked.join(leave, _same_row("", "__"), "left_anti").select("x.*")
+    again = leave.filter("stays")
+    if again.isEmpty():
+        return out
+    single = marked.join(again, _same_row("", "__"), "left_semi").groupBy("doc_id", "ta", "tb").agg(F.min("x").alias("x"))
+    return out.unionByName(single.select("x.*"))
+
+
+def _grouped(df: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """doc_id, ta and tb (hashes of the text), n and best (the first row of the group, as _as_key has it) of every row.
 
     Where more than RUN classes share a signature, each is first compared with the smallest of them only; members that
     are still in different components after that are compared in a second round, pair by pair, so no link between
@@ -225,9 +266,9 @@ def near_duplicate_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "te
     """
     spark = df.sparkSession
     scratch = Scratch(spark, "jaccard")
-    texts = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    texts = df.select(*_row(doc_id, text), F.col(text).alias("text"))
     described = scratch.keep(texts.mapInPandas(_describe, DESCRIBED), "described")
-    documents = described.filter("n >= 0").select("doc_id", "n", "class", "sketch", "wide")
+    documents = described.filter("n >= 0").select("doc_id", "ta", "tb", "n", "class", "sketch", "wide")
     common = described.filter("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("docs").alias("docs")).filter(F.col("docs") >= COMMON).select(F.expr(f"shingle & {(1 << MARKS) - 1}").alias("bit"))
     words = common.groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")).toPandas()
     marks = np.zeros(1 << (MARKS - 6), np.uint64)  # all that the driver holds, whatever the input
@@ -253,11 +294,11 @@ def near_duplicate_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "te
     runs = signed.repartition("key").sortWithinPartitions("key", "class").mapInPandas(_runs, "a long, b long, key long")
     runs = scratch.keep(runs, "runs")
 
-    classes = scratch.keep(documents.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("sketch").alias("sketch"), F.min("wide").alias("wide")), "classes")
+    classes = scratch.keep(documents.filter("n > 0").groupBy("class").agg(F.min(_as_key()).alias("rep"), F.min("n").alias("n"), F.min("sketch").alias("sketch"), F.min("wide").alias("wide")), "classes")
     first = _verified(texts, classes, runs.filter("key IS NULL").select("a", "b").distinct(), scratch)
     found = components(first, scratch)
     many = runs.filter("key IS NOT NULL").select("key", F.col("a").alias("class")).distinct()
-    grouped = many.join(classes.select("class", "rep", "n"), "class").join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    grouped = many.join(classes.select("class", "n"), "class").join(found.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
     mixed = grouped.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
     rest = scratch.keep(grouped.join(mixed, "key", "left_semi"), "mixed")
     x, y = rest.select("key", F.col("class").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca")), rest.select("key", F.col("class").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
@@ -266,20 +307,24 @@ def near_duplicate_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "te
     if second is not None and not second.isEmpty():
         found = components(first.unionByName(second), scratch)
 
-    of_class = classes.select("class", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select("class", F.coalesce("component", "rep").alias("component_id"))
-    return documents.join(of_class.withColumn("some", F.lit(True)), (documents["class"] == of_class["class"]) & (documents["n"] > 0), "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
-    )
+    found = found.withColumnRenamed("node", "class")
+    best = found.join(classes.select("class", "rep"), "class").groupBy("component").agg(F.min("rep").alias("best"))
+    of_class = classes.select("class", "rep").join(found.join(best, "component"), "class", "left").select("class", F.coalesce("best", "rep").alias("best"))
+    return documents.join(of_class, (documents["class"] == of_class["class"]) & (documents["n"] > 0), "left").select("doc_id", "ta", "tb", "n", "best")
 
 
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    seen: set[int] = set()
     for batch in batches:
+        batch = batch.drop_duplicates("class")  # repeated rows of one id and text
+        batch = batch[~batch["class"].isin(seen)]
+        seen.update(batch["class"].tolist())
         texts = _texts(batch)
         for i, j in slices(texts):
             part = batch.iloc[i:j]
             value, begins = shingles(texts[i:j], WIDTH)
             out = pd.DataFrame({"class": part["class"].to_numpy(), "members": [value[x:y].view(np.int64) for x, y in zip(begins[:-1], begins[1:], strict=True)]})
-            yield out[_classes(value, begins) == out["class"].to_numpy()]  # an id may stand for several texts
+            yield out[_classes(value, begins) == out["class"].to_numpy()]
 
 
 def _folded(sketch: bytes, size: int) -> np.ndarray:
@@ -298,21 +343,21 @@ def _within(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _verified(texts: DataFrame, classes: DataFrame, pairs: DataFrame, scratch: Scratch) -> DataFrame:
-    """Links (a, b as document ids) among pairs of classes. Sketches rule most others out before any text is read."""
-    left = classes.select(F.col("class").alias("a"), F.col("rep").alias("ra"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
-    right = classes.select(F.col("class").alias("b"), F.col("rep").alias("rb"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
+    """Links (a, b) among pairs of classes. Sketches rule most others out before any text is read."""
+    left = classes.select(F.col("class").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
+    right = classes.select(F.col("class").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
     near = pairs.join(left, "a").join(right, "b").filter((4 * F.least("na", "nb") >= 3 * F.greatest("na", "nb")) & (7 * _hamming("sa", "sb") <= F.col("na") + F.col("nb")))
-    near = scratch.keep(near.select("a", "b", "ra", "rb", "na", "nb"), "narrow")
+    near = scratch.keep(near.select("a", "b", "na", "nb"), "narrow")
     large = F.least("na", "nb") > WIDE_FROM
     wide_a, wide_b = classes.select(F.col("class").alias("a"), F.col("wide").alias("wa")), classes.select(F.col("class").alias("b"), F.col("wide").alias("wb"))
-    wide = near.filter(large).join(wide_a, "a").join(wide_b, "b").mapInPandas(_within, "a long, b long, ra long, rb long, na long, nb long")
+    wide = near.filter(large).join(wide_a, "a").join(wide_b, "b").mapInPandas(_within, "a long, b long, na long, nb long")
     near = scratch.keep(near.filter(~large).unionByName(wide), "near")
-    needed = near.select(F.explode(F.array(F.struct(F.col("ra").alias("doc_id"), F.col("a").alias("class"), F.col("na").alias("size")), F.struct(F.col("rb").alias("doc_id"), F.col("b").alias("class"), F.col("nb").alias("size")))).alias("x")).select("x.*").distinct()
-    sets = texts.join(needed, "doc_id").select("class", "text").mapInPandas(_sets, "class long, members array<long>")
+    needed = near.select(F.explode(F.array("a", "b")).alias("class")).distinct().join(classes.select("class", "rep.doc_id", "rep.ta", "rep.tb"), "class")
+    sets = texts.alias("t").join(needed.alias("w"), _same_row("t.", "w.")).select("class", "text").mapInPandas(_sets, "class long, members array<long>")
     sets = scratch.keep(sets.dropDuplicates(["class"]), "sets")
     both = near.join(sets.select(F.col("class").alias("a"), F.col("members").alias("sa")), "a").join(sets.select(F.col("class").alias("b"), F.col("members").alias("sb")), "b")
     common = F.size(F.array_intersect("sa", "sb"))
-    links = both.filter(100 * common >= PERCENT * (F.col("na") + F.col("nb") - common)).select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+    links = both.filter(100 * common >= PERCENT * (F.col("na") + F.col("nb") - common)).select("a", "b")
     return scratch.keep(links, "links")
 
 

@@ -37,6 +37,28 @@ def test_a_line_on_a_tenth_of_a_source_goes(spark):
     assert got == {i: t if s == "elsewhere" else "\n".join(x for x in t.split("\n") if not x.startswith("Subscribe")) for i, t, _, s, _ in rows}
 
 
+def test_one_row_of_each_group_stays(spark):
+    def words(name, start=0, stop=60):
+        return " ".join(f"{name}{k}" for k in range(start, stop))
+
+    chain = [words("c", 0, 60), words("c", 6, 66), words("c", 12, 72)]  # neighbours link, the ends do not
+    rows = [
+        *[(None, words("n")), (None, words("n")), (None, words("n") + " more")],  # near and exact copies without id
+        *[(5, words("r"))] * 3,  # a repeated row
+        (7, words("x")), (7, words("y")), (3, words("x") + " more"),  # one id for a copy and for a clean text
+        (20, chain[0]), (None, chain[1]), (22, chain[2]),  # ends that link only through a document without id
+        *[(None, None), (None, ""), (30, "")],
+    ]
+    docs = spark.createDataFrame([(i, t, "en", f"s{k % 3}", k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    single = P.remove_near_duplicates(spark, docs, "")
+    assert single.columns == P.COLUMNS
+    got = [(r["doc_id"], r["text"]) for r in single.collect()]
+    unnamed = [t for i, t in got if i is None and t]
+    assert len(unnamed) == 1 and unnamed[0].startswith(words("n"))
+    want = [(5, words("r")), (7, words("y")), (3, words("x") + " more"), (20, chain[0]), (None, None), (None, ""), (30, "")]
+    assert sorted((g for g in got if g != (None, unnamed[0])), key=str) == sorted(want, key=str)
+
+
 def test_whole_run(spark, small):
     out = P.run(spark, small)
     assert out.count() > 0
