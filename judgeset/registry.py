@@ -438,11 +438,16 @@ def commit_batch_idempotent(spark: SparkSession, d: str) -> DataFrame:
     return commit.committed(spark, out, log).select("id", "input", "batch_id")
 
 
-def _as_stream(df: DataFrame, spark: SparkSession, name: str, files: int = 3) -> DataFrame:
-    """df written to a few files and read back as a stream of one file per batch."""
+def _as_stream(df: DataFrame, spark: SparkSession, name: str, batches: int = 3) -> DataFrame:
+    """df written as it is partitioned and read back as a stream of so many batches, each of an equal share of the files."""
     path = _shared(spark, name)
-    df.repartition(files).write.parquet(path)
-    return spark.readStream.schema(T.StructType.fromJson(df.schema.jsonValue())).option("maxFilesPerTrigger", 1).parquet(path)
+    df.write.parquet(path)
+    files = len(spark.read.parquet(path).inputFiles())
+    if files < batches:  # too small a table for several batches
+        whole, path = spark.read.schema(df.schema).parquet(path), _shared(spark, name)
+        whole.repartition(batches).write.parquet(path)
+        files = batches
+    return spark.readStream.schema(T.StructType.fromJson(df.schema.jsonValue())).option("maxFilesPerTrigger", -(-files // batches)).parquet(path)
 
 
 @query(f"SELECT problem_id, max(score) AS chosen_score, min(score) AS rejected_score, arg_max(response_idx, (score, -response_idx)) AS chosen_idx, arg_min(response_idx, (score, -response_idx)) AS rejected_idx, count(*) AS responses FROM ({X.JUDGED}) j GROUP BY problem_id HAVING count(*) >= 2 AND max(score) - min(score) >= 0.1::DOUBLE")
