@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,10 +12,13 @@ _LOCAL: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a local one only where that setting is missing (single-machine tests)."""
+    """The folder in spark.checkpoint.dir. Where it is unset, local mode gets a folder of its own; a cluster, whose
+    machines would not see each other's folders, gets an error."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL:
         _LOCAL[app] = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
@@ -37,7 +41,21 @@ class Scratch:
         self.n += 1
         path = f"{self.root}/{self.n:02d}-{name}"
         df.write.option("compression", compression).parquet(path)
-        kept = self.spark.read.schema(df.schema).parquet(path)
+        return self._kept(path, df.schema)
+
+    def split(self, df: DataFrame, name: str, by: str, kinds: int, compression: str = "zstd") -> list[DataFrame]:
+        """Writes one table for each value of by from 0 to kinds - 1, without that column, in one pass over df."""
+        self.n += 1
+        path = f"{self.root}/{self.n:02d}-{name}"
+        df.write.partitionBy(by).option("compression", compression).parquet(path)
+        jvm, rest = self.spark._jvm, df.drop(by).schema
+        for k in range(kinds):  # a kind without rows has no folder yet
+            folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{by}={k}")
+            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).mkdirs(folder)
+        return [self._kept(f"{path}/{by}={k}", rest) for k in range(kinds)]
+
+    def _kept(self, path: str, schema) -> DataFrame:
+        kept = self.spark.read.schema(schema).parquet(path)
         kept._scratch_path = path
         return kept
 

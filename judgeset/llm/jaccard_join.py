@@ -1,4 +1,16 @@
-"""N-gram Jaccard join: parity sketches, pigeonhole join per size band, exact verification."""
+"""N-gram Jaccard join: parity sketches, pigeonhole join per size band, exact verification.
+
+The parity sketch of a set has one bit for every 64-bit shingle hash: the parity of the shingles that hash there. Two
+sketches differ in no more bits than their sets differ in shingles. The full sketch is kept sparse, as its odd
+positions, and dense ones of a few bits per shingle are its folds, which only bring the distance down further. The
+sparse sketches are joined by pigeonhole, and the folds rule pairs out before any set is looked at.
+
+Pigeonhole: sets of n <= m shingles with Jaccard similarity of 3/4 share o = 3/7 (n + m) positions or more, so of the
+first n - o + 1 positions of the smaller, in any order that holds for all sets, and of the first m - o + 1 of the larger,
+one is common. n - o is at most n / 7 and m - o at most m / 4: each set signs with its first m / 4 + 1 positions, those
+that few sets have first. A pair counts only at its first common position, whose ranks in both sets must obey the
+bounds for their very sizes.
+"""
 
 from __future__ import annotations
 
@@ -14,17 +26,17 @@ from judgeset.llm._hashing import mix, shingles, slices
 from judgeset.llm._tables import Scratch, table
 
 WIDTH, PERCENT = 5, 75
-#: Sizes from RATIO^i up to RATIO^(i+1) form band i.
-RATIO = 8
-SKETCH_WORDS = 16
-#: Larger sets have a second sketch whose size follows theirs; the first would be full.
-WIDE_FROM = 512
-#: Shingles that COMMON different sets of one batch, or several batches together, have are marked in a bitmap of
-#: 2^MARKS bits, whose size never changes. Marks only order the parts of a set; a wrong one costs nothing but time.
-COMMON, MARKS = 4, 26
+#: Least bits of a folded sketch; large sets get two bits or more per shingle.
+SKETCH_BITS = 1024
+#: How many sets have a shingle is counted for shingles that COMMON sets or more have. An array of 2^CELLS cells keeps
+#: its logarithm, the largest where several shingles meet; its size never changes. A full array still puts the most
+#: frequent shingles last, and a wrong order costs nothing but time.
+COMMON, CELLS = 4, 24
 HELD = 3_000_000
-#: Runs of more documents with one signature are linked in a star first; see near_duplicate_groups.
+#: Runs of more sets with one position are linked in a star first; see _grouped.
 RUN = 16
+#: Sets of such a run that are compared with each other in one piece.
+BLOCK = 2048
 
 
 def _texts(batch: pd.DataFrame) -> list[bytes]:
@@ -46,19 +58,21 @@ def _classes(value: np.ndarray, begins: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
-def _sketches(value: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """Bit b of a set's sketch is the parity of its shingles that hash to b."""
-    bits = 64 * SKETCH_WORDS
-    docs = len(begins) - 1
-    at = _of(begins) * bits + (value & np.uint64(bits - 1)).astype(np.int64)
-    odd = (np.bincount(at, minlength=docs * bits) & 1).astype(np.uint8).reshape(docs, bits)
-    return np.packbits(odd, axis=1)
+def _sketch(value: np.ndarray) -> bytes:
+    """The sketch of one set folded to SKETCH_BITS, or to at least two bits per shingle: bit b is the parity of its
+    shingles that are b modulo the number of bits."""
+    bits = max(SKETCH_BITS, 1 << (2 * len(value) - 1).bit_length()) if len(value) else SKETCH_BITS
+    return np.packbits((np.bincount((value & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)).tobytes()
 
 
-def _wide_sketch(value: np.ndarray) -> bytes:
-    """The sketch of one large set, in at least two bits per shingle."""
-    bits = 1 << (2 * len(value) - 1).bit_length()
-    return np.packbits((np.bincount((value & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)).tobytes()
+DESCRIBED = "kind int, doc_id long, ta long, tb long, n long, class long, sketch binary, shingle long, docs long"
+
+
+def _described(kind: int, columns: dict) -> pd.DataFrame:
+    """Rows of DESCRIBED with the given columns; the others are null."""
+    null = pd.array([None] * len(next(iter(columns.values()))), "Int64")
+    names = [c.split()[0] for c in DESCRIBED.split(", ")]
+    return pd.DataFrame({c: kind if c == "kind" else columns.get(c, None if c == "sketch" else null) for c in names})
 
 
 def _shared(held: list[np.ndarray]) -> Iterator[pd.DataFrame]:
@@ -70,22 +84,22 @@ def _shared(held: list[np.ndarray]) -> Iterator[pd.DataFrame]:
     docs = np.diff(np.append(first, len(value)))
     number, docs = value[first][docs > 1], docs[docs > 1]
     for at in range(0, len(number), 50_000):
-        k = len(number[at : at + 50_000])
-        yield pd.DataFrame({"doc_id": pd.array([None] * k, "Int64"), "ta": 0, "tb": 0, "n": -1, "class": 0, "sketch": None, "wide": None, "shingle": number[at : at + k].view(np.int64), "docs": docs[at : at + k]})
+        part = number[at : at + 50_000]
+        yield _described(1, {"shingle": part.view(np.int64), "docs": docs[at : at + 50_000]})
 
 
 def _describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows of documents (size, class, sketches), and of shingles that two different sets have (shingle, docs), counted
-    in portions of about HELD shingles."""
+    """Rows of documents (kind 0: size, class, sketch), and of shingles that two different sets have (kind 1: shingle,
+    docs), counted in portions of about HELD shingles."""
     seen, held = np.zeros(0, np.int64), []
     for batch in batches:
         texts = _texts(batch)
         for i, j in slices(texts):
             part = batch.iloc[i:j]
             value, begins = shingles(texts[i:j], WIDTH)
-            sketches, kinds = _sketches(value, begins), _classes(value, begins)
-            wide = [_wide_sketch(value[x:y]) if y - x > WIDE_FROM else None for x, y in zip(begins[:-1], begins[1:], strict=True)]
-            yield pd.DataFrame({"doc_id": part["doc_id"].astype("Int64").to_numpy(), "ta": part["ta"].to_numpy(), "tb": part["tb"].to_numpy(), "n": np.diff(begins), "class": kinds, "sketch": [bytes(x) for x in sketches], "wide": wide, "shingle": pd.array([None] * len(part), "Int64"), "docs": 0})
+            kinds = _classes(value, begins)
+            sketches = [_sketch(value[x:y]) for x, y in zip(begins[:-1], begins[1:], strict=True)]
+            yield _described(0, {"doc_id": part["doc_id"].astype("Int64").array, "ta": part["ta"].to_numpy(), "tb": part["tb"].to_numpy(), "n": np.diff(begins), "class": kinds, "sketch": sketches})
             once = np.zeros(len(kinds), bool)
             once[np.unique(kinds, return_index=True)[1]] = True
             once &= ~np.isin(kinds, seen)
@@ -97,118 +111,109 @@ def _describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield from _shared(held)
 
 
-DESCRIBED = "doc_id long, ta long, tb long, n long, class long, sketch binary, wide binary, shingle long, docs long"
+def _levels(shared: DataFrame) -> np.ndarray:
+    """The array of cells, four bits each, sixteen to a number: 0 for rare shingles, else the logarithm of how many sets
+    have them. At most 2^(CELLS - 4) numbers reach the driver, whatever the input."""
+    counted = shared.groupBy("shingle").agg(F.sum("docs").alias("docs")).filter(F.col("docs") >= COMMON)
+    level = F.least(F.floor(F.log2("docs")) - 1, F.lit(15)).cast("long")
+    cells = counted.groupBy(F.expr(f"shingle & {(1 << CELLS) - 1}").alias("cell")).agg(F.max(level).alias("level"))
+    words = cells.groupBy(F.shiftright("cell", 4).alias("word")).agg(F.bit_or(F.expr("shiftleft(level, cast(4 * (cell & 15) as int))")).alias("levels")).toPandas()
+    out = np.zeros(1 << (CELLS - 4), np.uint64)
+    out[words["word"].to_numpy(np.int64)] = words["levels"].to_numpy(np.int64).view(np.uint64)
+    return out
 
 
-def band_parts(band: int) -> int:
-    """Parts that the shingles of a set in this band are dealt into: twice what the largest set may differ in."""
-    return max(1024, 2 * RATIO ** (band + 1) // 3) + 1
+def signatures(value: np.ndarray, begins: np.ndarray, levels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Set, position, rank and the position before (32 bits of it) of each set's first n / 4 + 1 positions, ordered by
+    level and then by the position itself."""
+    of, n = _of(begins), np.diff(begins)
+    cell = value & np.uint64((1 << CELLS) - 1)
+    level = ((levels[cell >> np.uint64(4)] >> (np.uint64(4) * (cell & np.uint64(15)))) & np.uint64(15)).astype(np.uint8)
+    value = value[np.lexsort((value, level, of))]
+    rank = np.arange(len(value)) - begins[:-1][of]
+    before = np.zeros(len(value), np.uint64)
+    before[1:] = mix(value[:-1])
+    before[rank == 0] = 0
+    chosen = rank <= n[of] // 4
+    return of[chosen], value[chosen], rank[chosen].astype(np.int32), (before[chosen] >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
-def signatures(value: np.ndarray, begins: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(document, key) pairs, such that two sets with Jaccard similarity of PERCENT or more share a key.
+MEMBER = ["key", "class", "n", "rank", "before"]
+RUNS = "a long, b long, key long, class long, n int, rank int, before int"
 
-    Sets of n and m shingles that are similar enough differ in at most (n + m) / 7, at most n / 3, of them. Dealt into
-    the same parts by hash, at most so many parts differ, so of any n / 3 + 1 filled parts, taken in one global order,
-    one is equal: its key is the xor of its shingles. Parts of marked shingles only come last in that order. A set
-    whose larger partners reach into the next band is dealt out for that band as well.
-    """
-    of, n = _of(begins), np.diff(begins)
-    band = np.zeros(len(n), np.int64)
-    for i in range(1, 20):
-        band += n >= RATIO**i
-    at = value & np.uint64((1 << MARKS) - 1)
-    rare = (marks[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 0
-    docs_out, keys_out = [], []
-    for up in (0, 1):
-        joins = (n > 0) if up == 0 else (n > 0) & (4 * n // 3 >= RATIO ** (band + 1))
-        take = joins[of]
-        if not take.any():
-            continue
-        d, v, r = of[take], value[take], rare[take]
-        level = band[d] + up
-        parts = np.maximum(1024, 2 * RATIO ** (level + 1) // 3) + 1
-        part = ((v >> np.uint64(20)) % parts.astype(np.uint64)).astype(np.int64)
-        order = np.lexsort((part, d))
-        d, v, r, part, level = d[order], v[order], r[order], part[order], level[order]
-        new = np.ones(len(d), bool)
-        new[1:] = (d[1:] != d[:-1]) | (part[1:] != part[:-1])
-        at = np.flatnonzero(new)
-        key = mix(np.bitwise_xor.reduceat(mix(v), at) + mix((part[at] * 64 + level[at]).astype(np.uint64)))
-        d, part, hot = d[at], part[at], ~np.logical_or.reduceat(r, at)
-        order = np.lexsort((part, hot, d))
-        d, key = d[order], key[order]
-        first = np.searchsorted(d, np.arange(len(n)))
-        rank = np.arange(len(d)) - first[d]
-        chosen = rank <= n[d] // 3
-        docs_out.append(d[chosen])
-        keys_out.append(key[chosen])
-    if not docs_out:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    return np.concatenate(docs_out), np.concatenate(keys_out)
+
+def _first_common(x: dict[str, np.ndarray], y: dict[str, np.ndarray]) -> np.ndarray:
+    """Whether x and y, who share a position, may be similar and share none before. Where both have the same position
+    before it (and are not at their first, rank 0) they meet there. Bands of size: 3/4 to 4/3."""
+    n, m = x["n"].astype(np.int64), y["n"].astype(np.int64)
+    o = -(-3 * (n + m) // 7)
+    return (4 * np.minimum(n, m) >= 3 * np.maximum(n, m)) & (x["rank"] <= n - o) & (y["rank"] <= m - o) & ((x["before"] != y["before"]) | ((x["rank"] == 0) & (y["rank"] == 0)))
 
 
 def _runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """From rows sorted by key and class: candidate pairs (key null), and the members (a = b) of long runs.
+    """From rows of MEMBER sorted by key and class: candidate pairs (a, b), and the members of long runs (key and on).
 
-    A run of at most RUN classes gives all its pairs, a longer one a star around its first. Streams over the rows and
-    holds at most RUN members.
+    A run of at most RUN classes gives its pairs, a longer one a star around its first class and its members. Streams
+    over the rows; between batches it holds the RUN rows of an open run, or the first of a long one.
     """
-    run_key, members, length, last = None, [], 0, None
-    seen: set[tuple[int, int]] = set()
-    out: list[tuple] = []
-
-    def pair(x: tuple[int, int], y: tuple[int, int]) -> None:
-        (a, n), (b, m) = x, y
-        if 4 * min(n, m) >= 3 * max(n, m) and (a, b) not in seen:
-            seen.add((a, b))
-            out.append((a, b, None))
-
-    def close() -> None:
-        if length <= RUN:
-            for j in range(1, len(members)):
-                for i in range(j):
-                    pair(members[i], members[j])
-
-    def frame() -> pd.DataFrame:
-        return pd.DataFrame({"a": np.array([x[0] for x in out], np.int64), "b": np.array([x[1] for x in out], np.int64), "key": pd.array([x[2] for x in out], "Int64")})
+    carried: pd.DataFrame | None = None
+    centre: tuple[int, int, int] | None = None  # key, class and size at the start of an open long run
+
+    def found(columns: dict) -> pd.DataFrame:
+        n = len(next(iter(columns.values())))
+        return pd.DataFrame({c: columns.get(c, pd.array([None] * n, "Int64")) for c in ("a", "b", *MEMBER)})
+
+    def pairs(x: pd.DataFrame, begin: np.ndarray, length: np.ndarray) -> Iterator[pd.DataFrame]:
+        short = (length > 1) & (length <= RUN)
+        at = np.repeat(begin[short], length[short]) + np.arange(length[short].sum()) - np.repeat(np.cumsum(length[short]) - length[short], length[short])
+        run = np.repeat(np.arange(short.sum()), length[short])
+        of = {c: x[c].to_numpy()[at] for c in MEMBER}
+        a, b = [], []
+        for step in range(1, min(RUN, len(at))):
+            mine = run[step:] == run[:-step]
+            if not mine.any():
+                break
+            left, right = ({c: v[s][mine] for c, v in of.items()} for s in (slice(None, -step), slice(step, None)))
+            ok = _first_common(left, right)
+            a.append(left["class"][ok]), b.append(right["class"][ok])
+        if a and sum(map(len, a)):
+            both = np.unique(np.stack([np.concatenate(a), np.concatenate(b)]), axis=1)
+            yield found({"a": both[0], "b": both[1]})
+
+    def star(x: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        yield found({c: x[c].to_numpy() for c in MEMBER})
+        n = x["n"].to_numpy(np.int64)
+        ok = (4 * np.minimum(n, centre[2]) >= 3 * np.maximum(n, centre[2])) & (x["class"].to_numpy() != centre[1])
+        if ok.any():
+            yield found({"a": np.full(ok.sum(), centre[1]), "b": x["class"].to_numpy()[ok]})
 
     for batch in batches:
-        keys, classes, sizes = batch["key"].to_numpy(), batch["class"].to_numpy(), batch["n"].to_numpy()
-        if not len(keys):
+        x = batch if carried is None else pd.concat([carried, batch], ignore_index=True)
+        if not len(x):
             continue
-        near = np.zeros(len(keys), bool)  # rows whose key stands alone, most of them, never reach the loop
-        near[1:] = keys[1:] == keys[:-1]
-        near[:-1] |= near[1:]
-        near[0] = near[-1] = True
-        for k, c, n in zip(keys[near].tolist(), classes[near].tolist(), sizes[near].tolist(), strict=True):
-            if k != run_key:
-                close()
-                run_key, members, length, last = k, [], 0, None
-            if c == last:
-                continue
-            last, length, new = c, length + 1, [(c, n)]
-            if length <= RUN:
-                members += new
-                continue
-            if length == RUN + 1:
-                new = members + new
-            for x in new:
-                if x != members[0]:
-                    pair(members[0], x)
-                out.append((x[0], x[0], k))
-        if len(out) > 20_000:
-            yield frame()
-            out.clear()
-        if len(seen) > 500_000:
-            seen.clear()
-    close()
-    yield frame()
-
-
-def _hamming(a: str, b: str):
-    words = [F.bit_count(F.conv(F.hex(F.substr(a, F.lit(8 * i + 1), F.lit(8))), 16, -10).cast("long").bitwiseXOR(F.conv(F.hex(F.substr(b, F.lit(8 * i + 1), F.lit(8))), 16, -10).cast("long"))) for i in range(SKETCH_WORDS)]
-    return sum(words[1:], words[0])
+        key, kind = x["key"].to_numpy(), x["class"].to_numpy()
+        new = np.append(True, (key[1:] != key[:-1]) | (kind[1:] != kind[:-1]))
+        x = x[new]
+        key = x["key"].to_numpy()
+        begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        length = np.diff(np.append(begin, len(key)))
+        if centre is not None:
+            if key[0] == centre[0]:
+                yield from star(x.iloc[: length[0]])
+                length[0] = 0
+            if len(begin) > 1 or key[0] != centre[0]:
+                centre = None
+        for i in np.flatnonzero(length > RUN):
+            first = x.iloc[begin[i]]
+            centre = (int(first["key"]), int(first["class"]), int(first["n"]))
+            yield from star(x.iloc[begin[i] : begin[i] + length[i]])
+        open_long = length[-1] == 0 or length[-1] > RUN
+        if not open_long:
+            centre = None
+        carried = None if open_long else x.iloc[begin[-1] :]
+        yield from pairs(x, begin[:-1], length[:-1])
+    if carried is not None:
+        yield from pairs(carried, np.zeros(1, np.int64), np.array([len(carried)]))
 
 
 def _row(doc_id: str, text: str) -> list[Column]:
@@ -260,52 +265,44 @@ def first_of_near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str =
 def _grouped(df: DataFrame, doc_id: str, text: str) -> DataFrame:
     """doc_id, ta and tb (hashes of the text), n and best (the first row of the group, as _as_key has it) of every row.
 
-    Where more than RUN classes share a signature, each is first compared with the smallest of them only; members that
-    are still in different components after that are compared in a second round, pair by pair, so no link between
-    components is lost and a large group of near copies never needs its pairs.
+    Where more than RUN classes share a position, each is first compared with the smallest of them only; members that
+    are still in different components after that are compared in a second round, by rank and size, in blocks, so no link
+    between components is lost and a large group of near copies never needs its pairs.
     """
-    spark = df.sparkSession
-    scratch = Scratch(spark, "jaccard")
+    scratch = Scratch(df.sparkSession, "jaccard")
     texts = df.select(*_row(doc_id, text), F.col(text).alias("text"))
-    described = scratch.keep(texts.mapInPandas(_describe, DESCRIBED), "described")
-    documents = described.filter("n >= 0").select("doc_id", "ta", "tb", "n", "class", "sketch", "wide")
-    common = described.filter("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("docs").alias("docs")).filter(F.col("docs") >= COMMON).select(F.expr(f"shingle & {(1 << MARKS) - 1}").alias("bit"))
-    words = common.groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")).toPandas()
-    marks = np.zeros(1 << (MARKS - 6), np.uint64)  # all that the driver holds, whatever the input
-    marks[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).view(np.uint64)
-    common = spark.sparkContext.broadcast(marks)
+    documents, shared = scratch.split(texts.mapInPandas(_describe, DESCRIBED), "described", "kind", 2)
+    documents = documents.drop("shingle", "docs")
+    levels = df.sparkSession.sparkContext.broadcast(_levels(shared))
+    scratch.drop(shared)
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts, seen = _texts(batch), np.zeros(0, np.int64)
             for i, j in slices(texts):
                 value, begins = shingles(texts[i:j], WIDTH)
-                of, key = signatures(value, begins, common.value)
+                of, key, rank, before = signatures(value, begins, levels.value)
                 kinds = _classes(value, begins)
                 stays = np.zeros(len(kinds), bool)  # rows of one class in this batch sign once
                 stays[np.unique(kinds, return_index=True)[1]] = True
                 stays &= ~np.isin(kinds, seen)
                 seen = np.union1d(seen, kinds)
-                chosen = stays[of]
-                of, key = of[chosen], key[chosen]
-                yield pd.DataFrame({"key": key.view(np.int64), "class": kinds[of], "n": np.diff(begins)[of].astype(np.int32)})
-
-    signed = texts.select("text").mapInPandas(sign, "key long, class long, n int")
-    runs = signed.repartition("key").sortWithinPartitions("key", "class").mapInPandas(_runs, "a long, b long, key long")
-    runs = scratch.keep(runs, "runs")
-
-    classes = scratch.keep(documents.filter("n > 0").groupBy("class").agg(F.min(_as_key()).alias("rep"), F.min("n").alias("n"), F.min("sketch").alias("sketch"), F.min("wide").alias("wide")), "classes")
-    first = _verified(texts, classes, runs.filter("key IS NULL").select("a", "b").distinct(), scratch)
-    found = components(first, scratch)
-    many = runs.filter("key IS NOT NULL").select("key", F.col("a").alias("class")).distinct()
-    grouped = many.join(classes.select("class", "n"), "class").join(found.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
-    mixed = grouped.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
-    rest = scratch.keep(grouped.join(mixed, "key", "left_semi"), "mixed")
-    x, y = rest.select("key", F.col("class").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca")), rest.select("key", F.col("class").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    across = x.join(y, "key").filter((F.col("ca") < F.col("cb")) & (4 * F.least("na", "nb") >= 3 * F.greatest("na", "nb"))).select("a", "b").distinct()
-    second = _verified(texts, classes, across, scratch) if not rest.isEmpty() else None
-    if second is not None and not second.isEmpty():
-        found = components(first.unionByName(second), scratch)
+                c = stays[of]
+                of = of[c]
+                yield pd.DataFrame({"key": key[c].view(np.int64), "class": kinds[of], "n": np.diff(begins)[of].astype(np.int32), "rank": rank[c], "before": before[c]})
+
+    signed = texts.select("text").mapInPandas(sign, "key long, class long, n int, rank int, before int")
+    runs = scratch.keep(signed.repartition("key").sortWithinPartitions("key", "class").mapInPandas(_runs, RUNS), "runs")
+    classes = scratch.keep(documents.filter("n > 0").groupBy("class").agg(F.min(_as_key()).alias("rep"), F.min("n").alias("n"), F.min("sketch").alias("sketch")), "classes")
+    links = _verified(texts, classes, runs.filter("key IS NULL").select("a", "b").distinct(), scratch)
+    found = components(links, scratch)
+    across = scratch.keep(_across(runs.filter("key IS NOT NULL").select(*MEMBER).distinct(), found, scratch), "across")
+    scratch.drop(runs)
+    if not across.isEmpty():
+        second = _verified(texts, classes, across, scratch)
+        if not second.isEmpty():
+            found = components(links.unionByName(second), scratch)
+    scratch.drop(across)
 
     found = found.withColumnRenamed("node", "class")
     best = found.join(classes.select("class", "rep"), "class").groupBy("component").agg(F.min("rep").alias("best"))
@@ -313,6 +310,67 @@ def _grouped(df: DataFrame, doc_id: str, text: str) -> DataFrame:
     return documents.join(of_class, (documents["class"] == of_class["class"]) & (documents["n"] > 0), "left").select("doc_id", "ta", "tb", "n", "best")
 
 
+def _across(members: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame:
+    """Pairs of members of one long run that are in different components and may be similar.
+
+    Members of a run are dealt into blocks of about BLOCK, by size band (powers of 4/3) where one block would not hold
+    them, and each pair of blocks of the same or neighbouring bands is one group of rows, so a long run spreads over
+    many tasks. Runs whose members are all connected leave at once.
+    """
+    component = members.join(found.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
+    component = scratch.keep(component, "members")
+    sizes = component.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("members")).filter("lo < hi").select("key", "members")
+    band = F.when(F.col("members") <= BLOCK, 0).otherwise(F.floor(F.log("n") / F.lit(float(np.log(4 / 3))))).cast("int")
+    mixed = scratch.keep(component.join(sizes, "key").withColumn("band", band).drop("members"), "mixed")
+    counted = mixed.groupBy("key", "band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    per_key = counted.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("band", "blocks"))).alias("blocks"))
+    dealt = mixed.join(per_key, "key").withColumn("block", F.pmod(F.xxhash64("class"), F.element_at("blocks", F.col("band"))).cast("int"))
+    # own band: with every block, the lower one first; neighbouring bands: with every block, the lower band first
+    own = F.transform(F.sequence(F.lit(0), F.element_at("blocks", F.col("band")) - 1), lambda o: F.struct(F.col("band").alias("u"), F.least("block", o).alias("i"), F.col("band").alias("v"), F.greatest("block", o).alias("j"), (F.col("block") > o).alias("right")))
+    def beside(step: int) -> Column:
+        other = F.col("band") + step
+        there = F.coalesce(F.element_at("blocks", other), F.lit(0))
+        low, high = (F.col("band"), other) if step > 0 else (other, F.col("band"))
+        return F.when(there > 0, F.transform(F.sequence(F.lit(0), there - 1), lambda o: F.struct(low.alias("u"), (F.col("block") if step > 0 else o).alias("i"), high.alias("v"), (o if step > 0 else F.col("block")).alias("j"), F.lit(step < 0).alias("right")))).otherwise(F.array().cast("array<struct<u:int,i:int,v:int,j:int,right:boolean>>"))
+
+    group = ["key", "u", "i", "v", "j"]
+    placed = dealt.withColumn("at", F.explode(F.concat(own, beside(1), beside(-1)))).select("key", "at.*", "class", "n", "rank", "before", "component")
+    return placed.repartition(*group).sortWithinPartitions(*group).mapInPandas(_between, "a long, b long").distinct()
+
+
+def _between(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Pairs of each group of rows sorted by key and pair of blocks; holds one group, of two blocks at most."""
+    group = ["key", "u", "i", "v", "j"]
+
+    def compared(x: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        same = (x["u"].iloc[0], x["i"].iloc[0]) == (x["v"].iloc[0], x["j"].iloc[0])
+        left, right = (x, x) if same else (x[~x["right"]], x[x["right"]])
+        y = {c: right[c].to_numpy()[None, :] for c in ("class", "n", "rank", "before", "component")}
+        for at in range(0, len(left), 256):
+            z = {c: left[c].to_numpy()[at : at + 256, None] for c in y}
+            ok = _first_common(z, y) & (z["component"] != y["component"])
+            if same:
+                ok &= z["class"] < y["class"]
+            i, j = np.nonzero(ok)
+            if len(i):
+                yield pd.DataFrame({"a": z["class"][i, 0], "b": y["class"][0, j]})
+
+    held: list[pd.DataFrame] = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        at = batch[group].to_numpy()
+        begin = [0, *(np.flatnonzero((at[1:] != at[:-1]).any(axis=1)) + 1).tolist(), len(batch)]
+        for s, e in zip(begin[:-1], begin[1:], strict=True):
+            part = batch.iloc[s:e]
+            if held and (held[0][group].iloc[0].to_numpy() != part[group].iloc[0].to_numpy()).any():
+                yield from compared(pd.concat(held, ignore_index=True))
+                held = []
+            held.append(part)
+    if held:
+        yield from compared(pd.concat(held, ignore_index=True))
+
+
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     seen: set[int] = set()
     for batch in batches:
@@ -333,32 +391,29 @@ def _folded(sketch: bytes, size: int) -> np.ndarray:
 
 
 def _within(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Pairs whose wide sketches differ in no more bits than similar sets may; a larger sketch is folded to the smaller."""
+    """Pairs whose sketches differ in no more bits than similar sets may; a larger sketch is folded to the smaller."""
     for batch in batches:
         differ = []
-        for x, y in zip(batch["wa"], batch["wb"], strict=True):
+        for x, y in zip(batch["sa"], batch["sb"], strict=True):
             size = min(len(x), len(y))
             differ.append(int(np.bitwise_count(_folded(x, size) ^ _folded(y, size)).sum()))
-        yield batch[7 * np.array(differ, np.int64) <= batch["na"] + batch["nb"]].drop(columns=["wa", "wb"])
+        yield batch[7 * np.array(differ, np.int64) <= batch["na"] + batch["nb"]].drop(columns=["sa", "sb"])
 
 
 def _verified(texts: DataFrame, classes: DataFrame, pairs: DataFrame, scratch: Scratch) -> DataFrame:
     """Links (a, b) among pairs of classes. Sketches rule most others out before any text is read."""
     left = classes.select(F.col("class").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
     right = classes.select(F.col("class").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
-    near = pairs.join(left, "a").join(right, "b").filter((4 * F.least("na", "nb") >= 3 * F.greatest("na", "nb")) & (7 * _hamming("sa", "sb") <= F.col("na") + F.col("nb")))
-    near = scratch.keep(near.select("a", "b", "na", "nb"), "narrow")
-    large = F.least("na", "nb") > WIDE_FROM
-    wide_a, wide_b = classes.select(F.col("class").alias("a"), F.col("wide").alias("wa")), classes.select(F.col("class").alias("b"), F.col("wide").alias("wb"))
-    wide = near.filter(large).join(wide_a, "a").join(wide_b, "b").mapInPandas(_within, "a long, b long, na long, nb long")
-    near = scratch.keep(near.filter(~large).unionByName(wide), "near")
+    near = scratch.keep(pairs.join(left, "a").join(right, "b").mapInPandas(_within, "a long, b long, na long, nb long"), "near")
     needed = near.select(F.explode(F.array("a", "b")).alias("class")).distinct().join(classes.select("class", "rep.doc_id", "rep.ta", "rep.tb"), "class")
+    needed = scratch.keep(needed, "needed")  # a table of known size, so Spark broadcasts it only where it is small
     sets = texts.alias("t").join(needed.alias("w"), _same_row("t.", "w.")).select("class", "text").mapInPandas(_sets, "class long, members array<long>")
     sets = scratch.keep(sets.dropDuplicates(["class"]), "sets")
     both = near.join(sets.select(F.col("class").alias("a"), F.col("members").alias("sa")), "a").join(sets.select(F.col("class").alias("b"), F.col("members").alias("sb")), "b")
     common = F.size(F.array_intersect("sa", "sb"))
-    links = both.filter(100 * common >= PERCENT * (F.col("na") + F.col("nb") - common)).select("a", "b")
-    return scratch.keep(links, "links")
+    links = scratch.keep(both.filter(100 * common >= PERCENT * (F.col("na") + F.col("nb") - common)).select("a", "b"), "links")
+    scratch.drop(near, needed, sets)
+    return links
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
