@@ -37,6 +37,8 @@ HELD = 3_000_000
 RUN = 16
 #: Sets of such a run that are compared with each other in one piece.
 BLOCK = 2048
+#: Classes, of 24 bytes each, whose texts are found by a broadcast of their hashes; beyond that by a join on the hashes.
+SENT = 1_000_000
 
 
 def _texts(batch: pd.DataFrame) -> list[bytes]:
@@ -151,9 +153,10 @@ def _first_common(x: dict[str, np.ndarray], y: dict[str, np.ndarray]) -> np.ndar
 
 
 def _runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """From rows of MEMBER sorted by key and class: candidate pairs (a, b), and the members of long runs (key and on).
+    """From rows of MEMBER sorted by key, rank and class: candidate pairs (a, b), and the members of long runs (key and on).
 
-    A run of at most RUN classes gives its pairs, a longer one a star around its first class and its members. Streams
+    A run of at most RUN classes gives its pairs, a longer one its members and a star around its first class: the one
+    with the fewest positions before, that is with the least of its own, such as the original of edited copies. Streams
     over the rows; between batches it holds the RUN rows of an open run, or the first of a long one.
     """
     carried: pd.DataFrame | None = None
@@ -265,7 +268,7 @@ def first_of_near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str =
 def _grouped(df: DataFrame, doc_id: str, text: str) -> DataFrame:
     """doc_id, ta and tb (hashes of the text), n and best (the first row of the group, as _as_key has it) of every row.
 
-    Where more than RUN classes share a position, each is first compared with the smallest of them only; members that
+    Where more than RUN classes share a position, each is first compared with one of them only (see _runs); members that
     are still in different components after that are compared in a second round, by rank and size, in blocks, so no link
     between components is lost and a large group of near copies never needs its pairs.
     """
@@ -292,7 +295,7 @@ def _grouped(df: DataFrame, doc_id: str, text: str) -> DataFrame:
                 yield pd.DataFrame({"key": key[c].view(np.int64), "class": kinds[of], "n": np.diff(begins)[of].astype(np.int32), "rank": rank[c], "before": before[c]})
 
     signed = texts.select("text").mapInPandas(sign, "key long, class long, n int, rank int, before int")
-    runs = scratch.keep(signed.repartition("key").sortWithinPartitions("key", "class").mapInPandas(_runs, RUNS), "runs")
+    runs = scratch.keep(signed.repartition("key").sortWithinPartitions("key", "rank", "class").mapInPandas(_runs, RUNS), "runs")
     classes = scratch.keep(documents.filter("n > 0").groupBy("class").agg(F.min(_as_key()).alias("rep"), F.min("n").alias("n"), F.min("sketch").alias("sketch")), "classes")
     links = _verified(texts, classes, runs.filter("key IS NULL").select("a", "b").distinct(), scratch)
     found = components(links, scratch)
@@ -401,13 +404,15 @@ def _within(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _verified(texts: DataFrame, classes: DataFrame, pairs: DataFrame, scratch: Scratch) -> DataFrame:
-    """Links (a, b) among pairs of classes. Sketches rule most others out before any text is read."""
+    """Links (a, b) among pairs of classes. Sketches rule most others out before any text is read. Texts move only where
+    more than SENT classes are in doubt."""
     left = classes.select(F.col("class").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
     right = classes.select(F.col("class").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
     near = scratch.keep(pairs.join(left, "a").join(right, "b").mapInPandas(_within, "a long, b long, na long, nb long"), "near")
-    needed = near.select(F.explode(F.array("a", "b")).alias("class")).distinct().join(classes.select("class", "rep.doc_id", "rep.ta", "rep.tb"), "class")
-    needed = scratch.keep(needed, "needed")  # a table of known size, so Spark broadcasts it only where it is small
-    sets = texts.alias("t").join(needed.alias("w"), _same_row("t.", "w.")).select("class", "text").mapInPandas(_sets, "class long, members array<long>")
+    needed = near.select(F.explode(F.array("a", "b")).alias("class")).distinct().join(classes.select("class", F.col("rep.ta").alias("wa"), F.col("rep.tb").alias("wb")), "class")
+    needed = scratch.keep(needed, "needed")
+    wanted = F.broadcast(needed) if needed.count() <= SENT else needed
+    sets = texts.join(wanted, (texts["ta"] == needed["wa"]) & (texts["tb"] == needed["wb"])).select("class", "text").mapInPandas(_sets, "class long, members array<long>")
     sets = scratch.keep(sets.dropDuplicates(["class"]), "sets")
     both = near.join(sets.select(F.col("class").alias("a"), F.col("members").alias("sa")), "a").join(sets.select(F.col("class").alias("b"), F.col("members").alias("sb")), "b")
     common = F.size(F.array_intersect("sa", "sb"))

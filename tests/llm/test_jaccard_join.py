@@ -104,7 +104,7 @@ def test_shared_passage_makes_no_pairs(spark):
     of, key, rank, before = signatures(value, begins, levels)
     import pandas as pd
 
-    rows = pd.DataFrame({"key": key.view(np.int64), "class": of, "n": np.diff(begins)[of].astype(np.int32), "rank": rank, "before": before}).sort_values(["key", "class"])
+    rows = pd.DataFrame({"key": key.view(np.int64), "class": of, "n": np.diff(begins)[of].astype(np.int32), "rank": rank, "before": before}).sort_values(["key", "rank", "class"])
     batches = [rows.iloc[i : i + 1000] for i in range(0, len(rows), 1000)]
     assert sum(map(len, _runs(iter(batches)))) == 0
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
@@ -119,7 +119,7 @@ def test_runs_stream_over_batches():
 
     rng = np.random.default_rng(3)
     keys = np.repeat(np.arange(60), rng.integers(1, 3 * RUN, 60))
-    rows = pd.DataFrame({"key": keys, "class": rng.integers(0, 500, len(keys)), "n": rng.integers(90, 110, len(keys)), "rank": rng.integers(0, 10, len(keys)), "before": rng.integers(0, 9, len(keys))}).sort_values(["key", "class"]).drop_duplicates(["key", "class"])
+    rows = pd.DataFrame({"key": keys, "class": rng.integers(0, 500, len(keys)), "n": rng.integers(90, 110, len(keys)), "rank": rng.integers(0, 10, len(keys)), "before": rng.integers(0, 9, len(keys))}).drop_duplicates(["key", "class"]).sort_values(["key", "rank", "class"])
 
     def found(size):
         out = pd.concat(_runs(rows.iloc[i : i + size] for i in range(0, len(rows), size)))
