@@ -5,8 +5,11 @@ a text into phrases: the phrase of a trigger holds the strings that have it, so
 LENGTH - 1 bytes, each string lies in exactly one phrase, and equal strings lie in phrases with the same trigger and
 the same place relative to it. As only strings of LENGTH bytes have to be told apart, the dictionary of phrases with
 their frequencies decides everything, and the suffix array of the parse is not needed: a phrase that occurs twice is
-removed whole; a phrase whose trigger no other phrase has is left alone; the strings (the suffixes, cut to LENGTH) of
-the few phrases between are sorted, and equal neighbours are removed.
+removed whole; a phrase whose trigger no other phrase has is left alone; of the phrases between, the dictionary's
+suffixes, cut to LENGTH, are sorted, and equal neighbours are removed.
+
+Hot places: a phrase that repeats on the spot (periodic text) is one row with a count; occurrences of one trigger are
+read as a stream; the suffixes of a trigger that more than MANY different phrases have are dealt out one by one.
 """
 
 from __future__ import annotations
@@ -23,10 +26,13 @@ from judgeset.llm._tables import Scratch, table
 
 LENGTH, GRAM = 200, 64
 #: Bytes that are parsed at once; longer texts are parsed in parts whose strings together are the text's.
-PART = 2 << 20
+PART = 1 << 20
+#: Different phrases of one trigger whose suffixes are sorted together, and suffixes sorted at once.
+MANY, SORTED = 1024, 50_000
 _PLACES = np.uint64((1 << 24) - 1)
-OCCURRENCES = "h long, size int, lo int, hi int, trigger long, phrase long, n int"
-REQUESTS = "array<struct<lo:int,hi:int,kind:int,trigger:long>>"
+#: A row stands for n occurrences of one phrase with the strings from lo to hi of text h, of which the first occurrence
+#: has the strings from lo on (strings of them).
+OCCURRENCES = "trigger long, phrase long, h long, size int, lo int, hi int, strings int, n int"
 #: Kinds of phrases asked about: remove whole; look at its strings; both (it stands for its copies).
 WHOLE, STRINGS, BOTH = 0, 1, 2
 
@@ -84,32 +90,137 @@ def phrases(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
 def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         once = batch.groupby("h", as_index=False).agg(text=("text", "first"), size=("size", "first"), n=("size", "size"))
+        h, size, copies = once["h"].to_numpy(), once["size"].to_numpy(), once["n"].to_numpy()
         for who, offset, pieces in _parts(_encoded(once["text"])):
             of, lo, hi, trigger, phrase = phrases(pieces)
-            text = who[of]
-            yield pd.DataFrame({"h": once["h"].to_numpy()[text], "size": once["size"].to_numpy()[text], "lo": (lo + offset[of]).astype(np.int32), "hi": (hi + offset[of]).astype(np.int32), "trigger": trigger, "phrase": phrase, "n": once["n"].to_numpy()[text].astype(np.int32)})
+            new = np.ones(len(of), bool)  # a phrase that follows itself is counted, not repeated
+            new[1:] = (of[1:] != of[:-1]) | (trigger[1:] != trigger[:-1]) | (phrase[1:] != phrase[:-1])
+            first = np.flatnonzero(new)
+            last = np.append(first[1:], len(of)) - 1
+            text, of = who[of[first]], of[first]
+            yield pd.DataFrame({
+                "trigger": trigger[first], "phrase": phrase[first], "h": h[text], "size": size[text], "lo": (lo[first] + offset[of]).astype(np.int32),
+                "hi": (hi[last] + offset[of]).astype(np.int32), "strings": (hi[first] - lo[first] + 1).astype(np.int32), "n": (copies[text] * (last - first + 1)).astype(np.int32),
+            })
+
+
+ASKED = "trigger long, h long, size int, lo int, hi int, strings int, kind int"
+
+
+def _asked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """From occurrences sorted by trigger, phrase and place: those of triggers that occur more than once, with kinds.
+
+    Between batches it holds one row, the first occurrence of the phrase in work, with its count so far and whether its
+    trigger has other phrases.
+    """
+    held: pd.DataFrame | None = None
+
+    def judged(x: pd.DataFrame, open_: bool) -> tuple[pd.DataFrame, pd.DataFrame | None]:
+        trigger, phrase, n = x["trigger"].to_numpy(), x["phrase"].to_numpy(), x["n"].to_numpy(np.int64)
+        new_trigger = np.append(True, trigger[1:] != trigger[:-1])
+        first = np.flatnonzero(new_trigger | np.append(True, phrase[1:] != phrase[:-1]))
+        times = np.add.reduceat(n, first)
+        run = np.cumsum(new_trigger)[first] - 1  # trigger of each phrase
+        mixed = (np.bincount(run) > 1)[run] | (np.bincount(run, x["mixed"].to_numpy()[first]) > 0)[run]
+        kind = np.zeros(len(x), np.int32)
+        kind[first] = np.where(times > 1, np.where(mixed, BOTH, WHOLE), np.where(mixed, STRINGS, -1))
+        place = x[["h", "size", "lo", "hi"]].to_numpy()
+        again = np.zeros(len(x), bool)  # the same place once more, from another copy of the text
+        again[1:] = (place[1:] == place[:-1]).all(axis=1)
+        again[first] = False
+        out = x.drop(columns=["phrase", "n", "mixed"]).assign(kind=kind)
+        keep = (kind >= 0) & ~again
+        left = None
+        if open_:
+            left = x.iloc[first[-1] : first[-1] + 1].assign(n=times[-1], mixed=mixed[-1])
+            keep[first[-1]] = False
+        return out[keep], left
+
+    for batch in batches:
+        batch = batch.assign(mixed=False)
+        x = batch if held is None else pd.concat([held, batch], ignore_index=True)
+        if len(x):
+            out, held = judged(x, True)
+            yield out
+    if held is not None:
+        yield judged(held, False)[0]
+
+
+CONTENTS = "trigger long, h long, size int, lo int, known boolean, content binary"
+
+
+def _contents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The bytes of every phrase whose strings were asked for."""
+    for batch in batches:
+        rows = []
+        for h, size, text, asked in zip(batch["h"], batch["size"], _encoded(batch["text"]), batch["asked"], strict=True):
+            rows += [(r["trigger"], h, size, r["lo"], r["kind"] == BOTH, text[r["lo"] : r["lo"] + r["strings"] - 1 + LENGTH]) for r in asked]
+            if len(rows) > 5_000:
+                yield pd.DataFrame(rows, columns=["trigger", "h", "size", "lo", "known", "content"])
+                rows = []
+        if rows:
+            yield pd.DataFrame(rows, columns=["trigger", "h", "size", "lo", "known", "content"])
+
+
+RANGES = "h long, size int, lo int, hi int"
+
+
+def _starts(x: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All contents in one array, where each string of LENGTH bytes starts in it, and its row."""
+    sizes = x["content"].map(len).to_numpy()
+    n = sizes - LENGTH + 1
+    of = np.repeat(np.arange(len(x)), n)
+    start = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(np.cumsum(sizes) - sizes, n)
+    return np.frombuffer(b"".join(x["content"]), np.uint8), start, of
+
+
+def _sorted_suffixes(x: pd.DataFrame) -> pd.DataFrame:
+    """Ranges of strings that have an equal one, from the sorted suffixes (cut to LENGTH) of the phrases in x."""
+    data, start, of = _starts(x)
+    cut = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, LENGTH)[start]).view(f"S{LENGTH}").ravel()
+    order = np.argsort(cut, kind="stable")
+    cut = cut[order]
+    same = cut[1:] == cut[:-1]
+    hit = np.zeros(len(order), bool)
+    hit[order] = np.append(same, False) | np.append(False, same)
+    hit &= ~x["known"].to_numpy()[of]
+    place = start - (np.cumsum(n := x["content"].map(len).to_numpy()) - n)[of] + x["lo"].to_numpy()[of]
+    edge = np.flatnonzero(hit & ~np.append(False, hit[:-1] & (of[1:] == of[:-1])))
+    end = np.flatnonzero(hit & ~np.append(hit[1:] & (of[1:] == of[:-1]), False))
+    return pd.DataFrame({"h": x["h"].to_numpy()[of[edge]], "size": x["size"].to_numpy()[of[edge]], "lo": place[edge].astype(np.int32), "hi": place[end].astype(np.int32)})
+
+
+def _compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """From phrases sorted by trigger, MANY a trigger at most: whole triggers are sorted together, some at a time."""
+    held: list[pd.DataFrame] = []
+    for batch in batches:
+        trigger = batch["trigger"].to_numpy()
+        strings = np.cumsum(batch["content"].map(len).to_numpy() - LENGTH + 1)
+        done, at = 0, sum(int((x["content"].map(len) - LENGTH + 1).sum()) for x in held)
+        for e in np.flatnonzero(np.append(trigger[1:] != trigger[:-1], False)) + 1:
+            if at + strings[e - 1] - (strings[done - 1] if done else 0) >= SORTED:
+                yield _sorted_suffixes(pd.concat([*held, batch.iloc[done:e]], ignore_index=True))
+                held, done, at = [], e, 0
+        held.append(batch.iloc[done:])
+        whole = pd.concat(held, ignore_index=True)
+        last = whole["trigger"].to_numpy()
+        split = int(np.flatnonzero(np.append(True, last[1:] != last[:-1]))[-1]) if len(last) else 0
+        if len(whole) - split > MANY:
+            raise ValueError("a trigger has more phrases than were counted")
+        held = [whole]
+    if held and len(held[0]):
+        yield _sorted_suffixes(held[0])
 
 
 def _strings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Hash of every string of the phrases whose strings were asked for."""
+    """Hash of every string of the phrases."""
     for batch in batches:
-        once = batch.drop_duplicates("h")
-        held: list[tuple] = []
-        count = 0
-        for h, size, text, asked in zip(once["h"], once["size"], _encoded(once["text"]), once["asked"], strict=True):
-            asked = [r for r in asked if r["kind"] != WHOLE]
-            lo = np.array([r["lo"] for r in asked], np.int64)
-            n = np.array([r["hi"] for r in asked], np.int64) - lo + 1
-            p = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            trigger = mix(np.array([r["trigger"] for r in asked], np.int64).view(np.uint64))
-            w = mix(span_hashes(prefix_sums(np.frombuffer(text, np.uint8)), p, p + LENGTH) + np.repeat(trigger, n))
-            held.append((w.view(np.int64), np.full(len(p), h), np.full(len(p), size, np.int32), p.astype(np.int32), np.repeat([r["kind"] == BOTH for r in asked], n)))
-            count += len(p)
-            if count > 100_000:
-                yield pd.DataFrame(dict(zip(("w", "h", "size", "p", "known"), map(np.concatenate, zip(*held, strict=True)), strict=True)))
-                held, count = [], 0
-        if held:
-            yield pd.DataFrame(dict(zip(("w", "h", "size", "p", "known"), map(np.concatenate, zip(*held, strict=True)), strict=True)))
+        for at in range(0, len(batch), 1_000):
+            x = batch.iloc[at : at + 1_000]
+            data, start, of = _starts(x)
+            w = mix(span_hashes(prefix_sums(data), start, start + LENGTH) + mix(x["trigger"].to_numpy().view(np.uint64))[of])
+            begin = (np.cumsum(n := x["content"].map(len).to_numpy()) - n)[of]
+            yield pd.DataFrame({"w": w.view(np.int64), "h": x["h"].to_numpy()[of], "size": x["size"].to_numpy()[of], "p": (start - begin + x["lo"].to_numpy()[of]).astype(np.int32), "known": x["known"].to_numpy()[of]})
 
 
 def _repeated(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -138,18 +249,18 @@ SPANS = "array<struct<start:long,length:long>>"
 def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         spans, kept = [], []
-        for text, asked, places in zip(_encoded(batch["text"]), batch["asked"], batch["places"], strict=True):
-            edges = np.zeros(len(text) + 1, np.int32)
-            whole = np.array([(r["lo"], r["hi"]) for r in asked if r["kind"] != STRINGS], np.int64).reshape(-1, 2)
-            np.add.at(edges, whole[:, 0], 1)
-            np.add.at(edges, whole[:, 1] + LENGTH, -1)
-            if places is not None and len(places):
-                np.add.at(edges, places, 1)
-                np.add.at(edges, places + LENGTH, -1)
-            gone = np.cumsum(edges[:-1]) > 0
-            turn = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0, append=0))
-            spans.append([{"start": int(a), "length": int(b - a)} for a, b in zip(turn[0::2], turn[1::2], strict=True)])
-            kept.append(np.frombuffer(text, np.uint8)[~gone].tobytes())
+        for text, ranges in zip(_encoded(batch["text"]), batch["ranges"], strict=True):
+            gone, rest, at = [], [], 0
+            for lo, hi in sorted((r["lo"], r["hi"] + LENGTH) for r in ranges):
+                if gone and lo <= gone[-1][1]:
+                    gone[-1][1] = max(gone[-1][1], hi)
+                else:
+                    gone.append([lo, hi])
+            for lo, hi in gone:
+                rest.append(text[at:lo])
+                at = hi
+            spans.append([{"start": lo, "length": hi - lo} for lo, hi in gone])
+            kept.append(b"".join([*rest, text[at:]]))
         yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "spans": spans, "kept": kept})
 
 
@@ -158,37 +269,35 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
     A byte goes if it lies in a string of LENGTH bytes that also starts at another place of the corpus, in the same
     text or another; places are judged on the input. Null texts are empty; texts below LENGTH bytes stay whole. Rows
-    with equal texts are copies of each other, whatever their ids, and null ids are kept. Other columns are not read.
-    An empty table gives no rows. Strings are told apart by two 64-bit hashes, of trigger and string.
+    with equal texts are copies of each other, whatever their ids, and null ids are kept. Texts of any length are parsed
+    in parts. Other columns are not read. An empty table gives no rows. Phrases are told apart by two 64-bit hashes, of
+    trigger and phrase; so are the strings of triggers with more than MANY phrases, all other strings byte by byte.
     """
     scratch = Scratch(df.sparkSession, "repeats")
     source = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     source = source.withColumn("h", F.xxhash64("text")).withColumn("size", F.octet_length("text"))
-    found = scratch.keep(source.filter(F.col("size") >= LENGTH).select("h", "size", "text").mapInPandas(_parse, OCCURRENCES), "phrases")
-
-    shared = found.groupBy("trigger").agg(F.sum("n").alias("times"), F.min("phrase").alias("one"), F.max("phrase").alias("other")).filter("times > 1")
-    shared = shared.select("trigger", (F.col("one") == F.col("other")).alias("alone"))
-    place = ["h", "size", "lo", "hi", "trigger", "phrase"]
-    several = scratch.keep(found.join(shared, "trigger").groupBy(*place, "alone").agg(F.sum("n").alias("n")), "shared")
-    scratch.drop(found)
-    mixed = several.filter("NOT alone")
-    kinds = mixed.groupBy("trigger", "phrase").agg(F.sum("n").alias("times"), F.min(F.struct("h", "lo")).alias("first"))
-    judged = mixed.join(kinds, ["trigger", "phrase"]).withColumn("kind", F.when(F.col("times") == 1, STRINGS).when(F.col("first") == F.struct("h", "lo"), BOTH).otherwise(WHOLE))
-    asked = several.filter("alone").withColumn("kind", F.lit(WHOLE)).select(*place, "kind").unionByName(judged.select(*place, "kind"))
-    asked = asked.groupBy("h", "size").agg(F.collect_list(F.struct("lo", "hi", "kind", "trigger")).alias("asked"))
-
-    told = scratch.keep(source.join(asked, ["h", "size"], "left"), "texts")
-    scratch.drop(several)
-    open_ = F.exists("asked", lambda r: r["kind"] != WHOLE)
-    strings = told.filter(open_).select("h", "size", "text", "asked").mapInPandas(_strings, "w long, h long, size int, p int, known boolean")
-    hits = strings.repartition("w").sortWithinPartitions("w").mapInPandas(_repeated, "h long, size int, p int")
-    places = hits.groupBy("h", "size").agg(F.collect_list("p").alias("places"))
-
-    shape = f"doc_id long, spans {SPANS}, kept binary"
-    clear = told.filter(F.col("asked").isNull()).select("doc_id", F.array().cast(SPANS).alias("spans"), F.col("text").cast("binary").alias("kept"))
-    closed = told.filter(F.col("asked").isNotNull() & ~open_).select("doc_id", "text", "asked", F.lit(None).cast("array<int>").alias("places"))
-    opened = told.filter(open_).join(places, ["h", "size"], "left").select("doc_id", "text", "asked", "places")
-    return clear.unionByName(closed.unionByName(opened).mapInPandas(_cut, shape))
+    order = ["trigger", "phrase", "h", "size", "lo", "hi"]
+    found = source.filter(F.col("size") >= LENGTH).select("h", "size", "text").mapInPandas(_parse, OCCURRENCES)
+    asked = scratch.keep(found.repartition("trigger").sortWithinPartitions(*order).mapInPandas(_asked, ASKED), "asked")
+
+    open_ = asked.filter(F.col("kind") != WHOLE)
+    requests = scratch.keep(open_.groupBy("h", "size").agg(F.collect_list(F.struct("trigger", "lo", "strings", "kind")).alias("asked")), "requests")
+    wanted = requests.select("h", "size")  # a few numbers a text: Spark broadcasts them only while the table is small
+    texts = source.join(wanted, ["h", "size"], "left_semi").select("h", "size", "text").dropDuplicates(["h", "size"])
+    contents = scratch.keep(texts.join(requests, ["h", "size"]).mapInPandas(_contents, CONTENTS), "contents")
+    crowded = scratch.keep(open_.groupBy("trigger").count().filter(F.col("count") > MANY).select("trigger"), "crowded")
+    hits = contents.join(crowded, "trigger", "left_anti").repartition("trigger").sortWithinPartitions("trigger").mapInPandas(_compared, RANGES)
+    strings = contents.join(crowded, "trigger", "left_semi").mapInPandas(_strings, "w long, h long, size int, p int, known boolean")
+    single = strings.repartition("w").sortWithinPartitions("w").mapInPandas(_repeated, "h long, size int, p int")
+    whole = asked.filter(F.col("kind") != STRINGS)
+    ranges = whole.select("h", "size", "lo", "hi").unionByName(hits).unionByName(single.select("h", "size", F.col("p").alias("lo"), F.col("p").alias("hi")))
+    ranges = scratch.keep(ranges.groupBy("h", "size").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges")), "ranges")
+    scratch.drop(asked, requests, contents, crowded)
+
+    told = source.join(ranges, ["h", "size"], "left")
+    clear = told.filter(F.col("ranges").isNull()).select("doc_id", F.array().cast(SPANS).alias("spans"), F.col("text").cast("binary").alias("kept"))
+    cut = told.filter(F.col("ranges").isNotNull()).select("doc_id", "text", "ranges")
+    return clear.unionByName(cut.mapInPandas(_cut, f"doc_id long, spans {SPANS}, kept binary"))
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
