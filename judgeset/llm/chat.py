@@ -120,7 +120,9 @@ def format_reply_trees(
 
 
 def read_back(formatted: DataFrame, conv: str = "conv_id", template: Template = Template()) -> DataFrame:
-    """Digests of what a formatted conversation holds, parsed from the formatted string and its loss mask."""
+    """Digests of what a formatted conversation holds: its turns, parsed from the formatted string, and what the loss mask
+    (loss_spans) covers of that string. Needs conv, formatted and loss_spans of format_reply_trees; null or no spans
+    cover nothing, a conversation without a turn has none."""
     literal = "\\Q" + template.turn + "\\E"
     pieces = F.filter(F.split("formatted", literal, -1), lambda _, i: i > 0)
     body = F.transform(pieces, lambda p: F.substring_index(p, template.end, 1))
@@ -130,7 +132,7 @@ def read_back(formatted: DataFrame, conv: str = "conv_id", template: Template =
         return F.concat(template.unescape_role(role), F.lit("\n"), template.unescape(F.substr(b, F.char_length(role) + 2)), F.lit("\n"))
 
     said = F.array_join(F.transform(body, turn), "")
-    learnt = F.array_join(F.transform(F.filter("segments", lambda x: x.loss), lambda x: template.unescape(x.text)), "")
+    learnt = F.array_join(F.transform("loss_spans", lambda s: template.unescape(F.substr("formatted", s.start.cast("int") + 1, s.length.cast("int")))), "")
     return formatted.select(conv, F.size(pieces).cast("long").alias("n_turns"), said.alias("said"), learnt.alias("learnt"), F.char_length("formatted").cast("long").alias("formatted_chars")).select(
         conv, "n_turns", F.sha2("said", 256).alias("turns_sha256"), F.char_length("learnt").cast("long").alias("loss_chars"), F.sha2("learnt", 256).alias("loss_sha256"), "formatted_chars"
     )

@@ -13,14 +13,16 @@ from pyspark.sql import functions as F
 from judgeset.llm._components import components
 from judgeset.llm._tables import Scratch, table
 
-#: Grid cells are kept on so many leading principal dimensions, bounding boxes on so many.
-CELLS, BOXES = 6, 16
-#: Vectors in a block, and blocks or intervals in the next larger interval.
-BLOCK, FAN = 512, 4
+#: Grid cells are kept on so many leading principal dimensions, bounding boxes on so many, found among so many candidates.
+CELLS, BOXES, CANDIDATES = 6, 16, 32
+#: Vectors in a block, and bytes at most; blocks or intervals in the next larger interval.
+BLOCK, BLOCK_BYTES, FAN = 512, 1 << 20, 4
 
 
 def _units(raw: np.ndarray) -> np.ndarray:
+    """Unit vectors. Scaled by the largest component first, so that no square over- or underflows."""
     x = raw.astype(np.float64)
+    x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
@@ -28,7 +30,7 @@ def _usable(v) -> bool:
     if v is None or len(v) == 0:
         return False
     x = np.array([np.nan if y is None else y for y in v], np.float64)
-    return bool(np.isfinite(x).all() and (x != 0).any() and np.isfinite(np.square(x).sum()))
+    return bool(np.isfinite(x).all() and (x != 0).any())
 
 
 def _clean(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -37,25 +39,42 @@ def _clean(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"vec_id": batch["vec_id"], "label": batch["label"], "size": [len(v) for v in batch["embedding"]], "raw": [np.asarray(v, "<f8").tobytes() for v in batch["embedding"]]})
 
 
-def _products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sums of outer products of unit vectors, one row per vector size and task."""
-    sums: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for d, part in batch.groupby("size"):
-            u = _units(np.frombuffer(b"".join(part["raw"]), "<f8").reshape(len(part), d))
-            sums[d] = sums.get(d, 0) + np.hstack([(u.T @ u).ravel(), u.sum(axis=0), [len(u)]])
-    if sums:
-        yield pd.DataFrame({"size": list(sums), "sums": [s.tolist() for s in sums.values()]})
+def _summed(vectors: DataFrame, of) -> dict[int, np.ndarray]:
+    """The sum of of(unit vectors, their size) over all vectors, for each vector size."""
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for d, part in batch.groupby("size"):
+                total[d] = total.get(d, 0) + of(_units(np.frombuffer(b"".join(part["raw"]), "<f8").reshape(len(part), d)), int(d))
+        if total:
+            yield pd.DataFrame({"size": list(total), "sums": [s.tolist() for s in total.values()]})
+
+    rows = vectors.select("size", "raw").mapInPandas(sums, "size int, sums array<double>").select("size", F.posexplode("sums")).groupBy("size", "pos").agg(F.sum("col").alias("x"))
+    return {int(d): part.sort_values("pos")["x"].to_numpy() for d, part in rows.toPandas().groupby("size")}
+
+
+def _directions(d: int) -> np.ndarray:
+    return np.eye(d) if d <= CANDIDATES else np.random.default_rng(d).normal(size=(d, CANDIDATES))
 
 
 def principal_axes(vectors: DataFrame) -> dict[int, np.ndarray]:
-    """Axes of each vector size, by falling variance. A matrix of size^2 numbers each is all that reaches the driver."""
-    summed = vectors.select("size", "raw").mapInPandas(_products, "size int, sums array<double>").select("size", F.posexplode("sums")).groupBy("size", "pos").agg(F.sum("col").alias("x"))
+    """Up to BOXES leading axes of each vector size, by falling variance, from a randomised range finder: one pass for
+    the covariance's image of some directions, one for the covariance inside that image. Any orthonormal axes would
+    give right results; size * CANDIDATES numbers of each vector size are all that reaches the driver."""
+    image = _summed(vectors, lambda u, d: np.hstack([(u.T @ (u @ _directions(d))).ravel(), u.sum(axis=0), [len(u)]]))
+    bases = {}
+    for d, x in image.items():
+        w = _directions(d)
+        mean = x[-1 - d : -1] / x[-1]
+        bases[d] = np.linalg.qr(x[: d * w.shape[1]].reshape(d, -1) / x[-1] - np.outer(mean, mean @ w))[0]
+    shared = vectors.sparkSession.sparkContext.broadcast(bases)
+    inside = _summed(vectors, lambda u, d: np.hstack([((z := u @ shared.value[d]).T @ z).ravel(), z.sum(axis=0), [len(u)]]))
     axes = {}
-    for d, part in summed.toPandas().groupby("size"):
-        x = part.sort_values("pos")["x"].to_numpy()
-        mean = x[d * d : d * d + d] / x[-1]
-        axes[int(d)] = np.linalg.eigh(x[: d * d].reshape(d, d) / x[-1] - np.outer(mean, mean))[1][:, ::-1].copy()
+    for d, x in inside.items():
+        k = bases[d].shape[1]
+        mean = x[-1 - k : -1] / x[-1]
+        axes[d] = (bases[d] @ np.linalg.eigh(x[: k * k].reshape(k, k) / x[-1] - np.outer(mean, mean))[1][:, ::-1])[:, :BOXES].copy()
     return axes
 
 
@@ -69,7 +88,7 @@ def near_duplicate_vectors(df: DataFrame, vec_id: str = "vec_id", embedding: str
     A pair of blocks yields link counts and one edge per linked vector, never its pairs.
 
     Rows with a null label, and vectors that are null, empty, all zero or hold null or non-finite numbers, link with
-    nothing; vectors of different sizes neither. A null id takes part in no link (component null, kept false). Rows
+    nothing; vectors of different sizes neither. Finite numbers of any size count. A null id takes part in no link (component null, kept false). Rows
     that repeat an id share its links. Other columns are not read. An empty table gives no rows.
     """
     spark = df.sparkSession
@@ -111,10 +130,11 @@ def near_duplicate_vectors(df: DataFrame, vec_id: str = "vec_id", embedding: str
                     held, n = [], 0
                 if mine != key:
                     key, number = mine, 0
+                most = max(8, min(BLOCK, BLOCK_BYTES // (8 * int(mine[1]))))
                 while len(run):
-                    take = run.iloc[: BLOCK - n]
+                    take = run.iloc[: most - n]
                     held, n, run = [*held, take], n + len(take), run.iloc[len(take) :]
-                    if n == BLOCK:
+                    if n == most:
                         yield block(held, number)
                         held, n, number = [], 0, number + 1
         if n:
@@ -174,7 +194,7 @@ def near_duplicate_vectors(df: DataFrame, vec_id: str = "vec_id", embedding: str
     y = made.select("label", "size", F.col("id").alias("b"), F.col("reps").alias("reps_b"), F.col("weights").alias("weights_b"), F.col("raw").alias("raw_b"))
     rows_per_batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
     usual = spark.conf.get(rows_per_batch)
-    spark.conf.set(rows_per_batch, "32")  # a row here holds two blocks
+    spark.conf.set(rows_per_batch, "8")  # a row here holds two blocks
     try:
         both = pairs.join(x, ["label", "size", "a"]).join(y, ["label", "size", "b"]).withColumnRenamed("size", "size_")
         found = scratch.keep(both.mapInPandas(compare, "rep long, links long, low long"), "found")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from judgeset.llm._tables import table
+from judgeset.llm._tables import Scratch, fresh, table
 
 BLANKS = " \t\n\x0b\x0c\r"
 BLOCKS = "address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figure|footer|form|h1|h2|h3|h4|h5|h6|head|header|hr|html|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul"
@@ -27,36 +27,42 @@ def html_lines(html: Column) -> Column:
     return F.regexp_replace(shown, TAGS_HTML, "")
 
 
-def _key(line: Column) -> Column:
-    """128 bits: two hashes of the line with different seeds."""
-    return F.struct(F.xxhash64(line).alias("a"), F.xxhash64(F.lit(7), line).alias("b"))
+def drop_boilerplate_lines(df: DataFrame, host: str = "host", text: str = "text", max_ratio: float = 0.1, min_pages: int = 2) -> DataFrame:
+    """df with the text freed of its host's boilerplate, plus n_lines and n_dropped (long; columns of these names go).
 
+    A line is boilerplate on a host if it stands on more than max_ratio of the host's pages, and on min_pages of them at
+    least: with the usual 2, a host with a single page loses nothing. A page counts once per line. Lines are compared
+    without outer blanks, by 64-bit hash within a host; lines without a word are neither counted nor dropped. Pages
+    whose host is null belong to no site and stay as they are, as do null texts (no lines). Repeated rows are pages of
+    their own. Every other column is passed on; columns of df may have any names. An empty table gives no rows.
 
-def drop_boilerplate_lines(df: DataFrame, host: str = "host", text: str = "text", max_ratio: float = 0.1, min_pages: int = 5) -> DataFrame:
-    """df with the text freed of its host's boilerplate, plus n_lines and n_dropped (long).
-
-    A line is boilerplate on a host if it stands on at least min_pages of the host's pages and on more than max_ratio
-    of them; a page counts once per line. Lines are compared without outer blanks; lines without a word are neither
-    counted nor dropped. Pages whose host is null belong to no site and stay as they are, as do null texts (no lines).
-    Repeated rows are pages of their own. Every other column is passed on; columns of df may have any names.
-
-    Only line hashes are shuffled, summed up before the shuffle. A host has at most (mean lines per page) / max_ratio
-    boilerplate lines whatever its size, so that list is one bounded row per host, joined to the pages on the host.
+    Only (host, line hash) rows are shuffled to find boilerplate, summed up before the shuffle. A host has at most (mean
+    lines per page) / max_ratio boilerplate lines whatever its size: one bounded row per host, in a written table of
+    known size. Spark broadcasts that table while it is small; beyond that it joins on the host and splits hot hosts.
     """
+    scratch = Scratch(df.sparkSession, "lines")
     lines = F.split(F.coalesce(F.col(text), F.lit("")), "\n")
     trimmed = lambda x: F.btrim(x, F.lit(BLANKS))
+    key = lambda x: F.xxhash64(trimmed(x))
     named = F.filter(F.transform(lines, trimmed), lambda x: x != "")
-    pages = df.filter(F.col(host).isNotNull()).select(F.col(host).cast("string").alias("__site"), F.array_distinct(F.transform(named, _key)).alias("__keys"))
-    totals = pages.groupBy("__site").agg(F.count(F.lit(1)).alias("__pages"))
-    seen = pages.select("__site", F.explode("__keys").alias("__key")).groupBy("__site", "__key").agg(F.count(F.lit(1)).alias("__on")).filter(F.col("__on") >= min_pages)
-    common = seen.join(totals, "__site").filter(F.col("__on") > F.lit(max_ratio) * F.col("__pages"))
-    sites = common.groupBy("__site").agg(F.collect_list("__key").alias("__boiler"))
-    joined = df.withColumn("__site", F.col(host).cast("string")).join(sites, "__site", "left").drop("__site")
-    stays = lambda x: ~F.array_contains("__boiler", _key(trimmed(x))) | (trimmed(x) == "")
-    left = F.when(F.col("__boiler").isNull(), lines).otherwise(F.filter(lines, stays))
-    out = joined.withColumn("__left", left).withColumn("n_lines", F.when(F.col(text).isNull(), 0).otherwise(F.size(lines)).cast("long"))
-    out = out.withColumn("n_dropped", F.when(F.col(text).isNull(), 0).otherwise(F.size(lines) - F.size("__left")).cast("long"))
-    return out.withColumn(text, F.when(F.col("n_dropped") == 0, F.col(text)).otherwise(F.array_join("__left", "\n"))).drop("__boiler", "__left")
+    pages = df.filter(F.col(host).isNotNull()).select(F.col(host).cast("string").alias("site"), F.array_distinct(F.transform(named, lambda x: F.xxhash64(x))).alias("keys"))
+    # a host's pages are counted in the same pass, as a line without key
+    seen = pages.select("site", F.explode(F.concat(F.array(F.lit(None).cast("long")), "keys")).alias("key")).groupBy("site", "key").agg(F.count(F.lit(1)).alias("on"))
+    seen = scratch.keep(seen.filter(F.col("key").isNull() | (F.col("on") >= min_pages)), "seen")
+    totals = seen.filter(F.col("key").isNull()).select("site", F.col("on").alias("pages"))
+    common = seen.filter(F.col("key").isNotNull()).join(totals, "site").filter(F.col("on") > F.lit(max_ratio) * F.col("pages"))
+    site, boiler, left = fresh(df, "site", "boiler", "left")
+    sites = scratch.keep(common.groupBy(F.col("site").alias(site)).agg(F.collect_list("key").alias(boiler)), "sites")
+    scratch.drop(seen)
+
+    joined = df.withColumn(site, F.col(host).cast("string")).join(sites, site, "left")
+    stays = lambda x: ~F.array_contains(boiler, key(x)) | (trimmed(x) == "")
+    marked = joined.withColumn(left, F.when(F.col(boiler).isNotNull(), F.filter(lines, stays)))
+    n_lines = F.when(F.col(text).isNull(), 0).otherwise(F.size(lines)).cast("long")
+    n_dropped = F.when(F.col(text).isNull() | F.col(left).isNull(), 0).otherwise(F.size(lines) - F.size(left)).cast("long")
+    cleaned = F.when(n_dropped == 0, F.col(text)).otherwise(F.array_join(left, "\n")).alias(text)
+    kept = [cleaned if c == text else F.col(c) for c in df.columns if c.lower() not in ("n_lines", "n_dropped")]
+    return marked.select(*kept, n_lines.alias("n_lines"), n_dropped.alias("n_dropped"))
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,7 +71,7 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_boilerplate_lines(pages)
 
 
-def _sql(max_ratio: float = 0.1, min_pages: int = 5) -> str:
+def _sql(max_ratio: float = 0.1, min_pages: int = 2) -> str:
     trim = "regexp_replace(regexp_replace(l, '^[\\x20\\x09-\\x0D]+', ''), '[\\x20\\x09-\\x0D]+$', '')"
     return f"""
 WITH pages0 AS (

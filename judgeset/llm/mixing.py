@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from judgeset.llm._tables import Scratch, table
+from judgeset.llm._tables import Scratch, fresh, table
 
 #: The exponent is a multiple of 1 / GRID between 0 (equal weights) and 1 (the sources' own shares).
 GRID = 10_000
@@ -108,15 +108,18 @@ def mix_sources(df: DataFrame, doc_id: str = "doc_id", source: str = "source", t
     inside = narrow.join(plan.select("k", "blocks"), "k").withColumn("block", block).join(cut, ["k", "block"])
     same = inside.groupBy("k", "h", "before", "rest").agg(F.sum("n").alias("n"))
     last = same.withColumn("upto", F.col("before") + F.sum("n").over(W.partitionBy("k").orderBy("h"))).filter("upto <= rest").groupBy("k").agg(F.max("h").alias("last"))
-    decided = plan.select(F.col("k").alias("__k"), F.col("whole").alias("__whole"), F.col("blocks").alias("__blocks"), "k").join(cut, "k", "left").join(last, "k", "left")
-    decided = scratch.keep(decided.select("__k", "__whole", "__blocks", F.col("place").alias("__place"), F.col("block").alias("__block"), F.col("last").alias("__last")), "decided")
-
-    out = df.withColumn("__k", _key(F.col(source))).withColumn("__h", id_hash).join(decided, "__k", "left")
-    my_block = F.pmod(_number(F.col("__h")), F.col("__blocks"))
-    my_place = _hash(F.concat("__k", F.lit("|"), my_block.cast("string")), seed)
-    extra = F.when(F.col("__place").isNull() | (my_place < F.col("__place")), 1).when((my_block == F.col("__block")) & (F.col("__h") <= F.col("__last")), 1).otherwise(0)
-    copies = F.when(F.col("__whole").isNull(), F.lit(1)).otherwise(F.col("__whole") + extra).cast("long")
-    return out.withColumn("tokens", token_count(F.col(text))).withColumn("copies", copies).drop("__k", "__h", "__whole", "__blocks", "__place", "__block", "__last")
+    own = ("k", "whole", "blocks", "place", "block", "last")
+    k, whole, blocks, cut_place, cut_block, last_h, h = fresh(df, *own, "h")
+    decided = plan.select("k", "whole", "blocks").join(cut.select("k", "place", "block"), "k", "left").join(last, "k", "left")
+    decided = scratch.keep(decided.select(*[F.col(x).alias(y) for x, y in zip(own, (k, whole, blocks, cut_place, cut_block, last_h), strict=True)]), "decided")
+
+    out = df.withColumn(k, _key(F.col(source))).withColumn(h, id_hash).join(decided, k, "left")
+    my_block = F.pmod(_number(F.col(h)), F.col(blocks))
+    my_place = _hash(F.concat(k, F.lit("|"), my_block.cast("string")), seed)
+    extra = F.when(F.col(cut_place).isNull() | (my_place < F.col(cut_place)), 1).when((my_block == F.col(cut_block)) & (F.col(h) <= F.col(last_h)), 1).otherwise(0)
+    copies = F.when(F.col(whole).isNull(), F.lit(1)).otherwise(F.col(whole) + extra).cast("long")
+    out = out.select(*df.columns, token_count(F.col(text)).alias(counted := fresh(df, "tokens")[0]), copies.alias(times := fresh(df, "copies")[0]))
+    return out.select(*[c for c in df.columns if c.lower() not in ("tokens", "copies")], F.col(counted).alias("tokens"), F.col(times).alias("copies"))
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

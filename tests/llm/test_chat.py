@@ -63,3 +63,12 @@ def test_long_chains_and_repeats(spark, depth):
     got = read_back(format_reply_trees(df)).first()
     assert got["n_turns"] == depth
     assert got["loss_chars"] == sum(len(r[4]) for r in rows if r[3] == "assistant")
+
+
+def test_the_loss_is_read_from_the_formatted_string(spark):
+    """A span that is off by one shows in the digests."""
+    df = spark.createDataFrame([("c", 1, None, "user", "q"), ("c", 2, 1, "assistant", "an <|answer|>")], "conv_id string, node_id long, parent_id long, role string, text string")
+    good = format_reply_trees(df)
+    shifted = good.withColumn("loss_spans", F.transform("loss_spans", lambda s: F.struct((s.start + 1).alias("start"), s.length.alias("length"))))
+    a, b = read_back(good).first(), read_back(shifted).first()
+    assert a["loss_chars"] == len("an <|answer|>") and a["turns_sha256"] == b["turns_sha256"] and a["loss_sha256"] != b["loss_sha256"]

@@ -18,7 +18,8 @@ def brute_force(rows, cosine=0.93):
             continue
         by_label.setdefault((label, len(v)), []).append((i, np.array(v, np.float64)))
     for group in by_label.values():
-        u = np.array([v / np.sqrt((v * v).sum()) for _, v in group])
+        u = np.array([v / np.abs(v).max() for _, v in group])
+        u = u / np.sqrt((u * u).sum(axis=1, keepdims=True))
         for a, b in np.argwhere(np.triu(u @ u.T >= cosine, 1)):
             i, j = group[a][0], group[b][0]
             links[i], links[j] = links[i] + 1, links[j] + 1
@@ -59,3 +60,20 @@ def test_odd_rows(spark):
     assert near_duplicate_vectors(df.limit(0)).count() == 0
     extra = near_duplicate_vectors(df.unionByName(spark.createDataFrame([(None, [1.0, 0.0], 0, 1)], df.schema))).filter("vec_id IS NULL").collect()
     assert [(r["n_links"], r["component_id"], r["kept"]) for r in extra] == [(0, None, False)]
+
+
+def test_huge_and_tiny_vectors(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.normal(size=3).tolist(), 0) for i in range(300)]
+    rows += [(1000, [1e200, 1.0, 0.0], 0), (1001, [1e200, 2.0, 0.0], 0), (1002, [1e-170, 1e-171, 0.0], 0), (1003, [1e300, 1e299, 0.0], 0), (1004, [5e-324, 0.0, 0.0], 0), (1005, [0.0, 1.7e308, 1.7e308], 0)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    check(df)
+    links = {r["vec_id"]: r["n_links"] for r in near_duplicate_vectors(df).collect()}
+    assert all(links[i] >= 4 for i in range(1000, 1005))
+
+
+def test_long_vectors_in_small_blocks(spark):
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=(20, 600))
+    rows = [(i, (base[i % 20] + 0.2 * rng.normal(size=600)).tolist(), 0) for i in range(500)]
+    check(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"))

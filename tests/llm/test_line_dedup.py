@@ -3,7 +3,7 @@ from collections import Counter
 from judgeset.llm.line_dedup import drop_boilerplate_lines
 
 
-def brute_force(rows, ratio=0.1, least=5):
+def brute_force(rows, ratio=0.1, least=2):
     pages, on = Counter(), Counter()
     for _, host, text in rows:
         if host is not None:
@@ -41,3 +41,14 @@ def test_odd_rows(spark):
     df = spark.createDataFrame([(*r, 1, 2) for r in rows], "page_id long, host string, text string, n_lines int, site int")
     assert got(drop_boilerplate_lines(df)) == brute_force(rows)
     assert drop_boilerplate_lines(df.limit(0)).count() == 0
+
+
+def test_small_hosts_and_clashing_names(spark):
+    """The ratio alone decides from two pages on; the operator's own columns give way to any of the table's."""
+    rows = [(1, "one", "a\nb\na"), (2, "two", "a\nb"), (3, "two", "a\nc"), (4, "two", "d")]
+    names = ["site", "_site", "boiler", "left", "Left", "__boiler", "keys", "on"]
+    df = spark.createDataFrame([(*r, *range(8)) for r in rows], "page_id long, host string, text string, " + ", ".join(f"`x{i}` int" for i in range(8)))
+    df = df.toDF("page_id", "host", "text", *[n if n != "Left" else "LEFT_" for n in names])
+    out = drop_boilerplate_lines(df)
+    assert got(out) == brute_force(rows) == sorted([(1, "a\nb\na", 3, 0), (2, "b", 2, 1), (3, "c", 2, 1), (4, "d", 1, 0)], key=str)
+    assert out.columns == [*df.columns, "n_lines", "n_dropped"] and [r["__boiler"] for r in out.collect()] == [5] * 4

@@ -64,3 +64,11 @@ def test_odd_rows(spark):
     assert out.columns.count("copies") == 1 and out.count() == 6
     assert all(r["copies"] >= 1 for r in out.collect())
     assert mix_sources(df.limit(0)).count() == 0
+
+
+def test_clashing_names(spark):
+    names = ["k", "_k", "h", "whole", "blocks", "place", "block", "last", "__k", "tokens", "copies"]
+    df = spark.createDataFrame([(i, "s", f"a {i}", *range(len(names))) for i in range(30)], "doc_id long, source string, text string, " + ", ".join(f"`{n}` int" for n in names))
+    out = mix_sources(df)
+    assert out.columns == [c for c in df.columns if c not in ("tokens", "copies")] + ["tokens", "copies"]
+    assert {tuple(r[n] for n in names[:9]) for r in out.collect()} == {tuple(range(9))}
