@@ -20,6 +20,8 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: A line on more than this share of a source's documents is boilerplate: a template line stands on a tenth of them or
 #: so, some more and some less, while a phrase that merely recurs stays under a twentieth. The cut lies between the two.
 LINE_RATIO = 1 / 15
+#: And on so many at least, so that two copies of one document in a small source keep their lines.
+LINE_DOCUMENTS = 5
 #: No source is repeated more often than this to get nearer to equal weights.
 MAX_REPEATS = 1.5
 
@@ -32,7 +34,7 @@ def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def remove_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops lines that too many documents of a source share; every document stays."""
-    cleaned = drop_boilerplate_lines(docs, host="source", max_ratio=LINE_RATIO)
+    cleaned = drop_boilerplate_lines(docs, host="source", max_ratio=LINE_RATIO, min_pages=LINE_DOCUMENTS)
     return cleaned.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
 
 
