@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: dict[str, str] = {}
@@ -25,6 +30,41 @@ def shared_folder(spark: SparkSession) -> str:
     return _LOCAL[app]
 
 
+def tidy(f: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """f, a function of an iterator of batches, with its memory given back when a partition ends: Python workers serve
+    later tasks too, and what freed arrays leave in the allocators' pools would add up from stage to stage."""
+
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from f(batches)
+        finally:
+            release_memory()
+
+    return run
+
+
+def release_memory() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+    if trim is not None:
+        trim(0)
+
+
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession, size: str = "4m") -> Iterator[None]:
+    """Batches of about this size go to Python workers, however long a row's texts are."""
+    usual = spark.conf.get(BATCH_BYTES)
+    spark.conf.set(BATCH_BYTES, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_BYTES, usual)
+
+
 class Scratch:
     """Parquet tables of one operator run, each under a name of its own in the shared folder.
 
@@ -40,14 +80,16 @@ class Scratch:
     def keep(self, df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
         self.n += 1
         path = f"{self.root}/{self.n:02d}-{name}"
-        df.write.option("compression", compression).parquet(path)
+        with small_batches(self.spark):
+            df.write.option("compression", compression).parquet(path)
         return self._kept(path, df.schema)
 
     def split(self, df: DataFrame, name: str, by: str, kinds: int, compression: str = "zstd") -> list[DataFrame]:
         """Writes one table for each value of by from 0 to kinds - 1, without that column, in one pass over df."""
         self.n += 1
         path = f"{self.root}/{self.n:02d}-{name}"
-        df.write.partitionBy(by).option("compression", compression).parquet(path)
+        with small_batches(self.spark):
+            df.write.partitionBy(by).option("compression", compression).parquet(path)
         jvm, rest = self.spark._jvm, df.drop(by).schema
         for k in range(kinds):  # a kind without rows has no folder yet
             folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{by}={k}")

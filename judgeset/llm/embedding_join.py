@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from judgeset.llm._components import components
-from judgeset.llm._tables import Scratch, table
+from judgeset.llm._tables import Scratch, table, tidy
 
 #: Grid cells are kept on so many leading principal dimensions, bounding boxes on so many, found among so many candidates.
 CELLS, BOXES, CANDIDATES = 6, 16, 32
@@ -50,7 +50,7 @@ def _summed(vectors: DataFrame, of) -> dict[int, np.ndarray]:
         if total:
             yield pd.DataFrame({"size": list(total), "sums": [s.tolist() for s in total.values()]})
 
-    rows = vectors.select("size", "raw").mapInPandas(sums, "size int, sums array<double>").select("size", F.posexplode("sums")).groupBy("size", "pos").agg(F.sum("col").alias("x"))
+    rows = vectors.select("size", "raw").mapInPandas(tidy(sums), "size int, sums array<double>").select("size", F.posexplode("sums")).groupBy("size", "pos").agg(F.sum("col").alias("x"))
     return {int(d): part.sort_values("pos")["x"].to_numpy() for d, part in rows.toPandas().groupby("size")}
 
 
@@ -95,7 +95,7 @@ def near_duplicate_vectors(df: DataFrame, vec_id: str = "vec_id", embedding: str
     scratch = Scratch(spark, "embedding")
     eps = float(np.sqrt(2 - 2 * cosine))
     rows = df.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(label).cast("string").alias("label"), F.col(embedding).cast("array<double>").alias("embedding"))
-    clean = rows.filter("vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL").mapInPandas(_clean, "vec_id long, label string, size int, raw binary")
+    clean = rows.filter("vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL").mapInPandas(tidy(_clean), "vec_id long, label string, size int, raw binary")
     clean = scratch.keep(clean.select("*", F.xxhash64("raw").alias("h1"), F.xxhash64(F.lit(7), "raw").alias("h2")), "vectors")
     same = ["label", "size", "h1", "h2"]
     reps = scratch.keep(clean.groupBy(*same).agg(F.min("vec_id").alias("rep"), F.countDistinct("vec_id").alias("weight"), F.min("raw").alias("raw")), "representatives")
@@ -110,7 +110,7 @@ def near_duplicate_vectors(df: DataFrame, vec_id: str = "vec_id", embedding: str
                 yield pd.DataFrame({"label": part["label"], "size": part["size"], "rep": part["rep"], "weight": part["weight"], "raw": part["raw"]} | {f"g{i}": grid[:, i] for i in range(CELLS)})
 
     order = ["label", "size", *[f"g{i}" for i in range(CELLS)], "rep"]
-    gridded = reps.select("label", "size", "rep", "weight", "raw").mapInPandas(cells, "label string, size int, rep long, weight long, raw binary, " + ", ".join(f"g{i} int" for i in range(CELLS)))
+    gridded = reps.select("label", "size", "rep", "weight", "raw").mapInPandas(tidy(cells), "label string, size int, rep long, weight long, raw binary, " + ", ".join(f"g{i} int" for i in range(CELLS)))
 
     def block(rows_: list[pd.DataFrame], number: int) -> pd.DataFrame:
         part = pd.concat(rows_)
@@ -141,7 +141,7 @@ def near_duplicate_vectors(df: DataFrame, vec_id: str = "vec_id", embedding: str
             yield block(held, number)
 
     shape = "label string, size int, part int, number int, reps array<long>, weights array<long>, raw binary, lo array<double>, hi array<double>"
-    made = scratch.keep(gridded.repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(blocks, shape), "blocks")
+    made = scratch.keep(gridded.repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(tidy(blocks), shape), "blocks")
     per = made.groupBy("label", "size", "part").count()
     before = per.select("label", "size", "part", (F.sum("count").over(W.partitionBy("label", "size").orderBy("part")) - F.col("count")).alias("before"))
     made = made.join(before, ["label", "size", "part"]).withColumn("id", F.col("before") + F.col("number"))
@@ -197,7 +197,7 @@ def near_duplicate_vectors(df: DataFrame, vec_id: str = "vec_id", embedding: str
     spark.conf.set(rows_per_batch, "8")  # a row here holds two blocks
     try:
         both = pairs.join(x, ["label", "size", "a"]).join(y, ["label", "size", "b"]).withColumnRenamed("size", "size_")
-        found = scratch.keep(both.mapInPandas(compare, "rep long, links long, low long"), "found")
+        found = scratch.keep(both.mapInPandas(tidy(compare), "rep long, links long, low long"), "found")
     finally:
         spark.conf.set(rows_per_batch, usual)
     group = components(found.select(F.col("rep").alias("a"), F.col("low").alias("b")), scratch)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from judgeset.llm._components import components
 from judgeset.llm._hashing import mix, shingles, slices
-from judgeset.llm._tables import Scratch, table
+from judgeset.llm._tables import Scratch, table, tidy
 
 WIDTH, PERCENT = 5, 75
 #: Least bits of a folded sketch; large sets get two bits or more per shingle.
@@ -274,7 +274,7 @@ def _grouped(df: DataFrame, doc_id: str, text: str) -> DataFrame:
     """
     scratch = Scratch(df.sparkSession, "jaccard")
     texts = df.select(*_row(doc_id, text), F.col(text).alias("text"))
-    documents, shared = scratch.split(texts.mapInPandas(_describe, DESCRIBED), "described", "kind", 2)
+    documents, shared = scratch.split(texts.mapInPandas(tidy(_describe), DESCRIBED), "described", "kind", 2)
     documents = documents.drop("shingle", "docs")
     levels = df.sparkSession.sparkContext.broadcast(_levels(shared))
     scratch.drop(shared)
@@ -294,8 +294,8 @@ def _grouped(df: DataFrame, doc_id: str, text: str) -> DataFrame:
                 of = of[c]
                 yield pd.DataFrame({"key": key[c].view(np.int64), "class": kinds[of], "n": np.diff(begins)[of].astype(np.int32), "rank": rank[c], "before": before[c]})
 
-    signed = texts.select("text").mapInPandas(sign, "key long, class long, n int, rank int, before int")
-    runs = scratch.keep(signed.repartition("key").sortWithinPartitions("key", "rank", "class").mapInPandas(_runs, RUNS), "runs")
+    signed = texts.select("text").mapInPandas(tidy(sign), "key long, class long, n int, rank int, before int")
+    runs = scratch.keep(signed.repartition("key").sortWithinPartitions("key", "rank", "class").mapInPandas(tidy(_runs), RUNS), "runs")
     classes = scratch.keep(documents.filter("n > 0").groupBy("class").agg(F.min(_as_key()).alias("rep"), F.min("n").alias("n"), F.min("sketch").alias("sketch")), "classes")
     links = _verified(texts, classes, runs.filter("key IS NULL").select("a", "b").distinct(), scratch)
     found = components(links, scratch)
@@ -338,7 +338,7 @@ def _across(members: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame
 
     group = ["key", "u", "i", "v", "j"]
     placed = dealt.withColumn("at", F.explode(F.concat(own, beside(1), beside(-1)))).select("key", "at.*", "class", "n", "rank", "before", "component")
-    return placed.repartition(*group).sortWithinPartitions(*group).mapInPandas(_between, "a long, b long").distinct()
+    return placed.repartition(*group).sortWithinPartitions(*group).mapInPandas(tidy(_between), "a long, b long").distinct()
 
 
 def _between(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -408,11 +408,11 @@ def _verified(texts: DataFrame, classes: DataFrame, pairs: DataFrame, scratch: S
     more than SENT classes are in doubt."""
     left = classes.select(F.col("class").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
     right = classes.select(F.col("class").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
-    near = scratch.keep(pairs.join(left, "a").join(right, "b").mapInPandas(_within, "a long, b long, na long, nb long"), "near")
+    near = scratch.keep(pairs.join(left, "a").join(right, "b").mapInPandas(tidy(_within), "a long, b long, na long, nb long"), "near")
     needed = near.select(F.explode(F.array("a", "b")).alias("class")).distinct().join(classes.select("class", F.col("rep.ta").alias("wa"), F.col("rep.tb").alias("wb")), "class")
     needed = scratch.keep(needed, "needed")
     wanted = F.broadcast(needed) if needed.count() <= SENT else needed
-    sets = texts.join(wanted, (texts["ta"] == needed["wa"]) & (texts["tb"] == needed["wb"])).select("class", "text").mapInPandas(_sets, "class long, members array<long>")
+    sets = texts.join(wanted, (texts["ta"] == needed["wa"]) & (texts["tb"] == needed["wb"])).select("class", "text").mapInPandas(tidy(_sets), "class long, members array<long>")
     sets = scratch.keep(sets.dropDuplicates(["class"]), "sets")
     both = near.join(sets.select(F.col("class").alias("a"), F.col("members").alias("sa")), "a").join(sets.select(F.col("class").alias("b"), F.col("members").alias("sb")), "b")
     common = F.size(F.array_intersect("sa", "sb"))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from judgeset.llm._tables import Scratch, table
+from judgeset.llm._tables import Scratch, table, tidy
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: Characters that Python's split() takes for white space and the tokenizer does not.
@@ -102,7 +102,7 @@ def tokenize_pieces(df: DataFrame, tokenizer: str, doc_id: str = "doc_id", text:
                 out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
                 yield out.astype({"doc_id": "Int64"})
 
-    return df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInPandas(cut, PIECES)
+    return df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInPandas(tidy(cut), PIECES)
 
 
 def knapsack(value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from judgeset.llm._labels import WordWeights, bucket, held_out, training_sample
-from judgeset.llm._tables import table
+from judgeset.llm._tables import table, tidy
 
 BITS = 18
 _LOWER, _UPPER, _DIGIT = re.compile(r"[^\W\d_A-Z]+"), re.compile(r"[A-Z]+"), re.compile(r"\d+")
@@ -65,7 +65,7 @@ def fit(documents: DataFrame, labels: DataFrame, grade: Column, grades: int, per
     """
     sample, sizes = training_sample(documents, labels, grade, per_class)
     start = np.linspace(-1.0, 1.0, grades - 1)
-    got = sample.mapInPandas(_features, "y int, features array<int>, values array<double>").toPandas() if sizes else pd.DataFrame()
+    got = sample.mapInPandas(tidy(_features), "y int, features array<int>, values array<double>").toPandas() if sizes else pd.DataFrame()
     if len(got) == 0:
         return OrdinalModel(np.zeros(1 << BITS), start)
     y = np.clip(got["y"].to_numpy(), 0, grades - 1)
@@ -125,7 +125,7 @@ def grade_documents(df: DataFrame, model: OrdinalModel, doc_id: str = "doc_id",
             above = 1 - _sigmoid(edges[None, :] - np.array(scores)[:, None])
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "expected_grade": above.sum(axis=1), "tail_prob": above[:, at_least - 1]})
 
-    return df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInPandas(grade, "doc_id long, expected_grade double, tail_prob double")
+    return df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInPandas(tidy(grade), "doc_id long, expected_grade double, tail_prob double")
 
 
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from judgeset.llm._hashing import mix, prefix_sums, span_hashes
-from judgeset.llm._tables import Scratch, table
+from judgeset.llm._tables import Scratch, table, tidy
 
 LENGTH, GRAM = 200, 64
 #: Bytes that are parsed at once; longer texts are parsed in parts whose strings together are the text's.
@@ -277,18 +277,18 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     source = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     source = source.withColumn("h", F.xxhash64("text")).withColumn("size", F.octet_length("text"))
     order = ["trigger", "phrase", "h", "size", "lo", "hi"]
-    found = source.filter(F.col("size") >= LENGTH).select("h", "size", "text").mapInPandas(_parse, OCCURRENCES)
-    asked = scratch.keep(found.repartition("trigger").sortWithinPartitions(*order).mapInPandas(_asked, ASKED), "asked")
+    found = source.filter(F.col("size") >= LENGTH).select("h", "size", "text").mapInPandas(tidy(_parse), OCCURRENCES)
+    asked = scratch.keep(found.repartition("trigger").sortWithinPartitions(*order).mapInPandas(tidy(_asked), ASKED), "asked")
 
     open_ = asked.filter(F.col("kind") != WHOLE)
     requests = scratch.keep(open_.groupBy("h", "size").agg(F.collect_list(F.struct("trigger", "lo", "strings", "kind")).alias("asked")), "requests")
     wanted = requests.select("h", "size")  # a few numbers a text: Spark broadcasts them only while the table is small
     texts = source.join(wanted, ["h", "size"], "left_semi").select("h", "size", "text").dropDuplicates(["h", "size"])
-    contents = scratch.keep(texts.join(requests, ["h", "size"]).mapInPandas(_contents, CONTENTS), "contents")
+    contents = scratch.keep(texts.join(requests, ["h", "size"]).mapInPandas(tidy(_contents), CONTENTS), "contents")
     crowded = scratch.keep(open_.groupBy("trigger").count().filter(F.col("count") > MANY).select("trigger"), "crowded")
-    hits = contents.join(crowded, "trigger", "left_anti").repartition("trigger").sortWithinPartitions("trigger").mapInPandas(_compared, RANGES)
-    strings = contents.join(crowded, "trigger", "left_semi").mapInPandas(_strings, "w long, h long, size int, p int, known boolean")
-    single = strings.repartition("w").sortWithinPartitions("w").mapInPandas(_repeated, "h long, size int, p int")
+    hits = contents.join(crowded, "trigger", "left_anti").repartition("trigger").sortWithinPartitions("trigger").mapInPandas(tidy(_compared), RANGES)
+    strings = contents.join(crowded, "trigger", "left_semi").mapInPandas(tidy(_strings), "w long, h long, size int, p int, known boolean")
+    single = strings.repartition("w").sortWithinPartitions("w").mapInPandas(tidy(_repeated), "h long, size int, p int")
     whole = asked.filter(F.col("kind") != STRINGS)
     ranges = whole.select("h", "size", "lo", "hi").unionByName(hits).unionByName(single.select("h", "size", F.col("p").alias("lo"), F.col("p").alias("hi")))
     ranges = scratch.keep(ranges.groupBy("h", "size").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges")), "ranges")
@@ -297,7 +297,7 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     told = source.join(ranges, ["h", "size"], "left")
     clear = told.filter(F.col("ranges").isNull()).select("doc_id", F.array().cast(SPANS).alias("spans"), F.col("text").cast("binary").alias("kept"))
     cut = told.filter(F.col("ranges").isNotNull()).select("doc_id", "text", "ranges")
-    return clear.unionByName(cut.mapInPandas(_cut, f"doc_id long, spans {SPANS}, kept binary"))
+    return clear.unionByName(cut.mapInPandas(tidy(_cut), f"doc_id long, spans {SPANS}, kept binary"))
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

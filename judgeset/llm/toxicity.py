@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from judgeset.llm._labels import WordWeights, bucket, held_out, training_sample
-from judgeset.llm._tables import table
+from judgeset.llm._tables import table, tidy
 
 BITS = 18
 SENTENCE = re.compile(r"[^.!?\n]+")
@@ -47,7 +47,7 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", per_class
     shares). Without labels of both kinds all weights are 0 and the bias gives every sentence 1e-4.
     """
     sample, sizes = training_sample(documents, labels, F.col(label), per_class)
-    got = sample.mapInPandas(_features, "y int, features array<int>, sizes array<int>").toPandas() if sizes else pd.DataFrame()
+    got = sample.mapInPandas(tidy(_features), "y int, features array<int>, sizes array<int>").toPandas() if sizes else pd.DataFrame()
     return train(got, sizes)
 
 
@@ -109,23 +109,25 @@ def score_documents(df: DataFrame, weights: np.ndarray, doc_id: str = "doc_id",
                 spans.append([{"start": found[i][0], "length": found[i][1] - found[i][0], "score": float(1 / (1 + np.exp(-z[i])))} for i in np.flatnonzero(z >= np.log(offending / (1 - offending)))] if len(z) else [])
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "score": scores, "sentences": spans})
 
-    return df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInPandas(score, f"doc_id long, score double, sentences {SPANS}")
+    return df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInPandas(tidy(score), f"doc_id long, score double, sentences {SPANS}")
 
 
 def reject_toxic(df: DataFrame, weights: np.ndarray, text: str = "text", threshold: float = 0.5) -> DataFrame:
-    """df without the rows whose score reaches threshold; all columns pass through untouched, whatever their names."""
+    """df without the rows whose score reaches threshold; all columns pass through untouched, whatever their names. Null
+    and empty texts score 0 and stay."""
     shared = df.sparkSession.sparkContext.broadcast(weights.astype(np.float32))
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
+    def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         w = shared.value
         bias = float(w[-1])
         number = WordWeights(lambda word: float(w[bucket(word, BITS)])).__getitem__
-        out = []
-        for x in texts:
-            z = [bias + sum(map(number, set(words))) for *_, words in (sentences(x) if x else [])]
-            out.append(float(-np.expm1(-np.logaddexp(0, np.array(z)).sum())) if z else 0.0)
-        return pd.Series(out)
+        for texts in batches:
+            z = [[bias + sum(map(number, set(words))) for *_, words in (sentences(x) if x else [])] for x in texts]
+            yield pd.Series([float(-np.expm1(-np.logaddexp(0, np.array(y)).sum())) if y else 0.0 for y in z], dtype="float64")
+
+    @F.pandas_udf("double")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        yield from tidy(scores)(batches)
 
     return df.filter(score(F.col(text)) < threshold)
 
