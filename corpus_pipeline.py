@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from judgeset.llm import toxicity
-from judgeset.llm._tables import Scratch, table
+from judgeset.llm._tables import BATCH_BYTES, Scratch, table
 from judgeset.llm.jaccard_join import first_of_near_duplicates
 from judgeset.llm.line_dedup import drop_boilerplate_lines
 from judgeset.llm.mixing import Target, mix_sources
@@ -26,8 +26,14 @@ LINE_DOCUMENTS = 5
 MAX_REPEATS = 1.5
 
 
+def _small_batches(spark: SparkSession) -> None:
+    """A session setting of the pipeline: Arrow batches are bounded in bytes, not only in rows, as texts may be long."""
+    spark.conf.set(BATCH_BYTES, "4m")
+
+
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose noisy-or of sentence scores is 0.5 or more."""
+    _small_batches(spark)
     weights = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return toxicity.reject_toxic(docs, weights).select(*COLUMNS)
 
@@ -50,6 +56,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per packed piece (doc_id, piece, start, length, ids_crc32, sequence_id, offset); every document is packed,
+    each copy of a repeated one too, and null and empty texts are one token."""
     return pack_documents(docs, default_tokenizer())
 
 
@@ -66,6 +74,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage. Each stage's rows are written to the shared folder and read again by the next one."""
     scratch = Scratch(spark, "pipeline")
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
