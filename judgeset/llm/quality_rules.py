@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from math import erfc, exp, pi, sqrt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -89,6 +90,16 @@ def _moments(keys: list[str]) -> list[Column]:
     return [F.avg(f"x{i}").alias(f"m{i}") for i in range(P)] + [F.covar_pop(f"x{i}", f"x{j}").alias(f"c{i}{j}") for i, j in LOWER]
 
 
+def chi2_cutoff(tail: float) -> float:
+    """The number that a chi-square variable with P = 5 degrees of freedom exceeds with probability tail."""
+    beyond = lambda x: erfc(sqrt(x / 2)) + sqrt(2 * x / pi) * exp(-x / 2) * (1 + x / 3)
+    lo, hi = 0.0, 1400.0
+    for _ in range(100):
+        mid = (lo + hi) / 2
+        lo, hi = (mid, hi) if beyond(mid) > tail else (lo, mid)
+    return hi
+
+
 def mcd_outliers(
     df: DataFrame,
     id_col: str = "doc_id",
@@ -96,8 +107,7 @@ def mcd_outliers(
     groups: tuple[str, str] = ("lang", "source"),
     support: float = 0.75,
     steps: int = 4,
-    min_group: int = 200,
-    cutoff: float = 100.0,
+    tail: float = 1e-18,
 ) -> DataFrame:
     """Statistics of every row, base_failed, its squared robust distance, and kept.
 
@@ -106,30 +116,24 @@ def mcd_outliers(
     scatter come from concentration steps: keep the support share of rows nearest to the present estimate, estimate
     again, steps times, from two starts (medians with median absolute deviations, and the spatial sign covariance);
     the start with the smaller determinant wins. Distances are scaled so that their median fits the chi-square law,
-    and rows beyond cutoff are rejected. Every pass is a partial aggregate over a narrow table; no group meets in a task.
+    and rows beyond its upper quantile of tail are rejected; the numbers' tails are far heavier than a normal law's, so
+    the usual tail of a few percent would reject ordinary texts. Every pass is a partial aggregate over a narrow table;
+    no group meets in a task.
 
-    Groups with fewer than min_group such rows share one estimate per language, and languages too small for that one
-    over all; if even that is too small, distance is null and all its rows are kept. Null languages and sources are
+    Every group has its own estimate, whatever its size: the floors are part of the scatter, so it is regular even for a
+    group of one row (distance 0, kept). distance is null where the plain limits failed. Null languages and sources are
     groups like any other. Repeated rows are judged like others; null or repeated ids are kept as they are. An empty
     table gives no rows. Input columns other than id, text and the two group columns are not read.
     """
     scratch = Scratch(df.sparkSession, "mcd")
     a, b = groups
-    rows = df.select(F.col(id_col).alias("_id"), F.col(text).alias("_text"), F.to_json(F.struct(F.col(a).alias("a"))).alias("ga"), F.to_json(F.struct(F.col(a).alias("a"), F.col(b).alias("b"))).alias("gb"))
+    rows = df.select(F.col(id_col).alias("_id"), F.col(text).alias("_text"), F.to_json(F.struct(F.col(a).alias("a"), F.col(b).alias("b"))).alias("g"))
     stats = text_statistics(rows, "_text").drop("_text").withColumn("base_failed", base_failed())
     stats = stats.select("*", *[x.alias(f"x{i}") for i, x in enumerate(_vector())])
     stats = scratch.keep(stats, "stats")
 
     good = stats.filter(~F.col("base_failed"))
-    per = scratch.keep(good.groupBy("ga", "gb").count(), "sizes")
-    large = F.col("count") >= min_group
-    rest = per.filter(~large).groupBy("ga").agg(F.sum("count").alias("rest"))
-    named = per.join(rest, "ga", "left").withColumn("g", F.when(large, F.col("gb")).when(F.col("rest") >= min_group, F.concat(F.lit("language "), F.col("ga"))).otherwise(F.lit("all")))
-    group_of = scratch.keep(named.select("ga", "gb", "g", "count"), "groups")
-    enough = group_of.groupBy("g").agg(F.sum("count").alias("n")).filter(F.col("n") >= min(min_group, 50)).select("g")
-    member = group_of.select("gb", "g").join(enough, "g", "left_semi").select("gb", "g")
-
-    vectors = good.select("gb", *VECTOR).join(member, "gb")
+    vectors = good.select("g", *VECTOR)
     median = vectors.groupBy("g").agg(*[F.percentile_approx(f"x{i}", 0.5, 2000).alias(f"m{i}") for i in range(P)])
     median = scratch.keep(median, "median")
     centred = vectors.join(median, "g")
@@ -153,10 +157,10 @@ def mcd_outliers(
 
     best = estimate.groupBy("g").agg(F.min_by(F.struct(*[c for c in estimate.columns if c != "g"]), F.struct("logdet", "start")).alias("e")).select("g", "e.*").drop("start", "logdet")
     middle = vectors.join(best, "g").groupBy("g").agg(F.percentile_approx(_distance(), 0.5, 2000).alias("middle"))
-    final = scratch.keep(member.join(best.join(middle, "g"), "g").drop("g"), "final")
-    scratch.drop(estimate)
-    judged = stats.join(final, "gb", "left").withColumn("distance", F.when(~F.col("base_failed"), _distance() * F.lit(CHI2_MEDIAN) / F.greatest(F.col("middle"), F.lit(CHI2_MEDIAN / 4))))
-    kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= cutoff, F.lit(True))
+    final = scratch.keep(best.join(middle, "g"), "final")
+    scratch.drop(estimate, median, spread)
+    judged = stats.join(final, "g", "left").withColumn("distance", F.when(~F.col("base_failed"), _distance() * F.lit(CHI2_MEDIAN) / F.greatest(F.col("middle"), F.lit(CHI2_MEDIAN / 4))))
+    kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= chi2_cutoff(tail), F.lit(True))
     return judged.select(F.col("_id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "distance")
 
 

@@ -1,5 +1,5 @@
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 
@@ -49,8 +49,8 @@ def brute_force(x, support=0.75, steps=4):
         for _ in range(steps):
             inv = np.linalg.inv(cov + ridge)
             d = np.einsum("ni,ij,nj->n", x - mean, inv, x - mean)
-            near = x[d <= lower(d, support)]
-            mean, cov = near.mean(0), np.cov(near.T, bias=True)
+            near = x[d <= lower(d, support) * (1 + 1e-12)]
+            mean, cov = near.mean(0), np.cov(near.T, bias=True).reshape(Q.P, Q.P)
         det = np.linalg.slogdet(cov + ridge)[1]
         if best is None or det < best[0]:
             best = (det, mean, np.linalg.inv(cov + ridge))
@@ -59,19 +59,31 @@ def brute_force(x, support=0.75, steps=4):
 
 
 def test_distances_match_brute_force(spark):
+    """A large group, a group of odd texts, and the groups of the table, a few rows each: all have their own estimate."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = [(r["doc_id"], r["text"], "l", "s") for r in docs.collect()]
     rows += [(10_000 + i, "nonsense " * 12 if i % 2 else "one two three " + "x" * i + " four five six seven eight nine ten", None, "small") for i in range(60)]
+    rows += [(20_000 + r["doc_id"], r["text"], r["lang"], r["source"]) for r in docs.collect()]
+    rows += [(40_000, "a group of one row that has at least ten words in it", "xx", None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
-    got = {r["doc_id"]: r for r in Q.mcd_outliers(df, min_group=100).collect()}
+    got = {r["doc_id"]: r for r in Q.mcd_outliers(df).collect()}
     assert len(got) == len(rows)
-    first = [i for i, *_ in rows if i < 10_000 and not got[i]["base_failed"]]
-    texts = {i: t for i, t, *_ in rows}
-    want = brute_force(np.array([vectors(statistics(texts[i])) for i in first]))
-    have = np.array([got[i]["distance"] for i in first])
-    assert np.allclose(have, want, rtol=0.02, atol=0.05)
-    assert all(got[i]["kept"] == (got[i]["distance"] <= 100.0) for i in first)
-    assert all(got[i]["distance"] is None and got[i]["kept"] for i in got if i >= 10_000 and not got[i]["base_failed"])
+    groups = defaultdict(list)
+    for i, t, a, b in rows:
+        if not got[i]["base_failed"]:
+            groups[a, b].append((i, t))
+    assert len(groups) > 60 and min(map(len, groups.values())) < 5
+    for members in groups.values():
+        want = brute_force(np.array([vectors(statistics(t)) for _, t in members]))
+        have = np.array([got[i]["distance"] for i, _ in members])
+        assert np.allclose(have, want, rtol=0.02, atol=0.05)
+    cutoff = Q.chi2_cutoff(1e-18)
+    assert all(r["kept"] == (not r["base_failed"] and r["distance"] <= cutoff) for r in got.values())
+    assert got[40_000]["distance"] == 0 and got[40_000]["kept"]
+
+
+def test_cutoff_is_the_quantile():
+    assert abs(Q.chi2_cutoff(0.5) - Q.CHI2_MEDIAN) < 1e-3 and abs(Q.chi2_cutoff(0.025) - 12.8325) < 1e-3 and abs(Q.chi2_cutoff(1e-3) - 20.515) < 1e-3
 
 
 def test_odd_rows(spark):
