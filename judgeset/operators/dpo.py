@@ -38,14 +38,16 @@ def dpo_pairs(judged: DataFrame, problems: DataFrame, texts: DataFrame | None =
     output. Outputs are fetched in one join for both sides after the pairs are known.
     """
     pairs = best_and_worst(judged).filter(F.col("chosen_score") - F.col("rejected_score") >= min_gap)
-    wanted = pairs.select("problem_id", F.explode(F.array("chosen_id", "rejected_id")).alias("sample_id"))
-    outputs = (texts if texts is not None else judged).select("sample_id", "output")
-    both = wanted.join(outputs, "sample_id").join(pairs.select("problem_id", "chosen_id"), "problem_id")
-    sides = both.groupBy("problem_id").agg(F.max(F.when(F.col("sample_id") == F.col("chosen_id"), F.col("output"))).alias("chosen"), F.max(F.when(F.col("sample_id") != F.col("chosen_id"), F.col("output"))).alias("rejected"))
+    pair = F.struct("chosen_score", "rejected_score", "chosen_model", "rejected_model").alias("pair")
+    side = lambda which: F.struct(F.lit(which).alias("side"), F.col(f"{which}_id").alias("sample_id"))
+    wanted = pairs.select("problem_id", pair, F.explode(F.array(side("chosen"), side("rejected"))).alias("one_side")).select("problem_id", "pair", "one_side.*")
+    both = wanted.join((texts if texts is not None else judged).select("sample_id", "output"), "sample_id")
+    output = lambda which: F.max(F.when(F.col("side") == which, F.col("output"))).alias(which)
+    found = both.groupBy("problem_id").agg(F.max("pair").alias("pair"), output("chosen"), output("rejected"))
     p = problems.select(F.col("id").alias("problem_id"), "input", "metadata")
-    return pairs.join(sides, "problem_id").join(p, "problem_id").select(
-        stable_id("problem_id").alias("id"), "problem_id", "input", "chosen", "rejected", "chosen_score", "rejected_score", "chosen_model", "rejected_model", "metadata"
-    )
+    return found.join(p, "problem_id").select(
+        stable_id("problem_id").alias("id"), "problem_id", "input", "chosen", "rejected", "pair.*", "metadata",
+    )
 
 
 def insufficient(tasks: DataFrame, generated: DataFrame, judged: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -22,10 +23,19 @@ def to_kto(sft: DataFrame, threshold: float = 0.85) -> DataFrame:
     return sft.select(F.col("input").alias("prompt"), F.col("output").alias("completion"), (F.col("score") >= threshold).alias("label"))
 
 
-def to_grpo(judged: DataFrame) -> DataFrame:
-    """One row per problem with all its judged responses; completions and scores are aligned by response_idx.
+def to_grpo(judged: DataFrame, most: int = 1024) -> DataFrame:
+    """One row per problem with all its judged responses; completions and scores are aligned by response_idx, and the
+    prompt is the first response's.
 
-    A trainer reads a problem's responses as one row, so a row is as long as the number of responses asked for.
+    A trainer reads a problem's responses as one row. Problems with more than most responses, which no such row should
+    hold, are not written here in part but reported whole by oversized().
     """
-    rows = judged.groupBy("problem_id").agg(F.first("input").alias("prompt"), F.sort_array(F.collect_list(F.struct("response_idx", "output", "score"))).alias("x"))
+    n = F.count(F.lit(1)).over(W.partitionBy("problem_id"))
+    fit = judged.select("problem_id", "response_idx", "input", "output", "score", n.alias("n")).filter(F.col("n") <= most)
+    rows = fit.groupBy("problem_id").agg(F.min_by("input", "response_idx").alias("prompt"), F.sort_array(F.collect_list(F.struct("response_idx", "output", "score"))).alias("x"))
     return rows.select("problem_id", "prompt", F.transform("x", lambda r: r["output"]).alias("completions"), F.transform("x", lambda r: r["score"]).alias("scores"))
+
+
+def oversized(judged: DataFrame, most: int = 1024) -> DataFrame:
+    """(problem_id, responses) of the problems that to_grpo leaves out."""
+    return judged.groupBy("problem_id").agg(F.count(F.lit(1)).alias("responses")).filter(F.col("responses") > most)

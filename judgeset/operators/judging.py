@@ -45,14 +45,15 @@ def confidence(std: Column, approvals: Column, n: Column, verdict: Column, thres
 
 
 def aggregate_scores(judge_results: DataFrame, models: list[ModelSpec] | None = None, strategy: str = "median") -> DataFrame:
-    """sample_id, score, score_std_dev and the sorted judge rows (js). A group is as large as the number of judges."""
+    """sample_id, score, score_std_dev, the first judge's reasoning and the sorted judge rows (js). A group is as large as the number of judges."""
     df = judge_results
     if strategy == "weightedaverage":
         df = df.join(F.broadcast(weights(df, models or [])), "judge_model", "left").withColumn("weight", F.coalesce("weight", F.lit(1)).cast("double"))
     else:
         df = df.withColumn("weight", F.lit(1.0))
-    row = F.struct("judge_ordinal", "score", "weight", "verdict", "judge_model", "judge_cost_usd", "judge_time_ms", "reasoning")
-    grouped = df.groupBy("sample_id").agg(F.sort_array(F.collect_list(row)).alias("js"))
+    row = F.struct("judge_ordinal", "score", "weight", "verdict", "judge_model", "judge_cost_usd", "judge_time_ms")
+    # only the first judge's text is kept, so only one text per sample and task is shuffled
+    grouped = df.groupBy("sample_id").agg(F.sort_array(F.collect_list(row)).alias("js"), F.min_by("reasoning", "judge_ordinal").alias("reasoning"))
     scores, w = F.transform("js", lambda j: j["score"]), F.transform("js", lambda j: j["weight"])
     grouped = grouped.withColumn("individual_scores", scores).withColumn("__w", w)
     score = {"median": lambda: median(F.col("individual_scores")), "average": lambda: mean(F.col("individual_scores")), "weightedaverage": lambda: weighted_mean(F.col("individual_scores"), F.col("__w"))}[strategy]()
@@ -69,7 +70,7 @@ def ensemble(judge_results: DataFrame, cfg: EnsembleConfig, models: list[ModelSp
         "sample_id", "score", "verdict",
         confidence(F.col("score_std_dev"), approvals, n, F.col("verdict"), cfg.disagreement_threshold).alias("confidence"),
         "score_std_dev", n.alias("num_judges"), "individual_scores",
-        F.get("js", 0)["reasoning"].alias("reasoning"),
+        "reasoning",
         F.array_join(F.transform("js", lambda j: j["judge_model"]), ",").alias("judge_models"),
         F.array_max(F.transform("js", lambda j: j["judge_time_ms"])).alias("judge_time_ms"),
         F.aggregate("js", F.lit(0.0), lambda a, j: a + F.coalesce(j["judge_cost_usd"], F.lit(0.0))).alias("judge_cost_usd"),

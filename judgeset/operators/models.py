@@ -6,9 +6,9 @@ from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from judgeset.config import ModelSpec, models_table, total_weight
+from judgeset.functions.names import unused
 
 
 def slots(df: DataFrame, models: list[ModelSpec]) -> DataFrame:
@@ -21,27 +21,41 @@ def slots(df: DataFrame, models: list[ModelSpec]) -> DataFrame:
 
 
 def assign_models(df: DataFrame, models: list[ModelSpec], ordinal: str | None = None, key: str = "id", method: str = "round_robin", out: str = "model") -> DataFrame:
-    """Adds the model of each row: slot = ordinal mod total weight, or a hash of key (no pass over the data).
+    """Adds the model of each row: slot = ordinal mod total weight, or a hash of key (no pass over the data). Without an
+    ordinal column rows are numbered first. A null ordinal has no model; other columns are passed on, whatever their names.
 
     Slots are joined by equality against a table as long as the total weight, which the user configures.
     """
     total = total_weight(models)
     if len(models) == 1:
         return df.withColumn(out, F.lit(models[0].id))
+    slot = unused(df, "slot")
     if method == "hash":
-        slot = F.pmod(F.xxhash64(key), F.lit(total))
-    elif ordinal is not None:
-        slot = F.pmod(F.col(ordinal).cast("bigint"), F.lit(total))
-    else:
-        indexed = df.rdd.zipWithIndex().map(lambda x: (*x[0], x[1]))  # global ordinals without one sorted task
-        df = df.sparkSession.createDataFrame(indexed, T.StructType([*df.schema.fields, T.StructField("__slot", T.LongType())]))
-        return _with_slot(df, F.pmod("__slot", F.lit(total)), models, out)
-    return _with_slot(df, slot, models, out)
-
-
-def _with_slot(df: DataFrame, slot: Column, models: list[ModelSpec], out: str) -> DataFrame:
-    table = F.broadcast(slots(df, models)).withColumnRenamed("model_id", out)
-    return df.withColumn("slot", slot).join(table, "slot", "left").drop("slot", "__slot")
+        return _with_slot(df.withColumn(slot, F.pmod(F.xxhash64(key), F.lit(total))), slot, models, out)
+    if ordinal is None:
+        df, ordinal = with_ordinal(df, unused(df, "ordinal"))
+        return _with_slot(df.withColumn(slot, F.pmod(F.col(ordinal), F.lit(total))), slot, models, out).drop(ordinal)
+    return _with_slot(df.withColumn(slot, F.pmod(F.col(ordinal).cast("bigint"), F.lit(total))), slot, models, out)
+
+
+def with_ordinal(df: DataFrame, name: str = "ordinal") -> tuple[DataFrame, str]:
+    """df with its rows numbered from 0 in the order of its partitions, without one sorted task.
+
+    Partitions are counted first; their offsets, one number each, are added to the place inside the partition. df must
+    have the same partitions both times, as a written table has.
+    """
+    part = unused(df, "part")
+    counts = {r["p"]: r["n"] for r in df.select(F.spark_partition_id().alias("p")).groupBy("p").agg(F.count(F.lit(1)).alias("n")).collect()}
+    ids = sorted(counts)
+    offsets = df.sparkSession.createDataFrame(list(zip(ids, accumulate([0, *[counts[i] for i in ids[:-1]]]), strict=True)) if ids else [], f"{part} int, {name} bigint")
+    placed = df.select("*", F.spark_partition_id().alias(part), F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1)).alias(inside := unused(df, "place")))
+    return placed.join(F.broadcast(offsets), part, "left").withColumn(name, F.col(name) + F.col(inside)).select(*df.columns, name), name
+
+
+def _with_slot(df: DataFrame, slot: str, models: list[ModelSpec], out: str) -> DataFrame:
+    table = F.broadcast(slots(df, models)).select(F.col("slot").alias(slot), F.col("model_id").alias(given := unused(df, "given")))
+    kept = [c for c in df.columns if c not in (slot, out)]
+    return df.join(table, slot, "left").select(*kept, F.col(given).alias(out))
 
 
 def weights(df: DataFrame, models: list[ModelSpec]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -21,24 +22,25 @@ def backoff_timeline(log: DataFrame, cap: float = 60.0, chunk: str = "1 day") ->
 
     A success (status below 400) starts anew; other failures change nothing. A model's log is cut into chunks of time,
     counted within each, and carried over from one chunk to the next through one row per chunk, so a busy model is not
-    one task.
+    one task. Every row stays: null endpoints and models are keys like any other, requests without a time come first,
+    in one chunk. Columns of log may have any names.
     """
-    log = log.withColumn("__c", F.window("ts", chunk)["start"])
-    own = ["endpoint", "model"]
-    order = W.partitionBy(*own, "__c").orderBy("ts", "request_id")
+    seconds = int(pd.Timedelta(chunk).total_seconds())
+    at = F.coalesce(F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(1_000_000 * seconds)), F.lit(-(2**62)))
+    log = log.select(F.struct("endpoint", "model").alias("k"), at.alias("c"), F.struct("ts", "request_id").alias("o"), F.col("status").alias("s"), F.struct("*").alias("row"))
+    order = W.partitionBy("k", "c").orderBy("o")
     upto = order.rowsBetween(W.unboundedPreceding, W.currentRow)
-    ok, refused = F.col("status") < 400, F.col("status") == 429
-    runs = log.withColumn("__g", F.count_if(ok).over(upto))
-    inner = W.partitionBy(*own, "__c", "__g").orderBy("ts", "request_id").rowsBetween(W.unboundedPreceding, W.currentRow)
-    runs = runs.withColumn("__n", F.count_if(refused).over(inner))
-    last = F.max_by(F.col("__n"), F.struct("ts", "request_id"))
-    per = runs.groupBy(*own, "__c").agg(F.max("__g").alias("__oks"), last.alias("__tail"))
+    ok, refused = F.col("s") < 400, F.col("s") == 429
+    runs = log.withColumn("g", F.count_if(ok).over(upto))
+    inner = W.partitionBy("k", "c", "g").orderBy("o").rowsBetween(W.unboundedPreceding, W.currentRow)
+    runs = runs.withColumn("n", F.count_if(refused).over(inner))
+    per = runs.groupBy("k", "c").agg(F.max("g").alias("oks"), F.max_by("n", "o").alias("tail"))
     # refusals brought into a chunk: the tails of the chunks since the last one with a success
-    seen = W.partitionBy(*own).orderBy("__c").rowsBetween(W.unboundedPreceding, -1)
-    per = per.withColumn("__since", F.max(F.when(F.col("__oks") > 0, F.col("__c"))).over(seen))
-    per = per.withColumn("__all", F.coalesce(F.sum("__tail").over(seen), F.lit(0)))
-    before = per.select(*own, F.col("__c").alias("__since"), (F.col("__all")).alias("__skip"))
-    carried = per.join(before, [*own, "__since"], "left").select(*own, "__c", (F.col("__all") - F.coalesce("__skip", F.lit(0))).alias("__carry"))
-    n = F.col("__n") + F.when(F.col("__g") == 0, F.col("__carry")).otherwise(0)
-    out = runs.join(carried, [*own, "__c"]).withColumn("consecutive_429", n)
-    return out.withColumn("backoff_secs", F.when(refused, F.least(F.pow(F.lit(2.0), F.col("consecutive_429")), F.lit(cap)))).drop("__c", "__g", "__n", "__carry")
+    seen = W.partitionBy("k").orderBy("c").rowsBetween(W.unboundedPreceding, -1)
+    per = per.withColumn("since", F.max(F.when(F.col("oks") > 0, F.col("c"))).over(seen))
+    per = per.withColumn("all", F.coalesce(F.sum("tail").over(seen), F.lit(0)))
+    before = per.select("k", F.col("c").alias("since"), F.col("all").alias("skip"))
+    carried = per.join(before, ["k", "since"], "left").select("k", "c", (F.col("all") - F.coalesce("skip", F.lit(0))).alias("carry"))
+    n = F.col("n") + F.when(F.col("g") == 0, F.col("carry")).otherwise(0)
+    backoff = F.when(refused, F.least(F.pow(F.lit(2.0), n), F.lit(cap)))
+    return runs.join(carried, ["k", "c"]).select("row.*", n.alias("consecutive_429"), backoff.alias("backoff_secs"))

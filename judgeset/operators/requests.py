@@ -43,19 +43,21 @@ def judge_requests(samples: DataFrame, models: list[ModelSpec], num_judges: int,
 
 
 def ingest_responses(requests: DataFrame, responses: DataFrame, models: list[ModelSpec]) -> tuple[DataFrame, DataFrame]:
-    """(ok, failed) for requests with their responses (request_id, body as JSON).
+    """(ok, failed) for requests with their responses (request_id, body as JSON; error, time_ms and at where known).
 
-    A response fails if its body is no chat response, has no choice or a null content, or reports usage in part.
-    Missing usage counts as no tokens; a missing model is the one that was asked.
+    A response fails with its own error if it has one, else if its body is no chat response, has no choice or a null
+    content, or reports usage in part. Missing usage counts as no tokens; a missing model is the one that was asked.
     """
-    r = responses.select("request_id", F.from_json("body", schemas.CHAT_RESPONSE).alias("r"))
+    known = lambda c, kind: (F.col(c) if c in responses.columns else F.lit(None)).cast(kind)
+    r = responses.select("request_id", F.from_json("body", schemas.CHAT_RESPONSE).alias("r"), known("error", "string").alias("said"), known("time_ms", "bigint").alias("time_ms"), known("at", "timestamp").alias("at"))
     df = requests.drop("body").join(r, "request_id", "left")
     usage = F.col("r.usage")
     content = F.try_element_at(F.col("r.choices"), F.lit(1))["message"]["content"]
     whole = usage.isNull() | (usage["prompt_tokens"].isNotNull() & usage["completion_tokens"].isNotNull() & usage["total_tokens"].isNotNull())
-    ok = df.withColumn("content", content).withColumn("error", F.when(F.col("r").isNull(), "no_response").when(F.col("content").isNull(), "no_content").when(~whole, "bad_usage"))
+    found = F.when(F.col("said").isNotNull(), F.col("said")).when(F.col("r").isNull(), "no_response").when(F.col("content").isNull(), "no_content").when(~whole, "bad_usage")
+    ok = df.withColumn("content", content).withColumn("error", found)
     good = ok.filter("error IS NULL").withColumn("tokens_in", F.coalesce("r.usage.prompt_tokens", F.lit(0).cast("bigint"))).withColumn("tokens_out", F.coalesce("r.usage.completion_tokens", F.lit(0).cast("bigint"))).withColumn("total_tokens", F.coalesce("r.usage.total_tokens", F.lit(0).cast("bigint")))
-    good = with_cost(good, models).withColumn("model", F.coalesce("r.model", "model")).drop("r", "error")
+    good = with_cost(good, models).withColumn("model", F.coalesce("r.model", "model")).drop("r", "error", "said")
     return good, ok.filter("error IS NOT NULL").select("request_id", "error")
 
 

@@ -1,15 +1,21 @@
-"""The two workloads: fine-tuning rows and preference pairs, from problems to trainer rows.
+"""The two workloads: fine-tuning rows and preference pairs, from problems to trainer rows, batch by batch.
 
-The model is the caller's: a function from an iterator of pandas frames to one, run by mapInPandas. It is paid for and
-gives another answer each time, so its results are written before anything else reads them.
+The model is the caller's: a function from an iterator of pandas frames (request_id, body) to one (request_id, body,
+error; time_ms where it knows), run by mapInPandas. It is paid for and gives another answer each time, so its answers
+are written before anything else reads them, and only requests without an answer are put to it.
+
+A run keeps everything in its folder: generated and judged (answers), rows (output), failed (requests that failed, with
+their errors) and ledger (operations). Started again after a crash, it leaves out the problems that the ledger has as
+done, asks only what is unanswered, and goes on with the rest; failed problems are tried again.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from judgeset.config import EnsembleConfig, GenerationConfig, ModelSpec
@@ -17,55 +23,169 @@ from judgeset.functions.text import extract_answer, parse_verdict, score_or_defa
 from judgeset.operators import requests as R
 from judgeset.operators.dpo import dpo_pairs, expand_responses
 from judgeset.operators.judging import evaluate
+from judgeset.operators.ledger import filter_pending, fold_ledger
 from judgeset.operators.sft import sft_rows
+from judgeset.sources.commit import commit_batch, committed, exists, read_ops
 
 Batches = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
-ANSWERS = "request_id string, body string, error string"
+ANSWERS = "request_id string, body string, error string, time_ms bigint, at timestamp"
+FAILURES = "request_id string, error string, problem_id string, stage string, batch_id bigint"
+
+
+def _timed(fn: Batches) -> Batches:
+    """fn with the time of each answer: its own, or the batch's by the number of its rows."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        began = time.time()
+        for out in fn(batches):
+            took = (time.time() - began) * 1000
+            each = out["time_ms"] if "time_ms" in out else int(took / max(1, len(out)))
+            yield pd.DataFrame({"request_id": out["request_id"], "body": out["body"], "error": out.get("error"), "time_ms": each, "at": pd.Timestamp.now(tz="UTC")})
+            began = time.time()
+
+    return run
+
+
+def answers(spark: SparkSession, path: str) -> DataFrame:
+    """One row per request asked so far: its answer, or its last error where it has none."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], ANSWERS)
+    rows = spark.read.schema(ANSWERS).parquet(path)
+    good = rows.filter("body IS NOT NULL AND error IS NULL")
+    bad = rows.filter("body IS NULL OR error IS NOT NULL").join(good.select("request_id"), "request_id", "left_anti")
+    last = bad.groupBy("request_id").agg(F.max_by(F.struct("error", "time_ms", "at"), "at").alias("x"))
+    return good.unionByName(last.select("request_id", F.lit(None).cast("string").alias("body"), F.coalesce("x.error", F.lit("no_response")).alias("error"), "x.time_ms", "x.at"))
 
 
 def call(requests: DataFrame, fn: Batches, path: str, partitions: int | None = None) -> DataFrame:
-    """Answers of fn to requests (request_id, body), written to path. partitions bounds how many calls run at once."""
+    """Answers of fn to requests (request_id, body). Those that path has already are not asked again; new ones are
+    added there by one job, whose files appear together or not at all. partitions bounds how many calls run at once."""
+    spark = requests.sparkSession
     df = requests.select("request_id", "body")
+    if exists(spark, path):
+        df = df.join(answers(spark, path).filter("error IS NULL").select("request_id"), "request_id", "left_anti")
     df = df.repartition(partitions) if partitions else df
-    df.mapInPandas(fn, ANSWERS).write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(ANSWERS).parquet(path)
+    df.mapInPandas(_timed(fn), ANSWERS).write.mode("append").parquet(path)
+    return answers(spark, path)
 
 
 def generate(tasks: DataFrame, models: list[ModelSpec], system_prompt: str, fn: Batches, path: str, ordinal: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(samples, failed) for tasks (id, problem_id, response_idx, input, metadata)."""
+    """(samples, failed) for tasks (id, problem_id, response_idx, input, metadata); failed has problem_id too."""
     asked = R.generation_requests(tasks, models, system_prompt, ordinal)
     ok, failed = R.ingest_responses(asked, call(asked, fn, path), models)
     samples = ok.withColumn("output", F.col("content")).withColumn("answer", extract_answer("content"))
-    return samples.select("id", "problem_id", "response_idx", "input", "output", "answer", "model", F.lit(None).cast("bigint").alias("generation_time_ms"), "tokens_in", "tokens_out", "cost_usd", "metadata"), failed
+    samples = samples.select("id", "problem_id", "response_idx", "input", "output", "answer", "model", F.col("at").alias("generated_at"), F.col("time_ms").alias("generation_time_ms"), "tokens_in", "tokens_out", "cost_usd", "metadata")
+    return samples, failed.join(asked.select("request_id", "problem_id"), "request_id")
 
 
 def judge(samples: DataFrame, models: list[ModelSpec], num_judges: int, system_prompt: str, fn: Batches, path: str, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """(judge results, failed) for samples, each asked about num_judges times."""
-    asked = R.judge_requests(samples.select("id", "input", "output", "answer"), models, num_judges, system_prompt)
+    """(judge results, failed) for samples, each asked about num_judges times; failed has problem_id too."""
+    asked = R.judge_requests(samples.select("id", "problem_id", "input", "output", "answer"), models, num_judges, system_prompt)
     ok, failed = R.ingest_responses(asked, call(asked, fn, path), models)
     scored = ok.withColumn("score", score_or_default("content"))
-    results = scored.select("sample_id", "judge_ordinal", "score", parse_verdict("content", "score", threshold).alias("verdict"), F.col("content").alias("reasoning"), F.col("model").alias("judge_model"), F.lit(None).cast("bigint").alias("judge_time_ms"), F.col("cost_usd").alias("judge_cost_usd"))
-    return results, failed
-
-
-def run_sft(problems: DataFrame, generators: list[ModelSpec], judges: list[ModelSpec], prompts: tuple[str, str], ask: Batches, review: Batches, folder: str, gen: GenerationConfig = GenerationConfig(), cfg: EnsembleConfig = EnsembleConfig()) -> DataFrame:
-    """Problems to approved fine-tuning rows; folder holds the answers of both models."""
-    tasks = problems.withColumn("problem_id", F.col("id")).withColumn("response_idx", F.lit(0))
-    samples, _ = generate(tasks, generators, prompts[0], ask, f"{folder}/generated")
-    results, _ = judge(samples, judges, cfg.num_judges if cfg.enabled else 1, prompts[1], review, f"{folder}/judged", gen.approval_threshold)
-    return sft_rows(samples, evaluate(results, cfg, judges), gen.include_rejected, gen.track_costs)
-
-
-def run_dpo(problems: DataFrame, generators: list[ModelSpec], judges: list[ModelSpec], prompts: tuple[str, str], ask: Batches, review: Batches, folder: str, n: int = 3, gen: GenerationConfig = GenerationConfig(), cfg: EnsembleConfig = EnsembleConfig()) -> DataFrame:
-    """Problems to preference pairs of n responses each. Verdicts play no part."""
-    tasks = expand_responses(problems, n)
-    samples, _ = generate(tasks, generators, prompts[0], ask, f"{folder}/generated", ordinal="response_idx")
-    results, _ = judge(samples, judges, cfg.num_judges if cfg.enabled else 1, prompts[1], review, f"{folder}/judged", gen.approval_threshold)
-    scores = evaluate(results, cfg, judges).select("sample_id", "score")
-    judged = samples.select(F.col("id").alias("sample_id"), "problem_id", "response_idx", "model").join(scores, "sample_id")
-    return dpo_pairs(judged, problems, samples.select(F.col("id").alias("sample_id"), "output"))
-
-
-def replay(responses: DataFrame) -> Callable[[DataFrame], DataFrame]:
-    """In place of a model: answers looked up by request id."""
-    return lambda requests: requests.select("request_id").join(responses, "request_id")
+    results = scored.select("sample_id", "problem_id", "judge_ordinal", "score", parse_verdict("content", "score", threshold).alias("verdict"), F.col("content").alias("reasoning"), F.col("model").alias("judge_model"), F.col("at").alias("judged_at"), F.col("time_ms").alias("judge_time_ms"), F.col("cost_usd").alias("judge_cost_usd"))
+    return results, failed.join(asked.select("request_id", "problem_id"), "request_id")
+
+
+def pending(problems: DataFrame, folder: str) -> DataFrame:
+    """Problems that the folder's ledger does not have as approved, rejected or failed for good."""
+    ledger = f"{folder}/ledger"
+    ops = read_ops(problems.sparkSession, ledger) if exists(problems.sparkSession, ledger) else None
+    return filter_pending(problems, fold_ledger(problems, ops), stuck_as_pending=True)
+
+
+def failures(spark: SparkSession, folder: str) -> DataFrame:
+    """What failed in the runs over folder, whether or not it was made good later: FAILURES."""
+    return spark.read.schema(FAILURES).parquet(f"{folder}/failed") if exists(spark, f"{folder}/failed") else spark.createDataFrame([], FAILURES)
+
+
+_OPS = ("model string", "cost double", "score double", "verdict string", "judge_cost double", "reason string", "at timestamp")
+
+
+def _ops(df: DataFrame, kind: str, place: int, **known) -> DataFrame:
+    """One operation per problem of df. place orders the kinds of operations inside a batch."""
+    columns = [(known[c] if c in known else F.lit(None)).cast(t).alias(c) for c, t in (x.split() for x in _OPS)]
+    return df.select("problem_id", F.lit(kind).alias("type"), F.lit(place).alias("place"), *columns)
+
+
+def _commit(rows: DataFrame, ops: DataFrame, failed: DataFrame, folder: str, batch_id: int) -> None:
+    failed.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("append").parquet(f"{folder}/failed")
+    ops = ops.withColumn("seq", F.lit(batch_id).cast("bigint") * 16 + F.col("place")).withColumn("output_json", F.lit(None).cast("string")).drop("place")
+    commit_batch(rows, ops, f"{folder}/rows", f"{folder}/ledger", batch_id)
+
+
+def _batches(problems: DataFrame, folder: str, batches: int) -> Iterator[tuple[int, DataFrame]]:
+    """(batch id, its problems) of what is still to be done, by hash of the id."""
+    spark = problems.sparkSession
+    left = pending(problems, folder)
+    done = read_ops(spark, f"{folder}/ledger").agg(F.max("batch_id")).first()[0] if exists(spark, f"{folder}/ledger") else None
+    left.write.mode("overwrite").parquet(f"{folder}/pending")  # the ledger grows while the batches run
+    left = spark.read.schema(left.schema).parquet(f"{folder}/pending")
+    for k in range(batches):
+        yield (-1 if done is None else done) + 1 + k, left.filter(F.pmod(F.xxhash64("id", F.lit(5)), F.lit(batches)) == k)
+
+
+def _failed(failed: DataFrame, stage: str) -> DataFrame:
+    return failed.select("request_id", "error", "problem_id", F.lit(stage).alias("stage"))
+
+
+def run_sft(problems: DataFrame, generators: list[ModelSpec], judges: list[ModelSpec], prompts: tuple[str, str], ask: Batches, review: Batches, folder: str, gen: GenerationConfig = GenerationConfig(), cfg: EnsembleConfig = EnsembleConfig(), batches: int = 1) -> DataFrame:
+    """Problems to approved fine-tuning rows, committed in so many batches; see failures() for what failed.
+
+    A problem without a sample fails in generation, a sample without any judge's answer in judgment. Ids that repeat
+    are one problem each time they stand.
+    """
+    schema = None
+    for batch_id, part in _batches(problems, folder, batches):
+        tasks = part.withColumn("problem_id", F.col("id")).withColumn("response_idx", F.lit(0))
+        samples, unmade = generate(tasks, generators, prompts[0], ask, f"{folder}/generated")
+        results, unjudged = judge(samples, judges, cfg.num_judges if cfg.enabled else 1, prompts[1], review, f"{folder}/judged", gen.approval_threshold)
+        scores = evaluate(results.drop("problem_id", "judged_at"), cfg, judges)
+        verdicts = samples.select(F.col("id").alias("sample_id"), "problem_id").join(scores, "sample_id")
+        silent = samples.join(scores.select(F.col("sample_id").alias("id")), "id", "left_anti").select("problem_id").distinct()
+        ops = (
+            _ops(samples.select("problem_id", "model", "cost_usd", "generated_at"), "generated", 0, model=F.col("model"), cost=F.col("cost_usd"), at=F.col("generated_at"))
+            .unionByName(_ops(verdicts, "judged", 1, score=F.col("score"), verdict=F.col("verdict"), judge_cost=F.col("judge_cost_usd")))
+            .unionByName(_ops(unmade.select("problem_id").distinct(), "failed", 2, reason=F.lit("generation_failed")))
+            .unionByName(_ops(silent, "failed", 2, reason=F.lit("judgment_failed")))
+        )
+        rows = sft_rows(samples.drop("generated_at"), scores, gen.include_rejected, gen.track_costs)
+        schema = rows.schema
+        _commit(rows, ops, _failed(unmade, "generation").unionByName(_failed(unjudged, "judgment")), folder, batch_id)
+    return committed(problems.sparkSession, f"{folder}/rows", f"{folder}/ledger", schema).drop("batch_id")
+
+
+def run_dpo(problems: DataFrame, generators: list[ModelSpec], judges: list[ModelSpec], prompts: tuple[str, str], ask: Batches, review: Batches, folder: str, n: int = 3, gen: GenerationConfig = GenerationConfig(), cfg: EnsembleConfig = EnsembleConfig(), batches: int = 1) -> DataFrame:
+    """Problems to preference pairs of n responses each, committed in so many batches. Verdicts play no part: a problem
+    is approved if it has a pair, rejected if its scores are too close, and failed with fewer than two judged responses."""
+    schema = None
+    for batch_id, part in _batches(problems, folder, batches):
+        samples, unmade = generate(expand_responses(part, n), generators, prompts[0], ask, f"{folder}/generated", ordinal="response_idx")
+        results, unjudged = judge(samples, judges, cfg.num_judges if cfg.enabled else 1, prompts[1], review, f"{folder}/judged", gen.approval_threshold)
+        scores = evaluate(results.drop("problem_id", "judged_at"), cfg, judges).select("sample_id", "score", "judge_cost_usd")
+        judged = samples.select(F.col("id").alias("sample_id"), "problem_id", "response_idx", "model", "cost_usd").join(scores, "sample_id")
+        pairs = dpo_pairs(judged, part, samples.select(F.col("id").alias("sample_id"), "output"))
+        counts = judged.groupBy("problem_id").agg(F.count(F.lit(1)).alias("n"), F.sum("judge_cost_usd").alias("judge_cost_usd"))
+        costs = samples.groupBy("problem_id").agg(F.count(F.lit(1)).alias("made"), F.sum("cost_usd").alias("cost_usd"), F.max("generated_at").alias("at"))
+        of = part.select(F.col("id").alias("problem_id")).join(costs, "problem_id", "left").join(counts, "problem_id", "left").join(pairs.select("problem_id", "chosen_score"), "problem_id", "left")
+        enough = F.coalesce("n", F.lit(0)) >= 2
+        reason = F.when(F.coalesce("made", F.lit(0)) < 2, "generation_failed").otherwise("judgment_failed")
+        ops = (
+            _ops(of.filter("made > 0"), "generated", 0, cost=F.col("cost_usd"), at=F.col("at"))
+            .unionByName(_ops(of.filter(enough), "judged", 1, score=F.col("chosen_score"), verdict=F.when(F.col("chosen_score").isNotNull(), "approve").otherwise("reject"), judge_cost=F.col("judge_cost_usd")))
+            .unionByName(_ops(of.filter(~enough), "failed", 2, reason=reason))
+        )
+        schema = pairs.schema
+        _commit(pairs, ops, _failed(unmade, "generation").unionByName(_failed(unjudged, "judgment")), folder, batch_id)
+    return committed(problems.sparkSession, f"{folder}/rows", f"{folder}/ledger", schema).drop("batch_id")
+
+
+def replay(reply: Callable[[str], tuple[str | None, str | None]]) -> Batches:
+    """In place of a model: reply gives (body, error) for a request's body, always the same."""
+
+    def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            got = [reply(body) for body in batch["body"]]
+            yield pd.DataFrame({"request_id": batch["request_id"], "body": [b for b, _ in got], "error": [e for _, e in got]}, dtype="object")
+
+    return fn

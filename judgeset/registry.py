@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +14,7 @@ from judgeset import fixtures as X
 from judgeset.config import EnsembleConfig, ModelSpec
 from judgeset.functions import text as TX
 from judgeset.operators import curate, dpo, exports, judging, ledger, models, ratelimit, requests, sft, stats
+from judgeset.plans import workloads
 from judgeset.sources import commit, jsonl
 from judgeset.streaming import streams
 
@@ -36,11 +39,11 @@ def query(sql: str):
 
 
 def _shared(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that the driver and all executors share."""
+    """A new path in the folder that the driver and all executors share; in local mode one of its own where none is set."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        import tempfile
-
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
@@ -115,7 +118,7 @@ def _ensemble_sql(strategy: str, source: str = X.JUDGE_RESULTS) -> str:
     }[strategy]
     return f"""SELECT sample_id, round(score, 9) AS score, verdict,
   CASE WHEN std >= 0.15 THEN 'low' WHEN (verdict = 'approve' AND approvals = n) OR (verdict = 'reject' AND approvals = 0) THEN 'high' ELSE 'medium' END AS confidence,
-  round(std, 9) AS score_std_dev, CAST(n AS INT) AS num_judges, reasoning, judge_models, CAST(judge_time_ms AS BIGINT) AS judge_time_ms, round(cost, 9) AS judge_cost_usd
+  round(std, 9) AS score_std_dev, CAST(n AS INT) AS num_judges, reasoning, judge_models, CAST(judge_time_ms AS BIGINT) AS judge_time_ms, round(cost, 9) AS judge_cost_usd, list_transform(s, lambda x: round(x, 9)) AS individual_scores
 FROM (SELECT *, {score} AS score, CASE WHEN approvals > n // 2 THEN 'approve' ELSE 'reject' END AS verdict,
     sqrt(list_sum(list_transform(s, lambda x: (x - list_sum(s) / n) * (x - list_sum(s) / n))) / n) AS std
   FROM (SELECT sample_id, count(*) AS n, list(score ORDER BY judge_ordinal) AS s, list_sort(list(score)) AS ss, list({w} ORDER BY judge_ordinal) AS w,
@@ -126,7 +129,7 @@ FROM (SELECT *, {score} AS score, CASE WHEN approvals > n // 2 THEN 'approve' EL
 
 def _rounded(df: DataFrame) -> DataFrame:
     cols = {c: F.round(c, 9) for c in ("score", "score_std_dev", "judge_cost_usd")}
-    return df.withColumns(cols).drop("individual_scores")
+    return df.withColumns(cols).withColumn("individual_scores", F.transform("individual_scores", lambda x: F.round(x, 9)))
 
 
 def _ensemble(spark: SparkSession, d: str, strategy: str) -> DataFrame:
@@ -148,7 +151,7 @@ def ensemble_weighted(spark: SparkSession, d: str) -> DataFrame:
     return _ensemble(spark, d, "weightedaverage")
 
 
-_SINGLE = "SELECT sample_id, round(score, 9) AS score, verdict, 'high' AS confidence, 0.0::DOUBLE AS score_std_dev, CAST(1 AS INT) AS num_judges, reasoning, judge_model AS judge_models, judge_time_ms, round(judge_cost_usd, 9) AS judge_cost_usd FROM (" + X.JUDGE_RESULTS + ") j WHERE judge_ordinal = 0"
+_SINGLE = "SELECT sample_id, round(score, 9) AS score, verdict, 'high' AS confidence, 0.0::DOUBLE AS score_std_dev, CAST(1 AS INT) AS num_judges, reasoning, judge_model AS judge_models, judge_time_ms, round(judge_cost_usd, 9) AS judge_cost_usd, [round(score, 9)] AS individual_scores FROM (" + X.JUDGE_RESULTS + ") j WHERE judge_ordinal = 0"
 
 
 @query(_SINGLE)
@@ -191,6 +194,14 @@ def cost_by_model(spark: SparkSession, d: str) -> DataFrame:
     return stats.cost_by_model(models.with_cost(X.frame(spark, d, X.JUDGED), GENERATORS)).withColumn("cost_usd", F.round("cost_usd", 9))
 
 
+@query(f"SELECT endpoint, count(*) AS samples FROM ({X.JUDGED}) s GROUP BY endpoint")
+def sample_endpoints(spark: SparkSession, d: str) -> DataFrame:
+    """Samples of each configured endpoint, by the endpoint of the model that made them."""
+    of = {m.id: m.endpoint for m in GENERATORS}
+    known = spark.createDataFrame([(m, e) for m, e in of.items() if e in models.endpoints(GENERATORS)], "model string, by string")
+    return X.frame(spark, d, X.JUDGED).join(F.broadcast(known), "model").groupBy(F.col("by").alias("endpoint")).agg(F.count(F.lit(1)).alias("samples"))
+
+
 # --- pairs ------------------------------------------------------------------------------------------------------------
 
 _PAIRS = f"""SELECT sha256(g.problem_id) AS id, g.problem_id, p.input, c.output AS chosen, r.output AS rejected, g.hi AS chosen_score, g.lo AS rejected_score, c.model AS chosen_model, r.model AS rejected_model, p.metadata
@@ -238,9 +249,19 @@ def _sft(spark: SparkSession, d: str, include_rejected: bool = False) -> DataFra
     return sft.sft_rows(samples.drop("score", "verdict", "num_judges", "judge_cost_usd"), judged, include_rejected)
 
 
-@query(f"SELECT sha256(id) AS id, input, output, {_ANSWER} AS answer, model, score, problem_id, verdict, CASE WHEN num_judges > 1 THEN 'high' END AS judge_confidence, CASE WHEN num_judges > 1 THEN num_judges END AS num_judges, cost_usd + judge_cost_usd AS cost_usd FROM ({X.SCORED}) s WHERE verdict = 'approve'")
+_SFT = f"""SELECT sha256(id) AS id, input, output, {_ANSWER} AS answer, model, score, problem_id, tokens_in, tokens_out, 'ok' AS judge_reasoning, CAST(1 AS BIGINT) AS generation_time_ms, 'judge-0' AS judge_model, verdict,
+  {_FLAGS}, CASE WHEN num_judges > 1 THEN 'high' END AS judge_confidence, CASE WHEN num_judges > 1 THEN 0.0::DOUBLE END AS score_std_dev, CASE WHEN num_judges > 1 THEN num_judges END AS num_judges,
+  CASE WHEN num_judges > 1 THEN [score] END AS individual_scores, cost_usd + judge_cost_usd AS cost_usd, CAST(NULL AS VARCHAR) AS metadata FROM ({X.SCORED}) s WHERE verdict = 'approve'"""
+
+
+def _flat(rows: DataFrame) -> DataFrame:
+    """All columns, the quality flags one by one."""
+    return rows.select(*[c for c in rows.columns if c != "quality_flags"], "quality_flags.*")
+
+
+@query(_SFT)
 def sft_rows(spark: SparkSession, d: str) -> DataFrame:
-    return _sft(spark, d).select("id", "input", "output", "answer", "model", "score", "problem_id", "verdict", "judge_confidence", "num_judges", "cost_usd")
+    return _flat(_sft(spark, d))
 
 
 @query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
@@ -353,6 +374,12 @@ def export_grpo(spark: SparkSession, d: str) -> DataFrame:
     return exports.to_grpo(X.frame(spark, d, X.JUDGED).withColumn("input", F.col("problem_id")))
 
 
+@query(f"SELECT problem_id, count(*) AS responses FROM ({X.JUDGED}) j GROUP BY problem_id HAVING count(*) > 6")
+def export_grpo_oversized(spark: SparkSession, d: str) -> DataFrame:
+    """Problems with too many responses for one trainer row of at most six."""
+    return exports.oversized(X.frame(spark, d, X.JUDGED), 6)
+
+
 @query(f"SELECT input AS prompt, output AS completion, score >= {THRESHOLD} AS label FROM ({X.SCORED}) s")
 def export_kto(spark: SparkSession, d: str) -> DataFrame:
     return exports.to_kto(_scored(spark, d), THRESHOLD)
@@ -389,12 +416,12 @@ _ANSWERED = """SELECT CAST(o_orderkey AS STRING) AS request_id, o_orderkey, CASE
   WHEN 4 THEN '{"choices":[{"message":{"role":"assistant","content":null}}]}' END AS body FROM orders"""
 
 
-@query("SELECT CAST(o_orderkey AS VARCHAR) AS request_id, CASE WHEN o_orderkey % 6 < 2 THEN o_orderpriority END AS content, CASE o_orderkey % 6 WHEN 0 THEN 'other' WHEN 1 THEN 'model-0' END AS model, CASE o_orderkey % 6 WHEN 0 THEN CAST(30 AS BIGINT) WHEN 1 THEN CAST(0 AS BIGINT) END AS total_tokens, CASE o_orderkey % 6 WHEN 2 THEN 'bad_usage' WHEN 3 THEN 'no_content' WHEN 4 THEN 'no_content' WHEN 5 THEN 'no_response' END AS error FROM orders")
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS request_id, CASE WHEN o_orderkey % 6 < 2 THEN o_orderpriority END AS content, CASE o_orderkey % 6 WHEN 0 THEN 'other' WHEN 1 THEN 'model-0' END AS model, CASE o_orderkey % 6 WHEN 0 THEN CAST(10 AS BIGINT) WHEN 1 THEN CAST(0 AS BIGINT) END AS tokens_in, CASE o_orderkey % 6 WHEN 0 THEN CAST(20 AS BIGINT) WHEN 1 THEN CAST(0 AS BIGINT) END AS tokens_out, CASE o_orderkey % 6 WHEN 0 THEN CAST(30 AS BIGINT) WHEN 1 THEN CAST(0 AS BIGINT) END AS total_tokens, CASE o_orderkey % 6 WHEN 0 THEN round(10 / 1e6::DOUBLE * 0.5::DOUBLE + 20 / 1e6::DOUBLE * 1.5::DOUBLE, 12) WHEN 1 THEN 0.0::DOUBLE END AS cost_usd, CASE o_orderkey % 6 WHEN 2 THEN 'bad_usage' WHEN 3 THEN 'no_content' WHEN 4 THEN 'no_content' WHEN 5 THEN 'no_response' END AS error FROM orders")
 def ingest_responses(spark: SparkSession, d: str) -> DataFrame:
     answers = X.frame(spark, d, _ANSWERED)
     asked = answers.select("request_id", F.lit("").alias("body"), F.lit("model-0").alias("model"))
     ok, failed = requests.ingest_responses(asked, answers.filter("body IS NOT NULL"), GENERATORS)
-    return ok.select("request_id", "content", "model", "total_tokens", F.lit(None).cast("string").alias("error")).unionByName(failed, allowMissingColumns=True)
+    return ok.select("request_id", "content", "model", "tokens_in", "tokens_out", "total_tokens", F.round("cost_usd", 12).alias("cost_usd"), F.lit(None).cast("string").alias("error")).unionByName(failed, allowMissingColumns=True)
 
 
 @query(f"SELECT endpoint, count(*) AS requests, count(*) FILTER (WHERE status = 429) AS rate_limited, count(*) FILTER (WHERE status = 429) / count(*)::DOUBLE AS rate_limited_share, sum(wait_ms) / 1000.0::DOUBLE AS wait_secs, count(DISTINCT model) AS models FROM ({X.REQUEST_LOG}) l GROUP BY endpoint")
@@ -425,6 +452,22 @@ def jsonl_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return jsonl.load_problems(spark, path)
 
 
+@query(_SFT)
+def sft_jsonl(spark: SparkSession, d: str) -> DataFrame:
+    """Fine-tuning rows through JSON lines."""
+    path = _shared(spark, "sft")
+    jsonl.write_jsonl(_sft(spark, d), path)
+    return _flat(jsonl.read_sft(spark, path))
+
+
+@query(_PAIRS)
+def dpo_jsonl(spark: SparkSession, d: str) -> DataFrame:
+    """Preference pairs through JSON lines."""
+    path = _shared(spark, "dpo")
+    jsonl.write_jsonl(_pairs(spark, d), path)
+    return jsonl.read_dpo(spark, path)
+
+
 @query(f"SELECT id, input, CAST(o_orderkey % 3 AS BIGINT) AS batch_id FROM ({X.PROBLEMS}) p WHERE o_orderkey % 3 < 2")
 def commit_batch_idempotent(spark: SparkSession, d: str) -> DataFrame:
     """Three batches: one written twice, one that broke off before its operations were written."""
@@ -454,7 +497,7 @@ def _as_stream(df: DataFrame, spark: SparkSession, name: str, batches: int = 3)
 def stream_pairs(spark: SparkSession, d: str) -> DataFrame:
     stream = _as_stream(X.frame(spark, d, X.JUDGED).select("problem_id", "sample_id", "response_idx", "score", "model"), spark, "judged")
     out = _shared(spark, "pairs")
-    streams.upsert(streams.pair_updates(stream), "problem_id", out, _shared(spark, "state")).awaitTermination()
+    streams.upsert(streams.pair_updates(stream), out, _shared(spark, "state")).awaitTermination()
     new = streams.latest(spark.read.parquet(out), "problem_id")
     rows = new.select("problem_id", F.col("chosen.score").alias("chosen_score"), F.col("rejected.score").alias("rejected_score"), F.col("chosen.response_idx").alias("chosen_idx"), F.col("rejected.response_idx").alias("rejected_idx"), "responses")
     return rows.filter((F.col("responses") >= 2) & (F.col("chosen_score") - F.col("rejected_score") >= dpo.MIN_GAP))
@@ -464,7 +507,7 @@ def stream_pairs(spark: SparkSession, d: str) -> DataFrame:
 def stream_ledger(spark: SparkSession, d: str) -> DataFrame:
     stream = _as_stream(X.frame(spark, d, X.OPS).filter("problem_id <> 'unknown'"), spark, "ops")
     out = _shared(spark, "ledger")
-    streams.upsert(streams.ledger_updates(stream), "id", out, _shared(spark, "state")).awaitTermination()
+    streams.upsert(streams.ledger_updates(stream), out, _shared(spark, "state")).awaitTermination()
     return streams.latest(spark.read.parquet(out), "id").select("id", "status", "retry_count")
 
 
@@ -474,3 +517,93 @@ def stream_sft(spark: SparkSession, d: str) -> DataFrame:
     out, log = _shared(spark, "rows"), _shared(spark, "ops")
     streams.stream_sft(stream, out, log, _shared(spark, "state")).awaitTermination()
     return commit.committed(spark, out, log).select("id", "score", "verdict")
+
+
+@query(f"SELECT CAST(user_id AS VARCHAR) AS problem_id, date_trunc('day', ts) AS day, max(event_id % 100) / 100.0::DOUBLE AS chosen_score, min(event_id % 100) / 100.0::DOUBLE AS rejected_score, arg_max(event_id, (event_id % 100, -event_id)) AS chosen_idx, arg_min(event_id, (event_id % 100, -event_id)) AS rejected_idx, count(*) AS responses FROM events WHERE ts < (SELECT date_trunc('day', max(ts)) FROM events) GROUP BY 1, 2")
+def stream_final_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Best and worst response per user and day, in append mode: days that the watermark has passed."""
+    events = spark.read.parquet(f"{d}/events.parquet")
+    judged = events.select(F.col("user_id").cast("string").alias("problem_id"), F.col("event_id").cast("string").alias("sample_id"), F.col("event_id").alias("response_idx"), (F.col("event_id") % 100 / 100).alias("score"), F.col("event_type").alias("model"), F.col("ts").cast("timestamp").alias("ts"))
+    path, out = _shared(spark, "judged"), _shared(spark, "final")
+    judged.write.parquet(path)
+    stream = spark.readStream.schema(judged.schema).parquet(path)
+    streams.final_pairs(stream, "ts", "0 seconds", "1 day").writeStream.outputMode("append").option("checkpointLocation", _shared(spark, "state")).trigger(availableNow=True).format("parquet").option("path", out).start().awaitTermination()
+    return spark.read.parquet(out).select("problem_id", F.col("window.start").cast("timestamp_ntz").alias("day"), F.col("chosen.score").alias("chosen_score"), F.col("rejected.score").alias("rejected_score"), F.col("chosen.response_idx").alias("chosen_idx"), F.col("rejected.response_idx").alias("rejected_idx"), "responses")
+
+
+# --- workloads --------------------------------------------------------------------------------------------------------
+
+
+def _reply(content: str) -> str:
+    return json.dumps({"choices": [{"message": {"role": "assistant", "content": content}}], "usage": {"prompt_tokens": 10, "completion_tokens": 20, "total_tokens": 30}})
+
+
+def _asked_for(body: str) -> tuple[str, str]:
+    """(model, last message) of a request."""
+    got = json.loads(body)
+    return got["model"], got["messages"][-1]["content"]
+
+
+def _solve(step: str):
+    """Repeats the order's priority as answer; open orders in part (status P) time out."""
+
+    def reply(body: str) -> tuple[str | None, str | None]:
+        priority, status = _asked_for(body)[1].split("\n\n")[1].rsplit(" ", 1)
+        return (None, "timeout") if status == "P" else (_reply(f"{step} <answer>{priority}</answer>"), None)
+
+    return workloads.replay(reply)
+
+
+def _review(body: str) -> tuple[str | None, str | None]:
+    return _reply("Score: 0.9 APPROVE" if any(x in _asked_for(body)[1] for x in ("<answer>1-", "<answer>2-")) else "Score: 0.2 REJECT"), None
+
+
+_SOLVED = "SELECT sha256(id) AS id, id AS problem_id, input, {} || ' <answer>' || p || '</answer>' AS output, p AS answer, 'model-0' AS model, 0.9::DOUBLE AS score, 'approve' AS verdict FROM (SELECT 'ord_' || CAST(o_orderkey AS VARCHAR) AS id, o_orderpriority || ' ' || o_orderstatus AS input, o_orderpriority AS p, o_orderstatus AS s, o_orderkey FROM orders) o WHERE s <> 'P' AND p[1] IN ('1', '2')"
+_ROW = ("id", "problem_id", "input", "output", "answer", "model", "score", "verdict")
+_PROMPTS = ("Be brief.", "Judge.")
+
+
+@query(_SOLVED.format("'Step 1'"))
+def replay_sft(spark: SparkSession, d: str) -> DataFrame:
+    """Problems to fine-tuning rows in two batches, with a recorded model."""
+    problems = X.frame(spark, d, X.PROBLEMS).select("id", "input", "metadata")
+    return workloads.run_sft(problems, GENERATORS[:1], JUDGES[:1], _PROMPTS, _solve("Step 1"), workloads.replay(_review), _shared(spark, "sft"), batches=2).select(*_ROW)
+
+
+@query(f"SELECT id AS problem_id, 'generation' AS stage, 'timeout' AS error FROM ({X.PROBLEMS}) p WHERE input LIKE '% P'")
+def replay_failures(spark: SparkSession, d: str) -> DataFrame:
+    problems, folder = X.frame(spark, d, X.PROBLEMS).select("id", "input", "metadata"), _shared(spark, "sft")
+    workloads.run_sft(problems, GENERATORS[:1], JUDGES[:1], _PROMPTS, _solve("Step 1"), workloads.replay(_review), folder)
+    return workloads.failures(spark, folder).select("problem_id", "stage", "error")
+
+
+@query(_SOLVED.format("CASE WHEN o_orderkey % 2 = 0 THEN 'Step 1' ELSE 'Step 2' END"))
+def resume_after_crash(spark: SparkSession, d: str) -> DataFrame:
+    """A run over half the problems, a try that broke off before its operations, and a run over all with a model that
+    answers otherwise: what was done stays as it was."""
+    problems, folder = X.frame(spark, d, X.PROBLEMS).select("id", "input", "metadata", "o_orderkey"), _shared(spark, "sft")
+    run = lambda some, step: workloads.run_sft(some.select("id", "input", "metadata"), GENERATORS[:1], JUDGES[:1], _PROMPTS, _solve(step), workloads.replay(_review), folder)
+    first = run(problems.filter("o_orderkey % 2 = 0"), "Step 1")
+    commit._replace(first.limit(10), f"{folder}/rows", 1)
+    return run(problems, "Step 2").select(*_ROW)
+
+
+def _respond(body: str) -> tuple[str | None, str | None]:
+    """model-1 answers better; model-0 fails on open orders in part."""
+    model, content = _asked_for(body)
+    priority, status = content.split("\n\n")[1].rsplit(" ", 1)
+    if model == "model-0" and status == "P":
+        return None, "timeout"
+    return _reply(f"{'better' if model == 'model-1' else 'plain'} {priority}"), None
+
+
+def _compare(body: str) -> tuple[str | None, str | None]:
+    content = _asked_for(body)[1]
+    return _reply("Score: 0.5 APPROVE" if "plain" in content else "Score: 0.55 APPROVE" if "better 5-LOW" in content else "Score: 0.9 APPROVE"), None
+
+
+@query("SELECT sha256(id) AS id, id AS problem_id, input, 'better ' || p AS chosen, 'plain ' || p AS rejected, 0.9::DOUBLE AS chosen_score, 0.5::DOUBLE AS rejected_score, 'model-1' AS chosen_model, 'model-0' AS rejected_model FROM (SELECT 'ord_' || CAST(o_orderkey AS VARCHAR) AS id, o_orderpriority || ' ' || o_orderstatus AS input, o_orderpriority AS p, o_orderstatus AS s FROM orders) o WHERE s <> 'P' AND p <> '5-LOW'")
+def replay_dpo(spark: SparkSession, d: str) -> DataFrame:
+    """Problems to preference pairs of three responses each, with recorded models."""
+    problems = X.frame(spark, d, X.PROBLEMS).select("id", "input", "metadata")
+    return workloads.run_dpo(problems, GENERATORS, JUDGES[:1], _PROMPTS, workloads.replay(_respond), workloads.replay(_compare), _shared(spark, "dpo")).drop("metadata")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from judgeset import schemas
 
@@ -22,11 +23,17 @@ def commit_batch(rows: DataFrame, ops: DataFrame, out_path: str, ledger_path: st
     _replace(ops.drop("batch_id"), ledger_path, batch_id)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)
+
+
 def read_ops(spark: SparkSession, ledger_path: str) -> DataFrame:
     return spark.read.schema(schemas.OPS).parquet(ledger_path)
 
 
-def committed(spark: SparkSession, out_path: str, ledger_path: str) -> DataFrame:
-    """Output rows of the batches whose operations are written."""
+def committed(spark: SparkSession, out_path: str, ledger_path: str, schema=None) -> DataFrame:
+    """Output rows of the batches whose operations are written. schema (of the rows) is needed where all may be empty."""
     done = read_ops(spark, ledger_path).select("batch_id").distinct()
-    return spark.read.parquet(out_path).join(done, "batch_id", "left_semi")
+    reader = spark.read if schema is None else spark.read.schema(StructType([*schema.fields, StructField("batch_id", LongType())]))
+    return reader.parquet(out_path).join(done, "batch_id", "left_semi")

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from judgeset.functions.names import unused
 from judgeset.operators.ledger import fold_ops
 from judgeset.operators.sft import sft_filter
 from judgeset.sources.commit import commit_batch
@@ -13,15 +15,18 @@ from judgeset.sources.commit import commit_batch
 
 def stream_sft(judged: DataFrame, out_path: str, ledger_path: str, checkpoint: str, include_rejected: bool = False, once: bool = True) -> StreamingQuery:
     """Approved rows of a stream of judged samples (with problem_id, verdict, score, judge_cost_usd), committed batch
-    by batch together with their operations; a repeated batch replaces itself."""
+    by batch together with their operations; a repeated batch replaces itself. Operations are numbered by batch and by
+    their rank within batch and problem, the same on every try."""
 
     def put(batch: DataFrame, batch_id: int) -> None:
+        place = F.row_number().over(W.partitionBy("problem_id").orderBy(F.struct("score", "verdict", "judge_cost_usd"), F.to_json(F.struct("*"))))
+        batch = batch.withColumn(rank := unused(batch, "rank"), place)
         none = lambda kind: F.lit(None).cast(kind)
         ops = batch.select(
-            (F.lit(batch_id).cast("bigint") * F.lit(2**33) + F.monotonically_increasing_id() % F.lit(2**33)).alias("seq"), F.lit("judged").alias("type"), "problem_id", none("string").alias("model"),
+            (F.lit(batch_id).cast("bigint") * F.lit(2**33) + F.col(rank)).alias("seq"), F.lit("judged").alias("type"), "problem_id", none("string").alias("model"),
             none("double").alias("cost"), "score", "verdict", F.col("judge_cost_usd").alias("judge_cost"), none("string").alias("output_json"), none("string").alias("reason"), none("timestamp").alias("at"),
         )
-        commit_batch(sft_filter(batch, include_rejected), ops, out_path, ledger_path, batch_id)
+        commit_batch(sft_filter(batch.drop(rank), include_rejected), ops, out_path, ledger_path, batch_id)
 
     writer = judged.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
@@ -51,8 +56,8 @@ def ledger_updates(ops: DataFrame) -> DataFrame:
     return fold_ops(ops)
 
 
-def upsert(updates: DataFrame, key: str, path: str, checkpoint: str) -> StreamingQuery:
-    """Keeps the newest row of each key under path: every batch is a partition of its own, latest() reads them."""
+def upsert(updates: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Writes each batch of updated rows under path: every batch is a partition of its own, latest() reads them."""
 
     def put(batch: DataFrame, batch_id: int) -> None:
         batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)

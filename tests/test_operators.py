@@ -148,6 +148,32 @@ def test_backoff_carries_over_chunks(spark):
         assert got == want
 
 
+def test_backoff_keeps_every_row(spark):
+    t = pd.Timestamp("2024-01-01").to_pydatetime()
+    rows = [("1", None, None, t, 429, 0), ("2", None, None, None, 429, 1), ("3", "e", "m", None, 429, 2), ("4", "e", "m", t, 200, 3), ("5", "e", "m", t, None, 4)]
+    df = spark.createDataFrame(rows, "request_id string, endpoint string, model string, ts timestamp, status int, k int")
+    got = {r["request_id"]: (r["consecutive_429"], r["backoff_secs"], r["k"]) for r in ratelimit.backoff_timeline(df).collect()}
+    assert got == {"1": (2, 4.0, 0), "2": (1, 2.0, 1), "3": (1, 2.0, 2), "4": (0, None, 3), "5": (0, None, 4)}
+    assert ratelimit.backoff_timeline(df.limit(0)).count() == 0
+
+
+def test_models_keep_the_columns_of_their_table(spark):
+    df = spark.range(9).select(F.col("id").cast("string").alias("id"), F.col("id").alias("o"), *[F.lit(i).alias(c) for i, c in enumerate(("slot", "given", "part", "place", "ordinal", "_slot"))]).repartition(4)
+    specs = [ModelSpec("x", weight=2), ModelSpec("y", weight=1)]
+    for out in (models.assign_models(df, specs, ordinal="o"), models.assign_models(df, specs), models.assign_models(df, specs, method="hash")):
+        assert out.columns == [*df.columns, "model"]
+        rows = out.collect()
+        assert len(rows) == 9 and {(r["slot"], r["given"], r["part"], r["place"], r["ordinal"], r["_slot"]) for r in rows} == {tuple(range(6))}
+    numbered, name = models.with_ordinal(df, "n")
+    assert sorted(r[name] for r in numbered.collect()) == list(range(9))
+
+
+def test_large_groups_are_reported_whole(spark):
+    df = judged(spark, a=[0.1] * 5, b=[0.2] * 2).withColumn("input", F.concat(F.lit("in "), F.col("response_idx").cast("string")))
+    assert [(r["problem_id"], r["prompt"], r["completions"]) for r in exports.to_grpo(df, 4).collect()] == [("b", "in 0", ["b text 0", "b text 1"])]
+    assert [(r["problem_id"], r["responses"]) for r in exports.oversized(df, 4).collect()] == [("a", 5)]
+
+
 def test_tiers(spark):
     rows = [("a", 0.95, False, True), ("b", 0.95, True, True), ("c", 0.95, False, False), ("d", 0.5, False, True)]
     df = spark.createDataFrame(rows, "id string, score double, t boolean, h boolean").select("id", "score", F.struct(F.col("t").alias("truncated"), F.col("h").alias("has_reasoning")).alias("quality_flags"))
@@ -174,3 +200,49 @@ def test_workloads(spark, tmp_path):
     pairs = workloads.run_dpo(problems, gens, judges, ("s", "j"), ask, review, str(tmp_path / "dpo"), n=3).collect()
     assert {(p["problem_id"], p["chosen_score"], p["rejected_score"]) for p in pairs} == {("math_1", 0.9, 0.2), ("math_2", 0.9, 0.2)}
     assert all("good" in p["chosen"] and "bad" in p["rejected"] for p in pairs)
+
+
+def _tasks(spark, ids):
+    return spark.createDataFrame([(i, f"in {i}", None) for i in ids], schemas.PROBLEMS)
+
+
+def test_a_restart_asks_only_what_is_unanswered(spark, tmp_path):
+    """Batch 2 of the first run breaks; the second run asks the rest once, and the failed problem again."""
+    folder, asked = str(tmp_path / "run"), spark.sparkContext.accumulator(0)
+    gens, judges = [ModelSpec("g")], [ModelSpec("j")]
+
+    def model(broken, refused):
+        def fn(batches):
+            for b in batches:
+                asked.add(len(b))
+                if any(f"in {x}\\n" in body for body in b["body"] for x in broken):
+                    raise RuntimeError("the model is gone")
+                says = [(None, "timeout") if any(f"in {x}\\n" in body for x in refused) else (json.dumps({"choices": [{"message": {"role": "assistant", "content": "<answer>a</answer>"}}]}), None) for body in b["body"]]
+                yield pd.DataFrame({"request_id": b["request_id"], "body": [x for x, _ in says], "error": [e for _, e in says], "time_ms": 7}, dtype="object")
+
+        return fn
+
+    review = _model(lambda b: "Score: 0.9 APPROVE")
+    ids = [f"p{i}" for i in range(20)]
+    problems = _tasks(spark, ids)
+    second = {r["id"] for r in problems.filter("pmod(xxhash64(id, 5), 2) = 1").collect()}
+    gone, bad = sorted(second)[0], sorted(set(ids) - second)[0]
+    run = lambda m: workloads.run_sft(problems, gens, judges, ("s", "j"), m, review, folder, batches=2)
+    with pytest.raises(Exception):  # noqa: B017
+        run(model([gone], [bad]))
+    assert {r["problem_id"] for r in workloads.failures(spark, folder).collect()} == {bad}
+    assert sorted(r["id"] for r in workloads.pending(problems, folder).collect()) == sorted(second | {bad})
+    before = asked.value
+    rows = run(model([], [])).collect()
+    assert sorted(r["problem_id"] for r in rows) == sorted(ids) and {r["generation_time_ms"] for r in rows} == {7}
+    assert asked.value - before == len(second) + 1
+    run(model(ids, []))  # nothing is left to ask
+    assert asked.value - before == len(second) + 1
+    assert {(r["stage"], r["error"]) for r in workloads.failures(spark, folder).collect()} == {("generation", "timeout")}
+
+
+def test_runs_without_any_answer(spark, tmp_path):
+    none = workloads.replay(lambda body: (None, "refused"))
+    for run, name in ((workloads.run_sft, "sft"), (workloads.run_dpo, "dpo")):
+        assert run(_tasks(spark, ["a", "b"]), [ModelSpec("g")], [ModelSpec("j")], ("s", "j"), none, none, str(tmp_path / name)).count() == 0
+        assert {(r["problem_id"], r["error"]) for r in workloads.failures(spark, str(tmp_path / name)).collect()} == {("a", "refused"), ("b", "refused")}

@@ -17,3 +17,34 @@ def test_streams_keep_the_partitions_of_their_table(spark, parts, files):
     assert len(read) == 3
     assert len(set().union(*(f for f, _ in read))) == files
     assert sum(len(ids) for _, ids in read) == 2_400 and set().union(*(ids for _, ids in read)) == set(range(2_400))
+
+
+def test_operations_are_numbered_alike_on_every_try(spark):
+    from judgeset.sources.commit import read_ops
+    from judgeset.streaming import streams
+
+    rows = [(f"s{i}", f"p{i % 3}", i / 10, "approve", 0.1) for i in range(12)]
+    df = spark.createDataFrame(rows, "id string, problem_id string, score double, verdict string, judge_cost_usd double")
+    found = []
+    for parts in (4, 2):
+        out, log = _shared(spark, "rows"), _shared(spark, "ops")
+        streams.stream_sft(_as_stream(df.repartition(parts), spark, "scored", batches=1), out, log, _shared(spark, "state")).awaitTermination()
+        found.append(sorted((r["problem_id"], r["seq"], r["score"]) for r in read_ops(spark, log).collect()))
+    assert found[0] == found[1] and len({(p, s) for p, s, _ in found[0]}) == 12
+
+
+def test_final_pairs_drop_late_rows(spark):
+    from judgeset.streaming import streams
+
+    path, out, state = (_shared(spark, x) for x in ("in", "out", "state"))
+    schema = "sample_id string, problem_id string, response_idx int, score double, model string, at timestamp"
+
+    def add(*rows):
+        spark.createDataFrame([(f"s{i}", "p", i, s, "m") for i, s, _ in rows], schema.rsplit(",", 1)[0]).join(spark.createDataFrame([(i, t) for i, _, t in rows], "response_idx int, t string"), "response_idx").selectExpr("sample_id", "problem_id", "response_idx", "score", "model", "cast(t as timestamp) as at").write.mode("append").parquet(path)
+        streams.final_pairs(spark.readStream.schema(schema).parquet(path), "at", "0 seconds", "1 hour").writeStream.outputMode("append").option("checkpointLocation", state).trigger(availableNow=True).format("parquet").option("path", out).start().awaitTermination()
+        return sorted((str(r["window"]["start"]), r["chosen"]["score"], r["responses"]) for r in spark.read.parquet(out).collect())
+
+    first = add((0, 0.5, "2024-01-01 00:10:00"), (1, 0.9, "2024-01-01 00:20:00"), (2, 0.1, "2024-01-01 02:00:00"))
+    assert [x[1:] for x in first] == [(0.9, 2)]
+    later = add((3, 1.0, "2024-01-01 00:30:00"), (4, 0.7, "2024-01-01 04:00:00"))  # the first is too late for its window
+    assert [x[1:] for x in later] == [(0.9, 2), (0.1, 1)]
