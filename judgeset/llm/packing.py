@@ -5,7 +5,8 @@ from __future__ import annotations
 import re
 import zlib
 from bisect import bisect_left, insort
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 from math import ceil
 
 import numpy as np
@@ -130,46 +131,76 @@ def _taken(last: np.ndarray, room: int) -> list[int]:
     return out
 
 
-def configuration_lp(histogram: dict[int, int], capacity: int, rounds: int = 60, columns: int = 96, rate: float = 3.0) -> tuple[list[tuple[int, list[tuple[int, int]]]], dict[int, int]]:
-    """Bins as (multiplicity, [(length, number per bin)]), and the lengths that are left over.
+@dataclass(frozen=True)
+class Fractional:
+    """A solution of the configuration LP: how often each configuration, ((length, number in it), ...), is used; what is
+    left of each length's demand; the number of bins with that rest packed too; and a lower bound on any packing."""
 
-    Multiplicative weights on the configuration LP (min bins, such that every length is covered as often as it occurs):
-    a length's weight falls exponentially with the share of its demand already covered. Each round one knapsack
-    dynamic program prices all configurations; the best configuration through each of the most needed lengths enters
-    with half of what its scarcest length still needs, rounded to whole bins. Work depends on capacity alone.
+    columns: dict[tuple[tuple[int, int], ...], float]
+    rest: dict[int, float]
+    primal: float
+    dual: float
+
+
+def configuration_lp(histogram: dict[int, int], capacity: int, rounds: int = 150, columns: int = 256, rate: float = 6.0, step: float = 0.25, near: float = 0.01) -> Fractional:
+    """min bins, such that the configurations cover every length as often as it occurs, by multiplicative weights.
+
+    A length's price starts at its share of the capacity and falls exponentially with the share of its demand already
+    covered. Each round one knapsack dynamic program finds the best configuration at these prices and the best through
+    each length; of those through the most needed lengths, all within near of the best overall enter with step of what
+    their scarcest length still needs. Prices over all lengths, divided by the best configuration's, are feasible in
+    the dual, so their worth is a lower bound. A rest of a thousandth is left to best-fit decreasing. Work depends on
+    the capacity alone, not on the number of pieces.
     """
-    need = np.zeros(capacity + 1)
+    demand = np.zeros(capacity + 1)
     for size, n in histogram.items():
-        need[size] = n
-    first = np.maximum(need, 1)
-    sizes = np.arange(capacity + 1) / capacity
-    bins: list[tuple[int, list[tuple[int, int]]]] = []
-    for _ in range(rounds):
-        there = need > 0
-        if not there.any():
+        demand[size] = n
+    there, first, share = demand > 0, np.maximum(demand, 1), np.arange(capacity + 1) / capacity
+    need, dual, found = demand.copy(), 0.0, {}
+    for t in range(rounds):
+        if (need * share).sum() <= 1e-3 * (demand * share).sum():
             break
-        weight = np.where(there, sizes * np.exp(rate * (need / first - 1)), -np.inf)
-        best, last = knapsack(weight)
-        order = np.flatnonzero(there)
-        order = order[np.argsort(-(need[order] / first[order]) * sizes[order], kind="stable")][:columns]
+        price = share * np.exp(-rate * (1 - need / first))
+        if t % 10 == 0:
+            best, _ = knapsack(np.where(there, price, -np.inf))
+            dual = max(dual, float((demand * price).sum() / best[capacity]) * (1 - 1e-6))  # of 32-bit sums
+        left = need > 1e-9 * first
+        best, last = knapsack(np.where(left, price, -np.inf))
+        order = np.flatnonzero(left)
+        order = order[np.argsort(-(need[order] / first[order]) * share[order], kind="stable")][:columns]
+        moved = False
         for size in order.tolist():
-            if need[size] < 1:
-                continue
-            taken = [size, *_taken(last, capacity - size)]
-            made, number = np.unique(taken, return_counts=True)
-            if capacity - sum(taken) > 0.02 * capacity:
-                continue  # nothing fits well beside it now; the last step takes it
-            times = int(np.floor((need[made] / number).min()))
-            if times < 1:
+            if need[size] <= 1e-9 * first[size] or price[size] + best[capacity - size] < (1 - near) * best[capacity]:
                 continue
-            times = max(1, times // 2)
-            need[made] -= times * number
-            bins.append((times, [(int(a), int(b)) for a, b in zip(made, number, strict=True)]))
-    return bins, {int(s): int(need[s]) for s in np.flatnonzero(need > 0)}
-
-
-def best_fit_decreasing(histogram: dict[int, int], capacity: int) -> list[tuple[int, list[tuple[int, int]]]]:
-    """Best-fit decreasing on a histogram; equal bins are handled together."""
+            made, number = np.unique([size, *_taken(last, capacity - size)], return_counts=True)
+            times = step * float((need[made] / number).min())
+            if times > 0:
+                need[made] -= times * number
+                config = tuple(zip(made.tolist(), number.tolist(), strict=True))
+                found[config] = found.get(config, 0.0) + times
+                moved = True
+        near = near if moved else min(1.0, 2 * near)
+    rest = {int(s): float(need[s]) for s in np.flatnonzero(need > 1e-9 * first)}
+    packed = best_fit_decreasing({s: ceil(1000 * n) for s, n in rest.items()}, capacity)
+    return Fractional(found, rest, sum(found.values()) + sum(times for times, _ in packed) / 1000, dual)
+
+
+def rounded(histogram: dict[int, int], columns: dict[tuple[tuple[int, int], ...], float]) -> tuple[list[tuple[int, list[tuple[int, int]]]], dict[int, int]]:
+    """Bins as (multiplicity, [(length, number per bin)]), and the lengths left over: configurations in falling order,
+    each as often as the nearest whole number says and what is left of its lengths allows."""
+    left, bins = dict(histogram), []
+    for config, times in sorted(columns.items(), key=lambda x: (-x[1], x[0])):
+        whole = min([int(times + 0.5), *[left[s] // k for s, k in config]])
+        if whole > 0:
+            for s, k in config:
+                left[s] -= whole * k
+            bins.append((whole, list(config)))
+    return bins, {s: n for s, n in left.items() if n}
+
+
+def best_fit_decreasing(histogram: dict[int, int], capacity: int, bins: Iterable[tuple[int, list[tuple[int, int]]]] = ()) -> list[tuple[int, list[tuple[int, int]]]]:
+    """Best-fit decreasing on a histogram, into the room that bins leave and into new ones; equal bins are handled
+    together."""
     open_: dict[int, list[tuple[int, tuple]]] = {}
     rooms: list[int] = []
 
@@ -179,6 +210,8 @@ def best_fit_decreasing(histogram: dict[int, int], capacity: int) -> list[tuple[
             insort(rooms, room)
         open_[room].append((times, held))
 
+    for times, held in bins:
+        put(capacity - sum(s * k for s, k in held), times, tuple(held))
     for size in sorted(histogram, reverse=True):
         left = histogram[size]
         while left:
@@ -202,8 +235,8 @@ def best_fit_decreasing(histogram: dict[int, int], capacity: int) -> list[tuple[
 
 def plan_bins(histogram: dict[int, int], capacity: int) -> pd.DataFrame:
     """Where the r-th piece of each length goes: for lo <= r < hi, sequence base + (r - lo) % times."""
-    bins, rest = configuration_lp(histogram, capacity)
-    bins += best_fit_decreasing(rest, capacity)
+    bins, rest = rounded(histogram, configuration_lp(histogram, capacity).columns)
+    bins = best_fit_decreasing(rest, capacity, bins)
     at, base, rows = dict.fromkeys(histogram, 0), 0, []
     for times, held in bins:
         offset = 0

@@ -10,8 +10,8 @@ from judgeset.llm import packing as P
 
 
 def check_plan(histogram, capacity):
-    bins, rest = P.configuration_lp(dict(histogram), capacity, rounds=12, columns=8)
-    bins = bins + P.best_fit_decreasing(rest, capacity)
+    bins, rest = P.rounded(histogram, P.configuration_lp(histogram, capacity, rounds=12, columns=8).columns)
+    bins = P.best_fit_decreasing(rest, capacity, bins)
     held = Counter()
     for times, what in bins:
         assert sum(s * n for s, n in what) <= capacity
@@ -37,6 +37,32 @@ def test_knapsack_is_optimal():
     assert sum(value[s] for s in P._taken(last, 8)) == want[8]
 
 
+HARD = {
+    "a": ({41: 1000, 35: 1000, 26: 1000, 24: 2000, 15: 1500}, 100),
+    "b": ({44: 600, 33: 600, 23: 1200, 61: 300, 39: 300, 27: 900}, 100),
+    "c": ({51: 500, 27: 500, 26: 500, 23: 1000, 25: 1000}, 100),
+}
+
+
+@pytest.mark.parametrize("name", HARD)
+def test_the_lp_is_solved(name):
+    """Covers every demand, within 2 % of a lower bound, with fewer bins than best-fit decreasing alone."""
+    histogram, capacity = HARD[name]
+    lp = P.configuration_lp(histogram, capacity)
+    covered = Counter(lp.rest)
+    for config, times in lp.columns.items():
+        assert times > 0 and sum(s * k for s, k in config) <= capacity
+        for s, k in config:
+            covered[s] += times * k
+    assert all(abs(covered[s] - n) < 1e-6 * n for s, n in histogram.items())
+    bins, rest = P.rounded(histogram, lp.columns)
+    total = sum(t for t, _ in P.best_fit_decreasing(rest, capacity, bins))
+    alone = sum(t for t, _ in P.best_fit_decreasing(histogram, capacity))
+    print(f"{name}: primal {lp.primal:.1f}, dual {lp.dual:.1f}, bins {total}, best-fit decreasing alone {alone}")
+    assert sum(s * n for s, n in histogram.items()) / capacity * (1 - 1e-5) <= lp.dual <= lp.primal <= 1.02 * lp.dual
+    assert lp.dual <= total <= lp.primal + len(lp.columns) and total < alone
+
+
 def test_perfect_packing_is_found():
     assert check_plan({60: 100, 40: 100, 50: 100}, 100) == 150
 
