@@ -57,6 +57,27 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
+def likelihood(theta: np.ndarray, grades: int, features: np.ndarray, values: np.ndarray, doc_of: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float) -> tuple[float, np.ndarray]:
+    """Weighted negative log-likelihood of the grades with its penalty, and the gradient by theta: the features' weights,
+    the first threshold, and the logarithms of the gaps between thresholds."""
+    used, rows = len(theta) - grades + 1, np.arange(len(y))
+    w, first, gaps = theta[:used], theta[used], theta[used + 1 :]
+    edges = first + np.concatenate([[0.0], np.cumsum(np.exp(gaps))])
+    s = np.bincount(doc_of, w[features] * values, len(y))
+    below = np.hstack([np.zeros((len(y), 1)), _sigmoid(edges[None, :] - s[:, None]), np.ones((len(y), 1))])
+    slope = below * (1 - below)
+    chance = np.maximum(below[rows, y + 1] - below[rows, y], 1e-9)
+    scale = weight / chance
+    ds = scale * (slope[rows, y + 1] - slope[rows, y])
+    d_edges = np.zeros(grades + 1)
+    np.add.at(d_edges, y + 1, -scale * slope[rows, y + 1])
+    np.add.at(d_edges, y, scale * slope[rows, y])
+    tail = np.cumsum(d_edges[1:-1][::-1])[::-1]
+    shrink = penalty / used**0.5 if used else 0.0
+    grad = np.concatenate([np.bincount(features, ds[doc_of] * values, used) + shrink * w, [tail[0]], tail[1:] * np.exp(gaps)])
+    return float(-(weight * np.log(chance)).sum() + shrink * (w * w).sum() / 2), grad
+
+
 def fit(documents: DataFrame, labels: DataFrame, grade: Column, grades: int, per_class: int = 2500, rounds: int = 200, penalty: float = 1e-4) -> OrdinalModel:
     """Fits by Adam on a bounded sample (per_class documents of each grade, weighted back to the grades' shares).
 
@@ -79,28 +100,15 @@ def fit(documents: DataFrame, labels: DataFrame, grade: Column, grades: int, per
     in_sample = np.bincount(y, minlength=grades)
     weight = np.array([sizes.get(k, 0) / max(1, in_sample[k]) for k in range(grades)])[y]
     weight = weight / weight.sum()
-    w, first, gaps = np.zeros(len(used)), -1.0, np.zeros(grades - 2)
-    m = v = np.zeros(len(used) + grades - 1)
-    rows = np.arange(len(y))
+    theta = np.concatenate([np.zeros(len(used)), [-1.0], np.zeros(grades - 2)])
+    m = v = np.zeros(len(theta))
     for t in range(1, rounds + 1):
-        edges = first + np.concatenate([[0.0], np.cumsum(np.exp(gaps))])
-        s = np.bincount(doc_of, w[features] * values, len(y))
-        below = np.hstack([np.zeros((len(y), 1)), _sigmoid(edges[None, :] - s[:, None]), np.ones((len(y), 1))])
-        slope = below * (1 - below)
-        chance = np.maximum(below[rows, y + 1] - below[rows, y], 1e-9)
-        scale = weight / chance
-        ds = scale * (slope[rows, y + 1] - slope[rows, y])  # of the negative log-likelihood by s
-        d_edges = np.zeros(grades + 1)
-        np.add.at(d_edges, y + 1, -scale * slope[rows, y + 1])
-        np.add.at(d_edges, y, scale * slope[rows, y])
-        tail = np.cumsum(d_edges[1:-1][::-1])[::-1]
-        grad = np.concatenate([np.bincount(features, ds[doc_of] * values, len(used)) + penalty * w / len(used) ** 0.5, [tail[0]], tail[1:] * np.exp(gaps)])
+        _, grad = likelihood(theta, grades, features, values, doc_of, y, weight, penalty)
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
-        step = 0.2 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-7)
-        w, first, gaps = w - step[: len(used)], first - step[len(used)], gaps - step[len(used) + 1 :]
+        theta = theta - 0.2 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-7)
     flat = np.zeros(1 << BITS)
-    flat[used] = w
-    return OrdinalModel(flat, first + np.concatenate([[0.0], np.cumsum(np.exp(gaps))]))
+    flat[used] = theta[: len(used)]
+    return OrdinalModel(flat, theta[len(used)] + np.concatenate([[0.0], np.cumsum(np.exp(theta[len(used) + 1 :]))]))
 
 
 def grade_documents(df: DataFrame, model: OrdinalModel, doc_id: str = "doc_id", text: str = "text", at_least: int = 1) -> DataFrame:

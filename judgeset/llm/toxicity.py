@@ -51,6 +51,21 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", per_class
     return train(got, sizes)
 
 
+def likelihood(theta: np.ndarray, features: np.ndarray, sentence_of: np.ndarray, doc_of: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, np.ndarray]:
+    """Weighted negative log-likelihood of the documents' labels, and its gradient by theta (word weights, then bias).
+
+    features and sentence_of name a word and its sentence for every occurrence, doc_of the document of a sentence.
+    """
+    w, b, docs = theta[:-1], theta[-1], len(y)
+    z = b + np.bincount(sentence_of, w[features], len(doc_of))
+    p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+    total = np.clip(np.bincount(doc_of, np.logaddexp(0, z), docs), 1e-6, 50)  # -log of the chance that no sentence is toxic
+    loss = float((weight * np.where(y, -np.log(-np.expm1(-total)), total)).sum())
+    pull = weight * np.where(y, -1 / np.expm1(total), 1.0)
+    dz = pull[doc_of] * p
+    return loss, np.append(np.bincount(features, dz[sentence_of], len(w)), dz.sum())
+
+
 def train(got: pd.DataFrame, sizes: dict[int, int], rounds: int = 150, evidence: float = 4.0, decay: float = 1e-3, rate: float = 0.2) -> np.ndarray:
     """Adam with weight decay on the labels' likelihood, over the words whose share of positive documents exceeds the
     sample's by evidence standard errors or more; all other words weigh 0."""
@@ -74,19 +89,14 @@ def train(got: pd.DataFrame, sizes: dict[int, int], rounds: int = 150, evidence:
     share = {k: sizes[k] / max(1, int((y == bool(k)).sum())) for k in (0, 1)}
     weight = np.where(y, share[1], share[0])
     weight = weight / weight.sum()
-    w, b = np.zeros(len(used)), -6.0
-    m = v = np.zeros(len(used) + 1)
+    theta = np.append(np.zeros(len(used)), -6.0)
+    m = v = np.zeros(len(theta))
+    keep = np.append(np.full(len(used), 1 - rate * decay), 1.0)
     for t in range(1, rounds + 1):
-        z = b + np.bincount(sentence_of, w[features], len(words_in))
-        p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        total = np.bincount(doc_of, np.logaddexp(0, z), len(got))
-        pull = weight * np.where(y, -1 / np.expm1(np.clip(total, 1e-6, 50)), 1.0)
-        dz = pull[doc_of] * p
-        grad = np.append(np.bincount(features, dz[sentence_of], len(used)), dz.sum())
+        _, grad = likelihood(theta, features, sentence_of, doc_of, y, weight)
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
-        step = rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-7)
-        w, b = w * (1 - rate * decay) - step[:-1], b - step[-1]
-    flat[used], flat[-1] = w, b
+        theta = theta * keep - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-7)
+    flat[used], flat[-1] = theta[:-1], theta[-1]
     return flat
 
 
