@@ -116,6 +116,9 @@ def rubric_verdict(rubric: Column) -> Column:
     return F.when(known, F.when((rubric["overall_score"] >= 0.85) & (low >= 0.7), "approve").when((rubric["overall_score"] >= 0.6) & (rubric["scores"]["answer_correctness"] >= 0.8), "needs_revision").otherwise("reject"))
 
 
+# The texts of the two prompts.
+
+
 def generation_prompt(problem: Column | str) -> Column:
     return F.concat(F.lit("Solve the following problem:\n\n"), _col(problem), F.lit("\n\nProvide your reasoning and final answer."))
 

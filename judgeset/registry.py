@@ -50,6 +50,7 @@ def _shared(spark: SparkSession, name: str) -> str:
 
 # --- text -------------------------------------------------------------------------------------------------------------
 
+# The markers, patterns and limits that the column functions must match, as SQL literals.
 _ANSWER = """CASE WHEN regexp_matches(output, '<answer>([^\\n]*?)</answer>') THEN trim(regexp_extract(output, '<answer>([^\\n]*?)</answer>', 1))
   WHEN regexp_matches(output, '##\\s*Answer\\s*\\n([^\\n]*?)(?:\\n##|\\z)') THEN trim(regexp_extract(output, '##\\s*Answer\\s*\\n([^\\n]*?)(?:\\n##|\\z)', 1))
   ELSE left(regexp_replace(list_filter(string_split(output, chr(10) || chr(10)), lambda x: regexp_replace(x, '\\s+', '', 'g') <> '')[-1], '^\\s+|\\s+$', '', 'g'), 500) END"""
@@ -169,6 +170,12 @@ def weighted_models(spark: SparkSession, d: str) -> DataFrame:
     return models.assign_models(spark.read.parquet(f"{d}/orders.parquet").select("o_orderkey"), GENERATORS, ordinal="o_orderkey")
 
 
+@query("SELECT CASE WHEN i % 3 < 2 THEN 'model-0' ELSE 'model-1' END AS model, count(*) AS n FROM (SELECT row_number() OVER () - 1 AS i FROM orders) o GROUP BY 1")
+def weighted_models_numbered(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of each model where the table has no ordinal column and its rows are numbered first."""
+    return models.assign_models(spark.read.parquet(f"{d}/orders.parquet").select("o_orderkey"), GENERATORS).groupBy("model").agg(F.count(F.lit(1)).alias("n"))
+
+
 _COST = "(tokens_in / 1e6::DOUBLE) * CASE model WHEN 'model-0' THEN 0.5::DOUBLE ELSE 0.25::DOUBLE END + (tokens_out / 1e6::DOUBLE) * CASE model WHEN 'model-0' THEN 1.5::DOUBLE ELSE 2.0::DOUBLE END"
 
 
@@ -397,6 +404,7 @@ def generation_requests(spark: SparkSession, d: str) -> DataFrame:
 
 #: A user's turn and the assistant's turn right after it.
 _TURNS = "SELECT conv_id, turn, text AS input, reply AS output FROM (SELECT *, lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS reply, lead(role) OVER (PARTITION BY conv_id ORDER BY turn) AS next_role FROM conversations) c WHERE role = 'user' AND next_role = 'assistant'"
+# The judge's prompt.
 _ASKED = "'## Sample to Evaluate' || chr(10) || chr(10) || '**Problem:**' || chr(10) || input || chr(10) || chr(10) || '**Generated Response:**' || chr(10) || output || chr(10) || chr(10) || '**Extracted Answer:**' || chr(10) || '(not extracted)' || chr(10) || chr(10) || 'Please evaluate this sample according to the criteria and provide:' || chr(10) || '1. A score from 0.0 to 1.0' || chr(10) || '2. Your reasoning' || chr(10) || '3. A verdict: APPROVE or REJECT'"
 
 
