@@ -56,7 +56,7 @@ def test_trees(spark):
     assert format_reply_trees(df.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("depth", [1, 2, 7, 33])
+@pytest.mark.parametrize("depth", [1, 2, 7, 33, 300])
 def test_long_chains_and_repeats(spark, depth):
     rows = [("c", i, i - 1 if i else None, "user" if i % 2 == 0 else "assistant", f"t{i}") for i in range(depth)]
     df = spark.createDataFrame(rows + rows[:1], "conv_id string, node_id long, parent_id long, role string, text string")
