@@ -330,6 +330,7 @@ def _across(members: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame
     dealt = mixed.join(per_key, "key").withColumn("block", F.pmod(F.xxhash64("class"), F.element_at("blocks", F.col("band"))).cast("int"))
     # own band: with every block, the lower one first; neighbouring bands: with every block, the lower band first
     own = F.transform(F.sequence(F.lit(0), F.element_at("blocks", F.col("band")) - 1), lambda o: F.struct(F.col("band").alias("u"), F.least("block", o).alias("i"), F.col("band").alias("v"), F.greatest("block", o).alias("j"), (F.col("block") > o).alias("right")))
+
     def beside(step: int) -> Column:
         other = F.col("band") + step
         there = F.coalesce(F.element_at("blocks", other), F.lit(0))
