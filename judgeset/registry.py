@@ -340,6 +340,18 @@ def pending_problems(spark: SparkSession, d: str) -> DataFrame:
     return ledger.filter_pending(X.frame(spark, d, X.LEDGER_PROBLEMS), _ledger(spark, d)).select("id")
 
 
+@query(f"SELECT id, 'pending' AS status, CAST(0 AS INT) AS retry_count, 0.0::DOUBLE AS gen_cost FROM ({X.LEDGER_PROBLEMS}) p")
+def ledger_init(spark: SparkSession, d: str) -> DataFrame:
+    return ledger.init_ledger(X.frame(spark, d, X.LEDGER_PROBLEMS)).select("id", "status", "retry_count", "gen_cost")
+
+
+@query(f"SELECT id FROM ({_LEDGER}) l WHERE status IN ('pending', 'retrypending', 'generated')")
+def pending_with_new(spark: SparkSession, d: str) -> DataFrame:
+    """Problems to be done where the ledger misses some, and those that got stuck before judgment."""
+    known = _ledger(spark, d).filter("status <> 'pending'")
+    return ledger.filter_pending(X.frame(spark, d, X.LEDGER_PROBLEMS), known, include_new=True, stuck_as_pending=True).select("id")
+
+
 @query(f"SELECT id, retry_count, retry_reason FROM ({_LEDGER}) l WHERE status = 'retrypending'")
 def retry_pending(spark: SparkSession, d: str) -> DataFrame:
     return ledger.retry_pending(_ledger(spark, d))
