@@ -37,7 +37,7 @@ HELD = 3_000_000
 RUN = 16
 #: Sets of such a run that are compared with each other in one piece.
 BLOCK = 2048
-#: Classes, of 24 bytes each, whose texts are found by a broadcast of their hashes; beyond that by a join on the hashes.
+#: Rows of 24 bytes each that are broadcast, to find texts by their hashes or to drop rows; beyond that texts are shuffled.
 SENT = 1_000_000
 
 
@@ -257,11 +257,12 @@ def first_of_near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str =
     named = [F.col(c).alias(f"__{c}") for c in ("doc_id", "ta", "tb")]
     leave = scratch.keep(rows.filter("NOT stays OR rows > 1").select(*named, "stays"), "leave")
     marked = df.select(F.struct(*df.columns).alias("x"), *_row(doc_id, text))
-    out = marked.join(leave, _same_row("", "__"), "left_anti").select("x.*")
+    sent = F.broadcast if leave.count() <= SENT else lambda x: x
+    out = marked.join(sent(leave), _same_row("", "__"), "left_anti").select("x.*")
     again = leave.filter("stays")
     if again.isEmpty():
         return out
-    single = marked.join(again, _same_row("", "__"), "left_semi").groupBy("doc_id", "ta", "tb").agg(F.min("x").alias("x"))
+    single = marked.join(sent(again), _same_row("", "__"), "left_semi").groupBy("doc_id", "ta", "tb").agg(F.min("x").alias("x"))
     return out.unionByName(single.select("x.*"))
 
 
