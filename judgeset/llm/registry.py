@@ -8,6 +8,7 @@ from judgeset.llm.jaccard_join import op9_jaccard_join
 from judgeset.llm.line_dedup import OP2_SQL, op2_line_dedup
 from judgeset.llm.mixing import OP7_SQL, op7_mixing
 from judgeset.llm.packing import op4_best_fit_packing
+from judgeset.llm.pii import OP11_SQL, op11_pii
 from judgeset.llm.quality_classifier import op10_quality_classifier
 from judgeset.llm.quality_rules import op1_quality_rules
 from judgeset.llm.suffix_dedup import op5_suffix_dedup
@@ -24,9 +25,11 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_pii": op11_pii,
 }
 ORACLES = {
     "op2_line_dedup": OP2_SQL,
     "op6_chat_formatting": OP6_SQL,
     "op7_mixing": OP7_SQL,
+    "op11_pii": OP11_SQL,
 }
