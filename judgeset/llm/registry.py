@@ -5,6 +5,7 @@ from __future__ import annotations
 from judgeset.llm.chat import OP6_SQL, op6_chat_formatting
 from judgeset.llm.embedding_join import op3_embedding_join
 from judgeset.llm.jaccard_join import op9_jaccard_join
+from judgeset.llm.lexical_search import OP12_SQL, op12_lexical_search
 from judgeset.llm.line_dedup import OP2_SQL, op2_line_dedup
 from judgeset.llm.mixing import OP7_SQL, op7_mixing
 from judgeset.llm.packing import op4_best_fit_packing
@@ -26,10 +27,12 @@ QUERIES = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_quality_classifier": op10_quality_classifier,
     "op11_pii": op11_pii,
+    "op12_lexical_search": op12_lexical_search,
 }
 ORACLES = {
     "op2_line_dedup": OP2_SQL,
     "op6_chat_formatting": OP6_SQL,
     "op7_mixing": OP7_SQL,
     "op11_pii": OP11_SQL,
+    "op12_lexical_search": OP12_SQL,
 }

@@ -81,11 +81,11 @@ def test_fuzz_and_planted(spark):
 
 
 def test_very_long_texts(spark):
-    """Runs without end, and far more spans than one portion holds."""
-    texts = ["1" * 300_000, "a" * 300_000, "1." * 100_000, "+1" + "(" * 200_000, "ab@cd.ef " * 3000 + "x", "- " * 5000 + "+1 555 123 4567", "4" + " 4" * 50_000]
+    """Runs without end, which plain expressions would go over again from each character, and more spans than a portion holds."""
+    texts = ["1" * 300_000, "a" * 300_000, "+1" + "(" * 200_000, "ab@cd.ef " * 1000 + "x", "- " * 5000 + "+1 555 123 4567", "4" + " 4" * 50_000]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(len(texts))
-    got = sorted(tuple(r) for r in P.pii_report(df).collect())
-    assert got == [report(i, t) for i, t in enumerate(texts)]
+    got = {r["doc_id"]: r["spans"] for r in P.pii_report(df).collect()}
+    assert got == {0: "", 1: "", 2: "", 3: ",".join(f"email:{9 * i}:{9 * i + 8}" for i in range(1000)), 4: "phone:10000:10015", 5: ""}
 
 
 def test_odd_rows(spark):
