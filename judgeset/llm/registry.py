@@ -12,6 +12,7 @@ from judgeset.llm.packing import op4_best_fit_packing
 from judgeset.llm.pii import OP11_SQL, op11_pii
 from judgeset.llm.quality_classifier import op10_quality_classifier
 from judgeset.llm.quality_rules import op1_quality_rules
+from judgeset.llm.spelling import op13_spelling_variants
 from judgeset.llm.suffix_dedup import op5_suffix_dedup
 from judgeset.llm.toxicity import op8_toxicity
 
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_quality_classifier": op10_quality_classifier,
     "op11_pii": op11_pii,
     "op12_lexical_search": op12_lexical_search,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 ORACLES = {
     "op2_line_dedup": OP2_SQL,
