@@ -2,16 +2,16 @@
 
 The model is the caller's: a function from an iterator of pandas frames (request_id, body) to one (request_id, body,
 error; time_ms where it knows), run by mapInPandas. It is paid for and gives another answer each time, so its answers
-are written before anything else reads them, and only requests without an answer are put to it.
+are stored before anything else reads them, and only requests without an answer are put to it.
 
-A run keeps everything in its folder: generated and judged (answers), rows (output), failed (requests that failed, with
-their errors) and ledger (operations). Started again after a crash, it leaves out the problems that the ledger has as
-done, asks only what is unanswered, and goes on with the rest; failed problems are tried again.
+A run keeps everything in its folder: generated and judged (answer stores), and the tables rows (output), failed
+(requests that failed, with their errors) and ledger (operations), which a batch commits together. Started again after a
+crash, it removes what broken batches left, leaves out the problems that the ledger has as done, asks only what is
+unanswered, and goes on with the rest; failed problems are tried again. Ids that repeat are one problem.
 """
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -23,80 +23,45 @@ from judgeset.functions.text import extract_answer, parse_verdict, score_or_defa
 from judgeset.operators import requests as R
 from judgeset.operators.dpo import dpo_pairs, expand_responses
 from judgeset.operators.judging import evaluate
-from judgeset.operators.ledger import filter_pending, fold_ledger
+from judgeset.operators.ledger import filter_pending, fold_ledger, one_each
 from judgeset.operators.sft import sft_rows
-from judgeset.sources.commit import commit_batch, committed, exists, read_ops
-
-Batches = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
-ANSWERS = "request_id string, body string, error string, time_ms bigint, at timestamp"
-FAILURES = "request_id string, error string, problem_id string, stage string, batch_id bigint"
-
-
-def _timed(fn: Batches) -> Batches:
-    """fn with the time of each answer: its own, or the batch's by the number of its rows."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        began = time.time()
-        for out in fn(batches):
-            took = (time.time() - began) * 1000
-            each = out["time_ms"] if "time_ms" in out else int(took / max(1, len(out)))
-            yield pd.DataFrame({"request_id": out["request_id"], "body": out["body"], "error": out.get("error"), "time_ms": each, "at": pd.Timestamp.now(tz="UTC")})
-            began = time.time()
-
-    return run
-
-
-def answers(spark: SparkSession, path: str) -> DataFrame:
-    """One row per request asked so far: its answer, or its last error where it has none."""
-    if not exists(spark, path):
-        return spark.createDataFrame([], ANSWERS)
-    rows = spark.read.schema(ANSWERS).parquet(path)
-    good = rows.filter("body IS NOT NULL AND error IS NULL")
-    bad = rows.filter("body IS NULL OR error IS NOT NULL").join(good.select("request_id"), "request_id", "left_anti")
-    last = bad.groupBy("request_id").agg(F.max_by(F.struct("error", "time_ms", "at"), "at").alias("x"))
-    return good.unionByName(last.select("request_id", F.lit(None).cast("string").alias("body"), F.coalesce("x.error", F.lit("no_response")).alias("error"), "x.time_ms", "x.at"))
-
-
-def call(requests: DataFrame, fn: Batches, path: str, partitions: int | None = None) -> DataFrame:
-    """Answers of fn to requests (request_id, body). Those that path has already are not asked again; new ones are
-    added there by one job, whose files appear together or not at all. partitions bounds how many calls run at once."""
-    spark = requests.sparkSession
-    df = requests.select("request_id", "body")
-    if exists(spark, path):
-        df = df.join(answers(spark, path).filter("error IS NULL").select("request_id"), "request_id", "left_anti")
-    df = df.repartition(partitions) if partitions else df
-    df.mapInPandas(_timed(fn), ANSWERS).write.mode("append").parquet(path)
-    return answers(spark, path)
-
-
-def generate(tasks: DataFrame, models: list[ModelSpec], system_prompt: str, fn: Batches, path: str, ordinal: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(samples, failed) for tasks (id, problem_id, response_idx, input, metadata); failed has problem_id too."""
-    asked = R.generation_requests(tasks, models, system_prompt, ordinal)
-    ok, failed = R.ingest_responses(asked, call(asked, fn, path), models)
+from judgeset.sources import commit, files
+from judgeset.sources.answers import AnswerStore, Batches, bucket_of
+
+FAILURES = "request_id string, error string, problem_id string, stage string"
+TABLES = ("rows", "failed", "ledger")
+
+
+def generate(tasks: DataFrame, models: list[ModelSpec], system_prompt: str, fn: Batches, store: AnswerStore, ordinal: str | None = None, wanted: list[int] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(samples, failed) for tasks (id, problem_id, response_idx, input, metadata), whose problems lie in the wanted
+    buckets of the store (all by default); failed has problem_id too. Tasks of one id and model share one answer."""
+    asked = R.generation_requests(tasks, models, system_prompt, ordinal).withColumn("bucket", store.bucket("problem_id"))
+    answers = store.ask(asked, fn, wanted).drop("bucket")
+    ok, failed = R.ingest_responses(asked, answers, models)
     samples = ok.withColumn("output", F.col("content")).withColumn("answer", extract_answer("content"))
     samples = samples.select("id", "problem_id", "response_idx", "input", "output", "answer", "model", F.col("at").alias("generated_at"), F.col("time_ms").alias("generation_time_ms"), "tokens_in", "tokens_out", "cost_usd", "metadata")
-    return samples, failed.join(asked.select("request_id", "problem_id"), "request_id")
+    return samples, failed.join(asked.select("request_id", "problem_id").distinct(), "request_id")
 
 
-def judge(samples: DataFrame, models: list[ModelSpec], num_judges: int, system_prompt: str, fn: Batches, path: str, threshold: float) -> tuple[DataFrame, DataFrame]:
+def judge(samples: DataFrame, models: list[ModelSpec], num_judges: int, system_prompt: str, fn: Batches, store: AnswerStore, threshold: float, wanted: list[int] | None = None) -> tuple[DataFrame, DataFrame]:
     """(judge results, failed) for samples, each asked about num_judges times; failed has problem_id too."""
-    asked = R.judge_requests(samples.select("id", "problem_id", "input", "output", "answer"), models, num_judges, system_prompt)
-    ok, failed = R.ingest_responses(asked, call(asked, fn, path), models)
+    asked = R.judge_requests(samples.select("id", "problem_id", "input", "output", "answer"), models, num_judges, system_prompt).withColumn("bucket", store.bucket("problem_id"))
+    ok, failed = R.ingest_responses(asked, store.ask(asked, fn, wanted).drop("bucket"), models)
     scored = ok.withColumn("score", score_or_default("content"))
     results = scored.select("sample_id", "problem_id", "judge_ordinal", "score", parse_verdict("content", "score", threshold).alias("verdict"), F.col("content").alias("reasoning"), F.col("model").alias("judge_model"), F.col("at").alias("judged_at"), F.col("time_ms").alias("judge_time_ms"), F.col("cost_usd").alias("judge_cost_usd"))
-    return results, failed.join(asked.select("request_id", "problem_id"), "request_id")
+    return results, failed.join(asked.select("request_id", "problem_id").distinct(), "request_id")
 
 
 def pending(problems: DataFrame, folder: str) -> DataFrame:
     """Problems that the folder's ledger does not have as approved, rejected or failed for good."""
     ledger = f"{folder}/ledger"
-    ops = read_ops(problems.sparkSession, ledger) if exists(problems.sparkSession, ledger) else None
+    ops = commit.read_ops(problems.sparkSession, ledger) if files.exists(problems.sparkSession, ledger) else None
     return filter_pending(problems, fold_ledger(problems, ops), stuck_as_pending=True)
 
 
 def failures(spark: SparkSession, folder: str) -> DataFrame:
-    """What failed in the runs over folder, whether or not it was made good later: FAILURES."""
-    return spark.read.schema(FAILURES).parquet(f"{folder}/failed") if exists(spark, f"{folder}/failed") else spark.createDataFrame([], FAILURES)
+    """What failed in the committed batches of the runs over folder, whether or not it was made good later."""
+    return commit.read_committed(spark, f"{folder}/failed", commit.manifest_of(f"{folder}/ledger"), FAILURES)
 
 
 _OPS = ("model string", "cost double", "score double", "verdict string", "judge_cost double", "reason string", "at timestamp")
@@ -108,39 +73,61 @@ def _ops(df: DataFrame, kind: str, place: int, **known) -> DataFrame:
     return df.select("problem_id", F.lit(kind).alias("type"), F.lit(place).alias("place"), *columns)
 
 
-def _commit(rows: DataFrame, ops: DataFrame, failed: DataFrame, folder: str, batch_id: int) -> None:
-    failed.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("append").parquet(f"{folder}/failed")
-    ops = ops.withColumn("seq", F.lit(batch_id).cast("bigint") * 16 + F.col("place")).withColumn("output_json", F.lit(None).cast("string")).drop("place")
-    commit_batch(rows, ops, f"{folder}/rows", f"{folder}/ledger", batch_id)
+class _Run:
+    """One run over a folder: its batches of whole buckets, their tables on the way, and their commits."""
+
+    def __init__(self, problems: DataFrame, folder: str, batches: int, buckets: int, every: int, order: str | None):
+        if not 1 <= batches <= buckets:
+            raise ValueError("a run has as many batches as it has buckets at most")
+        self.spark, self.folder, self.number, self.buckets = problems.sparkSession, folder, batches, buckets
+        self.generated, self.judged = (AnswerStore(self.spark, f"{folder}/{name}", buckets, every) for name in ("generated", "judged"))
+        self.manifest = commit.manifest_of(f"{folder}/ledger")
+        self.recovered = commit.recover(self.spark, [f"{folder}/{t}" for t in TABLES], self.manifest)
+        self.problems = one_each(problems, order)
+
+    def batches(self) -> Iterator[tuple[int, list[int], DataFrame]]:
+        """(batch id, its buckets, its problems) of what is still to be done."""
+        done = self.spark.read.schema(commit.MANIFEST).json(self.manifest).agg(F.max("batch_id")).first()[0] if files.exists(self.spark, self.manifest) else None
+        left = pending(self.problems, self.folder).withColumn("bucket", bucket_of("id", self.buckets))
+        left.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.folder}/pending")  # the ledger grows while the batches run
+        left = self.spark.read.schema(left.schema).parquet(f"{self.folder}/pending")
+        for k in range(self.number):
+            wanted = list(range(k, self.buckets, self.number))
+            yield (-1 if done is None else done) + 1 + k, wanted, left.filter(F.col("bucket").isin(wanted)).drop("bucket")
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """df written once, so that the tables of a batch that follow from it read it instead of making it again."""
+        path = f"{self.folder}/work/{name}-{commit.new_try()}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
+    def commit(self, rows: DataFrame, ops: DataFrame, failed: DataFrame, batch_id: int) -> None:
+        ops = ops.withColumn("seq", F.lit(batch_id).cast("bigint") * 16 + F.col("place")).withColumn("output_json", F.lit(None).cast("string")).drop("place")
+        commit.commit_tables({f"{self.folder}/{name}": df for name, df in zip(TABLES, (rows, failed, ops), strict=True)}, self.manifest, batch_id)
+        files.delete(self.spark, f"{self.folder}/work")
 
-def _batches(problems: DataFrame, folder: str, batches: int) -> Iterator[tuple[int, DataFrame]]:
-    """(batch id, its problems) of what is still to be done, by hash of the id."""
-    spark = problems.sparkSession
-    left = pending(problems, folder)
-    done = read_ops(spark, f"{folder}/ledger").agg(F.max("batch_id")).first()[0] if exists(spark, f"{folder}/ledger") else None
-    left.write.mode("overwrite").parquet(f"{folder}/pending")  # the ledger grows while the batches run
-    left = spark.read.schema(left.schema).parquet(f"{folder}/pending")
-    for k in range(batches):
-        yield (-1 if done is None else done) + 1 + k, left.filter(F.pmod(F.xxhash64("id", F.lit(5)), F.lit(batches)) == k)
+    def rows(self, schema) -> DataFrame:
+        return commit.read_committed(self.spark, f"{self.folder}/rows", self.manifest, schema).drop("batch_id")
 
 
 def _failed(failed: DataFrame, stage: str) -> DataFrame:
     return failed.select("request_id", "error", "problem_id", F.lit(stage).alias("stage"))
 
 
-def run_sft(problems: DataFrame, generators: list[ModelSpec], judges: list[ModelSpec], prompts: tuple[str, str], ask: Batches, review: Batches, folder: str, gen: GenerationConfig = GenerationConfig(), cfg: EnsembleConfig = EnsembleConfig(), batches: int = 1) -> DataFrame:
+def run_sft(problems: DataFrame, generators: list[ModelSpec], judges: list[ModelSpec], prompts: tuple[str, str], ask: Batches, review: Batches, folder: str, gen: GenerationConfig = GenerationConfig(), cfg: EnsembleConfig = EnsembleConfig(), batches: int = 1, buckets: int = 64, every: int = 64, order: str | None = None) -> DataFrame:
     """Problems to approved fine-tuning rows, committed in so many batches; see failures() for what failed.
 
-    A problem without a sample fails in generation, a sample without any judge's answer in judgment. Ids that repeat
-    are one problem each time they stand.
+    A problem without a sample fails in generation, a sample without any judge's answer in judgment. Of rows that share
+    an id one is the problem: the last by the column order, else the greatest of them. buckets must stay the same over
+    all runs of a folder; a task of the model stages asks about every requests. An empty table of problems gives no rows.
     """
-    schema = None
-    for batch_id, part in _batches(problems, folder, batches):
+    run, schema = _Run(problems, folder, batches, buckets, every, order), None
+    for batch_id, wanted, part in run.batches():
         tasks = part.withColumn("problem_id", F.col("id")).withColumn("response_idx", F.lit(0))
-        samples, unmade = generate(tasks, generators, prompts[0], ask, f"{folder}/generated")
-        results, unjudged = judge(samples, judges, cfg.num_judges if cfg.enabled else 1, prompts[1], review, f"{folder}/judged", gen.approval_threshold)
-        scores = evaluate(results.drop("problem_id", "judged_at"), cfg, judges)
+        samples, unmade = generate(tasks, generators, prompts[0], ask, run.generated, wanted=wanted)
+        samples, unmade = run.keep(samples, "samples"), run.keep(unmade, "unmade")
+        results, unjudged = judge(samples, judges, cfg.num_judges if cfg.enabled else 1, prompts[1], review, run.judged, gen.approval_threshold, wanted)
+        scores = run.keep(evaluate(results.drop("problem_id", "judged_at"), cfg, judges), "scores")
         verdicts = samples.select(F.col("id").alias("sample_id"), "problem_id").join(scores, "sample_id")
         silent = samples.join(scores.select(F.col("sample_id").alias("id")), "id", "left_anti").select("problem_id").distinct()
         ops = (
@@ -151,20 +138,22 @@ def run_sft(problems: DataFrame, generators: list[ModelSpec], judges: list[Model
         )
         rows = sft_rows(samples.drop("generated_at"), scores, gen.include_rejected, gen.track_costs)
         schema = rows.schema
-        _commit(rows, ops, _failed(unmade, "generation").unionByName(_failed(unjudged, "judgment")), folder, batch_id)
-    return committed(problems.sparkSession, f"{folder}/rows", f"{folder}/ledger", schema).drop("batch_id")
+        run.commit(rows, ops, _failed(unmade, "generation").unionByName(_failed(unjudged, "judgment")), batch_id)
+    return run.rows(schema)
 
 
-def run_dpo(problems: DataFrame, generators: list[ModelSpec], judges: list[ModelSpec], prompts: tuple[str, str], ask: Batches, review: Batches, folder: str, n: int = 3, gen: GenerationConfig = GenerationConfig(), cfg: EnsembleConfig = EnsembleConfig(), batches: int = 1) -> DataFrame:
+def run_dpo(problems: DataFrame, generators: list[ModelSpec], judges: list[ModelSpec], prompts: tuple[str, str], ask: Batches, review: Batches, folder: str, n: int = 3, gen: GenerationConfig = GenerationConfig(), cfg: EnsembleConfig = EnsembleConfig(), batches: int = 1, buckets: int = 64, every: int = 64, order: str | None = None) -> DataFrame:
     """Problems to preference pairs of n responses each, committed in so many batches. Verdicts play no part: a problem
-    is approved if it has a pair, rejected if its scores are too close, and failed with fewer than two judged responses."""
-    schema = None
-    for batch_id, part in _batches(problems, folder, batches):
-        samples, unmade = generate(expand_responses(part, n), generators, prompts[0], ask, f"{folder}/generated", ordinal="response_idx")
-        results, unjudged = judge(samples, judges, cfg.num_judges if cfg.enabled else 1, prompts[1], review, f"{folder}/judged", gen.approval_threshold)
+    is approved if it has a pair, rejected if its scores are too close, and failed with fewer than two judged responses.
+    Repeated ids, buckets, every and order as in run_sft."""
+    run, schema = _Run(problems, folder, batches, buckets, every, order), None
+    for batch_id, wanted, part in run.batches():
+        samples, unmade = generate(expand_responses(part, n), generators, prompts[0], ask, run.generated, ordinal="response_idx", wanted=wanted)
+        samples, unmade = run.keep(samples, "samples"), run.keep(unmade, "unmade")
+        results, unjudged = judge(samples, judges, cfg.num_judges if cfg.enabled else 1, prompts[1], review, run.judged, gen.approval_threshold, wanted)
         scores = evaluate(results.drop("problem_id", "judged_at"), cfg, judges).select("sample_id", "score", "judge_cost_usd")
-        judged = samples.select(F.col("id").alias("sample_id"), "problem_id", "response_idx", "model", "cost_usd").join(scores, "sample_id")
-        pairs = dpo_pairs(judged, part, samples.select(F.col("id").alias("sample_id"), "output"))
+        judged = run.keep(samples.select(F.col("id").alias("sample_id"), "problem_id", "response_idx", "model", "cost_usd").join(scores, "sample_id"), "judged")
+        pairs = run.keep(dpo_pairs(judged, part, samples.select(F.col("id").alias("sample_id"), "output")), "pairs")
         counts = judged.groupBy("problem_id").agg(F.count(F.lit(1)).alias("n"), F.sum("judge_cost_usd").alias("judge_cost_usd"))
         costs = samples.groupBy("problem_id").agg(F.count(F.lit(1)).alias("made"), F.sum("cost_usd").alias("cost_usd"), F.max("generated_at").alias("at"))
         of = part.select(F.col("id").alias("problem_id")).join(costs, "problem_id", "left").join(counts, "problem_id", "left").join(pairs.select("problem_id", "chosen_score"), "problem_id", "left")
@@ -176,8 +165,8 @@ def run_dpo(problems: DataFrame, generators: list[ModelSpec], judges: list[Model
             .unionByName(_ops(of.filter(~enough), "failed", 2, reason=reason))
         )
         schema = pairs.schema
-        _commit(pairs, ops, _failed(unmade, "generation").unionByName(_failed(unjudged, "judgment")), folder, batch_id)
-    return committed(problems.sparkSession, f"{folder}/rows", f"{folder}/ledger", schema).drop("batch_id")
+        run.commit(pairs, ops, _failed(unmade, "generation").unionByName(_failed(unjudged, "judgment")), batch_id)
+    return run.rows(schema)
 
 
 def replay(reply: Callable[[str], tuple[str | None, str | None]]) -> Batches:

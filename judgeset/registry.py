@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import json
-import tempfile
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +14,7 @@ from judgeset.functions import text as TX
 from judgeset.operators import curate, dpo, exports, judging, ledger, models, ratelimit, requests, sft, stats
 from judgeset.plans import workloads
 from judgeset.sources import commit, jsonl
+from judgeset.sources.files import shared_path as _shared
 from judgeset.streaming import streams
 
 GENERATORS = [ModelSpec("model-0", endpoint="alpha", weight=2, input_price_per_1m=0.5, output_price_per_1m=1.5), ModelSpec("model-1", endpoint="beta", weight=1, input_price_per_1m=0.25, output_price_per_1m=2.0)]
@@ -38,16 +37,6 @@ def query(sql: str):
     return put
 
 
-def _shared(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that the driver and all executors share; in local mode one of its own where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 # --- text -------------------------------------------------------------------------------------------------------------
 
 # The markers, patterns and limits that the column functions must match, as SQL literals.
@@ -497,7 +486,26 @@ def commit_batch_idempotent(spark: SparkSession, d: str) -> DataFrame:
         mine = rows.filter(F.col("o_orderkey") % 3 == batch)
         ops = mine.select(F.col("o_orderkey").alias("seq"), F.lit("judged").alias("type"), F.col("id").alias("problem_id"), *[F.lit(None).cast(t).alias(c) for c, t in (("model", "string"), ("cost", "double"), ("score", "double"), ("verdict", "string"), ("judge_cost", "double"), ("output_json", "string"), ("reason", "string"), ("at", "timestamp"))])
         commit.commit_batch(mine.select("id", "input"), ops, out, log, batch)
-    commit._replace(rows.filter(F.col("o_orderkey") % 3 == 2).select("id", "input"), out, 2)
+    commit.stage(rows.filter(F.col("o_orderkey") % 3 == 2).select("id", "input"), out, 2, commit.new_try())
+    return commit.committed(spark, out, log).select("id", "input", "batch_id")
+
+
+@query(f"SELECT id, input, CAST(o_orderkey % 3 AS BIGINT) AS batch_id FROM ({X.PROBLEMS}) p WHERE o_orderkey % 3 = 0 OR (o_orderkey % 3 = 2 AND o_orderkey % 2 = 0)")
+def retry_without_rows(spark: SparkSession, d: str) -> DataFrame:
+    """A batch committed once, one whose first try broke off and whose second has no rows, and one committed again with
+    half of its rows; what the tries that do not count left behind is removed."""
+    out, log = _shared(spark, "rows"), _shared(spark, "ops")
+    rows = X.frame(spark, d, X.PROBLEMS)
+    none = [F.lit(None).cast(t).alias(c) for c, t in (("model", "string"), ("cost", "double"), ("score", "double"), ("verdict", "string"), ("judge_cost", "double"), ("output_json", "string"), ("reason", "string"), ("at", "timestamp"))]
+    ops = lambda df: df.select(F.col("o_orderkey").alias("seq"), F.lit("judged").alias("type"), F.col("id").alias("problem_id"), *none)
+    put = lambda df, batch: commit.commit_batch(df.select("id", "input"), ops(df), out, log, batch)
+    of = lambda batch: rows.filter(F.col("o_orderkey") % 3 == batch)
+    put(of(0), 0)
+    commit.stage(of(1).select("id", "input"), out, 1, commit.new_try())
+    put(of(1).limit(0), 1)
+    put(of(2), 2)
+    put(of(2).filter("o_orderkey % 2 = 0"), 2)
+    commit.recover(spark, [out, log], commit.manifest_of(log))
     return commit.committed(spark, out, log).select("id", "input", "batch_id")
 
 
@@ -604,10 +612,21 @@ def resume_after_crash(spark: SparkSession, d: str) -> DataFrame:
     problems, folder = X.frame(spark, d, X.PROBLEMS).select("id", "input", "metadata", "o_orderkey"), _shared(spark, "sft")
     run = lambda some, step: workloads.run_sft(some.select("id", "input", "metadata"), GENERATORS[:1], JUDGES[:1], _PROMPTS, _solve(step), workloads.replay(_review), folder)
     first = run(problems.filter("o_orderkey % 2 = 0"), "Step 1")
-    commit._replace(first.limit(10), f"{folder}/rows", 1)
+    commit.stage(first.limit(10), f"{folder}/rows", 1, commit.new_try())
     return run(problems, "Step 2").select(*_ROW)
 
 
+@query(_SOLVED.format("'Step 1'"))
+def resume_repeated_ids(spark: SparkSession, d: str) -> DataFrame:
+    """Every problem stands three times, twice as it was before; a run over a part of the last ones, and one over all."""
+    now = X.frame(spark, d, X.PROBLEMS).select("id", "input", "metadata", F.lit(2).alias("n"), "o_orderkey")
+    old = now.withColumn("input", F.concat(F.lit("5-LOW "), F.lit("P")))
+    every, folder = old.withColumn("n", F.lit(0)).unionByName(now).unionByName(old.withColumn("n", F.lit(1))), _shared(spark, "sft")
+    run = lambda some: workloads.run_sft(some.drop("o_orderkey"), GENERATORS[:1], JUDGES[:1], _PROMPTS, _solve("Step 1"), workloads.replay(_review), folder, batches=2, order="n")
+    run(every.filter("o_orderkey % 5 = 0"))
+    return run(every).select(*_ROW)
+
+
 def _respond(body: str) -> tuple[str | None, str | None]:
     """model-1 answers better; model-0 fails on open orders in part."""
     model, content = _asked_for(body)

@@ -116,7 +116,7 @@ def test_commit_twice_is_once(spark, tmp_path):
     out, log = str(tmp_path / "o"), str(tmp_path / "l")
     for batch in (0, 1, 1):
         commit.commit_batch(rows, ops, out, log, batch)
-    commit._replace(rows, out, 7)  # broke off before its operations
+    commit.stage(rows, out, 7, commit.new_try())  # broke off before its operations
     assert sorted(r["batch_id"] for r in commit.committed(spark, out, log).collect()) == [0, 1]
 
 
