@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from judgeset.operators.prefix import running
+from judgeset.sources.files import shared_path
+
 
 def to_sft(sft: DataFrame) -> DataFrame:
     return sft.select(F.col("input").alias("prompt"), F.col("output").alias("completion"))
@@ -23,19 +25,27 @@ def to_kto(sft: DataFrame, threshold: float = 0.85) -> DataFrame:
     return sft.select(F.col("input").alias("prompt"), F.col("output").alias("completion"), (F.col("score") >= threshold).alias("label"))
 
 
-def to_grpo(judged: DataFrame, most: int = 1024) -> DataFrame:
-    """One row per problem with all its judged responses; completions and scores are aligned by response_idx, and the
-    prompt is the first response's.
+def to_grpo(judged: DataFrame, most: int = 1024, path: str | None = None) -> DataFrame:
+    """(problem_id, part, prompt, completions, scores): every problem with all its judged responses, completions and
+    scores aligned by response_idx. A problem with more than most responses stands in several rows, parts 0, 1, ... of
+    most responses each; the prompt is the first response's of each part. A null problem_id is a problem of its own.
 
-    A trainer reads a problem's responses as one row. Problems with more than most responses, which no such row should
-    hold, are not written here in part but reported whole by oversized().
+    Responses are counted first, without their texts. Only rows of the larger problems are dealt by ranges of problem and
+    response (under path, by default in the shared folder) to find their parts, so that no task gets all texts of one.
     """
-    n = F.count(F.lit(1)).over(W.partitionBy("problem_id"))
-    fit = judged.select("problem_id", "response_idx", "input", "output", "score", n.alias("n")).filter(F.col("n") <= most)
-    rows = fit.groupBy("problem_id").agg(F.min_by("input", "response_idx").alias("prompt"), F.sort_array(F.collect_list(F.struct("response_idx", "output", "score"))).alias("x"))
-    return rows.select("problem_id", "prompt", F.transform("x", lambda r: r["output"]).alias("completions"), F.transform("x", lambda r: r["score"]).alias("scores"))
+    rows = judged.select("problem_id", "response_idx", "input", "output", "score")
+    large = oversized(judged, most).select(F.col("problem_id").alias("p"))
+    same = F.col("problem_id").eqNullSafe(F.col("p"))
+    parts = rows.join(large, same, "left_anti").withColumn("part", F.lit(0).cast("bigint"))
+    if not large.isEmpty():
+        spread = running(rows.join(large, same, "left_semi"), ["problem_id", "response_idx", "score", "output"], {"n": F.lit(1).cast("bigint")}, path or shared_path(judged.sparkSession, "grpo"))
+        first = spread.groupBy(F.col("problem_id").alias("p")).agg(F.min("n").alias("first"))
+        spread = spread.join(first, same).withColumn("part", F.floor((F.col("n") - F.col("first")) / most))
+        parts = parts.unionByName(spread.select(*parts.columns))
+    made = parts.groupBy("problem_id", "part").agg(F.min_by("input", "response_idx").alias("prompt"), F.sort_array(F.collect_list(F.struct("response_idx", "output", "score"))).alias("x"))
+    return made.select("problem_id", F.col("part").cast("int").alias("part"), "prompt", F.transform("x", lambda r: r["output"]).alias("completions"), F.transform("x", lambda r: r["score"]).alias("scores"))
 
 
 def oversized(judged: DataFrame, most: int = 1024) -> DataFrame:
-    """(problem_id, responses) of the problems that to_grpo leaves out."""
+    """(problem_id, responses) of the problems that to_grpo writes in several parts."""
     return judged.groupBy("problem_id").agg(F.count(F.lit(1)).alias("responses")).filter(F.col("responses") > most)

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from judgeset.operators.prefix import running
+
 STATUSES = ("pending", "generated", "approved", "rejected", "failed", "retrypending")
 
 
@@ -91,3 +93,19 @@ def replay_counters(ops: DataFrame) -> DataFrame:
     status = F.when(F.col("type") == "generated", "generated").when(F.col("type") == "failed", "retrypending").when(F.col("verdict") == "approve", "approved").otherwise("rejected")
     w = W.partitionBy("problem_id").orderBy("seq")
     return ops.select("problem_id", "seq", F.coalesce(F.lag(status).over(w), F.lit("pending")).alias("before"), status.alias("after"))
+
+
+COUNTED = ("pending", "generated", "approved", "rejected", "retrypending")
+
+
+def running_counters(problems: DataFrame, ops: DataFrame, path: str) -> DataFrame:
+    """(seq, problem_id, and a count for each status): how many problems have each status after every operation.
+
+    All problems start as pending; operations on unknown ones are left out. Operations of one seq follow each other by
+    problem. The log is replayed per problem, and the changes are added up over the whole log by ranges of seq.
+    """
+    known = ops.join(problems.select(F.col("id").alias("problem_id")).distinct(), "problem_id", "left_semi")
+    total = problems.select("id").distinct().agg(F.count(F.lit(1)).alias("all")).first()["all"]
+    change = lambda s: (F.when(F.col("after") == s, 1).otherwise(0) - F.when(F.col("before") == s, 1).otherwise(0)).cast("bigint")
+    out = running(replay_counters(known), ["seq", "problem_id"], {s: change(s) for s in COUNTED}, path)
+    return out.select("seq", "problem_id", *[(F.col(s) + (total if s == "pending" else 0)).alias(s) for s in COUNTED])

@@ -9,53 +9,54 @@ from pyspark.sql import functions as F
 
 from judgeset.config import ModelSpec, models_table, total_weight
 from judgeset.functions.names import unused
+from judgeset.operators.prefix import running
+from judgeset.sources.files import shared_path
 
 
-def slots(df: DataFrame, models: list[ModelSpec]) -> DataFrame:
-    """(slot, model_id) with each model in as many consecutive slots as it weighs."""
+def choose(slot: Column, models: list[ModelSpec]) -> Column:
+    """The model whose cumulative weight is the first above slot (0 to total weight - 1), by binary search: as many
+    comparisons as the number of models has digits, whatever they weigh. Null for a null slot."""
     total_weight(models)
-    spark = df.sparkSession
-    ends = list(accumulate(m.weight for m in models))
-    rows = [(s, m.id) for m, end in zip(models, ends, strict=True) for s in range(end - m.weight, end)]
-    return spark.createDataFrame(rows, "slot bigint, model_id string")
+    weighed = [m for m in models if m.weight > 0]
+    ends = list(accumulate(m.weight for m in weighed))
 
+    def among(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(weighed[lo].id)
+        mid = (lo + hi) // 2
+        return F.when(slot < F.lit(ends[mid]), among(lo, mid)).otherwise(among(mid + 1, hi))
 
-def assign_models(df: DataFrame, models: list[ModelSpec], ordinal: str | None = None, key: str = "id", method: str = "round_robin", out: str = "model") -> DataFrame:
-    """Adds the model of each row: slot = ordinal mod total weight, or a hash of key (no pass over the data). Without an
-    ordinal column rows are numbered first. A null ordinal has no model; other columns are passed on, whatever their names.
+    return F.when(slot.isNotNull(), among(0, len(weighed) - 1))
 
-    Slots are joined by equality against a table as long as the total weight, which the user configures.
-    """
+
+def assign_models(df: DataFrame, models: list[ModelSpec], ordinal: str | None = None, key: str = "id", method: str = "round_robin", out: str = "model", path: str | None = None) -> DataFrame:
+    """Adds the model of each row: by ordinal mod total weight, or by a hash of key (method "hash", no pass over the
+    data). Without an ordinal column the keys are numbered first; see with_ordinal. A null ordinal has no model; other
+    columns are passed on, whatever their names."""
     total = total_weight(models)
     if len(models) == 1:
         return df.withColumn(out, F.lit(models[0].id))
-    slot = unused(df, "slot")
     if method == "hash":
-        return _with_slot(df.withColumn(slot, F.pmod(F.xxhash64(key), F.lit(total))), slot, models, out)
-    if ordinal is None:
-        df, ordinal = with_ordinal(df, unused(df, "ordinal"))
-        return _with_slot(df.withColumn(slot, F.pmod(F.col(ordinal), F.lit(total))), slot, models, out).drop(ordinal)
-    return _with_slot(df.withColumn(slot, F.pmod(F.col(ordinal).cast("bigint"), F.lit(total))), slot, models, out)
+        return df.withColumn(out, choose(F.pmod(F.xxhash64(key), F.lit(total)), models))
+    if ordinal is not None:
+        return df.withColumn(out, choose(F.pmod(F.col(ordinal).cast("bigint"), F.lit(total)), models))
+    numbered, name = with_ordinal(df, unused(df, "ordinal"), key, path)
+    return numbered.withColumn(out, choose(F.pmod(F.col(name), F.lit(total)), models)).drop(name)
 
 
-def with_ordinal(df: DataFrame, name: str = "ordinal") -> tuple[DataFrame, str]:
-    """df with its rows numbered from 0 in the order of its partitions, without one sorted task.
+def with_ordinal(df: DataFrame, name: str = "ordinal", key: str = "id", path: str | None = None) -> tuple[DataFrame, str]:
+    """df with its keys numbered from 0 in ascending order (null first), and the name of that column.
 
-    Partitions are counted first; their offsets, one number each, are added to the place inside the partition. df must
-    have the same partitions both times, as a written table has.
+    The order of the keys alone decides, so numbers are the same on every run and however df is partitioned; rows of one
+    key share a number. Only the keys are sorted, by ranges, and written with their parts under path (by default a new
+    path in the shared folder), so that counts and numbers follow from one table; df is joined with them.
     """
-    part = unused(df, "part")
-    counts = {r["p"]: r["n"] for r in df.select(F.spark_partition_id().alias("p")).groupBy("p").agg(F.count(F.lit(1)).alias("n")).collect()}
-    ids = sorted(counts)
-    offsets = df.sparkSession.createDataFrame(list(zip(ids, accumulate([0, *[counts[i] for i in ids[:-1]]]), strict=True)) if ids else [], f"{part} int, {name} bigint")
-    placed = df.select("*", F.spark_partition_id().alias(part), F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1)).alias(inside := unused(df, "place")))
-    return placed.join(F.broadcast(offsets), part, "left").withColumn(name, F.col(name) + F.col(inside)).select(*df.columns, name), name
-
-
-def _with_slot(df: DataFrame, slot: str, models: list[ModelSpec], out: str) -> DataFrame:
-    table = F.broadcast(slots(df, models)).select(F.col("slot").alias(slot), F.col("model_id").alias(given := unused(df, "given")))
-    kept = [c for c in df.columns if c not in (slot, out)]
-    return df.join(table, slot, "left").select(*kept, F.col(given).alias(out))
+    keys = df.select(F.col(key).alias("k")).distinct()
+    numbers = running(keys, ["k"], {"n": F.lit(1).cast("bigint")}, path or shared_path(df.sparkSession, "ordinals"))
+    k, n = unused(df, "k"), unused(df, "n")
+    numbers = numbers.select(F.col("k").alias(k), (F.col("n") - 1).alias(n))
+    joined = df.join(numbers, F.col(key).eqNullSafe(F.col(k)), "left")
+    return joined.select(*[F.col(c) for c in df.columns if c != name], F.col(n).alias(name)), name
 
 
 def weights(df: DataFrame, models: list[ModelSpec]) -> DataFrame:

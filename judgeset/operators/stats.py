@@ -42,3 +42,13 @@ def cost_by_model(sft: DataFrame) -> DataFrame:
 def usage_by_endpoint(samples: DataFrame) -> DataFrame:
     """Tokens and cost per endpoint; micro-dollars are cut off per request before they are added up."""
     return samples.groupBy("endpoint").agg(F.count(F.lit(1)).alias("requests"), _sum("tokens_in").alias("tokens_in"), _sum("tokens_out").alias("tokens_out"), F.sum("cost_usd").alias("cost_usd"), F.sum(F.floor(F.col("cost_usd") * 1e6).cast("bigint")).alias("cost_micros"))
+
+
+def usage_rollup(samples: DataFrame) -> DataFrame:
+    """Requests, tokens and cost by endpoint and model, by endpoint, and over all, in one pass.
+
+    level tells the rows apart: 0 for a model of an endpoint, 1 for an endpoint, 3 for all; so the totals of rows whose
+    own model or endpoint is null are not taken for sums over it.
+    """
+    level = F.grouping_id().cast("int").alias("level")
+    return samples.rollup("endpoint", "model").agg(level, F.count(F.lit(1)).alias("requests"), _sum("tokens_in").alias("tokens_in"), _sum("tokens_out").alias("tokens_out"), F.sum("cost_usd").alias("cost_usd"))

@@ -162,7 +162,19 @@ def weighted_models(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT CASE WHEN i % 3 < 2 THEN 'model-0' ELSE 'model-1' END AS model, count(*) AS n FROM (SELECT row_number() OVER () - 1 AS i FROM orders) o GROUP BY 1")
 def weighted_models_numbered(spark: SparkSession, d: str) -> DataFrame:
     """Rows of each model where the table has no ordinal column and its rows are numbered first."""
-    return models.assign_models(spark.read.parquet(f"{d}/orders.parquet").select("o_orderkey"), GENERATORS).groupBy("model").agg(F.count(F.lit(1)).alias("n"))
+    return models.assign_models(spark.read.parquet(f"{d}/orders.parquet").select("o_orderkey"), GENERATORS, key="o_orderkey").groupBy("model").agg(F.count(F.lit(1)).alias("n"))
+
+
+#: Weights as large as token budgets; the second model has none.
+HEAVY = [ModelSpec("a", weight=10**9), ModelSpec("b", weight=0), ModelSpec("c", weight=2 * 10**9), ModelSpec("d", weight=1)]
+
+
+@query("SELECT o_custkey, n, CASE WHEN slot < 1000000000 THEN 'a' WHEN slot < 3000000000 THEN 'c' ELSE 'd' END AS model FROM (SELECT *, (row_number() OVER (ORDER BY o_custkey) - 1) * 700000001 % 3000000001 AS slot FROM (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey) g) o")
+def weighted_models_grouped(spark: SparkSession, d: str) -> DataFrame:
+    """Models of an aggregated table, whose rows are numbered by their keys, under weights of thousands of millions."""
+    customers = spark.read.parquet(f"{d}/orders.parquet").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
+    numbered, name = models.with_ordinal(customers, "i", key="o_custkey")
+    return models.assign_models(numbered.withColumn("o", F.col(name) * 700000001), HEAVY, ordinal="o").select("o_custkey", "n", "model")
 
 
 _COST = "(tokens_in / 1e6::DOUBLE) * CASE model WHEN 'model-0' THEN 0.5::DOUBLE ELSE 0.25::DOUBLE END + (tokens_out / 1e6::DOUBLE) * CASE model WHEN 'model-0' THEN 1.5::DOUBLE ELSE 2.0::DOUBLE END"
@@ -190,6 +202,24 @@ def cost_by_model(spark: SparkSession, d: str) -> DataFrame:
     return stats.cost_by_model(models.with_cost(X.frame(spark, d, X.JUDGED), GENERATORS)).withColumn("cost_usd", F.round("cost_usd", 9))
 
 
+@query(f"SELECT endpoint, model, CAST(grouping(endpoint) * 2 + grouping(model) AS INT) AS level, count(*) AS requests, CAST(sum(tokens_in) AS BIGINT) AS tokens_in, CAST(sum(tokens_out) AS BIGINT) AS tokens_out, round(sum({_COST}), 6) AS cost_usd FROM ({X.JUDGED}) s GROUP BY ROLLUP (endpoint, model)")
+def usage_rollup(spark: SparkSession, d: str) -> DataFrame:
+    return stats.usage_rollup(models.with_cost(X.frame(spark, d, X.JUDGED), GENERATORS)).withColumn("cost_usd", F.round("cost_usd", 6))
+
+
+#: Models whose endpoints repeat; their order is that of their first model.
+ROUTES = [ModelSpec(f"route-{i}", endpoint=e) for i, e in enumerate(("zeta", "alpha", "zeta", "mid", "alpha"))]
+
+
+@query("SELECT CAST(o_orderkey % 5 AS INT) AS route, CAST(CASE o_orderkey % 5 WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 0 WHEN 3 THEN 2 ELSE 1 END AS INT) AS place, CAST(3 AS INT) AS endpoints, count(*) AS orders FROM orders GROUP BY o_orderkey % 5")
+def endpoint_places(spark: SparkSession, d: str) -> DataFrame:
+    """Orders by the place of their route's endpoint among the endpoints in use."""
+    places = {e: i for i, e in enumerate(models.endpoints(ROUTES))}
+    known = spark.createDataFrame([(i, places[m.endpoint], len(models.endpoints(ROUTES))) for i, m in enumerate(ROUTES)], "route int, place int, endpoints int")
+    orders = spark.read.parquet(f"{d}/orders.parquet").select((F.col("o_orderkey") % 5).cast("int").alias("route"))
+    return orders.join(F.broadcast(known), "route").groupBy("route", "place", "endpoints").agg(F.count(F.lit(1)).alias("orders"))
+
+
 @query(f"SELECT endpoint, count(*) AS samples FROM ({X.JUDGED}) s GROUP BY endpoint")
 def sample_endpoints(spark: SparkSession, d: str) -> DataFrame:
     """Samples of each configured endpoint, by the endpoint of the model that made them."""
@@ -278,6 +308,14 @@ def confidence_tiers(spark: SparkSession, d: str) -> DataFrame:
     return curate.confidence_tier(_sft(spark, d, True)).select("id", "tier")
 
 
+@query(f"SELECT sha256(id) AS id, CASE WHEN truncated THEN 'low_i' WHEN score >= 0.9 AND has_reasoning THEN 'high_k' WHEN score >= 0.7 THEN 'med_b' ELSE 'low_i' END AS tier FROM ({_FLAGGED}) f WHERE truncated OR score < 0.7 OR (score >= 0.9 AND has_reasoning)")
+def tier_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """The best and the lowest tier, read from their folders."""
+    path = _shared(spark, "tiers")
+    curate.write_tiers(_sft(spark, d, True), path)
+    return curate.read_tier(spark, path, "high_k", "low_i").select("id", "tier")
+
+
 _RATES = "total_approved / 3600.0::DOUBLE * 3600.0::DOUBLE AS throughput_per_hour, CASE WHEN total_judged = 0 THEN 0.0::DOUBLE ELSE total_approved / total_judged::DOUBLE END AS approval_rate, 3600.0::DOUBLE AS runtime_secs"
 
 
@@ -359,6 +397,14 @@ def ledger_replay(spark: SparkSession, d: str) -> DataFrame:
     return ledger.replay_counters(X.frame(spark, d, X.OPS))
 
 
+_COUNTED = ("pending", "generated", "approved", "rejected", "retrypending")
+
+
+@query(f"SELECT seq, problem_id, " + ", ".join(f"CAST({f'(SELECT count(*) FROM ({X.LEDGER_PROBLEMS}) p) + ' if s == 'pending' else ''}sum((after = '{s}')::INT - (before = '{s}')::INT) OVER (ORDER BY seq, problem_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS {s}" for s in _COUNTED) + f" FROM (SELECT problem_id, seq, coalesce(lag({_AFTER}) OVER (PARTITION BY problem_id ORDER BY seq), 'pending') AS before, {_AFTER} AS after FROM ({X.OPS}) o WHERE problem_id IN (SELECT id FROM ({X.LEDGER_PROBLEMS}) p)) r")
+def ledger_counters(spark: SparkSession, d: str) -> DataFrame:
+    return ledger.running_counters(X.frame(spark, d, X.LEDGER_PROBLEMS), X.frame(spark, d, X.OPS), _shared(spark, "counters"))
+
+
 # --- exports ----------------------------------------------------------------------------------------------------------
 
 
@@ -379,7 +425,13 @@ def export_reward(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"SELECT problem_id, problem_id AS prompt, list(output ORDER BY response_idx) AS completions, list(score ORDER BY response_idx) AS scores FROM ({X.JUDGED}) j GROUP BY problem_id")
 def export_grpo(spark: SparkSession, d: str) -> DataFrame:
-    return exports.to_grpo(X.frame(spark, d, X.JUDGED).withColumn("input", F.col("problem_id")))
+    return exports.to_grpo(X.frame(spark, d, X.JUDGED).withColumn("input", F.col("problem_id"))).drop("part")
+
+
+@query(f"SELECT problem_id, part, problem_id AS prompt, list(output ORDER BY response_idx) AS completions, list(score ORDER BY response_idx) AS scores FROM (SELECT *, CAST((row_number() OVER (PARTITION BY problem_id ORDER BY response_idx) - 1) // 3 AS INT) AS part FROM ({X.JUDGED}) j) k GROUP BY problem_id, part")
+def export_grpo_parts(spark: SparkSession, d: str) -> DataFrame:
+    """Trainer rows of three responses at most."""
+    return exports.to_grpo(X.frame(spark, d, X.JUDGED).withColumn("input", F.col("problem_id")), 3)
 
 
 @query(f"SELECT problem_id, count(*) AS responses FROM ({X.JUDGED}) j GROUP BY problem_id HAVING count(*) > 6")
@@ -461,6 +513,21 @@ def jsonl_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return jsonl.load_problems(spark, path)
 
 
+_BAD = "CASE o_orderkey % 7 WHEN 1 THEN 'malformed' WHEN 2 THEN 'no id' WHEN 3 THEN 'no input' END"
+
+
+@query(f"SELECT o_orderkey, CAST(row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) AS BIGINT) AS line, {_BAD} AS reason FROM orders QUALIFY {_BAD} IS NOT NULL")
+def malformed_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Lines of three files, of which some are broken, blank, or miss a field, with their place in their file."""
+    key, path = F.col("o_orderkey"), _shared(spark, "lines")
+    whole = F.to_json(F.struct(key.cast("string").alias("id"), F.col("o_orderpriority").alias("input")))
+    text = F.when(key % 7 == 0, F.lit("  ")).when(key % 7 == 1, F.concat(F.lit('{"id": "'), key.cast("string"), F.lit('", "input'))).when(key % 7 == 2, F.to_json(F.struct(F.lit("x").alias("input"), key.cast("string").alias("key")))).when(key % 7 == 3, F.to_json(F.struct(key.cast("string").alias("id")))).otherwise(whole)
+    orders = spark.read.parquet(f"{d}/orders.parquet").select("o_orderkey", "o_orderstatus", text.alias("value"))
+    orders.repartition(3, "o_orderstatus").sortWithinPartitions("o_orderstatus", "o_orderkey").select("o_orderstatus", "value").write.partitionBy("o_orderstatus").text(path)
+    bad = jsonl.malformed_lines(spark, path)
+    return bad.select(F.regexp_extract("text", '"(?:id|key)": ?"([0-9]+)"', 1).cast("bigint").alias("o_orderkey"), "line", "reason")
+
+
 @query(_SFT)
 def sft_jsonl(spark: SparkSession, d: str) -> DataFrame:
     """Fine-tuning rows through JSON lines."""

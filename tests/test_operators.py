@@ -165,12 +165,14 @@ def test_models_keep_the_columns_of_their_table(spark):
         rows = out.collect()
         assert len(rows) == 9 and {(r["slot"], r["given"], r["part"], r["place"], r["ordinal"], r["_slot"]) for r in rows} == {tuple(range(6))}
     numbered, name = models.with_ordinal(df, "n")
+    assert numbered.columns == [*df.columns, "n"]
     assert sorted(r[name] for r in numbered.collect()) == list(range(9))
 
 
 def test_large_groups_are_reported_whole(spark):
     df = judged(spark, a=[0.1] * 5, b=[0.2] * 2).withColumn("input", F.concat(F.lit("in "), F.col("response_idx").cast("string")))
-    assert [(r["problem_id"], r["prompt"], r["completions"]) for r in exports.to_grpo(df, 4).collect()] == [("b", "in 0", ["b text 0", "b text 1"])]
+    got = sorted((r["problem_id"], r["part"], r["prompt"], r["completions"]) for r in exports.to_grpo(df, 4).collect())
+    assert got == [("a", 0, "in 0", [f"a text {i}" for i in range(4)]), ("a", 1, "in 4", ["a text 4"]), ("b", 0, "in 0", ["b text 0", "b text 1"])]
     assert [(r["problem_id"], r["responses"]) for r in exports.oversized(df, 4).collect()] == [("a", 5)]
 
 
