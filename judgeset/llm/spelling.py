@@ -1,4 +1,4 @@
-"""Spelling variants: words walk through a trie of all words with at most one edit, level by level, as a chain of joins."""
+"""Spelling variants: words walk through tries of all words with at most one edit, level by level, as a chain of joins."""
 
 from __future__ import annotations
 
@@ -11,7 +11,7 @@ from judgeset.llm._tables import Scratch, table
 DEEPEST = 40
 #: Levels of the trie that one job walks before its states are written.
 STRIDE = 4
-#: Down to this depth the trie has at most 1 + 90 + 90^2 nodes, as a word's letters are 90 different ones: broadcast.
+#: Down to this depth the tries have at most 2 (1 + 90 + 90^2) nodes, as a word's letters are 90 different ones: broadcast.
 SHALLOW = 2
 
 RUN = "[A-Za-z\\u00C0-\\u00FF]+"
@@ -34,64 +34,88 @@ def count_words(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lea
     return words.filter(F.char_length("word") >= shortest).groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least)
 
 
-def trie(words: DataFrame) -> DataFrame:
-    """(node, depth, kids, ends): every prefix of the words, the letters that follow it, and whether it is a word."""
-    prefixes = F.transform(F.sequence(F.lit(0), F.char_length("word")), lambda i: F.struct(F.substring("word", F.lit(1), i).alias("node"), i.alias("depth"), F.substring("word", i + 1, F.lit(1)).alias("kid")))
-    steps = words.select(F.explode(prefixes).alias("x")).select("x.*")
-    seen = steps.groupBy("node", "depth").agg(F.collect_set(F.when(F.col("kid") != "", F.col("kid"))).alias("kids"), F.max(F.col("kid") == "").alias("ends"))
-    return seen.select("node", "depth", "kids", "ends")
+#: The letters of words, in code-point order.
+LETTERS = [chr(c) for c in (*range(97, 123), *range(0xC0, 0x100))]
+#: First character of the nodes of the two tries, of the words as they are and read from the end.
+AHEAD, BACK = ">", "<"
+
+
+def _both(words: DataFrame) -> DataFrame:
+    """(way, word, start): every word as it is and from its end, and how many code points it walks unedited at first."""
+    half = F.floor(F.char_length("word") / 2).cast("int")
+    ways = F.array(F.struct(F.lit(AHEAD).alias("way"), F.col("word").alias("word"), half.alias("start")), F.struct(F.lit(BACK).alias("way"), F.reverse("word").alias("word"), (F.char_length("word") - half).alias("start")))
+    return words.select(F.explode(ways).alias("x")).select("x.*")
+
+
+def trie(walked: DataFrame) -> DataFrame:
+    """(node, depth, kids, ends): every prefix of the words from two letters on, the letters that follow it, as one string
+    in order, and whether it is a word. Letters are gathered as bits, so prefixes are summed up before the shuffle."""
+    prefixes = F.transform(F.sequence(F.lit(2), F.char_length("word")), lambda i: F.struct(F.concat("way", F.substring("word", F.lit(1), i)).alias("node"), i.alias("depth"), F.ascii(F.substring("word", i + 1, F.lit(1))).alias("kid")))
+    steps = walked.select(F.explode(prefixes).alias("x")).select("x.*")
+    one, kid = F.lit(1).cast("bigint"), F.col("kid")
+    low = F.when(kid.between(97, 122), F.call_function("shiftleft", one, kid - 97)).otherwise(0)
+    high = F.when(kid >= 0xC0, F.call_function("shiftleft", one, kid - 0xC0)).otherwise(0)
+    seen = steps.groupBy("node", "depth").agg(F.bit_or(low).alias("low"), F.bit_or(high).alias("high"), F.max(kid == 0).alias("ends"))
+    set_ = lambda bits, n: F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.when(F.call_function("shiftrightunsigned", F.col(bits), i).bitwiseAND(F.lit(1).cast("bigint")) == 1, i).otherwise(-1))
+    letters = lambda bits, n, first: F.transform(F.filter(set_(bits, n), lambda i: i >= 0), lambda i: F.char(i + first))
+    kids = F.concat(F.when(F.col("low") != 0, F.array_join(letters("low", 26, 97), "")).otherwise(""), F.when(F.col("high") != 0, F.array_join(letters("high", 64, 0xC0), "")).otherwise(""))
+    return seen.select("node", "depth", kids.alias("kids"), "ends")
 
 
 def _walk(states: DataFrame, nodes: DataFrame) -> DataFrame:
-    """States one level deeper, with those that ended here as words (word, node, done).
+    """States (word, pos, node, edits, done) one level deeper; those that have ended are passed on.
 
     A state without an edit goes on by its own letter, by any larger letter in its place (one edit), or first leaves out
-    its own letter (one edit), which is done for the first of equal letters only. So every pair of near words is found
-    once: from the longer word, or from the smaller of two of one length.
+    its own letter (one edit), which is done for the first of equal letters only (of the word as it is). So every pair of
+    near words is found once: from the longer word, or from the smaller of two of one length.
     """
-    at = states.join(nodes, "node")
-    letter, size = F.substring("word", F.col("pos") + 1, F.lit(1)), F.char_length("word")
-    step = lambda pos, node, edits, done: F.struct(pos.cast("int").alias("pos"), node.alias("node"), F.lit(edits).alias("edits"), F.lit(done).alias("done"))
+    at = states.join(nodes, "node", "left")
+    size, pos, node = F.char_length("word"), F.col("pos"), F.col("node")
+    letter = lambda i: F.substring("word", i + 1, F.lit(1))
+    step = lambda at_pos, to, edits, done=False: F.struct(at_pos.cast("int").alias("pos"), to.alias("node"), F.lit(edits).alias("edits"), F.lit(done).alias("done"))
     none = F.array().cast("array<struct<pos:int,node:string,edits:int,done:boolean>>")
-    deeper = lambda kid: F.concat("node", kid)
-    pos = F.col("pos")
 
     def follow(at_pos: Column, edits: int) -> Column:
-        own = F.substring("word", at_pos + 1, F.lit(1))
-        return F.when((at_pos < size) & F.array_contains("kids", own), F.array(step(at_pos + 1, deeper(own), edits, False))).otherwise(none)
-
-    end = lambda at_pos: F.when(F.col("ends") & (at_pos == size), F.array(step(at_pos, F.col("node"), 1, True))).otherwise(none)
-    others = F.transform(F.filter("kids", lambda kid: kid > letter), lambda kid: step(pos + 1, deeper(kid), 1, False))
-    first = (pos < size) & ((pos == 0) | (letter != F.substring("word", pos, F.lit(1))))
-    skipped = F.when(first, F.concat(follow(pos + 1, 1), end(pos + 1))).otherwise(none)
-    unedited = F.concat(follow(pos, 0), F.when(pos < size, others).otherwise(none), skipped)
-    moves = F.when(F.col("edits") == 0, unedited).otherwise(F.concat(follow(pos, 1), end(pos)))
+        """By the own letter at at_pos, or to the end where the word has no more."""
+        own = letter(at_pos)
+        if edits == 0:
+            return F.when((at_pos < size) & F.contains("kids", own), F.array(step(at_pos + 1, F.concat(node, own), 0))).otherwise(none)
+        return F.when(at_pos == size, F.when(F.col("ends"), F.array(step(at_pos, node, 1, True))).otherwise(none)).when(F.contains("kids", own), F.array(step(at_pos + 1, F.concat(node, own), 1))).otherwise(none)
+
+    others = F.transform(F.filter(F.split("kids", ""), lambda kid: kid > letter(pos)), lambda kid: step(pos + 1, F.concat(node, kid), 1))
+    ahead = F.substring(node, F.lit(1), F.lit(1)) == AHEAD
+    first = F.when(ahead, letter(pos) != letter(pos - 1)).otherwise((pos == size - 1) | (letter(pos) != letter(pos + 1)))
+    unedited = F.concat(follow(pos, 0), others, F.when(first, follow(pos + 1, 1)).otherwise(none))
+    moves = F.when(F.col("done"), F.array(F.struct("pos", "node", "edits", "done"))).when(F.col("kids").isNull(), none)
+    moves = moves.when(F.col("edits") == 1, follow(pos, 1)).when(pos < size, unedited).otherwise(none)
     return at.select("word", F.explode(moves).alias("x")).select("word", "x.*")
 
 
 def near_words(words: DataFrame, scratch: Scratch) -> DataFrame:
     """(a, b): every pair of distinct words that one inserted, deleted or replaced code point turns into each other, once.
 
-    Words of up to DEEPEST code points walk the trie: states (word, pos, node, edits) are joined with the trie's nodes of
-    one level after the other. The top levels, through which all words pass, have a bounded number of nodes and are
-    broadcast; below, Spark splits a node that many states share. Longer words would need a join a code point, so pairs
-    of them are found by the words with one code point left out, as 64-bit hashes that are checked against the words.
+    Words of up to DEEPEST code points walk a trie: states (word, pos, node, edits) are joined with the trie's nodes of one
+    level after the other. Near the root a trie has every letter at every node, so edits there would multiply states that
+    soon die. Therefore a word walks twice: as it is, with the edit in its second half, and from its end through a trie of
+    the words read backwards, with the edit in what is its first half. Either walk begins at the node of its unedited half.
+    What many words share is split by Spark's skew join; each node has one row. Longer words would need a join a code
+    point, so pairs of them are found by the words with one code point left out, as 64-bit hashes that are checked.
     """
-    short = words.filter(F.char_length("word") <= DEEPEST).select("word")
-    levels = scratch.split(trie(short).repartition("depth", F.pmod(F.xxhash64("node"), F.lit(16))), "trie", "depth", DEEPEST + 1)
-    states = short.select("word", F.lit(0).alias("pos"), F.lit("").alias("node"), F.lit(0).alias("edits"))
-    deepest, found, depth = short.agg(F.max(F.char_length("word"))).first()[0] or 0, [], 0
-    while depth <= deepest:
-        done = None
-        for d in range(depth, min(depth + STRIDE, deepest + 1)):
-            nodes = F.broadcast(levels[d]) if d <= SHALLOW else levels[d]
-            moved = _walk(states, nodes)
-            ended = moved.filter("done").select("word", F.lit(None).cast("int").alias("pos"), "node", F.lit(None).cast("int").alias("edits"))
-            states, done = moved.filter("NOT done").drop("done"), ended if done is None else done.unionByName(ended)
-        kept = scratch.keep(states.unionByName(done), f"level-{depth}")
-        found.append(kept.filter("edits IS NULL").select(F.col("word").alias("a"), F.col("node").alias("b")))
-        states = kept.filter("edits IS NOT NULL")
-        depth += STRIDE
+    walked = scratch.keep(_both(words.filter(F.char_length("word") <= DEEPEST).select("word")), "walked")
+    levels = scratch.split(trie(walked).repartition("depth", F.pmod(F.xxhash64("node"), F.lit(16))), "trie", "depth", DEEPEST + 1)
+    starts = walked.select("word", F.col("start").alias("pos"), F.concat("way", F.substring("word", F.lit(1), F.col("start"))).alias("node"), F.lit(0).alias("edits"), F.lit(False).alias("done"))
+    deepest = walked.agg(F.max(F.char_length("word"))).first()[0] or 0
+    states, found = None, []
+    for low in range(2, deepest + 1, STRIDE):
+        for depth in range(low, min(low + STRIDE, deepest + 1)):
+            new = starts.filter(F.col("pos") == depth)
+            nodes = F.broadcast(levels[depth]) if depth <= SHALLOW else levels[depth]
+            states = _walk(new if states is None else states.unionByName(new), nodes)
+        kept = scratch.keep(states, f"level-{low}")
+        back = F.substring("node", F.lit(1), F.lit(1)) == BACK
+        plain = lambda c, back=back: F.when(back, F.reverse(c)).otherwise(c)
+        found.append(kept.filter("done").select(plain(F.col("word")).alias("a"), plain(F.substring("node", F.lit(2), F.char_length("node"))).alias("b")))
+        states = kept.filter("NOT done")
     out = _long_pairs(words, scratch)
     for pairs in found:
         out = out.unionByName(pairs)
