@@ -592,8 +592,8 @@ def _as_stream(df: DataFrame, spark: SparkSession, name: str, batches: int = 3)
 def stream_pairs(spark: SparkSession, d: str) -> DataFrame:
     stream = _as_stream(X.frame(spark, d, X.JUDGED).select("problem_id", "sample_id", "response_idx", "score", "model"), spark, "judged")
     out = _shared(spark, "pairs")
-    streams.upsert(streams.pair_updates(stream), out, _shared(spark, "state")).awaitTermination()
-    new = streams.latest(spark.read.parquet(out), "problem_id")
+    streams.upsert(streams.pair_updates(stream), out, "problem_id", _shared(spark, "state")).awaitTermination()
+    new = streams.latest(spark, out, "problem_id")
     rows = new.select("problem_id", F.col("chosen.score").alias("chosen_score"), F.col("rejected.score").alias("rejected_score"), F.col("chosen.response_idx").alias("chosen_idx"), F.col("rejected.response_idx").alias("rejected_idx"), "responses")
     return rows.filter((F.col("responses") >= 2) & (F.col("chosen_score") - F.col("rejected_score") >= dpo.MIN_GAP))
 
@@ -602,8 +602,16 @@ def stream_pairs(spark: SparkSession, d: str) -> DataFrame:
 def stream_ledger(spark: SparkSession, d: str) -> DataFrame:
     stream = _as_stream(X.frame(spark, d, X.OPS).filter("problem_id <> 'unknown'"), spark, "ops")
     out = _shared(spark, "ledger")
-    streams.upsert(streams.ledger_updates(stream), out, _shared(spark, "state")).awaitTermination()
-    return streams.latest(spark.read.parquet(out), "id").select("id", "status", "retry_count")
+    streams.upsert(streams.ledger_updates(stream), out, "id", _shared(spark, "state"), fan=2).awaitTermination()
+    return streams.latest(spark, out, "id").select("id", "status", "retry_count")
+
+
+@query(f"SELECT doc_id, {_ANSWER} AS answer, {_FLAGS} FROM ({X.OUTPUTS}) o")
+def stream_flags(spark: SparkSession, d: str) -> DataFrame:
+    """Answers and quality flags of a stream of outputs."""
+    stream, out = _as_stream(X.frame(spark, d, X.OUTPUTS).select("doc_id", "output"), spark, "outputs"), _shared(spark, "flags")
+    streams.stream_rows(stream).drop("output").writeStream.option("checkpointLocation", _shared(spark, "state")).trigger(availableNow=True).format("parquet").option("path", out).start().awaitTermination()
+    return spark.read.parquet(out).select("doc_id", "answer", "quality_flags.*")
 
 
 @query(f"SELECT id, score, verdict FROM ({X.SCORED}) s WHERE verdict = 'approve'")
@@ -626,6 +634,43 @@ def stream_final_pairs(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(out).select("problem_id", F.col("window.start").cast("timestamp_ntz").alias("day"), F.col("chosen.score").alias("chosen_score"), F.col("rejected.score").alias("rejected_score"), F.col("chosen.response_idx").alias("chosen_idx"), F.col("rejected.response_idx").alias("rejected_idx"), "responses")
 
 
+def _user_stream(spark: SparkSession, d: str) -> DataFrame:
+    """Events as a stream of judged responses, a problem per user."""
+    events = spark.read.parquet(f"{d}/events.parquet")
+    judged = events.select(F.col("user_id").cast("string").alias("problem_id"), F.col("event_id").cast("string").alias("sample_id"), F.col("event_id").alias("response_idx"), (F.col("event_id") % 100 / 100).alias("score"), F.col("event_type").alias("model"), F.col("ts").cast("timestamp").alias("ts"))
+    path = _shared(spark, "judged")
+    judged.write.parquet(path)
+    return spark.readStream.schema(judged.schema).parquet(path)
+
+
+def _sessions(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    folder = _shared(spark, "sessions")
+    streams.stream_session_pairs(_user_stream(spark, d), "ts", "0 seconds", "10 hours", folder, _shared(spark, "state")).awaitTermination()
+    return streams.read_sessions(spark, folder, "bigint")
+
+
+_GAP = "INTERVAL 10 HOURS"
+_SESSIONS = f"""SELECT CAST(user_id AS VARCHAR) AS problem_id, min(ts) AS started, max(ts) + {_GAP} AS ended, max(event_id % 100) / 100.0::DOUBLE AS chosen_score, min(event_id % 100) / 100.0::DOUBLE AS rejected_score,
+  arg_max(event_id, (event_id % 100, -event_id)) AS chosen_idx, arg_min(event_id, (event_id % 100, -event_id)) AS rejected_idx, count(*) AS responses
+FROM (SELECT *, count(*) FILTER (WHERE before IS NULL OR ts - before > {_GAP}) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s FROM (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM events) e) f
+GROUP BY user_id, s HAVING max(ts) + {_GAP} <= (SELECT max(ts) FROM events)"""
+
+
+@query(f"SELECT problem_id, started, ended, chosen_score, rejected_score, chosen_idx, rejected_idx, responses FROM ({_SESSIONS}) s WHERE responses >= 2 AND chosen_score - rejected_score >= 0.1::DOUBLE")
+def stream_session_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of the sessions of each user's responses that the watermark has closed."""
+    pairs, _ = _sessions(spark, d)
+    at = lambda c: F.col(f"session.{c}").cast("timestamp_ntz")
+    return pairs.select("problem_id", at("start").alias("started"), at("end").alias("ended"), F.col("chosen.score").alias("chosen_score"), F.col("rejected.score").alias("rejected_score"), F.col("chosen.response_idx").alias("chosen_idx"), F.col("rejected.response_idx").alias("rejected_idx"), "responses")
+
+
+@query(f"SELECT problem_id, started, responses, 'insufficient_samples' AS reason FROM ({_SESSIONS}) s WHERE responses < 2")
+def stream_insufficient(spark: SparkSession, d: str) -> DataFrame:
+    """Sessions closed with fewer than two responses, from the same stream as the pairs."""
+    _, few = _sessions(spark, d)
+    return few.select("problem_id", F.col("session.start").cast("timestamp_ntz").alias("started"), "responses", "reason")
+
+
 # --- workloads --------------------------------------------------------------------------------------------------------
 
 
