@@ -25,6 +25,22 @@ def to_kto(sft: DataFrame, threshold: float = 0.85) -> DataFrame:
     return sft.select(F.col("input").alias("prompt"), F.col("output").alias("completion"), (F.col("score") >= threshold).alias("label"))
 
 
+#: What a trainer's rows are made of, by the name of the format.
+FORMATS = {"sft": ("prompt", "completion"), "dpo": ("prompt", "chosen", "rejected"), "reward": ("prompt", "completion", "reward"), "kto": ("prompt", "completion", "label"), "grpo": ("problem_id", "part", "prompt", "completions", "scores")}
+
+
+def write_trainer(rows: DataFrame, path: str, kind: str, fields: dict[str, str] | None = None, mode: str = "errorifexists") -> None:
+    """Writes trainer rows (of to_sft, to_dpo, to_reward, to_kto or to_grpo) as JSON lines in the format's order of
+    fields. fields maps the format's names to those that a trainer's configuration asks for, such as prompt to input. A
+    row that lacks one of its fields (null) fails the write, since a trainer would read it as a shorter row."""
+    names = FORMATS[kind]
+    fields = fields or {}
+    if unknown := set(fields) - set(names):
+        raise ValueError(f"{kind} has no such field: {sorted(unknown)}")
+    needed = lambda c: F.when(F.col(c).isNull(), F.raise_error(F.lit(f"a row has no {c}"))).otherwise(F.col(c)).alias(fields.get(c, c))
+    rows.select(F.to_json(F.struct(*[needed(c) for c in names])).alias("value")).write.mode(mode).text(path)
+
+
 def to_grpo(judged: DataFrame, most: int = 1024, path: str | None = None) -> DataFrame:
     """(problem_id, part, prompt, completions, scores): every problem with all its judged responses, completions and
     scores aligned by response_idx. A problem with more than most responses stands in several rows, parts 0, 1, ... of

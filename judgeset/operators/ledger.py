@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -40,16 +40,48 @@ def fold_ops(ops: DataFrame) -> DataFrame:
     )
 
 
+def partial_fold(ops: DataFrame) -> DataFrame:
+    """What a part of the log says about each problem it names, so that parts can be merged in any order: the last
+    operation of each kind with its seq, the last of all, and the number of failures."""
+    of = lambda kind, *values: F.max(F.when(F.col("type") == kind, F.struct("seq", *values)))
+    return ops.groupBy(F.col("problem_id").alias("id")).agg(
+        of("generated", "model", "cost").alias("generated"), of("judged", "score", "judge_cost").alias("judged"), of("failed", "reason").alias("failed"),
+        F.max(F.struct("seq", _status().alias("status"), "at")).alias("last"), F.count_if(F.col("type") == "failed").alias("failures"),
+    )
+
+
+def merge_folds(parts: DataFrame) -> DataFrame:
+    """One row per problem from the rows of several partial folds."""
+    return parts.groupBy("id").agg(*[F.max(c).alias(c) for c in ("generated", "judged", "failed", "last")], F.sum("failures").alias("failures"))
+
+
+def unfold(folds: DataFrame) -> DataFrame:
+    """Partial folds, one row per problem, as fold_ops gives them."""
+    return folds.select(
+        "id", "last.status", "judged.score", "generated.model", F.col("generated.cost").alias("gen_cost"), "judged.judge_cost",
+        F.col("failures").cast("int").alias("retry_count"), F.col("failed.reason").alias("retry_reason"), F.col("last.at").alias("updated_at"),
+    )
+
+
+def _status() -> Column:
+    return F.when(F.col("type") == "generated", "generated").when(F.col("type") == "failed", "retrypending").when(F.col("verdict") == "approve", "approved").otherwise("rejected")
+
+
+def with_problems(problems: DataFrame, states: DataFrame) -> DataFrame:
+    """One row per problem with its state, as fold_ops or unfold gives it; pending where there is none."""
+    return problems.select("id").dropDuplicates(["id"]).join(states, "id", "left").select(
+        "id", F.coalesce("status", F.lit("pending")).alias("status"), "score", "model", F.coalesce("gen_cost", F.lit(0.0)).alias("gen_cost"),
+        F.coalesce("judge_cost", F.lit(0.0)).alias("judge_cost"), F.coalesce("retry_count", F.lit(0)).alias("retry_count"), "retry_reason", "updated_at",
+    )
+
+
 def fold_ledger(problems: DataFrame, ops: DataFrame | None) -> DataFrame:
     """One row per problem; operations on unknown problems are ignored."""
     ids = problems.select("id").dropDuplicates(["id"])
     null = lambda kind: F.lit(None).cast(kind)
     if ops is None:
         return ids.select("id", F.lit("pending").alias("status"), null("double").alias("score"), null("string").alias("model"), F.lit(0.0).alias("gen_cost"), F.lit(0.0).alias("judge_cost"), F.lit(0).alias("retry_count"), null("string").alias("retry_reason"), null("timestamp").alias("updated_at"))
-    return ids.join(fold_ops(ops), "id", "left").select(
-        "id", F.coalesce("status", F.lit("pending")).alias("status"), "score", "model", F.coalesce("gen_cost", F.lit(0.0)).alias("gen_cost"),
-        F.coalesce("judge_cost", F.lit(0.0)).alias("judge_cost"), F.coalesce("retry_count", F.lit(0)).alias("retry_count"), "retry_reason", "updated_at",
-    )
+    return with_problems(problems, fold_ops(ops))
 
 
 def compact(snapshot: DataFrame, ops: DataFrame, high_water: int) -> DataFrame:

@@ -15,7 +15,7 @@ from judgeset.operators import curate, dpo, exports, judging, ledger, models, ra
 from judgeset.plans import workloads
 from judgeset.sources import commit, jsonl
 from judgeset.sources.files import shared_path as _shared
-from judgeset.streaming import streams
+from judgeset.streaming import levels, streams
 
 GENERATORS = [ModelSpec("model-0", endpoint="alpha", weight=2, input_price_per_1m=0.5, output_price_per_1m=1.5), ModelSpec("model-1", endpoint="beta", weight=1, input_price_per_1m=0.25, output_price_per_1m=2.0)]
 JUDGES = [ModelSpec("judge-0", weight=2), ModelSpec("judge-1", weight=1), ModelSpec("judge-2", weight=0)]
@@ -357,6 +357,15 @@ def ledger_compact(spark: SparkSession, d: str) -> DataFrame:
     return ledger.compact(ledger.fold_ledger(X.frame(spark, d, X.LEDGER_PROBLEMS), ops.filter("seq <= 500")), ops, 500)
 
 
+@query(_LEDGER)
+def ledger_levels(spark: SparkSession, d: str) -> DataFrame:
+    """The same ledger from partial folds of the log, added batch by batch and merged by levels."""
+    ops, table = X.frame(spark, d, X.OPS), levels.ledger_table(spark, _shared(spark, "levels"), fan=3)
+    for batch in range(7):
+        levels.append_ops(table, ops.filter(F.col("seq") % 7 == batch), batch)
+    return ledger.with_problems(X.frame(spark, d, X.LEDGER_PROBLEMS), levels.ledger_state(table))
+
+
 @query(f"SELECT *, coalesce((approved + rejected + failed) * 100.0::DOUBLE / nullif(total, 0), 100.0) AS progress_percent, pending = 0 AND generated = 0 AND retrypending = 0 AS is_complete FROM (SELECT count(*) AS total, " + ", ".join(f"count(*) FILTER (WHERE status = '{s}') AS {s}" for s in ledger.STATUSES) + f", (SELECT sum(cost) FROM ({X.OPS}) o WHERE type = 'generated' AND problem_id <> 'unknown') AS gen_cost, (SELECT sum(judge_cost) FROM ({X.OPS}) o WHERE type = 'judged' AND problem_id <> 'unknown') AS judge_cost FROM ({_LEDGER}) l) t")
 def ledger_stats(spark: SparkSession, d: str) -> DataFrame:
     return ledger.ledger_stats(_ledger(spark, d), X.frame(spark, d, X.OPS))
@@ -445,6 +454,14 @@ def export_kto(spark: SparkSession, d: str) -> DataFrame:
     return exports.to_kto(_scored(spark, d), THRESHOLD)
 
 
+@query(f"SELECT input, chosen, rejected FROM ({_PAIRS}) p")
+def trainer_files(spark: SparkSession, d: str) -> DataFrame:
+    """Preference rows through a trainer's files, with its name for the prompt."""
+    path = _shared(spark, "trainer")
+    exports.write_trainer(exports.to_dpo(_pairs(spark, d)), path, "dpo", {"prompt": "input"})
+    return spark.read.schema("input string, chosen string, rejected string").json(path)
+
+
 # --- requests ---------------------------------------------------------------------------------------------------------
 
 _MODEL = "CASE WHEN o_orderkey % 3 < 2 THEN 'model-0' ELSE 'model-1' END"

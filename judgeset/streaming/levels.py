@@ -1,18 +1,39 @@
-"""Upserts kept as levels of sorted runs, so that many small batches leave few folders."""
+"""Upserts kept as levels of sorted runs, so that many small batches leave few folders.
+
+The newest row of a key counts, or what a merge of the caller's makes of all its rows, as for a ledger whose runs are
+partial folds of the log.
+"""
 
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from judgeset.operators.ledger import merge_folds, partial_fold, unfold
 from judgeset.sources import files
 from judgeset.sources.commit import new_try
 
 KEEP = 3
 
 
+def ledger_table(spark: SparkSession, path: str, fan: int = 8) -> LeveledTable:
+    """A ledger that is read from a few folders however many batches it has: runs are partial folds of the operations.
+    append_ops adds a batch, ledger_state reads the state of each problem."""
+    return LeveledTable(spark, path, "id", fan, merge_folds)
+
+
+def append_ops(table: LeveledTable, ops: DataFrame, batch_id: int) -> bool:
+    return table.upsert(partial_fold(ops), batch_id)
+
+
+def ledger_state(table: LeveledTable) -> DataFrame:
+    """As fold_ops over all operations that were appended."""
+    return unfold(table.read())
+
+
 class LeveledTable:
     """The newest row of each key, over batches of updated rows that are numbered upwards.
 
@@ -22,12 +43,15 @@ class LeveledTable:
     whole under the next number, names the runs that count and the high-water mark, the last batch that they hold; batches
     up to the mark are passed over, so a batch that is tried again changes nothing. Runs that no manifest of the last KEEP
     names are removed, so that readers of an older manifest still find theirs. One writer at a time.
+
+    merge, a function from the rows of several runs to one row per key with the same columns, takes the place of the
+    newest row; it has to give the same whichever runs are merged first.
     """
 
-    def __init__(self, spark: SparkSession, path: str, key: str, fan: int = 8):
+    def __init__(self, spark: SparkSession, path: str, key: str, fan: int = 8, merge: Callable[[DataFrame], DataFrame] | None = None):
         if fan < 2:
             raise ValueError("fan must be 2 or more")
-        self.spark, self.path, self.key, self.fan = spark, path, key, fan
+        self.spark, self.path, self.key, self.fan, self.merge = spark, path, key, fan, merge
 
     def _manifests(self) -> list[str]:
         return files.matching(self.spark, f"{self.path}/_manifest/*.json")
@@ -72,6 +96,8 @@ class LeveledTable:
         for r in runs:
             part = self.spark.read.parquet(f"{self.path}/{r['name']}").withColumn("__at", F.lit(r["high"]).cast("bigint"))
             every = part if every is None else every.unionByName(part)
+        if self.merge is not None:
+            return self.merge(every.drop("__at")).select(*[c for c in every.columns if c != "__at"])
         rest = [c for c in every.columns if c not in (self.key, "__at")]
         return every.groupBy(self.key).agg(F.max_by(F.struct(*rest), "__at").alias("x")).select(self.key, "x.*")
 

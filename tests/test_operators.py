@@ -176,6 +176,17 @@ def test_large_groups_are_reported_whole(spark):
     assert [(r["problem_id"], r["responses"]) for r in exports.oversized(df, 4).collect()] == [("a", 5)]
 
 
+def test_trainer_files(spark, tmp_path):
+    rows = spark.createDataFrame([("a \"q\"\n", "b", True)], "prompt string, completion string, label boolean")
+    exports.write_trainer(rows, str(tmp_path / "k"), "kto", {"prompt": "input", "completion": "output"})
+    lines = [json.loads(x) for f in (tmp_path / "k").glob("part-*") for x in f.read_text().splitlines()]
+    assert lines == [{"input": "a \"q\"\n", "output": "b", "label": True}] and list(lines[0]) == ["input", "output", "label"]
+    with pytest.raises(ValueError, match="no such field"):
+        exports.write_trainer(rows, str(tmp_path / "x"), "kto", {"chosen": "c"})
+    with pytest.raises(Exception, match="a row has no completion"):
+        exports.write_trainer(rows.withColumn("completion", F.lit(None).cast("string")), str(tmp_path / "y"), "kto")
+
+
 def test_tiers(spark):
     rows = [("a", 0.95, False, True), ("b", 0.95, True, True), ("c", 0.95, False, False), ("d", 0.5, False, True)]
     df = spark.createDataFrame(rows, "id string, score double, t boolean, h boolean").select("id", "score", F.struct(F.col("t").alias("truncated"), F.col("h").alias("has_reasoning")).alias("quality_flags"))

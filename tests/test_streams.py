@@ -113,3 +113,30 @@ def test_sessions_merge_close_and_drop_late_rows(spark):
     assert add(("r", 10, 0.3, day + "02:00:00"), ("r", 11, 0.8, day + "03:30:00")) == ([], few("p", "q"))
     assert add(("r", 12, 0.6, day + "02:50:00")) == ([], few("p", "q"))  # joins the two sessions of r
     assert add(("z", 4, 0.1, day + "12:00:00"), ("q", 5, 1.0, day + "00:20:00")) == ([("r", 11, 10, 3)], few("p", "p", "q"))  # q's is too late
+
+
+def test_a_ledger_in_levels_equals_the_folded_log(spark, tmp_path):
+    """Operations of a problem are spread over many batches, out of order; null scores and repeated batches too."""
+    import random
+
+    from judgeset.operators import ledger
+    from judgeset.streaming import levels
+
+    rng = random.Random(9)
+    kinds = [("generated", None), ("judged", "approve"), ("judged", "reject"), ("failed", None)]
+    rows = []
+    for seq in range(400):
+        kind, verdict = rng.choice(kinds)
+        rows.append((seq, f"p{rng.randrange(25)}", kind, "m" if kind == "generated" else None, 0.5 if kind == "generated" else None, rng.choice([None, 0.7]) if kind == "judged" else None, verdict, 0.1 if kind == "judged" else None, f"r{seq}" if kind == "failed" else None, None))
+    ops = spark.createDataFrame(rows, "seq long, problem_id string, type string, model string, cost double, score double, verdict string, judge_cost double, reason string, at timestamp")
+    table = levels.ledger_table(spark, str(tmp_path / "l"), 2)
+    for batch in range(6):
+        part = ops.filter(f"seq * 7 % 6 = {batch}").coalesce(1)
+        assert levels.append_ops(table, part, batch) and not levels.append_ops(table, part, batch)
+    got = sorted(levels.ledger_state(table).drop("score").collect())
+    assert got == sorted(ledger.fold_ops(ops).drop("score").collect())
+    last = {}
+    for seq, p, kind, _, _, score, *_ in rows:
+        if kind == "judged":
+            last[p] = score
+    assert {r["id"]: r["score"] for r in levels.ledger_state(table).collect()} == {p: last.get(p) for p in {r[1] for r in rows}}
