@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import zlib
 from bisect import bisect_left, insort
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from math import ceil
 
@@ -29,6 +29,7 @@ _PLAIN = re.compile("[^\u0300-\U0010ffff]*")
 #: The tokenizer's own rule for parts of words (a fixed value).
 _PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 _known: dict[str, dict[str, bytes]] = {}
+_known_parts: dict[str, dict[str, bytes]] = {}
 _tokenizers: dict = {}
 
 
@@ -53,17 +54,36 @@ def _tokenizer(path: str):
     return _tokenizers[path]
 
 
+def _part_ids(path: str) -> Callable[[str], bytes]:
+    """Ids of a part of a word in lower case, remembered: words with marks around them share their parts."""
+    merge, known = _tokenizer(path).model.tokenize, _known_parts.setdefault(path, {})
+
+    def ids(part: str) -> bytes:
+        got = known.get(part)
+        if got is None:
+            letters = part if part.isascii() and part.isprintable() else part.encode().decode("latin-1").translate(_LETTERS)
+            got = b"".join([t.id.to_bytes(4, "little") for t in merge(letters)])
+            if len(known) < _REMEMBERED:
+                known[part] = got
+        return got
+
+    return ids
+
+
 def _word_ids(words: list[str], path: str) -> dict[str, bytes]:
     """Ids of single words. Plain words need only lower case, the parts rule and the vocabulary's merges."""
-    tokenizer, got, other = _tokenizer(path), {}, []
-    merge = tokenizer.model.tokenize
+    tokenizer, part_ids, got, other = _tokenizer(path), _part_ids(path), {}, []
     for w in words:
-        if "<|" in w or not _PLAIN.fullmatch(w):
+        if "<|" in w or not (w.isascii() or _PLAIN.fullmatch(w)):
             other.append(w)
             continue
-        parts = _PARTS.findall("".join([c.lower() for c in w]) if not w.isascii() else w.lower())
-        ids = [t.id for part in parts for t in merge(part.encode().decode("latin-1").translate(_LETTERS) if not (part.isascii() and part.isprintable()) else part)]
-        got[w] = np.asarray(ids, dtype="<u4").tobytes()
+        low = w.lower()
+        if low.isalpha():
+            got[w] = part_ids(low)
+        elif low[-1] in ".,;:!?" and low[:-1].isalpha():
+            got[w] = part_ids(low[:-1]) + part_ids(low[-1])
+        else:
+            got[w] = b"".join([part_ids(part) for part in _PARTS.findall(low)])
     for at in range(0, len(other), 5000):
         part = other[at : at + 5000]
         for w, e in zip(part, tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
