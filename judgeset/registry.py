@@ -718,19 +718,21 @@ def _review(body: str) -> tuple[str | None, str | None]:
 _SOLVED = "SELECT sha256(id) AS id, id AS problem_id, input, {} || ' <answer>' || p || '</answer>' AS output, p AS answer, 'model-0' AS model, 0.9::DOUBLE AS score, 'approve' AS verdict FROM (SELECT 'ord_' || CAST(o_orderkey AS VARCHAR) AS id, o_orderpriority || ' ' || o_orderstatus AS input, o_orderpriority AS p, o_orderstatus AS s, o_orderkey FROM orders) o WHERE s <> 'P' AND p[1] IN ('1', '2')"
 _ROW = ("id", "problem_id", "input", "output", "answer", "model", "score", "verdict")
 _PROMPTS = ("Be brief.", "Judge.")
+#: Requests of a task: recorded answers cost nothing, so many are asked before they are kept.
+_EVERY = 2048
 
 
 @query(_SOLVED.format("'Step 1'"))
 def replay_sft(spark: SparkSession, d: str) -> DataFrame:
     """Problems to fine-tuning rows in two batches, with a recorded model."""
     problems = X.frame(spark, d, X.PROBLEMS).select("id", "input", "metadata")
-    return workloads.run_sft(problems, GENERATORS[:1], JUDGES[:1], _PROMPTS, _solve("Step 1"), workloads.replay(_review), _shared(spark, "sft"), batches=2).select(*_ROW)
+    return workloads.run_sft(problems, GENERATORS[:1], JUDGES[:1], _PROMPTS, _solve("Step 1"), workloads.replay(_review), _shared(spark, "sft"), batches=2, every=_EVERY).select(*_ROW)
 
 
 @query(f"SELECT id AS problem_id, 'generation' AS stage, 'timeout' AS error FROM ({X.PROBLEMS}) p WHERE input LIKE '% P'")
 def replay_failures(spark: SparkSession, d: str) -> DataFrame:
     problems, folder = X.frame(spark, d, X.PROBLEMS).select("id", "input", "metadata"), _shared(spark, "sft")
-    workloads.run_sft(problems, GENERATORS[:1], JUDGES[:1], _PROMPTS, _solve("Step 1"), workloads.replay(_review), folder)
+    workloads.run_sft(problems, GENERATORS[:1], JUDGES[:1], _PROMPTS, _solve("Step 1"), workloads.replay(_review), folder, every=_EVERY)
     return workloads.failures(spark, folder).select("problem_id", "stage", "error")
 
 
@@ -739,7 +741,7 @@ def resume_after_crash(spark: SparkSession, d: str) -> DataFrame:
     """A run over half the problems, a try that broke off before its operations, and a run over all with a model that
     answers otherwise: what was done stays as it was."""
     problems, folder = X.frame(spark, d, X.PROBLEMS).select("id", "input", "metadata", "o_orderkey"), _shared(spark, "sft")
-    run = lambda some, step: workloads.run_sft(some.select("id", "input", "metadata"), GENERATORS[:1], JUDGES[:1], _PROMPTS, _solve(step), workloads.replay(_review), folder)
+    run = lambda some, step: workloads.run_sft(some.select("id", "input", "metadata"), GENERATORS[:1], JUDGES[:1], _PROMPTS, _solve(step), workloads.replay(_review), folder, every=_EVERY)
     first = run(problems.filter("o_orderkey % 2 = 0"), "Step 1")
     commit.stage(first.limit(10), f"{folder}/rows", 1, commit.new_try())
     return run(problems, "Step 2").select(*_ROW)
@@ -751,7 +753,7 @@ def resume_repeated_ids(spark: SparkSession, d: str) -> DataFrame:
     now = X.frame(spark, d, X.PROBLEMS).select("id", "input", "metadata", F.lit(2).alias("n"), "o_orderkey")
     old = now.withColumn("input", F.concat(F.lit("5-LOW "), F.lit("P")))
     every, folder = old.withColumn("n", F.lit(0)).unionByName(now).unionByName(old.withColumn("n", F.lit(1))), _shared(spark, "sft")
-    run = lambda some: workloads.run_sft(some.drop("o_orderkey"), GENERATORS[:1], JUDGES[:1], _PROMPTS, _solve("Step 1"), workloads.replay(_review), folder, batches=2, order="n")
+    run = lambda some: workloads.run_sft(some.drop("o_orderkey"), GENERATORS[:1], JUDGES[:1], _PROMPTS, _solve("Step 1"), workloads.replay(_review), folder, batches=2, every=_EVERY, order="n")
     run(every.filter("o_orderkey % 5 = 0"))
     return run(every).select(*_ROW)
 
@@ -774,4 +776,4 @@ def _compare(body: str) -> tuple[str | None, str | None]:
 def replay_dpo(spark: SparkSession, d: str) -> DataFrame:
     """Problems to preference pairs of three responses each, with recorded models."""
     problems = X.frame(spark, d, X.PROBLEMS).select("id", "input", "metadata")
-    return workloads.run_dpo(problems, GENERATORS, JUDGES[:1], _PROMPTS, workloads.replay(_respond), workloads.replay(_compare), _shared(spark, "dpo")).drop("metadata")
+    return workloads.run_dpo(problems, GENERATORS, JUDGES[:1], _PROMPTS, workloads.replay(_respond), workloads.replay(_compare), _shared(spark, "dpo"), every=_EVERY).drop("metadata")
