@@ -207,10 +207,10 @@ def configuration_lp(histogram: dict[int, int], capacity: int, rounds: int = 150
 
 def rounded(histogram: dict[int, int], columns: dict[tuple[tuple[int, int], ...], float]) -> tuple[list[tuple[int, list[tuple[int, int]]]], dict[int, int]]:
     """Bins as (multiplicity, [(length, number per bin)]), and the lengths left over: configurations in falling order,
-    each as often as the nearest whole number says and what is left of its lengths allows."""
+    each rounded down, but once at least, as far as what is left of its lengths allows."""
     left, bins = dict(histogram), []
     for config, times in sorted(columns.items(), key=lambda x: (-x[1], x[0])):
-        whole = min([int(times + 0.5), *[left[s] // k for s, k in config]])
+        whole = min([max(1, int(times)), *[left[s] // k for s, k in config]])
         if whole > 0:
             for s, k in config:
                 left[s] -= whole * k
@@ -218,6 +218,20 @@ def rounded(histogram: dict[int, int], columns: dict[tuple[tuple[int, int], ...]
     return bins, {s: n for s, n in left.items() if n}
 
 
+def configured(histogram: dict[int, int], capacity: int, again: int = 2, rounds: int = 60, enough: float = 0.02) -> tuple[list[tuple[int, list[tuple[int, int]]]], dict[int, int]]:
+    """Bins from the configuration LP, and the lengths left over. What rounding leaves is a smaller problem of the same
+    kind: its LP is solved and rounded in turn, up to again times with so many rounds each, or until at most enough of
+    all tokens are left."""
+    size = lambda h: sum(s * n for s, n in h.items())
+    bins, left = rounded(histogram, configuration_lp(histogram, capacity).columns)
+    for _ in range(again):
+        if size(left) <= enough * size(histogram):
+            break
+        more, left = rounded(left, configuration_lp(left, capacity, rounds).columns)
+        bins += more
+    return bins, left
+
+
 def best_fit_decreasing(histogram: dict[int, int], capacity: int, bins: Iterable[tuple[int, list[tuple[int, int]]]] = ()) -> list[tuple[int, list[tuple[int, int]]]]:
     """Best-fit decreasing on a histogram, into the room that bins leave and into new ones; equal bins are handled
     together."""
@@ -255,7 +269,7 @@ def best_fit_decreasing(histogram: dict[int, int], capacity: int, bins: Iterable
 
 def plan_bins(histogram: dict[int, int], capacity: int) -> pd.DataFrame:
     """Where the r-th piece of each length goes: for lo <= r < hi, sequence base + (r - lo) % times."""
-    bins, rest = rounded(histogram, configuration_lp(histogram, capacity).columns)
+    bins, rest = configured(histogram, capacity)
     bins = best_fit_decreasing(rest, capacity, bins)
     at, base, rows = dict.fromkeys(histogram, 0), 0, []
     for times, held in bins:
@@ -286,7 +300,7 @@ def pack(pieces: DataFrame, capacity: int = 4096, rows_per_task: int = 250_000)
     before = salted.groupBy("length", "salt").count().select("length", "salt", (F.sum("count").over(W.partitionBy("length").orderBy("salt")) - F.col("count")).alias("before"))
     order = W.partitionBy("length", "salt").orderBy("doc_id", "piece", "start", "ids_crc32")
     ranked = salted.withColumn("r", F.row_number().over(order) - 1).join(before, ["length", "salt"]).withColumn("r", F.col("r") + F.col("before"))
-    # at most (rounds * columns) configurations and a few bins per length, whatever the number of pieces
+    # at most (rounds * columns) configurations of each LP and a few bins per length, whatever the number of pieces
     placed = ranked.join(F.broadcast(bins), (ranked["length"] == bins["length"]) & (F.col("r") >= F.col("lo")) & (F.col("r") < F.col("hi")))
     step = F.col("r") - F.col("lo")
     return placed.select(

@@ -63,6 +63,23 @@ def test_the_lp_is_solved(name):
     assert lp.dual <= total <= lp.primal + len(lp.columns) and total < alone
 
 
+@pytest.mark.parametrize("pieces", [5_000, 500_000])
+def test_the_lp_packs_most_tokens(pieces):
+    """Many lengths with few pieces each: what rounding leaves is solved again, best-fit decreasing packs the least part."""
+    drawn = np.random.default_rng(1).lognormal(6, 1, pieces)
+    histogram = Counter(np.clip(drawn, 1, 2048).astype(int).tolist())
+    bins, rest = P.configured(histogram, 2048)
+    tokens = lambda h: sum(s * n for s, n in h.items())
+    held = Counter(rest)
+    for times, what in bins:
+        for s, n in what:
+            held[s] += times * n
+    assert held == histogram
+    total = sum(t for t, _ in P.best_fit_decreasing(rest, 2048, bins))
+    print(f"{len(histogram)} lengths: {tokens(rest) / tokens(histogram):.2f} left, {total} bins")
+    assert tokens(rest) < 0.3 * tokens(histogram) and total <= 1.005 * tokens(histogram) / 2048 + 1
+
+
 def test_perfect_packing_is_found():
     assert check_plan({60: 100, 40: 100, 50: 100}, 100) == 150
 
