@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 from math import erfc, exp, pi, sqrt
+from statistics import NormalDist
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -100,6 +101,13 @@ def chi2_cutoff(tail: float) -> float:
     return hi
 
 
+def _upper_quantile(tail: float) -> Column:
+    """The quantile of tail, from the median and the upper quartile (q) of a variable whose cube root is normal."""
+    normal = NormalDist().inv_cdf
+    low, high = F.cbrt(F.get("q", 0)), F.cbrt(F.get("q", 1))
+    return F.pow(low + F.lit(normal(1 - tail) / normal(0.75)) * (high - low), F.lit(3))
+
+
 def mcd_outliers(
     df: DataFrame,
     id_col: str = "doc_id",
@@ -107,7 +115,7 @@ def mcd_outliers(
     groups: tuple[str, str] = ("lang", "source"),
     support: float = 0.75,
     steps: int = 4,
-    tail: float = 1e-18,
+    tail: float = 1e-3,
 ) -> DataFrame:
     """Statistics of every row, base_failed, its squared robust distance, and kept.
 
@@ -115,10 +123,13 @@ def mcd_outliers(
     root of the share of repeated words, log share of repeated lines). For each language and source, location and
     scatter come from concentration steps: keep the support share of rows nearest to the present estimate, estimate
     again, steps times, from two starts (medians with median absolute deviations, and the spatial sign covariance);
-    the start with the smaller determinant wins. Distances are scaled so that their median fits the chi-square law,
-    and rows beyond its upper quantile of tail are rejected; the numbers' tails are far heavier than a normal law's, so
-    the usual tail of a few percent would reject ordinary texts. Every pass is a partial aggregate over a narrow table;
-    no group meets in a task.
+    the start with the smaller determinant wins. Distances are scaled so that their median fits the chi-square law.
+    Rows beyond limit, the distance that a share of tail of the ordinary rows should exceed, are rejected. Some of the
+    numbers are one value in most texts, so distances spread more than a chi-square law of five degrees; but the cube
+    root of a multiple of a chi-square variable is nearly normal whatever its degrees. So limit follows from the group's
+    own median and upper quartile of cube roots, and is never below the chi-square quantile. A quarter of a group may be
+    outliers without moving it far. Every pass is a partial aggregate over a narrow table; no group meets in a task.
+    Quantiles are approximate (to 1 in 2,000 ranks) and may differ a little from run to run in large groups.
 
     Every group has its own estimate, whatever its size: the floors are part of the scatter, so it is regular even for a
     group of one row (distance 0, kept). distance is null where the plain limits failed. Null languages and sources are
@@ -156,12 +167,13 @@ def mcd_outliers(
         estimate = following
 
     best = estimate.groupBy("g").agg(F.min_by(F.struct(*[c for c in estimate.columns if c != "g"]), F.struct("logdet", "start")).alias("e")).select("g", "e.*").drop("start", "logdet")
-    middle = vectors.join(best, "g").groupBy("g").agg(F.percentile_approx(_distance(), 0.5, 2000).alias("middle"))
-    final = scratch.keep(best.join(middle, "g"), "final")
+    middle = vectors.join(best, "g").groupBy("g").agg(F.percentile_approx(_distance(), [0.5, 0.75], 2000).alias("q"))
+    scale = F.lit(CHI2_MEDIAN) / F.greatest(F.get("q", 0), F.lit(CHI2_MEDIAN / 4))
+    final = scratch.keep(best.join(middle, "g").withColumn("scale", scale).withColumn("limit", F.greatest(F.col("scale") * _upper_quantile(tail), F.lit(chi2_cutoff(tail)))).drop("q"), "final")
     scratch.drop(estimate, median, spread)
-    judged = stats.join(final, "g", "left").withColumn("distance", F.when(~F.col("base_failed"), _distance() * F.lit(CHI2_MEDIAN) / F.greatest(F.col("middle"), F.lit(CHI2_MEDIAN / 4))))
-    kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= chi2_cutoff(tail), F.lit(True))
-    return judged.select(F.col("_id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "distance")
+    judged = stats.join(final, "g", "left").withColumn("distance", F.when(~F.col("base_failed"), _distance() * F.col("scale")))
+    kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= F.col("limit"), F.lit(True))
+    return judged.select(F.col("_id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "distance", "limit")
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

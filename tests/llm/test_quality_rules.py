@@ -1,5 +1,6 @@
 import re
 from collections import Counter, defaultdict
+from statistics import NormalDist
 
 import numpy as np
 
@@ -55,7 +56,9 @@ def brute_force(x, support=0.75, steps=4):
         if best is None or det < best[0]:
             best = (det, mean, np.linalg.inv(cov + ridge))
     d = np.einsum("ni,ij,nj->n", x - best[1], best[2], x - best[1])
-    return d * Q.CHI2_MEDIAN / max(lower(d, 0.5), Q.CHI2_MEDIAN / 4)
+    d = d * Q.CHI2_MEDIAN / max(lower(d, 0.5), Q.CHI2_MEDIAN / 4)
+    a, b = np.cbrt(lower(d, 0.5)), np.cbrt(lower(d, 0.75))
+    return d, max(Q.chi2_cutoff(1e-3), (a + NormalDist().inv_cdf(1 - 1e-3) / NormalDist().inv_cdf(0.75) * (b - a)) ** 3)
 
 
 def test_distances_match_brute_force(spark):
@@ -74,14 +77,25 @@ def test_distances_match_brute_force(spark):
             groups[a, b].append((i, t))
     assert len(groups) > 60 and min(map(len, groups.values())) < 5
     for members in groups.values():
-        want = brute_force(np.array([vectors(statistics(t)) for _, t in members]))
+        want, limit = brute_force(np.array([vectors(statistics(t)) for _, t in members]))
         have = np.array([got[i]["distance"] for i, _ in members])
         assert np.allclose(have, want, rtol=0.02, atol=0.05)
-    cutoff = Q.chi2_cutoff(1e-18)
-    assert all(r["kept"] == (not r["base_failed"] and r["distance"] <= cutoff) for r in got.values())
+        assert np.allclose([got[i]["limit"] for i, _ in members], limit, rtol=0.05)
+    assert all(r["kept"] == (not r["base_failed"] and r["distance"] <= r["limit"]) for r in got.values())
     assert got[40_000]["distance"] == 0 and got[40_000]["kept"]
 
 
+def test_the_limit_spares_ordinary_rows(spark):
+    """Labels only judge the result: the limit is drawn from the distances alone."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
+    got = [r for r in Q.mcd_outliers(docs.selectExpr("*", "'l' AS lang", "'s' AS source")).collect() if not r["base_failed"]]
+    kept = {q: [r["kept"] for r in got if labels.get(r["doc_id"]) == q] for q in (0, 1)}
+    print({q: (sum(k), len(k)) for q, k in kept.items()})
+    assert len(kept[1]) > 200 and sum(kept[1]) >= 0.99 * len(kept[1])
+    assert len(kept[0]) > 10 and sum(kept[0]) <= 0.2 * len(kept[0])
+
+
 def test_cutoff_is_the_quantile():
     assert abs(Q.chi2_cutoff(0.5) - Q.CHI2_MEDIAN) < 1e-3 and abs(Q.chi2_cutoff(0.025) - 12.8325) < 1e-3 and abs(Q.chi2_cutoff(1e-3) - 20.515) < 1e-3
 
