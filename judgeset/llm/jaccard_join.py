@@ -29,9 +29,9 @@ WIDTH, PERCENT = 5, 75
 #: Least bits of a folded sketch; large sets get two bits or more per shingle.
 SKETCH_BITS = 1024
 #: How many sets have a shingle is counted for shingles that COMMON sets or more have. An array of 2^CELLS cells keeps
-#: its logarithm, the largest where several shingles meet; its size never changes. A full array still puts the most
-#: frequent shingles last, and a wrong order costs nothing but time.
-COMMON, CELLS = 4, 24
+#: its logarithm, the largest where several shingles meet. Its size never changes; the least logarithm in it rises with
+#: the corpus, so that one cell of ROOM at most is in use. A wrong order costs nothing but time.
+COMMON, CELLS, ROOM = 4, 24, 8
 HELD = 3_000_000
 #: Runs of more sets with one position are linked in a star first; see _grouped.
 RUN = 16
@@ -113,35 +113,55 @@ def _describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield from _shared(held)
 
 
-def _levels(shared: DataFrame) -> np.ndarray:
+def _least(per: dict[int, int], room: int) -> int:
+    """The smallest logarithm from which on the shingles, per[log] of each, are no more than room. The largest one always
+    stays, so that the most frequent shingles come last whatever their number."""
+    for log in sorted(per):
+        if sum(n for at, n in per.items() if at >= log) <= room:
+            return log
+    return max(per, default=0)
+
+
+def _levels(shared: DataFrame, scratch: Scratch) -> np.ndarray:
     """The array of cells, four bits each, sixteen to a number: 0 for rare shingles, else the logarithm of how many sets
-    have them. At most 2^(CELLS - 4) numbers reach the driver, whatever the input."""
+    have them, from the least that is kept. 2^(CELLS - 4) numbers at most reach the driver, whatever the input.
+
+    A shingle outside the array is in fewer than 2^least sets of those counted, so a position that many sets share has a
+    cell in use, and such positions sign last.
+    """
     counted = shared.groupBy("shingle").agg(F.sum("docs").alias("docs")).filter(F.col("docs") >= COMMON)
-    level = F.least(F.floor(F.log2("docs")) - 1, F.lit(15)).cast("long")
-    cells = counted.groupBy(F.expr(f"shingle & {(1 << CELLS) - 1}").alias("cell")).agg(F.max(level).alias("level"))
+    counted = scratch.keep(counted.select("shingle", F.floor(F.log2("docs")).cast("long").alias("log")), "counted")
+    per = {r["log"]: r["count"] for r in counted.groupBy("log").count().collect()}  # 64 rows at most
+    least = _least(per, (1 << CELLS) // ROOM)
+    level = F.least(F.col("log") - least + 1, F.lit(15))
+    cells = counted.filter(F.col("log") >= least).groupBy(F.expr(f"shingle & {(1 << CELLS) - 1}").alias("cell")).agg(F.max(level).alias("level"))
     words = cells.groupBy(F.shiftright("cell", 4).alias("word")).agg(F.bit_or(F.expr("shiftleft(level, cast(4 * (cell & 15) as int))")).alias("levels")).toPandas()
     out = np.zeros(1 << (CELLS - 4), np.uint64)
     out[words["word"].to_numpy(np.int64)] = words["levels"].to_numpy(np.int64).view(np.uint64)
+    scratch.drop(counted)
     return out
 
 
+def level_of(value: np.ndarray, levels: np.ndarray) -> np.ndarray:
+    cell = value & np.uint64(16 * len(levels) - 1)
+    return ((levels[cell >> np.uint64(4)] >> (np.uint64(4) * (cell & np.uint64(15)))) & np.uint64(15)).astype(np.uint8)
+
+
 def signatures(value: np.ndarray, begins: np.ndarray, levels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Set, position, rank and the position before (32 bits of it) of each set's first n / 4 + 1 positions, ordered by
-    level and then by the position itself."""
+    """Set, position, rank and the position before of each set's first n / 4 + 1 positions, ordered by level and then by
+    the position itself."""
     of, n = _of(begins), np.diff(begins)
-    cell = value & np.uint64((1 << CELLS) - 1)
-    level = ((levels[cell >> np.uint64(4)] >> (np.uint64(4) * (cell & np.uint64(15)))) & np.uint64(15)).astype(np.uint8)
-    value = value[np.lexsort((value, level, of))]
+    value = value[np.lexsort((value, level_of(value, levels), of))]
     rank = np.arange(len(value)) - begins[:-1][of]
     before = np.zeros(len(value), np.uint64)
-    before[1:] = mix(value[:-1])
+    before[1:] = value[:-1]
     before[rank == 0] = 0
     chosen = rank <= n[of] // 4
-    return of[chosen], value[chosen], rank[chosen].astype(np.int32), (before[chosen] >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    return of[chosen], value[chosen], rank[chosen].astype(np.int32), before[chosen].view(np.int64)
 
 
 MEMBER = ["key", "class", "n", "rank", "before"]
-RUNS = "a long, b long, key long, class long, n int, rank int, before int"
+RUNS = "a long, b long, key long, class long, n int, rank int, before long"
 
 
 def _first_common(x: dict[str, np.ndarray], y: dict[str, np.ndarray]) -> np.ndarray:
@@ -277,7 +297,7 @@ def _grouped(df: DataFrame, doc_id: str, text: str) -> DataFrame:
     texts = df.select(*_row(doc_id, text), F.col(text).alias("text"))
     documents, shared = scratch.split(texts.mapInPandas(tidy(_describe), DESCRIBED), "described", "kind", 2)
     documents = documents.drop("shingle", "docs")
-    levels = df.sparkSession.sparkContext.broadcast(_levels(shared))
+    levels = df.sparkSession.sparkContext.broadcast(_levels(shared, scratch))
     scratch.drop(shared)
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -295,7 +315,7 @@ def _grouped(df: DataFrame, doc_id: str, text: str) -> DataFrame:
                 of = of[c]
                 yield pd.DataFrame({"key": key[c].view(np.int64), "class": kinds[of], "n": np.diff(begins)[of].astype(np.int32), "rank": rank[c], "before": before[c]})
 
-    signed = texts.select("text").mapInPandas(tidy(sign), "key long, class long, n int, rank int, before int")
+    signed = texts.select("text").mapInPandas(tidy(sign), "key long, class long, n int, rank int, before long")
     runs = scratch.keep(signed.repartition("key").sortWithinPartitions("key", "rank", "class").mapInPandas(tidy(_runs), RUNS), "runs")
     classes = scratch.keep(documents.filter("n > 0").groupBy("class").agg(F.min(_as_key()).alias("rep"), F.min("n").alias("n"), F.min("sketch").alias("sketch")), "classes")
     links = _verified(texts, classes, runs.filter("key IS NULL").select("a", "b").distinct(), scratch)

@@ -127,3 +127,47 @@ def test_runs_stream_over_batches():
         return set(zip(pairs["a"], pairs["b"], strict=True)), set(zip(out["key"].dropna(), out["class"].dropna(), strict=True))
 
     assert all(found(size) == found(10**6) for size in (1, 2, RUN - 1, RUN, RUN + 1, 100))
+
+
+def test_least_level_that_is_kept():
+    from judgeset.llm.jaccard_join import _least
+
+    assert _least({2: 100, 3: 10, 4: 5, 9: 1}, 1000) == 2
+    assert _least({2: 100, 3: 10, 4: 5, 9: 1}, 16) == 3
+    assert _least({2: 100, 3: 10, 4: 5, 9: 1}, 5) == 9
+    assert _least({9: 60}, 5) == 9 and _least({}, 5) == 0
+
+
+def test_order_with_a_small_array(spark, monkeypatch):
+    """2^8 cells for some thousand common shingles: the same links, and no position outside the array is in 2^least sets."""
+    from judgeset.llm import jaccard_join
+    from judgeset.llm._hashing import shingles
+    from judgeset.llm._tables import Scratch
+
+    monkeypatch.setattr(jaccard_join, "CELLS", 8)
+    rng = np.random.default_rng(11)
+    passages = [[f"p{k}x{i}" for i in range(25)] for k in range(60)]
+    chance = 1 / np.arange(1, 61)
+    rows = []
+    for i in range(300):
+        words = [w for k in rng.choice(60, 3, replace=False, p=chance / chance.sum()) for w in passages[k]]
+        words += [f"w{x}" for x in rng.integers(0, 10**6, int(rng.integers(5, 40)))]
+        rows += [(3 * i, " ".join(words))]
+        if i % 3 == 0:
+            words[int(rng.integers(len(words)))] = "edit"
+            rows += [(3 * i + 1, " ".join(words))]
+    value, begins = shingles([t.encode() for _, t in rows])
+    number, docs = np.unique(value, return_counts=True)
+    twice = docs > 1
+    shared = spark.createDataFrame([(int(a), int(b)) for a, b in zip(number[twice].view(np.int64), docs[twice], strict=True)], "shingle long, docs long")
+    levels = jaccard_join._levels(shared, Scratch(spark, "test"))
+    logs = np.floor(np.log2(docs[docs >= 4])).astype(int)
+    least = jaccard_join._least(dict(zip(*np.unique(logs, return_counts=True), strict=True)), 2**8 // jaccard_join.ROOM)
+    assert len(levels) == 16 and least > 2
+    of, key, _, _ = jaccard_join.signatures(value, begins, levels)
+    outside = jaccard_join.level_of(key, levels) == 0
+    _, runs = np.unique(key[outside], return_counts=True)
+    assert runs.max() < 2**least
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_duplicate_groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    want = brute_force(rows)
+    assert got == want and len({c for _, c in want.values()}) < len(rows)
