@@ -17,6 +17,8 @@ from judgeset.llm._tables import Scratch, table, tidy
 CELLS, BOXES, CANDIDATES = 6, 16, 32
 #: Vectors in a block, and bytes at most; blocks or intervals in the next larger interval.
 BLOCK, BLOCK_BYTES, FAN = 512, 1 << 20, 4
+#: Pairs of blocks are compared in squares of so many neighbouring blocks a side; a block is sent once a square.
+SIDE = 8
 
 
 def _units(raw: np.ndarray) -> np.ndarray:
@@ -78,14 +80,22 @@ def principal_axes(vectors: DataFrame) -> dict[int, np.ndarray]:
     return axes
 
 
+def squares(pairs: DataFrame) -> DataFrame:
+    """From pairs of blocks (label, size, a, b): the blocks (id) that each square of pairs (ta, tb) needs, and the larger
+    blocks of the same square that each is compared with (partners, SIDE at most)."""
+    roles = F.array(F.struct(F.col("a").alias("id"), F.col("b").alias("partner")), F.struct(F.col("b").alias("id"), F.lit(None).cast("long").alias("partner")))
+    square = [F.floor(F.col(c) / SIDE).alias(f"t{c}") for c in ("a", "b")]
+    return pairs.select("label", "size", *square, F.explode(roles).alias("x")).groupBy("label", "size", "ta", "tb", "x.id").agg(F.collect_list("x.partner").alias("partners"))
+
+
 def near_duplicate_vectors(df: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label", cosine: float = 0.93) -> DataFrame:
     """vec_id, n_links, component_id and kept of every row: links join vectors of one label with cosine >= cosine.
 
     Equal vectors are one representative with a weight. Representatives are sorted by label and by their grid cells
     (side eps, the chord of the angle) on the leading principal axes, and cut into blocks. Blocks form intervals, and
     those larger ones up to one per label. Starting there, each pair of intervals is replaced by the pairs of its parts
-    unless their bounding boxes are further apart than eps; the pairs of blocks left over are compared as matrices.
-    A pair of blocks yields link counts and one edge per linked vector, never its pairs.
+    unless their bounding boxes are further apart than eps; the pairs of blocks left over are compared as matrices, in
+    squares of SIDE by SIDE neighbouring blocks, to which each block is sent once. A pair of blocks yields link counts and one edge per linked vector, never its pairs.
 
     Rows with a null label, and vectors that are null, empty, all zero or hold null or non-finite numbers, link with
     nothing; vectors of different sizes neither. Finite numbers of any size count. A null id takes part in no link (component null, kept false). Rows
@@ -141,10 +151,10 @@ def near_duplicate_vectors(df: DataFrame, vec_id: str = "vec_id", embedding: str
             yield block(held, number)
 
     shape = "label string, size int, part int, number int, reps array<long>, weights array<long>, raw binary, lo array<double>, hi array<double>"
-    made = scratch.keep(gridded.repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(tidy(blocks), shape), "blocks")
-    per = made.groupBy("label", "size", "part").count()
+    placed = scratch.keep(gridded.repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(tidy(blocks), shape), "blocks")
+    per = placed.groupBy("label", "size", "part").count()
     before = per.select("label", "size", "part", (F.sum("count").over(W.partitionBy("label", "size").orderBy("part")) - F.col("count")).alias("before"))
-    made = made.join(before, ["label", "size", "part"]).withColumn("id", F.col("before") + F.col("number"))
+    made = placed.join(before, ["label", "size", "part"]).withColumn("id", F.col("before") + F.col("number"))
 
     levels = [scratch.keep(made.select("label", "size", "id", "lo", "hi"), "level")]
     high = levels[0].agg(F.max("id")).first()[0]
@@ -154,6 +164,7 @@ def near_duplicate_vectors(df: DataFrame, vec_id: str = "vec_id", embedding: str
         up = up.select("label", "size", "id", F.transform(dims, lambda i: F.array_min(F.transform("los", lambda x: F.get(x, i)))).alias("lo"), F.transform(dims, lambda i: F.array_max(F.transform("his", lambda x: F.get(x, i)))).alias("hi"))
         levels.append(scratch.keep(up, "level"))
         high //= FAN
+    spent = [placed, *levels]
     pairs = levels[-1].select("label", "size", F.col("id").alias("a"), F.col("id").alias("b"))
     gap = lambda i: F.greatest(F.lit(0.0), F.get("loa", i) - F.get("hib", i), F.get("lob", i) - F.get("hia", i))
     for level in levels[-2::-1]:
@@ -162,44 +173,53 @@ def near_duplicate_vectors(df: DataFrame, vec_id: str = "vec_id", embedding: str
         parts = pairs.join(left, ["label", "size", "a"]).join(right, ["label", "size", "b"]).filter("ca <= cb")
         apart = F.aggregate(F.transform(F.sequence(F.lit(0), F.size("loa") - 1), lambda i: gap(i) * gap(i)), F.lit(0.0), lambda x, y: x + y)
         pairs = scratch.keep(parts.filter(apart <= eps * eps + 1e-9).select("label", "size", F.col("ca").alias("a"), F.col("cb").alias("b")), "pairs")
+        spent.append(pairs)
+
+    def compared(x, a: np.ndarray, y, b: np.ndarray) -> Iterator[pd.DataFrame]:
+        link = a @ b.T >= cosine
+        if x.id == y.id:
+            np.fill_diagonal(link, False)
+        if not link.any():
+            return
+        low_a, low_b = np.asarray(x.reps, np.int64), np.asarray(y.reps, np.int64)
+        ids = np.concatenate([low_a, low_b])
+        count_a, count_b = link @ np.asarray(y.weights, np.int64), link.T @ np.asarray(x.weights, np.int64)
+        most = np.iinfo(np.int64).max
+        while True:  # the smallest id that each vector reaches through links of this pair of blocks
+            new_b = np.minimum(low_b, np.where(link, low_a[:, None], most).min(axis=0))
+            new_a = np.minimum(low_a, np.where(link, new_b[None, :], most).min(axis=1))
+            if x.id == y.id:
+                new_a = new_b = np.minimum(new_a, new_b)
+            if (new_a == low_a).all() and (new_b == low_b).all():
+                break
+            low_a, low_b = new_a, new_b
+        counts = np.concatenate([count_a, np.zeros(len(b), np.int64) if x.id == y.id else count_b])
+        some = counts > 0
+        yield pd.DataFrame({"rep": ids[some], "links": counts[some], "low": np.concatenate([low_a, low_b])[some]})
+
+    def square(held: list) -> Iterator[pd.DataFrame]:
+        units = {x.id: _units(np.frombuffer(x.raw, "<f8").reshape(-1, x.size)) for x in held}
+        by_id = {x.id: x for x in held}
+        for x in held:
+            for other in x.partners:
+                yield from compared(x, units[x.id], by_id[other], units[other])
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """From blocks sorted by square; holds the blocks of one square, 2 SIDE at most."""
+        key, held = None, []
         for batch in batches:
             for row in batch.itertuples(index=False):
-                d = row.size_
-                a, b = (_units(np.frombuffer(x, "<f8").reshape(-1, d)) for x in (row.raw_a, row.raw_b))
-                ids = np.concatenate([row.reps_a, row.reps_b])
-                link = a @ b.T >= cosine
-                if row.a == row.b:
-                    np.fill_diagonal(link, False)
-                if not link.any():
-                    continue
-                count_a, count_b = link @ np.asarray(row.weights_b, np.int64), link.T @ np.asarray(row.weights_a, np.int64)
-                low_a, low_b = np.asarray(row.reps_a, np.int64), np.asarray(row.reps_b, np.int64)
-                most = np.iinfo(np.int64).max
-                while True:  # the smallest id that each vector reaches through links of this pair of blocks
-                    new_b = np.minimum(low_b, np.where(link, low_a[:, None], most).min(axis=0))
-                    new_a = np.minimum(low_a, np.where(link, new_b[None, :], most).min(axis=1))
-                    if row.a == row.b:
-                        new_a = new_b = np.minimum(new_a, new_b)
-                    if (new_a == low_a).all() and (new_b == low_b).all():
-                        break
-                    low_a, low_b = new_a, new_b
-                counts = np.concatenate([count_a, np.zeros(len(b), np.int64) if row.a == row.b else count_b])
-                lows = np.concatenate([low_a, low_b])
-                some = counts > 0
-                yield pd.DataFrame({"rep": ids[some], "links": counts[some], "low": lows[some]})
-
-    x = made.select("label", "size", F.col("id").alias("a"), F.col("reps").alias("reps_a"), F.col("weights").alias("weights_a"), F.col("raw").alias("raw_a"))
-    y = made.select("label", "size", F.col("id").alias("b"), F.col("reps").alias("reps_b"), F.col("weights").alias("weights_b"), F.col("raw").alias("raw_b"))
-    rows_per_batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    usual = spark.conf.get(rows_per_batch)
-    spark.conf.set(rows_per_batch, "8")  # a row here holds two blocks
-    try:
-        both = pairs.join(x, ["label", "size", "a"]).join(y, ["label", "size", "b"]).withColumnRenamed("size", "size_")
-        found = scratch.keep(both.mapInPandas(tidy(compare), "rep long, links long, low long"), "found")
-    finally:
-        spark.conf.set(rows_per_batch, usual)
+                if (row.label, row.size, row.ta, row.tb) != key:
+                    yield from square(held)
+                    key, held = (row.label, row.size, row.ta, row.tb), []
+                held.append(row)
+        yield from square(held)
+
+    needs = scratch.keep(squares(pairs), "squares")
+    sent = needs.join(made.select("label", "size", "id", "reps", "weights", "raw"), ["label", "size", "id"])
+    by = ["label", "size", "ta", "tb"]
+    found = scratch.keep(sent.repartition(*by).sortWithinPartitions(*by).mapInPandas(tidy(compare), "rep long, links long, low long"), "found")
+    scratch.drop(needs, *spent)
     group = components(found.select(F.col("rep").alias("a"), F.col("low").alias("b")), scratch)
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     known = reps.select(*same, "rep", "weight").join(links, "rep", "left").join(group.withColumnRenamed("node", "rep"), "rep", "left")
