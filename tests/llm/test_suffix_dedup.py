@@ -79,3 +79,25 @@ def test_parts_of_a_long_text_do_not_matter():
     finally:
         suffix_dedup.PART = before
     assert starts == list(range(len(text) - LENGTH + 1))
+
+
+def test_crowded_triggers(spark, monkeypatch):
+    """A trigger with more than two phrases counts as crowded, so most shared strings are told apart one by one."""
+    monkeypatch.setattr(suffix_dedup, "MANY", 2)
+    rng = np.random.default_rng(6)
+    word = lambda n: "".join(rng.choice(list("abcdefgh é"), n))
+    passages = [word(260) for _ in range(3)]
+    rows = [(i, word(int(rng.integers(0, 300))) + passages[i % 3][int(rng.integers(0, 50)) :] + word(int(rng.integers(0, 300)))) for i in range(60)]
+    rows += [(100, rows[0][1]), (101, "ab" * 300)]
+    got_rows = got(query(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)))
+    assert got_rows == brute_force(rows) and sum(r[2] > 0 for r in got_rows) > 50
+
+
+def test_text_above_a_part(spark):
+    """A text of more than PART bytes with a repeat that crosses the parts' border, and one text with a piece of it."""
+    n = suffix_dedup.PART
+    letters = np.random.default_rng(7).integers(97, 123, n + 5_000).astype(np.uint8).tobytes().decode()
+    piece = letters[n - 150 : n + 150]
+    rows = [(1, letters), (2, piece), (3, letters[:120])]
+    want = {1: (len(letters), 300, 1), 2: (300, 300, 1), 3: (120, 0, 0)}
+    assert {r[0]: r[1:4] for r in got(query(spark.createDataFrame(rows, "doc_id long, text string")))} == want
