@@ -7,7 +7,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from judgeset.config import ModelSpec, models_table, total_weight
+from judgeset.config import ModelSpec, total_weight
 from judgeset.functions.names import unused
 from judgeset.operators.prefix import running
 from judgeset.sources.files import shared_path
@@ -64,15 +64,25 @@ def weights(df: DataFrame, models: list[ModelSpec]) -> DataFrame:
     return df.sparkSession.createDataFrame(list({m.id: m.weight for m in models}.items()) or [("", 1)], "judge_model string, weight int")
 
 
+def setting(model: Column | str, models: list[ModelSpec], field: str, kind: str) -> Column:
+    """What is configured for each row's model, null for unknown ones; of repeated ids the last counts. Part of the plan
+    itself, since there are only as many models as the user configured."""
+    known = {m.id: getattr(m, field) for m in models}
+    if not known:
+        return F.lit(None).cast(kind)
+    pairs = [c for i, v in known.items() for c in (F.lit(i), F.lit(v).cast(kind))]
+    return F.create_map(*pairs)[F.col(model) if isinstance(model, str) else model]
+
+
 def token_cost(tokens_in: Column, tokens_out: Column, price_in: Column, price_out: Column) -> Column:
     return (tokens_in / F.lit(1e6)) * price_in + (tokens_out / F.lit(1e6)) * price_out
 
 
 def with_cost(df: DataFrame, models: list[ModelSpec], model: str = "model", out: str = "cost_usd") -> DataFrame:
     """Adds each row's cost by its model's prices; unknown models cost nothing."""
-    spec = models_table(df.sparkSession, models).groupBy(F.col("id").alias(model)).agg(F.max_by(F.struct("input_price_per_1m", "output_price_per_1m"), "ordinal").alias("__p"))
-    cost = token_cost(F.coalesce("tokens_in", F.lit(0)), F.coalesce("tokens_out", F.lit(0)), F.col("__p.input_price_per_1m"), F.col("__p.output_price_per_1m"))
-    return df.join(F.broadcast(spec), model, "left").withColumn(out, F.coalesce(cost, F.lit(0.0))).drop("__p")
+    price = lambda side: setting(model, models, f"{side}_price_per_1m", "double")
+    cost = token_cost(F.coalesce("tokens_in", F.lit(0)), F.coalesce("tokens_out", F.lit(0)), price("input"), price("output"))
+    return df.withColumn(out, F.coalesce(cost, F.lit(0.0)))
 
 
 def cheapest_model(models: list[ModelSpec]) -> ModelSpec:

@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from judgeset import schemas
-from judgeset.config import ModelSpec, models_table
+from judgeset.config import ModelSpec
 from judgeset.functions.text import generation_prompt, is_retryable, judge_prompt, stable_id
-from judgeset.operators.models import assign_models, with_cost
+from judgeset.operators.models import assign_models, setting, with_cost
 
 JUDGE_TEMPERATURE = 0.3
 
@@ -19,8 +19,8 @@ def _messages(system: Column, user: Column) -> Column:
 
 
 def _request(df: DataFrame, models: list[ModelSpec], system: str, user: Column, temperature: float | None = None) -> DataFrame:
-    spec = models_table(df.sparkSession, models).groupBy(F.col("id").alias("model")).agg(F.max_by(F.struct("endpoint", "max_tokens", "temperature"), "ordinal").alias("__m"))
-    df = df.join(F.broadcast(spec), "model", "left").select("*", "__m.endpoint", "__m.max_tokens", (F.lit(temperature) if temperature is not None else F.col("__m.temperature")).alias("temperature")).drop("__m")
+    of = lambda field, kind: setting("model", models, field, kind).alias(field)
+    df = df.select("*", of("endpoint", "string"), of("max_tokens", "int"), F.lit(temperature).alias("temperature") if temperature is not None else of("temperature", "double"))
     df = df.withColumn("messages", _messages(F.lit(system), user))
     return df.withColumn("body", F.to_json(F.struct("model", "messages", "max_tokens", "temperature")))
 
@@ -42,8 +42,9 @@ def judge_requests(samples: DataFrame, models: list[ModelSpec], num_judges: int,
     return df.withColumn("request_id", stable_id(F.lit("judge"), "sample_id", "judge_ordinal", "model"))
 
 
-def ingest_responses(requests: DataFrame, responses: DataFrame, models: list[ModelSpec]) -> tuple[DataFrame, DataFrame]:
-    """(ok, failed) for requests with their responses (request_id, body as JSON; error, time_ms and at where known).
+def match_responses(requests: DataFrame, responses: DataFrame, models: list[ModelSpec]) -> DataFrame:
+    """requests with their responses (request_id, body as JSON; error, time_ms and at where known): content, tokens, cost
+    and error, which is null where the response is good.
 
     A response fails with its own error if it has one, else if its body is no chat response, has no choice or a null
     content, or reports usage in part. Missing usage counts as no tokens; a missing model is the one that was asked.
@@ -56,9 +57,15 @@ def ingest_responses(requests: DataFrame, responses: DataFrame, models: list[Mod
     whole = usage.isNull() | (usage["prompt_tokens"].isNotNull() & usage["completion_tokens"].isNotNull() & usage["total_tokens"].isNotNull())
     found = F.when(F.col("said").isNotNull(), F.col("said")).when(F.col("r").isNull(), "no_response").when(F.col("content").isNull(), "no_content").when(~whole, "bad_usage")
     ok = df.withColumn("content", content).withColumn("error", found)
-    good = ok.filter("error IS NULL").withColumn("tokens_in", F.coalesce("r.usage.prompt_tokens", F.lit(0).cast("bigint"))).withColumn("tokens_out", F.coalesce("r.usage.completion_tokens", F.lit(0).cast("bigint"))).withColumn("total_tokens", F.coalesce("r.usage.total_tokens", F.lit(0).cast("bigint")))
-    good = with_cost(good, models).withColumn("model", F.coalesce("r.model", "model")).drop("r", "error", "said")
-    return good, ok.filter("error IS NOT NULL").select("request_id", "error")
+    counted = ok.withColumn("tokens_in", F.coalesce("r.usage.prompt_tokens", F.lit(0).cast("bigint"))).withColumn("tokens_out", F.coalesce("r.usage.completion_tokens", F.lit(0).cast("bigint"))).withColumn("total_tokens", F.coalesce("r.usage.total_tokens", F.lit(0).cast("bigint")))
+    return with_cost(counted, models).withColumn("model", F.coalesce("r.model", "model")).drop("r", "said")
+
+
+def ingest_responses(requests: DataFrame, responses: DataFrame, models: list[ModelSpec]) -> tuple[DataFrame, DataFrame]:
+    """(ok, failed) of match_responses; failed has request_id and error. Both follow from the same join, so a caller who
+    needs the two of a large table keeps what match_responses gives."""
+    df = match_responses(requests, responses, models)
+    return df.filter("error IS NULL").drop("error"), df.filter("error IS NOT NULL").select("request_id", "error")
 
 
 def resolve_attempts(attempts: DataFrame, max_retries: int = 3) -> DataFrame:

@@ -13,6 +13,8 @@ from judgeset.sources.files import exists, matching
 
 Batches = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
 ANSWERS = "request_id string, body string, error string, time_ms bigint, at timestamp"
+#: Tasks that one job of asking has, or those of one bucket if they are more.
+TASKS = 4096
 
 
 def _asked(fn: Batches) -> Batches:
@@ -66,8 +68,10 @@ class AnswerStore:
             rows = rows.filter(F.col("bucket").isin(list(wanted)))
         good = F.col("body").isNotNull() & F.col("error").isNull()
         said = F.struct(F.when(good, F.col("body")).alias("body"), F.when(~good, F.coalesce("error", F.lit("no_response"))).alias("error"), "time_ms", "at")
-        one = rows.groupBy("request_id", "bucket").agg(F.max_by(said, F.struct(good.alias("good"), "at")).alias("x"))
-        return one.select("request_id", "x.*", "bucket")
+        said = F.struct(said.alias("said"), "bucket")
+        # dealt by request_id alone, so that a join with the requests moves the answers no second time
+        one = rows.repartition("request_id").groupBy("request_id").agg(F.max_by(said, F.struct(good.alias("good"), "at")).alias("x"))
+        return one.select("request_id", "x.said.*", "x.bucket")
 
     def answered(self, wanted: Iterable[int] | None = None) -> DataFrame:
         """request_id of the good answers, once each."""
@@ -79,18 +83,33 @@ class AnswerStore:
 
     def ask(self, requests: DataFrame, fn: Batches, wanted: Iterable[int] | None = None) -> DataFrame:
         """Answers of fn to requests (request_id, body, bucket), which all lie in the wanted buckets. Those with a good
-        answer are not asked again, and equal request ids are asked once."""
+        answer are not asked again, and equal request ids are asked once.
+
+        Jobs follow each other, each over so many buckets that it has about TASKS tasks: the driver keeps every task of a
+        job that runs, so it would run full if one job asked everything. Answers are looked for by request id alone;
+        bodies are joined with them only if some requests have theirs.
+        """
         wanted = list(range(self.buckets) if wanted is None else wanted)
-        left = requests.select("bucket", "request_id", "body").join(self.answered(wanted), "request_id", "left_anti")
-        tasks = -(-left.select("request_id").count() // self.every)
+        left = requests.select("bucket", "request_id", "body")
+        number = left.count()
+        if number and exists(self.spark, self.root):
+            new = left.join(self.answered(wanted), "request_id", "left_anti")
+            unasked = new.select("request_id").count()
+            left, number = (left if unasked == number else new), unasked
+        tasks = -(-number // self.every)
         chunks = max(1, -(-tasks // len(wanted)))  # tasks of one bucket; few requests leave several buckets to one task
-        spread = max(1, min(tasks, len(wanted)))
+        at_once = max(1, TASKS // chunks)
+        for first in range(0, len(wanted), at_once):
+            mine = wanted[first : first + at_once]
+            self._ask(left if len(mine) == len(wanted) else left.filter(F.col("bucket").isin(mine)), fn, mine, chunks, max(1, min(tasks, len(mine))))
+        return self.read(wanted)
+
+    def _ask(self, left: DataFrame, fn: Batches, wanted: list[int], chunks: int, spread: int) -> None:
         place = F.array_position(F.array(*[F.lit(b) for b in wanted]), F.col("bucket")) - 1
         task = (F.floor(place * spread / len(wanted)) * chunks + F.pmod(F.xxhash64("request_id", F.lit(7)), F.lit(chunks))).cast("int")
         asked = left.select("bucket", "request_id", "body").repartitionById(spread * chunks, task).mapInPandas(_asked(fn), f"{ANSWERS}, bucket int")
         # by this version of the committer a task's files are there for good when it ends, not when the job ends
         asked.write.mode("append").option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy("bucket").parquet(self.root)
-        return self.read(wanted)
 
 
 def bucket_of(key: Column | str, buckets: int) -> Column:

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from judgeset import schemas
 from judgeset.config import ModelSpec
+from judgeset.operators import requests
 from judgeset.operators.ledger import one_each
 from judgeset.plans import workloads
-from judgeset.sources import commit, files
+from judgeset.sources import answers, commit, files
 from judgeset.sources.answers import AnswerStore
 
 GENS, JUDGES = [ModelSpec("g")], [ModelSpec("j")]
@@ -153,3 +154,39 @@ def test_a_failed_commit_leaves_nothing(spark, tmp_path):
     with pytest.raises(Exception, match="no such operation"):
         commit.commit_batch(rows, ops.withColumn("reason", F.raise_error(F.lit("no such operation")).cast("string")), out, log, 0)
     assert files.matching(spark, f"{out}/batch_id=*/try=*") == [] and commit.committed(spark, out, log, rows.schema).count() == 0
+
+
+def _shuffles(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+
+
+def test_asking_is_split_into_jobs_of_few_tasks(spark, tmp_path, monkeypatch):
+    """Every job stays small, each request is asked once, and a bucket of problems is one file whatever read them."""
+    monkeypatch.setattr(answers, "TASKS", 6)
+    asked, fn = counted(spark)
+    sizes, ask = [], AnswerStore._ask
+
+    def seen(self, left, fn, wanted, chunks, spread):
+        sizes.append(chunks * spread)
+        ask(self, left, fn, wanted, chunks, spread)
+
+    monkeypatch.setattr(AnswerStore, "_ask", seen)
+    df = problems(spark, *[f"p{i}" for i in range(200)]).repartition(6)
+    out = workloads.run_dpo(df, GENS, JUDGES, ("s", "j"), fn, REVIEW, str(tmp_path / "run"), buckets=8, every=50)
+    assert out.count() == 0 and asked.value == 600  # equal scores give no pair
+    assert len(sizes) >= 4 and max(sizes) <= 6
+    assert len(files.matching(spark, f"{tmp_path}/run/pending/bucket=*/part-*")) == 8
+    ops = commit.read_ops(spark, str(tmp_path / "run/ledger"))
+    assert {r["type"]: r["count"] for r in ops.groupBy("type").count().collect()} == {"generated": 200, "judged": 200}
+
+
+def test_stored_answers_and_requests_are_moved_once(spark, tmp_path):
+    store = AnswerStore(spark, str(tmp_path / "s"), buckets=2)
+    df = spark.createDataFrame([("r1", "in x ", 0), ("r2", "in y ", 1)], "request_id string, body string, bucket int")
+    got = store.ask(df, counted(spark)[1])
+    assert _shuffles(got) == 1
+    merge = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(merge, "-1")
+    met = requests.match_responses(df.withColumn("model", F.lit("g")), got.drop("bucket"), GENS)
+    assert _shuffles(met) == 2 and met.filter("error IS NULL").count() == 2
+    spark.conf.unset(merge)
