@@ -19,14 +19,15 @@ def init_ledger(problems: DataFrame) -> DataFrame:
 def one_each(problems: DataFrame, order: str | None = None) -> DataFrame:
     """One row per id: of rows that share one the last by the column order, else the greatest by their columns as JSON.
 
-    Repeated ids are looked for among the ids alone; only their rows are shuffled. Rows without an id are left as they are.
+    Repeated ids are looked for among the ids alone; if there are any, rows are shuffled once. Rows without an id are left
+    as they are.
     """
     repeated = problems.filter("id IS NOT NULL").groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("id")
     if repeated.isEmpty():
         return problems
     by = F.struct(*([order] if order else []), F.to_json(F.struct(*problems.columns)))
-    again = problems.join(repeated, "id", "left_semi").groupBy("id").agg(F.max_by(F.struct(*problems.columns), by).alias("x")).select("x.*")
-    return problems.join(repeated, "id", "left_anti").select(*problems.columns).unionByName(again)
+    one = problems.filter("id IS NOT NULL").groupBy("id").agg(F.max_by(F.struct(*problems.columns), by).alias("x")).select("x.*")
+    return problems.filter("id IS NULL").unionByName(one)
 
 
 def fold_ops(ops: DataFrame) -> DataFrame:

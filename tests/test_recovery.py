@@ -190,3 +190,10 @@ def test_stored_answers_and_requests_are_moved_once(spark, tmp_path):
     met = requests.match_responses(df.withColumn("model", F.lit("g")), got.drop("bucket"), GENS)
     assert _shuffles(met) == 2 and met.filter("error IS NULL").count() == 2
     spark.conf.unset(merge)
+
+
+def test_rows_of_repeated_ids_are_moved_once(spark):
+    df = spark.createDataFrame([("a", "z", 1), ("a", "b", 3), (None, "u", 1), ("b", "x", 9)], "id string, input string, n int")
+    got = one_each(df, "n")
+    assert sorted((r["id"] or "", r["input"]) for r in got.collect()) == [("", "u"), ("a", "b"), ("b", "x")]
+    assert _shuffles(one_each(df, "n")) == 1
