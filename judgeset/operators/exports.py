@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from judgeset.operators.prefix import running
@@ -41,19 +42,26 @@ def write_trainer(rows: DataFrame, path: str, kind: str, fields: dict[str, str]
     rows.select(F.to_json(F.struct(*[needed(c) for c in names])).alias("value")).write.mode(mode).text(path)
 
 
+#: Problems with more responses than this, and more than a row holds, are dealt to many tasks; smaller ones are one task's.
+DEALT = 1024
+
+
 def to_grpo(judged: DataFrame, most: int = 1024, path: str | None = None) -> DataFrame:
     """(problem_id, part, prompt, completions, scores): every problem with all its judged responses, completions and
     scores aligned by response_idx. A problem with more than most responses stands in several rows, parts 0, 1, ... of
     most responses each; the prompt is the first response's of each part. A null problem_id is a problem of its own.
 
-    Responses are counted first, without their texts. Only rows of the larger problems are dealt by ranges of problem and
-    response (under path, by default in the shared folder) to find their parts, so that no task gets all texts of one.
+    Responses are counted first, without their texts. Problems of at most DEALT responses (or most, if that is more) are
+    sorted where they are grouped, so their rows are moved once. Only rows of the larger ones are dealt by ranges of problem
+    and response (under path, by default in the shared folder) to find their parts, so that no task gets all texts of one.
     """
     rows = judged.select("problem_id", "response_idx", "input", "output", "score")
-    large = oversized(judged, most).select(F.col("problem_id").alias("p"))
+    large = oversized(judged, max(most, DEALT)).select(F.col("problem_id").alias("p"))
     same = F.col("problem_id").eqNullSafe(F.col("p"))
-    parts = rows.join(large, same, "left_anti").withColumn("part", F.lit(0).cast("bigint"))
-    if not large.isEmpty():
+    some = not large.isEmpty()
+    place = F.row_number().over(W.partitionBy("problem_id").orderBy("response_idx", "score", "output")) - 1
+    parts = (rows.join(large, same, "left_anti") if some else rows).withColumn("part", F.floor(place / most))
+    if some:
         spread = running(rows.join(large, same, "left_semi"), ["problem_id", "response_idx", "score", "output"], {"n": F.lit(1).cast("bigint")}, path or shared_path(judged.sparkSession, "grpo"))
         first = spread.groupBy(F.col("problem_id").alias("p")).agg(F.min("n").alias("first"))
         spread = spread.join(first, same).withColumn("part", F.floor((F.col("n") - F.col("first")) / most))

@@ -1,5 +1,6 @@
 """Numbers, running totals and parts of whole tables that no single task holds."""
 
+import os
 import random
 from itertools import accumulate
 
@@ -86,6 +87,18 @@ def test_a_large_problem_is_dealt_to_many_tasks(spark):
     assert len(sizes) >= 4 and max(sizes) < 8_000
 
 
+def test_parts_of_moderate_problems_need_no_second_table(spark, tmp_path):
+    """Responses of a problem are cut into parts where they are grouped; ties and nulls as they were by ranges."""
+    rows = [("a", i % 9, "in", f"t{i}", i / 10) for i in range(20)] + [("b", None, "in", "n", 0.1), ("b", 0, "other", "m", 0.2), (None, 1, "in", "x", 0.5)]
+    df = spark.createDataFrame(rows, "problem_id string, response_idx int, input string, output string, score double").repartition(5)
+    path = str(tmp_path / "grpo")
+    got = {(r["problem_id"], r["part"]): (r["prompt"], r["completions"]) for r in exports.to_grpo(df, 3, path).collect()}
+    a = sorted((r[1], r[4], r[3]) for r in rows if r[0] == "a")
+    assert [got["a", p][1] for p in range(7)] == [[t for _, t in sorted((i, t) for i, _, t in a[k : k + 3])] for k in range(0, 20, 3)]
+    assert got["b", 0] == ("other", ["n", "m"]) and got[None, 0] == ("in", ["x"]) and len(got) == 9
+    assert not os.path.exists(path)
+
+
 def test_bad_lines_are_named_by_file_and_line(spark, tmp_path):
     """Splits of a few hundred bytes, so that numbers add up over many tasks."""
     good = '{"id":"a","input":"x"}\n'
