@@ -20,33 +20,27 @@ def expand_responses(problems: DataFrame, n: int) -> DataFrame:
 
 
 def best_and_worst(judged: DataFrame) -> DataFrame:
-    """Per problem with two responses or more: sample ids, scores and models of the best and the worst.
+    """Per problem with two responses or more: sample ids, scores, models and outputs of the best and the worst.
 
     Ties go to the earliest response for the best and the latest for the worst. The aggregate combines before the
-    shuffle and carries no text, so a problem with any number of responses is one row per task.
+    shuffle, so a problem with any number of responses is one row with two texts per task.
     """
     rank = F.struct("score", (-F.col("response_idx")).alias("i"))
-    row = F.struct("sample_id", "score", "model", "response_idx")
+    row = F.struct("sample_id", "score", "model", "response_idx", "output")
     best = judged.groupBy("problem_id").agg(F.max_by(row, rank).alias("c"), F.min_by(row, rank).alias("r"), F.count(F.lit(1)).alias("n"))
-    return best.filter("n >= 2").select("problem_id", F.col("c.sample_id").alias("chosen_id"), F.col("r.sample_id").alias("rejected_id"), F.col("c.score").alias("chosen_score"), F.col("r.score").alias("rejected_score"), F.col("c.model").alias("chosen_model"), F.col("r.model").alias("rejected_model"), F.col("c.response_idx").alias("chosen_idx"), F.col("r.response_idx").alias("rejected_idx"))
+    return best.filter("n >= 2").select("problem_id", F.col("c.sample_id").alias("chosen_id"), F.col("r.sample_id").alias("rejected_id"), F.col("c.score").alias("chosen_score"), F.col("r.score").alias("rejected_score"), F.col("c.model").alias("chosen_model"), F.col("r.model").alias("rejected_model"), F.col("c.response_idx").alias("chosen_idx"), F.col("r.response_idx").alias("rejected_idx"), F.col("c.output").alias("chosen"), F.col("r.output").alias("rejected"))
 
 
-def dpo_pairs(judged: DataFrame, problems: DataFrame, texts: DataFrame | None = None, min_gap: float = MIN_GAP) -> DataFrame:
+def dpo_pairs(judged: DataFrame, problems: DataFrame, min_gap: float = MIN_GAP) -> DataFrame:
     """One pair per problem whose best and worst score are min_gap apart (in plain double arithmetic).
 
-    judged has sample_id, problem_id, response_idx, score and model; texts (default: judged itself) has sample_id and
-    output. Outputs are fetched in one join for both sides after the pairs are known.
+    judged has sample_id, problem_id, response_idx, score, model and output. The two texts of a problem come with its best
+    and worst score, so no text is looked for afterwards.
     """
     pairs = best_and_worst(judged).filter(F.col("chosen_score") - F.col("rejected_score") >= min_gap)
-    pair = F.struct("chosen_score", "rejected_score", "chosen_model", "rejected_model").alias("pair")
-    side = lambda which: F.struct(F.lit(which).alias("side"), F.col(f"{which}_id").alias("sample_id"))
-    wanted = pairs.select("problem_id", pair, F.explode(F.array(side("chosen"), side("rejected"))).alias("one_side")).select("problem_id", "pair", "one_side.*")
-    both = wanted.join((texts if texts is not None else judged).select("sample_id", "output"), "sample_id")
-    output = lambda which: F.max(F.when(F.col("side") == which, F.col("output"))).alias(which)
-    found = both.groupBy("problem_id").agg(F.max("pair").alias("pair"), output("chosen"), output("rejected"))
     p = problems.select(F.col("id").alias("problem_id"), "input", "metadata")
-    return found.join(p, "problem_id").select(
-        stable_id("problem_id").alias("id"), "problem_id", "input", "chosen", "rejected", "pair.*", "metadata",
+    return pairs.join(p, "problem_id").select(
+        stable_id("problem_id").alias("id"), "problem_id", "input", "chosen", "rejected", "chosen_score", "rejected_score", "chosen_model", "rejected_model", "metadata",
     )
 
 

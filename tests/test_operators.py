@@ -64,6 +64,17 @@ def test_pairs(spark):
     assert {tuple(r["scores"]) for r in exports.to_grpo(df.withColumn("input", F.lit("x"))).collect()} >= {(0.9, 0.9, 0.5, 0.5)}
 
 
+def test_pairs_move_no_text_twice(spark):
+    """One shuffle of the responses, combined before it, and one of the problems."""
+    df = spark.createDataFrame([("a", "a0", 0, 0.9, "m", "best"), ("a", "a1", 1, 0.2, "m", None), ("b", "b0", 0, 0.9, "m", "x")], "problem_id string, sample_id string, response_idx int, score double, model string, output string")
+    problems = spark.createDataFrame([("a", "in", None), ("b", "in", None)], "id string, input string, metadata string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    pairs = dpo.dpo_pairs(df, problems)
+    assert pairs._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 2
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert [(r["problem_id"], r["chosen"], r["rejected"]) for r in pairs.collect()] == [("a", "best", None)]
+
+
 def test_slots(spark):
     df = spark.range(6).select(F.col("id").cast("string").alias("id"), F.col("id").alias("o"))
     specs = [ModelSpec("x", weight=2), ModelSpec("y", weight=1)]
