@@ -19,11 +19,11 @@ def init_ledger(problems: DataFrame) -> DataFrame:
 def one_each(problems: DataFrame, order: str | None = None) -> DataFrame:
     """One row per id: of rows that share one the last by the column order, else the greatest by their columns as JSON.
 
-    Repeated ids are looked for among the ids alone; if there are any, rows are shuffled once. Rows without an id are left
-    as they are.
+    Repeated ids are looked for among hashes of the ids; if there are any, rows are shuffled once. Rows without an id are
+    left as they are.
     """
-    repeated = problems.filter("id IS NOT NULL").groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("id")
-    if repeated.isEmpty():
+    repeated = problems.filter("id IS NOT NULL").groupBy(F.xxhash64("id").alias("h")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    if not repeated.limit(1).count():
         return problems
     by = F.struct(*([order] if order else []), F.to_json(F.struct(*problems.columns)))
     one = problems.filter("id IS NOT NULL").groupBy("id").agg(F.max_by(F.struct(*problems.columns), by).alias("x")).select("x.*")
@@ -41,6 +41,13 @@ def fold_ops(ops: DataFrame) -> DataFrame:
     )
 
 
+def done_ids(ops: DataFrame) -> DataFrame:
+    """id of each problem whose last operation is neither a generation nor a failure: those that fold_ops has as approved
+    or rejected. Only a flag per problem is kept, so that the log is hashed and not sorted."""
+    done = ~F.coalesce(F.col("type").isin("generated", "failed"), F.lit(False))
+    return ops.groupBy(F.col("problem_id").alias("id")).agg(F.max_by(done, "seq").alias("done")).filter("done").select("id")
+
+
 def partial_fold(ops: DataFrame) -> DataFrame:
     """What a part of the log says about each problem it names, so that parts can be merged in any order: the last
     operation of each kind with its seq, the last of all, and the number of failures."""

@@ -49,9 +49,14 @@ def match_responses(requests: DataFrame, responses: DataFrame, models: list[Mode
     A response fails with its own error if it has one, else if its body is no chat response, has no choice or a null
     content, or reports usage in part. Missing usage counts as no tokens; a missing model is the one that was asked.
     """
-    known = lambda c, kind: (F.col(c) if c in responses.columns else F.lit(None)).cast(kind)
-    r = responses.select("request_id", F.from_json("body", schemas.CHAT_RESPONSE).alias("r"), known("error", "string").alias("said"), known("time_ms", "bigint").alias("time_ms"), known("at", "timestamp").alias("at"))
-    df = requests.drop("body").join(r, "request_id", "left")
+    known = lambda c, kind: (F.col(c) if c in responses.columns else F.lit(None)).cast(kind).alias(c)
+    r = responses.select("request_id", "body", known("error", "string"), known("time_ms", "bigint"), known("at", "timestamp"))
+    return read_responses(requests.drop("body").join(r, "request_id", "left"), models)
+
+
+def read_responses(met: DataFrame, models: list[ModelSpec]) -> DataFrame:
+    """The rows of match_responses from requests that stand with body, error, time_ms and at of their responses."""
+    df = met.withColumnRenamed("error", "said").withColumn("r", F.from_json("body", schemas.CHAT_RESPONSE)).drop("body")
     usage = F.col("r.usage")
     content = F.try_element_at(F.col("r.choices"), F.lit(1))["message"]["content"]
     whole = usage.isNull() | (usage["prompt_tokens"].isNotNull() & usage["completion_tokens"].isNotNull() & usage["total_tokens"].isNotNull())
